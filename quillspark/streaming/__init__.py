@@ -1,0 +1 @@
+"""Keeping an index current from a stream."""
