@@ -258,6 +258,11 @@ class IndexDirectory:
             .partitionBy("doc_bucket")
             .parquet(f"{self.path}/docs/batch={n}")
         )
+        key_type = T._parse_datatype_string(v.key_type)
+        kept = {f.name for f in v.mapping.doc_fields}
+        if kept.issuperset(tables.indexed_fields(v.mapping)):
+            # The text is in the batch just written, parsed and evenly spread: no second look at the source.
+            documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type))
         (
             tables.postings_table(documents, v.mapping, self._stem_maps(v))
             .withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
@@ -268,7 +273,6 @@ class IndexDirectory:
             .partitionBy("field", "term_bucket")
             .parquet(f"{self.path}/postings/batch={n}")
         )
-        key_type = T._parse_datatype_string(v.key_type)
         schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
         self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)
         v.batches, v.terms = [*v.batches, n], [*v.terms, n]
