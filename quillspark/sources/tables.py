@@ -69,6 +69,9 @@ def postings_table(
     """
     stem_maps = stem_maps or {}
     names = indexed_fields(mapping)
+    if not names:
+        schema = postings_schema(mapping, documents.schema[mapping.key].dataType)
+        return documents.sparkSession.createDataFrame([], schema)
     staged = documents.select(mapping.key, *[_entries(mapping, n).alias(f"e_{n}") for n in names])
     for n in names:
         analyzer = mapping.field(n).analyzer
