@@ -14,13 +14,14 @@ from collections.abc import Mapping as Dict
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.errors import AggregationError
 from quillspark.functions.values import facet_ancestors
 from quillspark.mapping import Mapping
-from quillspark.plans.compile import matches
+from quillspark.plans.compile import compile_query
 from quillspark.plans.query import All, Query, as_query
 from quillspark.sources.index import Index
 
@@ -227,7 +228,7 @@ def scope(index: Index, query: str | Query | list | None = None, fields: tuple[s
     if query is None or isinstance(query, All):
         return index.docs
     key = index.mapping.key
-    return index.docs.join(matches(as_query(query, fields), index).select(key), key, "left_semi")
+    return index.docs.join(compile_query(as_query(query, fields), index).keys(key), key, "left_semi")
 
 
 # -- buckets ---------------------------------------------------------------------------------
@@ -324,7 +325,9 @@ class _Level:
             return buckets
         if agg.min_doc_count > 0:
             return buckets.filter(F.col("doc_count") >= agg.min_doc_count)
-        low, high = F.min(self.key), F.max(self.key)
+        # Whole buckets are compared, so both uses below have one plan and Spark computes it once.
+        whole = F.struct(self.key, *[c for c in buckets.columns if c != self.key])
+        low, high = F.min(whole)[self.key], F.max(whole)[self.key]
         if isinstance(agg, Histogram) and agg.extended_bounds is not None:
             first, last = [int((b - agg.offset) // agg.interval) for b in agg.extended_bounds]
             low, high = F.least(low, F.lit(first)), F.greatest(high, F.lit(last))
@@ -406,12 +409,41 @@ def _top_hits(mapping: Mapping, agg: TopHits, rows: DataFrame, parents: list[_Le
     return best
 
 
+class Results(dict[str, DataFrame]):
+    """The DataFrames by name. A queried scope that several of them read is kept until ``release``."""
+
+    kept: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.kept is not None:
+            self.kept.unpersist()
+
+
+def _fields_of(aggs: Aggs) -> set[str]:
+    found = set()
+    for agg in aggs.values():
+        if isinstance(agg, TopHits):
+            found |= {agg.sort, *agg.show}
+        else:
+            found |= {agg.field} | (_fields_of(agg.aggs) if isinstance(agg, Bucket) else set())
+    return found
+
+
 def aggregate(
     index: Index, aggs: Aggs, query: str | Query | list | None = None, fields: tuple[str, ...] = ()
-) -> dict[str, DataFrame]:
+) -> Results:
     """Run several named aggregations over one scope."""
     rows = scope(index, query, fields)
-    return aggregate_rows(rows, index.mapping, aggs)
+    buckets = [x for x in aggs.values() if not isinstance(x, Metric)]
+    results = Results()
+    if query is not None and (len(buckets) > 1 or any(isinstance(x, Bucket) for x in buckets)):
+        # Several passes follow: keep the columns they read rather than match again for each.
+        known = [n for n in _fields_of(aggs) if index.mapping.has(n)]
+        needed = [f.name for f in index.mapping.doc_fields if f.name in known]
+        rows = rows.select(index.mapping.key, *[f"`{n}`" for n in needed]).persist(StorageLevel.MEMORY_AND_DISK)
+        results.kept = rows
+    results.update(aggregate_rows(rows, index.mapping, aggs))
+    return results
 
 
 def aggregate_rows(rows: DataFrame, mapping: Mapping, aggs: Aggs) -> dict[str, DataFrame]:

@@ -33,7 +33,9 @@ def top_k(
     index: Index, query: str | Query | list, limit: int | None = PAGE, offset: int = 0, fields: tuple[str, ...] = ()
 ) -> DataFrame:
     """``(key, score)`` of one page."""
-    return ranked(matches(as_query(query, fields), index), index.mapping.key, limit, offset)
+    best = limit + offset if limit else None
+    hits = compile_query(as_query(query, fields), index, best=best).hits
+    return ranked(hits, index.mapping.key, limit, offset)
 
 
 def count_hits(index: Index, query: str | Query | list, fields: tuple[str, ...] = ()) -> DataFrame:
@@ -75,7 +77,7 @@ def search(
     Stored fields are read after the limit, for the hits alone.
     """
     key = index.mapping.key
-    compiled = compile_query(as_query(query, fields), index, highlight_expanded)
+    compiled = compile_query(as_query(query, fields), index, highlight_expanded, best=limit + offset if limit else None)
     page = ranked(compiled.hits, key, limit, offset)
     if limit <= BROADCAST_HITS:
         page = F.broadcast(page)
@@ -106,7 +108,7 @@ def highlight_all(index: Index, query: str | Query | list, field: str, fields: t
     f = index.field(field)
     compiled = compile_query(as_query(query, fields), index)
     marked = hl.whole_field(F.col(f"`{field}`"), sorted(compiled.words.get(field, {})), f.analyzer)
-    return index.docs.join(compiled.hits.select(key), key, "left_semi").select(key, marked.alias("highlight"))
+    return index.docs.join(compiled.keys(key), key, "left_semi").select(key, marked.alias("highlight"))
 
 
 def search_indexes(

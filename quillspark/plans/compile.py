@@ -4,6 +4,11 @@ However deeply a query nests, the plan has the same shape: one pruned scan of th
 words, one scan of the documents for all its typed conditions, one shuffle on the key that adds up every
 leaf of the tree, and the tree itself as a column expression over those sums. A query on documents
 alone, or on one word, has no shuffle.
+
+Document frequencies are known before the plan is made, so two exact shortcuts are taken when words are
+frequent enough to matter. If a required part of the query matches few documents, those keys gate every
+other scan, and the frequent words' postings are never shuffled. If only the best k are wanted and the
+frequent words cannot lift a document among them, they are looked up for the other words' documents alone.
 """
 
 from __future__ import annotations
@@ -27,8 +32,18 @@ from quillspark.functions.values import typed_literal
 from quillspark.plans import query as q
 from quillspark.sources.index import Index
 
-# A node of the compiled tree: given the summed leaves, whether a document matches and its score.
-Node = Callable[[], tuple[Column, Column]]
+@dataclass
+class Node:
+    """A node of the compiled tree. ``evaluate`` gives, over the summed leaves, whether a document matches
+    and its score; ``needs`` lists sets of leaves of which every hit has at least one."""
+
+    evaluate: Callable[[], tuple[Column, Column]]
+    needs: list[frozenset[int]] = field(default_factory=list)
+
+# A set of keys is broadcast when document frequencies prove it is at most this long. A gate is worth a
+# second look at its words when it can spare this many rows the shuffle.
+BROADCAST_KEYS = 1_000_000
+SPARED_ROWS = 5_000_000
 
 _UNSUPPORTED_REGEX = re.compile(r"\(\?<?[=!]|\\[1-9]|\\k<")
 
@@ -42,10 +57,17 @@ class _Phrase:
 
 @dataclass
 class Compiled:
-    """A compiled query: its hits and the words worth highlighting, ``{field: {term: df}}``."""
+    """A compiled query: its hits, the most there can be if that is known, and the words worth
+    highlighting, ``{field: {term: df}}``."""
 
     hits: DataFrame
     words: dict[str, dict[str, int]] = field(default_factory=dict)
+    at_most: int | None = None
+
+    def keys(self, key: str) -> DataFrame:
+        """The keys of the hits, marked for broadcast only if they are known to be few."""
+        keys = self.hits.select(key)
+        return F.broadcast(keys) if self.at_most is not None and self.at_most <= BROADCAST_KEYS else keys
 
 
 class Compiler:
@@ -60,6 +82,7 @@ class Compiler:
         self.phrases: dict[int, tuple[str, _Phrase]] = {}
         self.patterns: list[tuple[int, int, str, Column]] = []
         self.conditions: dict[int, Column] = {}
+        self.documents_only = False
 
     # -- leaves ------------------------------------------------------------------------------
 
@@ -68,10 +91,17 @@ class Compiler:
         return len(self.kinds) - 1
 
     def _node(self, leaf: int) -> Node:
-        return lambda: (F.col(f"v{leaf}").isNotNull(), F.coalesce(F.col(f"v{leaf}"), F.lit(0.0)))
+        def evaluate():
+            if self.documents_only:
+                # The condition itself, so that it reaches the scan.
+                met = self.conditions.get(leaf, F.lit(False))
+                return met, F.when(met, 1.0).otherwise(0.0)
+            return F.col(f"v{leaf}").isNotNull(), F.coalesce(F.col(f"v{leaf}"), F.lit(0.0))
+
+        return Node(evaluate, [frozenset([leaf])])
 
     def _nothing(self) -> Node:
-        return lambda: (F.lit(False), F.lit(0.0))
+        return Node(lambda: (F.lit(False), F.lit(0.0)))
 
     def _condition(self, predicate: Column) -> Node:
         leaf = self._leaf("constant")
@@ -222,10 +252,10 @@ class Compiler:
                 inner, factor = self.add(query.query), query.factor
 
                 def boosted():
-                    matched, score = inner()
+                    matched, score = inner.evaluate()
                     return matched, score * factor
 
-                return boosted
+                return Node(boosted, inner.needs)
             case q.Bool():
                 return self._combine([(occur, self.add(part)) for occur, part in query.clauses])
         raise QueryError(f"not a query: {query!r}")
@@ -235,15 +265,22 @@ class Compiler:
             return self._nothing()
 
         def evaluate():
-            parts = {o: [n() for occur, n in clauses if occur == o] for o in q.OCCURS}
+            parts = {o: [n.evaluate() for occur, n in clauses if occur == o] for o in q.OCCURS}
             needed = [m for m, _ in parts["must"]]
             if not needed:
                 needed = [reduce(lambda a, b: a | b, [m for m, _ in parts["should"]])]
-            needed += [~m for m, _ in parts["must_not"]]
+            needed += [~F.coalesce(m, F.lit(False)) for m, _ in parts["must_not"]]
             scores = [F.when(m, s).otherwise(0.0) for m, s in parts["must"] + parts["should"]]
             return reduce(lambda a, b: a & b, needed), reduce(lambda a, b: a + b, scores)
 
-        return evaluate
+        must = [n for occur, n in clauses if occur == "must"]
+        if must:
+            needs = [leaves for n in must for leaves in n.needs]
+        else:
+            # A hit satisfies one of the alternatives, so it has a leaf of what each of them needs.
+            either = [n.needs for occur, n in clauses if occur == "should"]
+            needs = [frozenset().union(*[min(n, key=len) for n in either])] if all(either) else []
+        return Node(evaluate, needs)
 
     def _range(self, query: q.Range) -> Node:
         f = self.index.field(query.field)
@@ -313,18 +350,19 @@ class Compiler:
                 rows += [(name, w, leaf, at, weight, self.index.avgdl(name)) for w, at in ph.words if (name, w) in gain]
         return rows
 
-    def _posting_rows(self) -> DataFrame | None:
-        literal = self._literal_words()
-        found = []
-        shared = ["leaf", "at", "weight", "avgdl"]
-        if literal:
-            names = ["field", "term", *shared]
-            # A local relation of the query's own words: Spark knows its size and broadcasts it.
-            columns = list(zip(*literal))
-            kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64()]
-            table = pa.table({c: pa.array(v, k) for c, v, k in zip(names, columns, kinds)})
-            words = self.index.spark.createDataFrame(table)
-            found.append(self.index.postings_of((r[0], r[1]) for r in literal).join(words, ["field", "term"]))
+    def _weighted(self, literal: list[tuple[str, str, int, int, float, float]]) -> DataFrame:
+        """The postings of the query's words, each with its leaf, offset, weight and average length."""
+        rows = self.index.postings_of((r[0], r[1]) for r in literal)
+        names = ["leaf", "at", "weight", "avgdl"]
+        if len(literal) == 1:
+            return rows.withColumns({n: F.lit(v) for n, v in zip(names, literal[0][2:])})
+        # A local relation of the query's own words: Spark knows its size and broadcasts it.
+        kinds = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64()]
+        table = pa.table({c: pa.array(v, k) for c, v, k in zip(["field", "term", *names], zip(*literal), kinds)})
+        return rows.join(self.index.spark.createDataFrame(table), ["field", "term"])
+
+    def _posting_rows(self, literal: list[tuple[str, str, int, int, float, float]], gate: DataFrame | None) -> DataFrame | None:
+        found = [self._weighted(literal)] if literal else []
         for leaf, at, name, matches in self.patterns:
             weight = 1.0
             if leaf in self.phrases:
@@ -346,8 +384,97 @@ class Compiler:
             shifted = F.transform("positions", lambda p: p - F.col("at"))
             place = F.struct("at", shifted.alias("starts"), "weight", "dl", "avgdl")
             columns.append(F.when(F.col("leaf").isin(list(self.phrases)), place).alias("place"))
+        if gate is not None:
+            found = [rows.join(gate, self.key, "left_semi") for rows in found]
         return reduce(DataFrame.unionByName, [rows.select(*columns) for rows in found])
 
+    def _condition_rows(self, gate: DataFrame | None) -> DataFrame:
+        """One row per document and condition it meets."""
+        leaves = list(self.conditions)
+        docs = self.index.docs.filter(reduce(lambda a, b: a | b, self.conditions.values()))
+        if gate is not None:
+            docs = docs.join(gate, self.key, "left_semi")
+        if len(leaves) == 1:
+            rows = docs.select(self.key, F.lit(leaves[0]).alias("leaf"))
+        else:
+            met = F.array_compact(F.array(*[F.when(c, F.lit(leaf)) for leaf, c in self.conditions.items()]))
+            rows = docs.select(self.key, F.explode(met).alias("leaf"))
+        return rows.withColumn("value", F.lit(1.0))
+
+    # -- bounds ------------------------------------------------------------------------------
+
+    def _leaf_words(self, leaf: int) -> list[tuple[str, str]] | None:
+        """Words of which every document of a leaf has one; None if the leaf is not about listed words."""
+        if leaf in self.scored:
+            return list(self.scored[leaf])
+        if leaf in self.constant:
+            return list(self.constant[leaf])
+        if leaf in self.phrases:
+            name, ph = self.phrases[leaf]
+            return [min(((name, w) for w in ph.scored), key=lambda p: self.df.get(p, 0))]
+        return None
+
+    def _needed_words(self, leaves: frozenset[int]) -> list[tuple[str, str]] | None:
+        words = [self._leaf_words(leaf) for leaf in leaves]
+        return None if any(w is None for w in words) else [p for w in words for p in w]
+
+    def _fewest(self, node: Node) -> tuple[list[tuple[str, str]] | None, int | None]:
+        """The required words that fewest documents have, and at most how many documents that is."""
+        choices = [w for w in (self._needed_words(leaves) for leaves in node.needs) if w is not None]
+        if not choices:
+            return None, None
+        unknown = {p for words in choices for p in words} - set(self.df)
+        self.df |= self.index.doc_frequencies(unknown)
+        sized = [(sum(self.df.get(p, 0) for p in words), i) for i, words in enumerate(choices)]
+        size, best = min(sized)
+        return choices[best], size
+
+    def _keys_of(self, words: list[tuple[str, str]], size: int) -> DataFrame:
+        """The documents with any of these words; ``size`` is their proven bound."""
+        keys = self.index.postings_of(words).join(self._pairs(words), ["field", "term"], "left_semi").select(self.key).distinct()
+        return F.broadcast(keys) if size <= BROADCAST_KEYS else keys
+
+    def _pairs(self, words: list[tuple[str, str]]) -> DataFrame:
+        columns = list(zip(*words))
+        return self.index.spark.createDataFrame(pa.table({"field": pa.array(columns[0], pa.string()), "term": pa.array(columns[1], pa.string())}))
+
+    def _gate(self, node: Node, literal: list) -> tuple[DataFrame | None, int | None]:
+        """Keys that every hit is among, when that spares the shuffle many rows."""
+        words, size = self._fewest(node)
+        if words is None or not words:
+            return None, size
+        rows = sum(self.df.get((r[0], r[1]), 0) for r in literal)
+        rows += self.index.n_docs * (len(self.conditions) + len(self.patterns))
+        if size > BROADCAST_KEYS or rows - size < SPARED_ROWS:
+            return None, size
+        return self._keys_of(words, size), size
+
+    def _best_gate(self, literal: list, k: int) -> tuple[DataFrame | None, int | None]:
+        """Keys that the best ``k`` hits of an OR of words are among, or None.
+
+        The rarest words give the k-th best score a lower bound; the commonest words whose highest
+        possible scores together stay below it are optional, and the others hold the best hits.
+        """
+        ordered = sorted(literal, key=lambda r: (self.df[r[0], r[1]], r[0], r[1]))
+        reached, seeds = 0, []
+        while ordered[len(seeds) :] and reached < 2 * k:
+            seeds.append(ordered[len(seeds)])
+            reached += self.df[seeds[-1][0], seeds[-1][1]]
+        spare = sum(self.df[r[0], r[1]] for r in ordered[len(seeds) :])
+        if spare < SPARED_ROWS or reached > BROADCAST_KEYS or any(r[4] < 0 for r in literal):
+            return None, None
+        gain = F.sum(F.col("weight") * scoring.tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl")))
+        best = self._weighted(seeds).groupBy(self.key).agg(gain.alias("s")).select("s").orderBy(F.desc("s")).limit(k).collect()
+        if len(best) < k:
+            return None, None
+        bound, ceiling, needed = best[-1]["s"], 0.0, list(ordered)
+        while needed and ceiling + needed[-1][4] * (scoring.K1 + 1.0) + 2 * 10.0**-scoring.SCORE_DIGITS < bound:
+            ceiling += needed.pop()[4] * (scoring.K1 + 1.0)
+        size = sum(self.df[r[0], r[1]] for r in needed)
+        if len(needed) == len(ordered) or sum(self.df[r[0], r[1]] for r in ordered[len(needed) :]) < SPARED_ROWS:
+            return None, None
+        return self._keys_of([(r[0], r[1]) for r in needed], size), size
+
     def _leaf_sum(self, leaf: int) -> Column:
         mine = F.col("leaf") == leaf
         if self.kinds[leaf] == "sum":
@@ -375,31 +502,32 @@ class Compiler:
 
     # -- the whole ---------------------------------------------------------------------------
 
-    def compile(self, query: q.Query) -> Compiled:
+    def compile(self, query: q.Query, best: int | None = None) -> Compiled:
+        """``best`` says that only so many best hits are wanted, so that others may be left out."""
         node = self.add(query)
-        rows = self._posting_rows()
-        if rows is None:
-            for leaf, kind in enumerate(self.kinds):
-                if leaf not in self.conditions:
-                    self.conditions[leaf] = F.lit(False)
-            flags = [F.when(c, F.lit(1.0)).alias(f"v{leaf}") for leaf, c in sorted(self.conditions.items())]
-            matched, score = node()
-            hits = self.index.docs.select(self.key, *flags).filter(matched)
+        literal = self._literal_words()
+        self.documents_only = not literal and not self.patterns
+        matched, score = node.evaluate()
+        at_most = None
+        if self.documents_only:
+            hits = self.index.docs.filter(matched)
         elif self._one_word():
-            matched, score = node()
-            hits = rows.select(self.key, F.col("value").alias("v0")).filter(matched)
+            at_most = sum(self.df.get((r[0], r[1]), self.index.n_docs) for r in literal)
+            hits = self._posting_rows(literal, None).select(self.key, F.col("value").alias("v0")).filter(matched)
         else:
+            if best and self.kinds == ["sum"]:
+                gate, at_most = self._best_gate(literal, best)
+            else:
+                gate, at_most = self._gate(node, literal)
+            rows = self._posting_rows(literal, gate)
             if self.conditions:
-                flags = F.array_compact(F.array(*[F.when(c, F.lit(leaf)) for leaf, c in self.conditions.items()]))
-                extra = self.index.docs.select(self.key, F.explode(flags).alias("leaf")).withColumn("value", F.lit(1.0))
-                rows = rows.unionByName(extra, allowMissingColumns=True)
+                rows = rows.unionByName(self._condition_rows(gate), allowMissingColumns=True)
             sums = rows.groupBy(self.key).agg(*[self._leaf_sum(leaf) for leaf in range(len(self.kinds))])
             if self.phrases:
                 plain = [F.col(f"v{leaf}") for leaf in range(len(self.kinds)) if leaf not in self.phrases]
                 sums = sums.select(self.key, *plain, *[self._phrase_score(leaf) for leaf in self.phrases])
-            matched, score = node()
             hits = sums.filter(matched)
-        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words())
+        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most)
 
     def _one_word(self) -> bool:
         """One term means one row per document already."""
@@ -424,8 +552,10 @@ class Compiler:
         return dict(found)
 
 
-def compile_query(query: q.Query, index: Index, highlight_expanded: bool = False) -> Compiled:
-    return Compiler(index, highlight_expanded).compile(query)
+def compile_query(
+    query: q.Query, index: Index, highlight_expanded: bool = False, best: int | None = None
+) -> Compiled:
+    return Compiler(index, highlight_expanded).compile(query, best)
 
 
 def matches(query: q.Query, index: Index) -> DataFrame:

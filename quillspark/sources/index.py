@@ -145,13 +145,13 @@ class Index:
             F.col("field").isin(*{f for f, _ in pairs}) & F.col("term").isin(*words) & self._in_buckets(words)
         )
 
-    def docs_of(self, keys: DataFrame) -> DataFrame:
+    def docs_of(self, keys: DataFrame, how: str = "inner") -> DataFrame:
         """Documents joined to ``keys``; only the directories the keys hash to are opened."""
         key = self.mapping.key
         if not self.doc_buckets:
-            return self.docs.join(keys, key)
+            return self.docs.join(keys, key, how)
         placed = keys.withColumn("doc_bucket", tables.bucket_of(F.col(key), self.doc_buckets))
-        return self.docs.join(placed, ["doc_bucket", key]).drop("doc_bucket")
+        return self.docs.join(placed, ["doc_bucket", key], how).drop("doc_bucket")
 
     # -- query-time analysis -----------------------------------------------------------------
 

@@ -208,7 +208,7 @@ class IndexDirectory:
 
         def replaced(index: Index) -> DataFrame:
             keys = records.select(index.mapping.key).distinct()
-            return index.docs.select(index.mapping.key).join(keys, index.mapping.key, "left_semi")
+            return index.docs_of(keys, "left_semi").select(index.mapping.key)
 
         return self._change(records, replaced, stream_batch)
 

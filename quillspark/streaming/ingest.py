@@ -6,6 +6,7 @@ record takes effect once. With ``upsert`` the newest record of a key replaces th
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -34,12 +35,17 @@ def index_stream(
         if directory.has_stream_batch(name):
             return
         key = directory.open().mapping.key
-        if not upsert:
-            directory.append(batch, name)
-        elif order_by is not None:
-            directory.upsert(newest_per_key(batch, key, order_by), name)
-        else:
-            directory.upsert(batch.dropDuplicates([key]), name)
+        # Read more than once below: to find what it replaces, and to write it.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not upsert:
+                directory.append(batch, name)
+            elif order_by is not None:
+                directory.upsert(newest_per_key(batch, key, order_by), name)
+            else:
+                directory.upsert(batch.dropDuplicates([key]), name)
+        finally:
+            batch.unpersist()
 
     return records.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
 
