@@ -1,7 +1,7 @@
 """A whole table of queries against the index in one job, top-k per query.
 
 Scoring every document that shares any word with a query would, for words most documents contain, come
-to queries times documents. Two exact steps avoid that. A query's rarest words, enough to reach ``k``
+to queries times documents. Beyond a size two exact steps avoid that. A query's rarest words, enough to reach ``k``
 documents, give the k-th best score a lower bound. Words whose best possible scores together stay below
 that bound cannot lift a document into the top k by themselves, so only the other words bring in
 candidates, and the common words are looked up for the candidates alone.
@@ -19,6 +19,8 @@ from quillspark.functions.analysis import has_builtin_stemmer, is_stemmed, stemm
 from quillspark.sources import tables
 from quillspark.sources.index import Index
 
+# Postings to score from which the two steps are worth their own passes.
+MANY_POSTINGS = 50_000_000
 # Room for rounding when a bound is compared with a score.
 MARGIN = 2 * 10.0**-scoring.SCORE_DIGITS
 
@@ -79,16 +81,29 @@ def batch_search(
     key = index.mapping.key
     # The words of the queries are read several times below; the blocks spill and can be recomputed.
     words = _weighted(index, query_words(index, queries, query_id, text, fields)).persist(StorageLevel.MEMORY_AND_DISK)
+    postings = words.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
+    best = _score_postings(index, words, query_id) if postings < MANY_POSTINGS else _score_best(index, words, query_id, k)
+    order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
+    return (
+        best.withColumn("score", scoring.rounded(F.col("score")))
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= k)
+        .select(query_id, "rank", key, "score")
+    )
+
 
+def _score_best(index: Index, words: DataFrame, query_id: str, k: int) -> DataFrame:
+    """Scores that hold the best ``k`` of every query, without scoring every posting."""
+    key = index.mapping.key
     rarest = Window.partitionBy(query_id).orderBy("df", "field", "term")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     words = words.withColumn("reached", F.coalesce(F.sum("df").over(before), F.lit(0)))
 
     seeds = words.filter(F.col("reached") < 2 * k)
-    seeded = _score_postings(index, seeds, query_id)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     bound = (
-        seeded.withColumn("rank", F.row_number().over(order))
+        _score_postings(index, seeds, query_id)
+        .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .groupBy(query_id)
         .agg(F.when(F.count(F.lit(1)) == k, F.min("score")).otherwise(0.0).alias("bound"))
@@ -98,25 +113,29 @@ def batch_search(
     commonest = Window.partitionBy(query_id).orderBy(F.desc("df"), F.desc("field"), F.desc("term"))
     best_so_far = F.sum(F.col("weight") * (scoring.K1 + 1.0)).over(commonest)
     words = words.withColumn("ceiling", best_so_far).join(bound, query_id)
-    optional = F.col("ceiling") + MARGIN < F.col("bound")
+    words = words.withColumn("optional", F.col("ceiling") + MARGIN < F.col("bound")).drop("reached", "ceiling", "bound")
+
+    # Looking words up for candidates must come to fewer rows than scoring their postings outright.
+    own = Window.partitionBy(query_id)
+    lookups_needed = F.sum(F.when(~F.col("optional"), F.col("df")).otherwise(0)).over(own) * F.count_if("optional").over(own)
+    spared = F.sum(F.when(F.col("optional"), F.col("df")).otherwise(0)).over(own)
+    words = words.withColumn("optional", F.col("optional") & (lookups_needed < spared)).persist(StorageLevel.MEMORY_AND_DISK)
 
-    needed = words.filter(~optional).drop("reached", "ceiling", "bound")
-    candidates = _score_postings(index, needed, query_id)
+    candidates = _score_postings(index, words.filter(~F.col("optional")).drop("df"), query_id)
 
-    # Each candidate carries its score on one row and asks for its query's optional words on as many
-    # rows as there are; the join key holds the document, so no word makes a hot key.
+    # A query without optional words is scored already. A candidate of the others carries its score on one
+    # row and asks for its query's optional words on as many rows as there are; the join key holds the
+    # document, so no word makes a hot key. Both branches read one shuffle of the candidates.
     on = ["field", "term"] + (["term_bucket"] if index.term_buckets else [])
-    asked = words.filter(optional).groupBy(query_id).agg(F.collect_list(F.struct(*on, "weight", "avgdl")).alias("asked"))
+    extra = words.filter("optional")
+    asked = extra.groupBy(query_id).agg(F.collect_list(F.struct(*on, "weight", "avgdl")).alias("asked"))
+    scored = candidates.join(asked, query_id, "left_anti")
     lookups = (
-        candidates.join(asked, query_id, "left")
-        .select(query_id, key, "score", F.posexplode_outer("asked").alias("place", "word"))
-        .select(query_id, key, F.when(F.coalesce("place", F.lit(0)) == 0, F.col("score")).alias("own"), "word.*")
+        candidates.join(asked, query_id)
+        .select(query_id, key, "score", F.posexplode("asked").alias("place", "word"))
+        .select(query_id, key, F.when(F.col("place") == 0, F.col("score")).alias("own"), "word.*")
     )
-    found = lookups.join(index.postings.select(*on, key, "tf", "dl"), [*on, key], "left")
+    common = index.postings.select(*on, key, "tf", "dl").join(extra.select(*on).distinct(), on, "left_semi")
+    found = lookups.join(common, [*on, key], "left")
     score = F.coalesce("own", F.lit(0.0)) + F.coalesce(_gain(), F.lit(0.0))
-    total = found.groupBy(query_id, key).agg(scoring.rounded(F.sum(score)).alias("score"))
-    return (
-        total.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= k)
-        .select(query_id, "rank", key, "score")
-    )
+    return found.groupBy(query_id, key).agg(F.sum(score).alias("score")).unionByName(scored)
