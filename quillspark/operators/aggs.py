@@ -269,17 +269,17 @@ class _Level:
             if agg.interval <= 0:
                 raise AggregationError("histogram interval must be positive")
             value = _numeric(self.mapping, agg.field)
-            rows = rows.filter(value.isNotNull())
             if agg.hard_bounds is not None:
                 rows = rows.filter(value.between(*agg.hard_bounds))
-            return rows.withColumn(self.key, F.floor((value - F.lit(agg.offset)) / F.lit(float(agg.interval))))
+            number = F.floor((value - F.lit(agg.offset)) / F.lit(float(agg.interval)))
+            return rows.withColumn(self.key, number).filter(F.col(self.key).isNotNull())
         if isinstance(agg, DateHistogram):
             millis = _numeric(self.mapping, agg.field)
             if self.mapping.type_of(agg.field) != "date":
                 raise AggregationError(f"not a date field: {agg.field}")
             step = _interval_ms(agg.interval)
             number = ((millis - F.pmod(millis, F.lit(step))) / step).cast("bigint")
-            return rows.filter(millis.isNotNull()).withColumn(self.key, number)
+            return rows.withColumn(self.key, number).filter(F.col(self.key).isNotNull())
         if isinstance(agg, Ranges):
             value = _numeric(self.mapping, agg.field)
             inside = []

@@ -55,7 +55,7 @@ class Index:
         cls, records: DataFrame, mapping: Mapping, stem_maps: Dict[str, DataFrame] | None = None, typed: bool = False
     ) -> Index:
         """Index a batch of records without a directory; blocks spill to disk and are recomputable."""
-        documents = records if typed else coerce(records, mapping)
+        documents = tables.spread(records if typed else coerce(records, mapping))
         docs = tables.docs_table(documents, mapping).persist(StorageLevel.MEMORY_AND_DISK)
         postings = tables.postings_table(documents, mapping, stem_maps).persist(StorageLevel.MEMORY_AND_DISK)
         terms = tables.terms_table(postings).persist(StorageLevel.MEMORY_AND_DISK)

@@ -22,6 +22,12 @@ def indexed_fields(mapping: Mapping) -> list[str]:
     return [f.name for f in mapping.fields if f.in_postings]
 
 
+def spread(records: DataFrame) -> DataFrame:
+    """A source of fewer files than cores, over all the cores; a larger one as it is, without a shuffle."""
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    return records.repartition(cores) if 0 < len(records.inputFiles()) < cores else records
+
+
 def docs_schema(mapping: Mapping, key_type: T.DataType) -> T.StructType:
     fields = [T.StructField(f.name, SPARK_TYPES[f.type]) for f in mapping.doc_fields]
     return T.StructType([T.StructField(mapping.key, key_type), *fields])

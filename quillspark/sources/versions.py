@@ -263,6 +263,8 @@ class IndexDirectory:
         if kept.issuperset(tables.indexed_fields(v.mapping)):
             # The text is in the batch just written, parsed and evenly spread: no second look at the source.
             documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type))
+        else:
+            documents = tables.spread(documents)
         (
             tables.postings_table(documents, v.mapping, self._stem_maps(v))
             .withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))

@@ -13,7 +13,7 @@ from registry import corpora, query, sql
 
 def _tokens(docs, key: str, column: str, analyzer: str):
     entries = analysis.token_entries(F.col(column), analyzer)
-    return docs.select(key, F.inline(entries)).select(key, "term", "pos")
+    return tables.spread(docs.select(key, column)).select(key, F.inline(entries)).select(key, "term", "pos")
 
 
 @query("an1_default_tokens", f"WITH {sql.index_of()} SELECT doc_id, term, pos FROM tok")

@@ -34,7 +34,7 @@ UNION ALL SELECT 'source', source, doc_id, 1, 1, '0' FROM documents""",
 )
 def build_index(spark, sf_dir):
     """The inverted index of the whole table, with positions."""
-    typed = coerce(corpora.documents(spark, sf_dir), corpora.DOCUMENTS)
+    typed = tables.spread(coerce(corpora.documents(spark, sf_dir), corpora.DOCUMENTS))
     postings = tables.postings_table(typed, corpora.DOCUMENTS)
     return postings.withColumn("positions", F.array_join("positions", ","))
 
