@@ -6,13 +6,15 @@ A null is an absent value and is never an error. ``strict`` stops the batch at t
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
 from quillspark.functions.values import FLOAT, IPV4, RFC3339, SIGNED, UNSIGNED, ipv4_key
-from quillspark.mapping import SPARK_TYPES, Field, Mapping
+from quillspark.mapping import Field, Mapping
 
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
@@ -43,6 +45,9 @@ def parsed(field: Field, value: Column, kind: T.DataType) -> Column:
         case "text" | "string":
             return text
         case "u64":
+            if field.wide:
+                number = text.try_cast("decimal(38,0)")
+                return F.when(text.rlike(UNSIGNED) & (number < F.lit(Decimal(2**64))), number)
             return F.when(text.rlike(UNSIGNED), text.try_cast("bigint"))
         case "i64":
             return F.when(text.rlike(SIGNED), text.try_cast("bigint"))
@@ -75,7 +80,7 @@ def _typed_columns(records: DataFrame, mapping: Mapping) -> list[tuple[Field, Co
         value = F.col(f"`{f.name}`")
         kind = kinds[f.name]
         typed = F.lit(None) if isinstance(kind, T.NullType) else parsed(f, value, kind)
-        found.append((f, value, typed.cast(SPARK_TYPES[f.type])))
+        found.append((f, value, typed.cast(f.spark_type)))
     return found
 
 
@@ -86,7 +91,7 @@ def coerce(records: DataFrame, mapping: Mapping) -> DataFrame:
     for f, value, typed in _typed_columns(records, mapping):
         message = F.concat(F.lit("cannot parse '"), value.try_cast("string"), F.lit(f"' as {f.type} for field {f.name}"))
         if f.type not in ("text", "string"):
-            typed = F.when(value.isNull() | typed.isNotNull(), typed).otherwise(F.raise_error(message).cast(SPARK_TYPES[f.type]))
+            typed = F.when(value.isNull() | typed.isNotNull(), typed).otherwise(F.raise_error(message).cast(f.spark_type))
         columns.append(typed.alias(f.name))
     return records.select(*columns)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -60,9 +61,11 @@ def typed_literal(field_type: str, value) -> Column:
     text = str(value).lower() if isinstance(value, bool) else str(value)
     bad = QueryError(f"cannot parse '{value}' as {field_type}")
     if field_type in ("u64", "i64"):
-        if not re.match(UNSIGNED if field_type == "u64" else SIGNED, text) or not -(2**63) <= int(text) < 2**63:
+        if not re.match(UNSIGNED if field_type == "u64" else SIGNED, text):
             raise bad
-        return F.lit(int(text)).cast("bigint")
+        if not -(2**63) <= int(text) < 2 ** (63 if field_type == "i64" else 64):
+            raise bad
+        return F.lit(int(text)).cast("bigint") if int(text) < 2**63 else F.lit(Decimal(text))
     if field_type == "f64":
         if not re.match(FLOAT, text):
             raise bad

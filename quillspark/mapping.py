@@ -38,6 +38,12 @@ class Field:
     indexed: bool = True
     fast: bool = False
     tokenizer: str = "default"
+    # A u64 field whose values may exceed a bigint.
+    wide: bool = False
+
+    @property
+    def spark_type(self) -> T.DataType:
+        return T.DecimalType(20, 0) if self.type == "u64" and self.wide else SPARK_TYPES[self.type]
 
     @property
     def analyzer(self) -> str:

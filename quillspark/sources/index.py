@@ -127,11 +127,11 @@ class Index:
 
     def resolve(self, field: str, matches: Column) -> list[str] | None:
         """The terms of ``field`` that match, or None when there are more than ``RESOLVED_TERMS``."""
-        rows = self.terms.filter((F.col("field") == field) & matches).select("term").limit(RESOLVED_TERMS + 1).collect()
-        return [r["term"] for r in rows] if len(rows) <= RESOLVED_TERMS else None
+        found = self.first_terms(field, matches, RESOLVED_TERMS + 1)
+        return found if len(found) <= RESOLVED_TERMS else None
 
     def first_terms(self, field: str, matches: Column, n: int) -> list[str]:
-        """The first ``n`` matching terms in term order."""
+        """The first ``n`` matching terms in term order: one pass, at most ``n`` terms from any task."""
         rows = self.terms.filter((F.col("field") == field) & matches).select("term").orderBy("term").limit(n)
         return [r["term"] for r in rows.collect()]
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
 from quillspark.functions import analysis
-from quillspark.mapping import SPARK_TYPES, Mapping
+from quillspark.mapping import Mapping
 
 
 def indexed_fields(mapping: Mapping) -> list[str]:
@@ -29,7 +29,7 @@ def spread(records: DataFrame) -> DataFrame:
 
 
 def docs_schema(mapping: Mapping, key_type: T.DataType) -> T.StructType:
-    fields = [T.StructField(f.name, SPARK_TYPES[f.type]) for f in mapping.doc_fields]
+    fields = [T.StructField(f.name, f.spark_type) for f in mapping.doc_fields]
     return T.StructType([T.StructField(mapping.key, key_type), *fields])
 
 

@@ -192,3 +192,14 @@ def test_snippet_picks_the_heaviest_fragment(spark):
     assert fuzzy == ""
     expanded = search(index, q.Fuzzy("t", "needl"), highlight=("t",), highlight_expanded=True).first()["highlights"]["t"]
     assert "<b>needle</b>" in expanded
+
+
+def test_wide_unsigned_numbers(spark):
+    mapping = Mapping.build([("u", "u64", {"wide": True, "fast": True})])
+    rows = spark.createDataFrame([(0, "18446744073709551615"), (1, "7")], "doc_id bigint, u string")
+    index = Index.in_memory(rows, mapping)
+    assert ids(top_k(index, q.Term("u", 18446744073709551615))) == [0]
+    assert ids(top_k(index, q.Range("u", 0, 10))) == [1]
+    over = spark.createDataFrame([(0, "18446744073709551616")], "doc_id bigint, u string")
+    with pytest.raises(Exception, match="cannot parse"):
+        Index.in_memory(over, mapping).docs.collect()
