@@ -61,11 +61,9 @@ def _gain() -> Column:
     return F.col("weight") * scoring.tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))
 
 
-def _score_postings(index: Index, words: DataFrame, query_id: str) -> DataFrame:
+def _score_postings(postings: DataFrame, words: DataFrame, query_id: str, key: str) -> DataFrame:
     """``(query_id, key, score)`` added up over the given words."""
-    key = index.mapping.key
-    on = ["field", "term"] + (["term_bucket"] if index.term_buckets else [])
-    rows = index.postings.select(*on, key, "tf", "dl").join(words, on)
+    rows = postings.join(words, [c for c in ("field", "term", "term_bucket") if c in postings.columns])
     return rows.groupBy(query_id, key).agg(F.sum(_gain()).alias("score"))
 
 
@@ -81,8 +79,9 @@ def batch_search(
     key = index.mapping.key
     # The words of the queries are read several times below; the blocks spill and can be recomputed.
     words = _weighted(index, query_words(index, queries, query_id, text, fields)).persist(StorageLevel.MEMORY_AND_DISK)
-    postings = words.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    best = _score_postings(index, words, query_id) if postings < MANY_POSTINGS else _score_best(index, words, query_id, k)
+    size = words.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
+    postings = _postings_of(index, words)
+    best = _score_postings(postings, words, query_id, key) if size < MANY_POSTINGS else _score_best(postings, words, query_id, key, k)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     return (
         best.withColumn("score", scoring.rounded(F.col("score")))
@@ -92,9 +91,20 @@ def batch_search(
     )
 
 
-def _score_best(index: Index, words: DataFrame, query_id: str, k: int) -> DataFrame:
+def _postings_of(index: Index, words: DataFrame) -> DataFrame:
+    """The postings without positions, of the directories the words live in: at most one row per directory
+    comes back to plan with."""
+    columns = [index.mapping.key, "field", "term", "tf", "dl"]
+    if not index.term_buckets:
+        return index.postings.select(*columns)
+    places = words.select("field", "term_bucket").distinct().collect()
+    return index.postings.filter(
+        F.col("field").isin({r["field"] for r in places}) & F.col("term_bucket").isin({r["term_bucket"] for r in places})
+    ).select(*columns, "term_bucket")
+
+
+def _score_best(postings: DataFrame, words: DataFrame, query_id: str, key: str, k: int) -> DataFrame:
     """Scores that hold the best ``k`` of every query, without scoring every posting."""
-    key = index.mapping.key
     rarest = Window.partitionBy(query_id).orderBy("df", "field", "term")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     words = words.withColumn("reached", F.coalesce(F.sum("df").over(before), F.lit(0)))
@@ -102,7 +112,7 @@ def _score_best(index: Index, words: DataFrame, query_id: str, k: int) -> DataFr
     seeds = words.filter(F.col("reached") < 2 * k)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     bound = (
-        _score_postings(index, seeds, query_id)
+        _score_postings(postings, seeds, query_id, key)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .groupBy(query_id)
@@ -121,12 +131,12 @@ def _score_best(index: Index, words: DataFrame, query_id: str, k: int) -> DataFr
     spared = F.sum(F.when(F.col("optional"), F.col("df")).otherwise(0)).over(own)
     words = words.withColumn("optional", F.col("optional") & (lookups_needed < spared)).persist(StorageLevel.MEMORY_AND_DISK)
 
-    candidates = _score_postings(index, words.filter(~F.col("optional")).drop("df"), query_id)
+    candidates = _score_postings(postings, words.filter(~F.col("optional")), query_id, key)
 
     # A query without optional words is scored already. A candidate of the others carries its score on one
     # row and asks for its query's optional words on as many rows as there are; the join key holds the
     # document, so no word makes a hot key. Both branches read one shuffle of the candidates.
-    on = ["field", "term"] + (["term_bucket"] if index.term_buckets else [])
+    on = [c for c in ("field", "term", "term_bucket") if c in postings.columns]
     extra = words.filter("optional")
     asked = extra.groupBy(query_id).agg(F.collect_list(F.struct(*on, "weight", "avgdl")).alias("asked"))
     scored = candidates.join(asked, query_id, "left_anti")
@@ -135,7 +145,7 @@ def _score_best(index: Index, words: DataFrame, query_id: str, k: int) -> DataFr
         .select(query_id, key, "score", F.posexplode("asked").alias("place", "word"))
         .select(query_id, key, F.when(F.col("place") == 0, F.col("score")).alias("own"), "word.*")
     )
-    common = index.postings.select(*on, key, "tf", "dl").join(extra.select(*on).distinct(), on, "left_semi")
+    common = postings.join(extra.select(*on).distinct(), on, "left_semi")
     found = lookups.join(common, [*on, key], "left")
     score = F.coalesce("own", F.lit(0.0)) + F.coalesce(_gain(), F.lit(0.0))
     return found.groupBy(query_id, key).agg(F.sum(score).alias("score")).unionByName(scored)

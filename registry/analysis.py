@@ -52,7 +52,7 @@ FROM post GROUP BY doc_id, left(term, 4)""",
 def stem_map(spark, sf_dir):
     """A language without built-in rules: the caller's (term, stem) table, here the first four letters."""
     mapping = Mapping.build([("text", "text", {"tokenizer": "fr_stem"})])
-    docs = corpora.table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = tables.spread(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
     plain = tables.postings_table(docs, Mapping.build([("text", "text")]))
     stems = plain.select("term").distinct().withColumn("stem", F.substring("term", 1, 4))
     return tables.postings_table(docs, mapping, {"fr_stem": stems}).select("doc_id", "term", "tf", "dl")
