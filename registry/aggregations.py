@@ -29,7 +29,7 @@ def scope(spark, sf_dir):
 
 @query(
     "a02_terms",
-    """SELECT key, doc_count, (SELECT count(*) FROM part) - sum(doc_count) OVER () AS sum_other_doc_count FROM (
+    """SELECT key, doc_count, CAST((SELECT count(*) FROM part) - sum(doc_count) OVER () AS BIGINT) AS sum_other_doc_count FROM (
   SELECT p_brand AS key, count(*) AS doc_count FROM part GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)""",
 )
 def terms(spark, sf_dir):
@@ -38,7 +38,7 @@ def terms(spark, sf_dir):
 
 @query(
     "a02_terms_by_metric",
-    """SELECT key, doc_count, price, (SELECT count(*) FROM part) - sum(doc_count) OVER () AS sum_other_doc_count FROM (
+    """SELECT key, doc_count, price, CAST((SELECT count(*) FROM part) - sum(doc_count) OVER () AS BIGINT) AS sum_other_doc_count FROM (
   SELECT p_brand AS key, count(*) AS doc_count, max(p_retailprice) AS price FROM part GROUP BY 1 ORDER BY 3 ASC, 1 LIMIT 7)""",
 )
 def terms_by_metric(spark, sf_dir):
@@ -48,7 +48,7 @@ def terms_by_metric(spark, sf_dir):
 
 @query(
     "a02_terms_by_key",
-    """SELECT key, doc_count, (SELECT count(*) FROM events) - sum(doc_count) OVER () AS sum_other_doc_count FROM (
+    """SELECT key, doc_count, CAST((SELECT count(*) FROM events) - sum(doc_count) OVER () AS BIGINT) AS sum_other_doc_count FROM (
   SELECT user_id AS key, count(*) AS doc_count FROM events GROUP BY 1 ORDER BY 1 DESC LIMIT 5)""",
 )
 def terms_by_key(spark, sf_dir):
@@ -243,7 +243,7 @@ def cardinality_sketch(spark, sf_dir):
 
 @query(
     "a16_top_hits",
-    """SELECT event_type AS type, event_id, value, rn AS position FROM (
+    """SELECT event_type AS type, event_id, value, CAST(rn AS INTEGER) AS position FROM (
   SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rn FROM events) WHERE rn <= 3""",
 )
 def top_hits(spark, sf_dir):

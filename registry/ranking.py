@@ -49,7 +49,8 @@ def ties(spark, sf_dir):
 @query(
     "r6_hits",
     f"""{_IX}, top AS ({sql.page(_sum(_WORDS), 15, 5)})
-SELECT row_number() OVER (ORDER BY score DESC, doc_id) + 5 AS rank, doc_id, score, lang, source, n_chars, length(text) AS chars,
+SELECT CAST(row_number() OVER (ORDER BY score DESC, doc_id) + 5 AS INTEGER) AS rank, doc_id, score, lang, source, n_chars,
+  CAST(length(text) AS INTEGER) AS chars,
   0 AS highlighted FROM top JOIN documents USING (doc_id)""",
 )
 def hits(spark, sf_dir):
@@ -87,7 +88,7 @@ _QUERIES = sql.index_of("benchmark", "item_id", "text", prefix="q_")
 pairs AS (SELECT q_post.doc_id AS item_id, sc.doc_id, round(sum(q_post.tf * s), 6) AS score
   FROM q_post JOIN sc USING (term) GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM pairs)
-SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 )
 def batch(spark, sf_dir):
     """Every benchmark item as a query, its ten best documents, in one job."""
@@ -106,7 +107,7 @@ def point_lookup(spark, sf_dir):
     return lookup(corpora.documents_index(spark, sf_dir), "source", "src11")
 
 
-@query("r11_browse", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part WHERE p_type = 'PROMO'")
+@query("r11_browse", "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part WHERE p_type = 'PROMO'")
 def browse_category(spark, sf_dir):
     return browse(corpora.parts_index(spark, sf_dir), "p_type", "PROMO")
 

@@ -30,6 +30,7 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+# The small corpora whose answers the tests know.
 STORED = {"stored": True}
 ARTICLES = Mapping.build([("title", "text", STORED), ("body", "text", STORED), ("category", "string", STORED)])
 ARTICLE_ROWS = [
