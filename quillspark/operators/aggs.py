@@ -228,7 +228,10 @@ def scope(index: Index, query: str | Query | list | None = None, fields: tuple[s
     if query is None or isinstance(query, All):
         return index.docs
     key = index.mapping.key
-    return index.docs.join(compile_query(as_query(query, fields), index).keys(key), key, "left_semi")
+    compiled = compile_query(as_query(query, fields), index, filter_only=True)
+    if compiled.condition is not None:
+        return index.docs.filter(compiled.condition)
+    return index.docs.join(compiled.keys(key), key, "left_semi")
 
 
 # -- buckets ---------------------------------------------------------------------------------

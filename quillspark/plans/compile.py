@@ -63,6 +63,8 @@ class Compiled:
     hits: DataFrame
     words: dict[str, dict[str, int]] = field(default_factory=dict)
     at_most: int | None = None
+    # What a document must meet, when the documents alone can tell.
+    condition: Column | None = None
 
     def keys(self, key: str) -> DataFrame:
         """The keys of the hits, marked for broadcast only if they are known to be few."""
@@ -71,8 +73,12 @@ class Compiled:
 
 
 class Compiler:
-    def __init__(self, index: Index, highlight_expanded: bool = False):
+    """``filter_only`` asks which documents match and not how well, so that string fields are tested in
+    the documents themselves rather than in the postings."""
+
+    def __init__(self, index: Index, highlight_expanded: bool = False, filter_only: bool = False):
         self.index = index
+        self.filter_only = filter_only
         self.key = index.mapping.key
         self.highlight_expanded = highlight_expanded
         self.kinds: list[str] = []
@@ -108,9 +114,16 @@ class Compiler:
         self.conditions[leaf] = predicate
         return self._node(leaf)
 
-    def _terms_matching(self, name: str, matches: Column) -> Node:
-        """Documents with any term that matches; one point, however many terms do."""
+    def _in_documents(self, name: str) -> bool:
+        f = self.index.field(name)
+        return self.filter_only and f.type == "string" and f.in_docs
+
+    def _terms_matching(self, name: str, test: Callable[[Column], Column]) -> Node:
+        """Documents with any term that passes; one point, however many terms do."""
+        if self._in_documents(name):
+            return self._condition(test(self._column(name)))
         leaf = self._leaf("constant")
+        matches = test(F.col("term"))
         terms = self.index.resolve(name, matches)
         if terms is None:
             self.patterns.append((leaf, 0, name, matches))
@@ -148,8 +161,8 @@ class Compiler:
         """The weighted words of a query that is nothing but an OR of scored words, else None."""
         if isinstance(query, q.Match):
             words, phrases = self._match_parts(query)
-            return None if phrases else dict(words)
-        if isinstance(query, q.Term) and self._postings_field(query.field):
+            return None if phrases or any(self._in_documents(f) for f, _ in words) else dict(words)
+        if isinstance(query, q.Term) and self._postings_field(query.field) and not self._in_documents(query.field):
             return {(query.field, str(query.value)): 1.0}
         if isinstance(query, q.Boost):
             inner = self._pure_words(query.query)
@@ -181,7 +194,7 @@ class Compiler:
         *fixed, last = [w.lower() for w in query.words]
         starts = F.col("term").startswith(last)
         if not fixed:
-            return self._terms_matching(query.field, starts)
+            return self._terms_matching(query.field, lambda t: t.startswith(last))
         leaf = self._leaf("phrase")
         words = [(w, i) for i, w in enumerate(fixed)]
         at = len(fixed)
@@ -201,7 +214,9 @@ class Compiler:
         match query:
             case q.Match():
                 words, phrases = self._match_parts(query)
-                nodes = [self._words(words)] + [self._phrase(n, tokens) for n, tokens in phrases]
+                nodes = [self._words({p: w for p, w in words.items() if not self._in_documents(p[0])})]
+                nodes += [self._phrase(n, tokens) for n, tokens in phrases]
+                nodes += [self._condition(F.col(f"`{f}`") == t) for f, t in words if self._in_documents(f)]
                 return self._combine([("should", n) for n in nodes])
             case q.QuotedPhrase():
                 nodes = []
@@ -224,22 +239,24 @@ class Compiler:
             case q.All():
                 return self._condition(F.lit(True))
             case q.Term():
-                column = self._column(query.field)
-                return self._condition(column == typed_literal(self.index.field(query.field).type, query.value))
+                column, kind = self._column(query.field), self.index.field(query.field).type
+                value = F.lit(str(query.value)) if self._in_documents(query.field) else typed_literal(kind, query.value)
+                return self._condition(column == value)
             case q.Range():
                 return self._range(query)
             case q.Regex():
                 self._check_regex(query.pattern)
                 self.index.field(query.field)
-                return self._terms_matching(query.field, F.col("term").rlike(rf"\A(?:{query.pattern})\z"))
+                return self._terms_matching(query.field, lambda t: t.rlike(rf"\A(?:{query.pattern})\z"))
             case q.Prefix():
                 self.index.field(query.field)
-                return self._terms_matching(query.field, F.col("term").startswith(query.prefix))
+                return self._terms_matching(query.field, lambda t: t.startswith(query.prefix))
             case q.Fuzzy():
                 self.index.field(query.field)
                 value = query.value.lower()
-                near = within_distance(F.col("term"), value, query.distance, query.transpose_costs_one)
-                return self._terms_matching(query.field, near)
+                return self._terms_matching(
+                    query.field, lambda t: within_distance(t, value, query.distance, query.transpose_costs_one)
+                )
             case q.Exists():
                 return self._exists(query.field)
             case q.JsonPath():
@@ -284,18 +301,21 @@ class Compiler:
 
     def _range(self, query: q.Range) -> Node:
         f = self.index.field(query.field)
-        in_terms = f.in_postings
-        column = F.col("term") if in_terms else self._column(query.field)
-        value = (lambda v: F.lit(str(v))) if in_terms else (lambda v: typed_literal(f.type, v))
-        tests = [F.lit(True) if in_terms else column.isNotNull()]
-        if query.lower is not None:
-            low = value(query.lower)
-            tests.append(column >= low if query.include_lower else column > low)
-        if query.upper is not None:
-            high = value(query.upper)
-            tests.append(column <= high if query.include_upper else column < high)
-        inside = reduce(lambda a, b: a & b, tests)
-        return self._terms_matching(query.field, inside) if in_terms else self._condition(inside)
+        value = (lambda v: F.lit(str(v))) if f.in_postings else (lambda v: typed_literal(f.type, v))
+
+        def inside(column: Column) -> Column:
+            tests = [column.isNotNull()]
+            if query.lower is not None:
+                low = value(query.lower)
+                tests.append(column >= low if query.include_lower else column > low)
+            if query.upper is not None:
+                high = value(query.upper)
+                tests.append(column <= high if query.include_upper else column < high)
+            return reduce(lambda a, b: a & b, tests)
+
+        if f.in_postings:
+            return self._terms_matching(query.field, inside)
+        return self._condition(inside(self._column(query.field)))
 
     def _exists(self, name: str) -> Node:
         f = self.index.field(name)
@@ -464,10 +484,11 @@ class Compiler:
         if spare < SPARED_ROWS or reached > BROADCAST_KEYS or any(r[4] < 0 for r in literal):
             return None, None
         gain = F.sum(F.col("weight") * scoring.tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl")))
-        best = self._weighted(seeds).groupBy(self.key).agg(gain.alias("s")).select("s").orderBy(F.desc("s")).limit(k).collect()
-        if len(best) < k:
+        best = self._weighted(seeds).groupBy(self.key).agg(gain.alias("s")).orderBy(F.desc("s")).limit(k)
+        found = best.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("worst")).first()
+        if found["n"] < k:
             return None, None
-        bound, ceiling, needed = best[-1]["s"], 0.0, list(ordered)
+        bound, ceiling, needed = found["worst"], 0.0, list(ordered)
         while needed and ceiling + needed[-1][4] * (scoring.K1 + 1.0) + 2 * 10.0**-scoring.SCORE_DIGITS < bound:
             ceiling += needed.pop()[4] * (scoring.K1 + 1.0)
         size = sum(self.df[r[0], r[1]] for r in needed)
@@ -527,7 +548,8 @@ class Compiler:
                 plain = [F.col(f"v{leaf}") for leaf in range(len(self.kinds)) if leaf not in self.phrases]
                 sums = sums.select(self.key, *plain, *[self._phrase_score(leaf) for leaf in self.phrases])
             hits = sums.filter(matched)
-        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most)
+        condition = matched if self.documents_only else None
+        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most, condition)
 
     def _one_word(self) -> bool:
         """One term means one row per document already."""
@@ -553,9 +575,9 @@ class Compiler:
 
 
 def compile_query(
-    query: q.Query, index: Index, highlight_expanded: bool = False, best: int | None = None
+    query: q.Query, index: Index, highlight_expanded: bool = False, best: int | None = None, filter_only: bool = False
 ) -> Compiled:
-    return Compiler(index, highlight_expanded).compile(query, best)
+    return Compiler(index, highlight_expanded, filter_only).compile(query, best)
 
 
 def matches(query: q.Query, index: Index) -> DataFrame:

@@ -7,7 +7,7 @@ from quillspark.operators.search import search, top_k
 from quillspark.plans import query as q
 from quillspark.sources.index import Index
 from quillspark.sources.versions import IndexDirectory, build_index
-from quillspark.streaming.ingest import index_stream
+from quillspark.streaming.ingest import index_stream, without_replays
 
 NOTES = Mapping.build(
     [("title", "text", {"stored": True}), ("body", "text"), ("slug", "string", {"stored": True}), ("n", "i64", {"fast": True})]
@@ -151,3 +151,14 @@ def test_an_index_without_words(spark, tmp_path):
     mapping = Mapping.build([("n", "i64", {"fast": True})])
     index = build_index(spark.createDataFrame([(0, 5), (1, 6)], "doc_id bigint, n bigint"), mapping, f"{tmp_path}/ix")
     assert index.n_docs == 2 and ids(top_k(index, q.Range("n", 6))) == [1] and ids(top_k(index, "word")) == []
+
+
+def test_replayed_records_are_dropped_within_the_delay(spark, tmp_path):
+    source = f"{tmp_path}/in"
+    at = F.timestamp_seconds(F.lit(1_700_000_000))
+    notes(spark, KEEP, KEEP, REMOVE).withColumn("at", at).write.parquet(source)
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    files = spark.readStream.schema(SCHEMA + ", at timestamp").parquet(source)
+    writer = index_stream(without_replays(files, "doc_id", "at", "1 hour"), directory, f"{tmp_path}/c", upsert=False)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert directory.open().n_docs == 2 and sorted(ids(top_k(directory.open(), q.All()))) == [0, 1]

@@ -117,3 +117,10 @@ def test_postings_are_sorted_within_files(spark, index):
     for r in rows.orderBy("i").collect():
         per_file.setdefault(r["file"], []).append((r["term"], r["doc_id"]))
     assert all(rows == sorted(rows) for rows in per_file.values())
+
+
+def test_a_keyword_scope_is_a_filter(index):
+    asked = q.boolean(("must", q.Term("kind", "k1")), ("must_not", q.Range("n", 50, None)), ("should", q.Prefix("kind", "k")))
+    frame = a.aggregate(index, {"n": a.sum_("n")}, query=asked)["metrics"]
+    assert "Join" not in plan(frame) and "EqualTo(kind,k1)" in plan(frame)
+    assert frame.first()["n"] == sum(i for i in range(50) if i % 3 == 1)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quillspark.functions.distance import within_distance
 from quillspark.functions.stemming import stem_english
 from quillspark.mapping import Mapping
-from quillspark.operators.aggs import aggregate, histogram
+from quillspark.operators.aggs import aggregate, histogram, scope
 from quillspark.operators import batch as batch_module
 from quillspark.operators.batch import batch_search
 from quillspark.operators.search import count_hits, top_k
@@ -155,6 +155,12 @@ def test_gates_change_nothing(index, asked):
         compile_module.SPARED_ROWS = kept
 
 
+@SETTINGS
+@given(asked=QUERIES)
+def test_a_scope_holds_the_hits(index, asked):
+    assert {r["doc_id"] for r in scope(index, asked).select("doc_id").collect()} == set(expected(asked))
+
+
 @SETTINGS
 @given(words=st.lists(st.sampled_from(WORDS), min_size=2, max_size=5), k=st.integers(1, 8))
 def test_best_hits_with_optional_words_are_the_best_hits(index, words, k):
