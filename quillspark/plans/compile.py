@@ -82,7 +82,7 @@ class Compiler:
         self.key = index.mapping.key
         self.highlight_expanded = highlight_expanded
         self.kinds: list[str] = []
-        # (field, term) -> leaf -> weight, for words scored by BM25
+        # leaf -> (field, term) -> weight, for words scored by BM25
         self.scored: dict[int, dict[tuple[str, str], float]] = {}
         self.constant: dict[int, set[tuple[str, str]]] = {}
         self.phrases: dict[int, tuple[str, _Phrase]] = {}
