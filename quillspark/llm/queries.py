@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import mixing, quality, secrets, wordpiece
+from quillspark.llm import mixing, packing, quality, secrets, wordpiece
 from quillspark.llm.common import n_words, text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_two_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return quality.judge(docs, labels, "doc_id", "text", F.col("lang"), ["doc_id"]).select(
@@ -41,5 +45,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_rules, op8_secret_scan, op9_mix_sources, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op8_secret_scan, op9_mix_sources, op10_token_counts)}
 ORACLES: dict[str, str] = {}
