@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import mixing, packing, quality, secrets, wordpiece
+from quillspark.llm import mixing, packing, quality, secrets, toxicity, wordpiece
 from quillspark.llm.common import n_words, text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels, "doc_id", "text"))
+    return scored.select(
+        "doc_id",
+        (toxicity.fold_of("doc_id") == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
@@ -45,5 +56,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op8_secret_scan, op9_mix_sources, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op8_secret_scan, op9_mix_sources, op10_token_counts)}
 ORACLES: dict[str, str] = {}
