@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import extraction, mixing, packing, quality, secrets, toxicity, wordpiece
+from quillspark.llm import ann, extraction, mixing, packing, quality, secrets, toxicity, wordpiece
 from quillspark.llm.common import n_words, text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,11 @@ def op3_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.filter("vec_id % 50 = 0"), 5, "vec_id", "embedding")
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(_table(spark, sf_dir, "pages"))
 
@@ -60,5 +65,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op6_multiprobe_neighbours, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts)}
 ORACLES: dict[str, str] = {}
