@@ -57,6 +57,7 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()  # lets go of the shuffle files of steps that are done
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import ann, extraction, mixing, neardup, packing, quality, secrets, toxicity, wordpiece
+from quillspark.llm import ann, extraction, mixing, neardup, packing, passages, quality, secrets, toxicity, wordpiece
 from quillspark.llm.common import n_words, text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,10 @@ def op3_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_recurring(_table(spark, sf_dir, "documents"), window=35)
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return neardup.near_duplicates(docs, "doc_id", "text", neardup.Settings(words=3, percent=85))
@@ -70,5 +74,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op5_near_duplicates, op6_multiprobe_neighbours, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op4_repeated_passages, op5_near_duplicates, op6_multiprobe_neighbours, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts)}
 ORACLES: dict[str, str] = {}
