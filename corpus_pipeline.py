@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import mixing, quality, secrets
+from quillspark.llm import mixing, neardup, packing, quality, secrets
 from quillspark.llm.common import n_words, text_of, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.kept_documents(docs, labels, "doc_id", "text", F.col("lang"))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: shingles of five words, similarity of 0.8 or more."""
+    return neardup.kept_documents(docs, "doc_id", "text", neardup.Settings(words=5, percent=80))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets that only one owner has replaced by a placeholder; ``n_chars`` follows the text."""
     repository = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit("")))
@@ -34,10 +40,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.taken(docs, n_words(text_of()), F.col("source"), F.col("doc_id"))
 
 
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their places in sequences of 1024 ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), most=1024, end_id=2)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("secret_scan", secret_scan),
     ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
 ]
 
 #: Packing and near duplicates cannot be said in SQL; tests hold the stages against plain versions.

@@ -265,10 +265,10 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
 
 
 def kept_documents(docs: DataFrame, id_col: str, text_col: str, settings: Settings = Settings()) -> DataFrame:
-    """One row of ``docs`` for each component; the columns stay. Rows without an id stay."""
+    """One row of ``docs`` for each component; the columns stay. Rows without an id stay, and of rows that repeat id and
+    text one does."""
     kept = near_duplicates(docs, id_col, text_col, settings).filter("kept").select(F.col(id_col).alias("_kept_id"))
     ids = kept.filter("_kept_id is not null").distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    return named.join(ids, named[id_col] == ids["_kept_id"], "left_semi").dropDuplicates([id_col]).unionByName(
-        docs.filter(F.col(id_col).isNull())
-    )
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text"))
+    named = rows.join(ids, rows["id"] == ids["_kept_id"], "left_semi").dropDuplicates(["id", "text"])
+    return named.unionByName(rows.filter("id is null")).select("doc.*")
