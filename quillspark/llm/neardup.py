@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
     of_class = classes.join(final, classes["rep"] == final["node"], "left")
     of_class = of_class.select("key", F.coalesce("root", "rep").alias("component"))
     out = digests.join(of_class, "key", "left")
-    component = F.coalesce("component", "id")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(
         F.col("id").alias(id_col),
         "n_shingles",

@@ -27,7 +27,10 @@ SHARED_OWNERS = 2
 
 SPAN = "struct<start:bigint,kind:int,end:bigint,hash:string>"
 NAMES = ("assign", "access", "hex", "opaque")
-NONE = F.expr(f"cast(array() as array<{SPAN}>)")
+
+
+def _no_spans() -> Column:
+    return F.expr(f"cast(array() as array<{SPAN}>)")
 
 
 def _matches(text: Column, pattern: str, kind: int, secret, keep) -> Column:
@@ -48,7 +51,7 @@ def _matches(text: Column, pattern: str, kind: int, secret, keep) -> Column:
     pairs = F.zip_with(between, matches, lambda b, m: F.struct(b.alias("0"), m.alias("1")))
     pairs = F.filter(pairs, lambda p: p["1"].isNotNull())
     found = F.aggregate(pairs, none, add, lambda s: s["found"])
-    return F.when(text.rlike(pattern), found).otherwise(NONE)
+    return F.when(text.rlike(pattern), found).otherwise(_no_spans())
 
 
 def candidate_spans(text: Column) -> Column:
@@ -67,7 +70,7 @@ def candidate_spans(text: Column) -> Column:
         return F.filter(more, lambda o: ~F.exists(found, lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
 
     found = bind(base, lambda found: F.array_sort(F.concat(found, clear_of(found))))
-    return F.when(text.rlike("|".join((ASSIGN, ACCESS, HEX, OPAQUE))), found).otherwise(NONE)
+    return F.when(text.rlike("|".join((ASSIGN, ACCESS, HEX, OPAQUE))), found).otherwise(_no_spans())
 
 
 def scan(docs: DataFrame, text_col: str, owner: Column, repository: Column, keep: list[str]) -> DataFrame:
