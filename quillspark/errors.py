@@ -11,3 +11,7 @@ class QueryError(ValueError):
 
 class AggregationError(ValueError):
     """An aggregation over a field that does not support it."""
+
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed this version."""

@@ -2,15 +2,17 @@
 
 Layout under ``path``::
 
-    versions/                              one JSON row per commit, appended last
+    versions/V.json                        one row per commit, created last and never overwritten
     docs/batch=N/doc_bucket=B/             clustered by hash of the key
     postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key
-    terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary (after a delete: the whole one)
+    terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary; what a delete takes away has counts below zero
     deletes/batch=N/                       keys removed from batches before N
     stem_maps/tokenizer=T/
 
-A commit writes new files only, and is visible once its row is there; a job that fails before that
-leaves the previous version as it was. There is one writer per index, as in any search engine.
+A commit writes new files only, under a batch number of its own, and is visible once its row is there; a job that
+fails before that leaves the previous version as it was. Of two writers that start from one version, one commits and
+the other gets a ``CommitConflict``. A row lists what its commit added; every ``SNAPSHOT_EVERY`` versions one lists all,
+so opening reads a bounded number of rows and the log grows in proportion to the commits.
 
 The shuffles that cluster a batch are ``rebalance`` hints, so AQE splits the directory of a very
 frequent term over several tasks and files, and joins small ones, by their real sizes.
@@ -20,16 +22,17 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import secrets
 from collections.abc import Callable
 from collections.abc import Mapping as Dict
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillspark.errors import MappingError
+from quillspark.errors import CommitConflict, MappingError
 from quillspark.functions.coerce import coerce
 from quillspark.mapping import Mapping
 from quillspark.plans.compile import matches
@@ -39,6 +42,9 @@ from quillspark.sources.index import Index
 
 TERM_BUCKETS = 8
 DOC_BUCKETS = 8
+SNAPSHOT_EVERY = 32
+# Batch numbers grow with the version; the rest is drawn, so that two attempts never share a folder.
+ATTEMPTS = 1 << 24
 
 _VERSION_ROW = T.StructType(
     [
@@ -51,9 +57,10 @@ _VERSION_ROW = T.StructType(
         T.StructField("batches", T.ArrayType(T.LongType())),
         T.StructField("deletes", T.ArrayType(T.LongType())),
         T.StructField("terms", T.ArrayType(T.LongType())),
+        T.StructField("whole", T.BooleanType()),
         T.StructField("n_docs", T.LongType()),
         T.StructField("tokens", T.StringType()),
-        T.StructField("stream_batch", T.StringType()),
+        T.StructField("streams", T.StringType()),
         T.StructField("committed_at", T.StringType()),
     ]
 )
@@ -72,7 +79,8 @@ class _Version:
     terms: list[int]
     n_docs: int
     tokens: dict[str, int]
-    stream_batch: str | None = None
+    # The last batch of each stream that is in this version.
+    streams: dict[str, int]
 
 
 class IndexDirectory:
@@ -89,28 +97,64 @@ class IndexDirectory:
         """The commit log, one row per version."""
         return self.spark.read.schema(_VERSION_ROW).json(f"{self.path}/versions")
 
-    def _load(self, version: int | None = None) -> _Version | None:
-        try:
-            rows = self.versions()
-        except AnalysisException:
+    def _file(self, version: int):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/versions/{version:012d}.json")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _latest(self) -> int | None:
+        path, system = self._file(0)
+        if not system.exists(path.getParent()):
             return None
-        if version is not None:
-            rows = rows.filter(F.col("version") == version)
-        row = rows.orderBy(F.desc("version")).limit(1).collect()
-        if not row:
+        names = [f.getPath().getName() for f in system.listStatus(path.getParent())]
+        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=None)
+
+    def _row(self, version: int) -> dict | None:
+        path, system = self._file(version)
+        if not system.exists(path):
+            return None
+        stream = system.open(path)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _load(self, version: int | None = None) -> _Version | None:
+        at = self._latest() if version is None else version
+        rows = []
+        while at is not None:
+            row = self._row(at)
+            if row is None:
+                return None
+            rows.append(row)
+            if row["whole"]:
+                break
+            at -= 1
+        if not rows:
             return None
-        found = row[0].asDict()
-        found.pop("committed_at")
+        found = rows[0] | {k: [n for row in reversed(rows) for n in row[k]] for k in ("batches", "deletes", "terms")}
+        for name in ("committed_at", "whole"):
+            found.pop(name)
         found["mapping"] = Mapping.from_json(found["mapping"])
-        found["tokens"] = json.loads(found["tokens"])
+        found["tokens"], found["streams"] = json.loads(found["tokens"]), json.loads(found["streams"])
         return _Version(**found)
 
-    def _commit(self, v: _Version) -> int:
-        row = (
-            v.version, v.mapping.to_json(), v.key_type, v.term_buckets, v.doc_buckets, v.stem_maps, v.batches, v.deletes,
-            v.terms, v.n_docs, json.dumps(v.tokens), v.stream_batch, dt.datetime.now(dt.timezone.utc).isoformat(),
-        )
-        self.spark.createDataFrame([row], _VERSION_ROW).coalesce(1).write.mode("append").json(f"{self.path}/versions")
+    def _commit(self, v: _Version, since: _Version | None) -> int:
+        """``since`` is the version this one adds to; None where it starts anew."""
+        whole = since is None or v.version % SNAPSHOT_EVERY == 0
+        added = lambda name: getattr(v, name)[0 if whole else len(getattr(since, name)) :]
+        row = {
+            "version": v.version, "mapping": v.mapping.to_json(), "key_type": v.key_type, "term_buckets": v.term_buckets,
+            "doc_buckets": v.doc_buckets, "stem_maps": v.stem_maps, "batches": added("batches"), "deletes": added("deletes"),
+            "terms": added("terms"), "whole": whole, "n_docs": v.n_docs, "tokens": json.dumps(v.tokens),
+            "streams": json.dumps(v.streams), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+        }
+        path, system = self._file(v.version)
+        try:
+            out = system.create(path, False)
+        except Py4JJavaError as error:
+            raise CommitConflict(f"version {v.version} of {self.path} is there already") from error
+        out.write(bytearray(json.dumps(row).encode()))
+        out.close()
         return v.version
 
     def exists(self) -> bool:
@@ -142,7 +186,7 @@ class IndexDirectory:
             words.select("term", "stem").write.mode("overwrite").parquet(f"{self.path}/stem_maps/tokenizer={tokenizer}")
         kind = (key_type or T.LongType()).simpleString()
         self._commit(
-            _Version(0, mapping, kind, term_buckets, doc_buckets, sorted(stem_maps or {}), [], [], [], 0, {})
+            _Version(0, mapping, kind, term_buckets, doc_buckets, sorted(stem_maps or {}), [], [], [], 0, {}, {}), None
         )
         return self
 
@@ -184,6 +228,8 @@ class IndexDirectory:
             vocabulary = vocabulary.groupBy("field", "term", "term_bucket").agg(
                 F.sum("df").alias("df"), F.sum("cf").alias("cf")
             )
+        if any(t < 0 for t in v.terms):
+            vocabulary = vocabulary.filter("df > 0")
         return Index(
             self.spark, v.mapping, live["docs"].drop("batch"), live["postings"].drop("batch"), vocabulary,
             (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v),
@@ -191,8 +237,8 @@ class IndexDirectory:
 
     # -- changing ----------------------------------------------------------------------------
 
-    def append(self, records: DataFrame, stream_batch: str | None = None) -> int:
-        """Add a batch and commit; all of it or, if a value does not parse, none of it."""
+    def append(self, records: DataFrame, stream_batch: tuple[str, int] | None = None) -> int:
+        """Add a batch and commit; all of it or, if a value does not parse or a key is not new, none of it."""
         return self._change(records, None, stream_batch)
 
     def delete(self, field: str, value) -> int:
@@ -203,8 +249,13 @@ class IndexDirectory:
         """Delete every document a query matches and commit."""
         return self._change(None, lambda index: matches(query, index).select(index.mapping.key), None)
 
-    def upsert(self, records: DataFrame, stream_batch: str | None = None) -> int:
-        """Replace the documents with these keys, adding those that are new, in one commit."""
+    def upsert(self, records: DataFrame, stream_batch: tuple[str, int] | None = None, order_by: str | None = None) -> int:
+        """Replace the documents with these keys, adding those that are new, in one commit.
+
+        With ``order_by``, a field kept with the documents, the largest value of a key wins, among the records (of equal
+        ones any) and against what is indexed: an older record changes nothing. Without it keys must not repeat."""
+        if order_by is not None:
+            records = self._newer(records, order_by)
 
         def replaced(index: Index) -> DataFrame:
             keys = records.select(index.mapping.key).distinct()
@@ -212,34 +263,71 @@ class IndexDirectory:
 
         return self._change(records, replaced, stream_batch)
 
+    def _newer(self, records: DataFrame, order_by: str) -> DataFrame:
+        """The newest record of each key, unless a newer one is indexed. Nulls are the oldest."""
+        v = self._require()
+        key = v.mapping.key
+        if not v.mapping.has(order_by) or v.mapping.field(order_by) not in v.mapping.doc_fields:
+            raise MappingError(f"records cannot be ordered by {order_by}: it is not kept with the documents")
+        last = Window.partitionBy(key).orderBy(F.col(order_by).desc_nulls_last())
+        newest = records.withColumn("_rank", F.row_number().over(last)).filter("_rank = 1").drop("_rank")
+        if not v.batches:
+            return newest
+        index = self._index(v)
+        known = index.docs_of(newest.select(key)).select(F.col(key), F.col(f"`{order_by}`").alias("_known"))
+        mine = coerce(newest.select(key, order_by), Mapping.build([v.mapping.field(order_by)], key=key)).select(
+            F.col(key), F.col(f"`{order_by}`").alias("_mine")
+        )
+        newer = mine.join(known, key, "left").filter("_known is null or _mine >= _known").select(key)
+        return newest.join(newer, key, "left_semi")
+
     def replace(self, query: Query, records: DataFrame) -> int:
         """Delete what a query matches and add a batch, both visible together."""
         return self._change(records, lambda index: matches(query, index).select(index.mapping.key), None)
 
     def _change(
-        self, records: DataFrame | None, victims: Callable[[Index], DataFrame] | None, stream_batch: str | None
+        self,
+        records: DataFrame | None,
+        victims: Callable[[Index], DataFrame] | None,
+        stream_batch: tuple[str, int] | None,
     ) -> int:
-        v = self._require()
-        n = v.version + 1
+        since = self._require()
+        n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
+        v = replace(since, version=since.version + 1, tokens=dict(since.tokens), streams=dict(since.streams))
         if victims is not None and v.batches:
-            where = f"{self.path}/deletes/batch={n}"
-            victims(self._index(v)).write.mode("overwrite").parquet(where)
-            if not self.spark.read.parquet(where).isEmpty():
-                v.deletes = [*v.deletes, n]
-                self._recount(v, n)
+            self._remove(v, n, victims)
         if records is not None:
             self._write_batch(v, n, records)
-        v.version, v.stream_batch = n, stream_batch
-        return self._commit(v)
-
-    def _recount(self, v: _Version, n: int) -> None:
-        """Statistics after a delete, counted from the postings and documents that remain."""
-        remaining = self._index(v)
-        # The whole vocabulary is rewritten under its own number, apart from the new batch's.
-        self._write_terms(tables.terms_table(remaining.postings), v, -n)
-        v.terms = [-n]
-        v.n_docs = remaining.docs.count()
-        v.tokens = self._token_counts([-n])
+        if stream_batch is not None:
+            v.streams[stream_batch[0]] = stream_batch[1]
+        return self._commit(v, since)
+
+    def _remove(self, v: _Version, n: int, victims: Callable[[Index], DataFrame]) -> None:
+        """Lists the keys to remove, and writes what they take from the vocabulary as counts below zero: only the
+        removed documents are read again, never the remaining ones."""
+        where, key = f"{self.path}/deletes/batch={n}", v.mapping.key
+        index = self._index(v)
+        victims(index).select(key).distinct().write.parquet(where)
+        gone = self.spark.read.schema(T.StructType([T.StructField(key, T._parse_datatype_string(v.key_type))])).parquet(where)
+        removed = gone.count()
+        if not removed:
+            return
+        self._write_terms(self._terms_of(index, gone).withColumns({"df": -F.col("df"), "cf": -F.col("cf")}), v, -n)
+        v.deletes, v.terms, v.n_docs = [*v.deletes, n], [*v.terms, -n], v.n_docs - removed
+        self._count_tokens(v, -n)
+
+    def _terms_of(self, index: Index, keys: DataFrame) -> DataFrame:
+        """The vocabulary of the documents with these keys: from their stored text if all of it is kept, and else from
+        their postings."""
+        kept = {f.name for f in index.mapping.doc_fields}
+        if kept.issuperset(tables.indexed_fields(index.mapping)):
+            documents = index.docs_of(keys, "left_semi")
+            return tables.terms_table(tables.postings_table(documents, index.mapping, index.stem_maps))
+        return tables.terms_table(index.postings.join(keys, index.mapping.key, "left_semi"))
+
+    def _count_tokens(self, v: _Version, n: int) -> None:
+        for name, tokens in self._token_counts([n]).items():
+            v.tokens[name] = v.tokens.get(name, 0) + tokens
 
     def _token_counts(self, numbers: list[int]) -> dict[str, int]:
         schema = "field string, cf bigint, batch bigint, term_bucket int"
@@ -248,77 +336,79 @@ class IndexDirectory:
 
     def _write_batch(self, v: _Version, n: int, records: DataFrame) -> None:
         key = v.mapping.key
+        before = self._index(v) if v.batches else None
         documents = coerce(records, v.mapping)
         docs = tables.docs_table(documents, v.mapping)
-        (
-            docs.withColumn("doc_bucket", tables.bucket_of(F.col(key), v.doc_buckets))
-            .hint("rebalance", "doc_bucket")
-            .sortWithinPartitions("doc_bucket", key)
-            .write.mode("overwrite")
-            .partitionBy("doc_bucket")
-            .parquet(f"{self.path}/docs/batch={n}")
-        )
+        self._write_docs(docs.withColumn("doc_bucket", tables.bucket_of(F.col(key), v.doc_buckets)), v, n)
         key_type = T._parse_datatype_string(v.key_type)
+        added = self._check_keys(v, n, before)
         kept = {f.name for f in v.mapping.doc_fields}
         if kept.issuperset(tables.indexed_fields(v.mapping)):
             # The text is in the batch just written, parsed and evenly spread: no second look at the source.
             documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type))
         else:
             documents = tables.spread(documents)
+        postings = tables.postings_table(documents, v.mapping, self._stem_maps(v))
+        self._write_postings(postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets)), v, n)
+        schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
+        self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)
+        v.batches, v.terms, v.n_docs = [*v.batches, n], [*v.terms, n], v.n_docs + added
+        self._count_tokens(v, n)
+
+    def _check_keys(self, v: _Version, n: int, before: Index | None) -> int:
+        """How many documents the batch has; an error if a key is null, repeated, or in the index already."""
+        key = v.mapping.key
+        schema = T.StructType([T.StructField(key, T._parse_datatype_string(v.key_type))])
+        keys = self._read("docs", [n], schema).select(key)
+        counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.sum("n").alias("rows"), F.count(key).alias("keys")
+        )
+        rows, distinct = counted.first()
+        if (rows or 0) != distinct:
+            raise MappingError(f"{(rows or 0) - distinct} records have a null key or one that repeats: {key}")
+        if before is not None and not before.docs_of(keys, "left_semi").isEmpty():
+            raise MappingError(f"records have keys that are in the index already (upsert replaces them): {key}")
+        return distinct
+
+    def _write_docs(self, docs: DataFrame, v: _Version, n: int) -> None:
         (
-            tables.postings_table(documents, v.mapping, self._stem_maps(v))
-            .withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
-            .hint("rebalance", "field", "term_bucket")
-            .sortWithinPartitions("field", "term_bucket", "term", key)
-            .write.mode("overwrite")
-            .option("parquet.bloom.filter.enabled#term", "true")
+            docs.hint("rebalance", "doc_bucket")
+            .sortWithinPartitions("doc_bucket", v.mapping.key)
+            .write.partitionBy("doc_bucket")
+            .parquet(f"{self.path}/docs/batch={n}")
+        )
+
+    def _write_postings(self, postings: DataFrame, v: _Version, n: int) -> None:
+        (
+            postings.hint("rebalance", "field", "term_bucket")
+            .sortWithinPartitions("field", "term_bucket", "term", v.mapping.key)
+            .write.option("parquet.bloom.filter.enabled#term", "true")
             .partitionBy("field", "term_bucket")
             .parquet(f"{self.path}/postings/batch={n}")
         )
-        schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
-        self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)
-        v.batches, v.terms = [*v.batches, n], [*v.terms, n]
-        v.n_docs += self._read("docs", [n], T.StructType([T.StructField(key, key_type)])).count()
-        for name, tokens in self._token_counts([n]).items():
-            v.tokens[name] = v.tokens.get(name, 0) + tokens
 
     def _write_terms(self, terms: DataFrame, v: _Version, n: int) -> None:
         (
             terms.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
             .hint("rebalance", "field", "term_bucket")
             .sortWithinPartitions("field", "term_bucket", "term")
-            .write.mode("overwrite")
-            .partitionBy("field", "term_bucket")
+            .write.partitionBy("field", "term_bucket")
             .parquet(f"{self.path}/terms/batch={n}")
         )
 
     def rewrite(self) -> int:
         """Fold all batches and deletes into one batch; earlier versions stay readable."""
-        v = self._require()
-        n = v.version + 1
-        index = self._index(v)
-        (
-            index.docs.hint("rebalance", "doc_bucket")
-            .sortWithinPartitions("doc_bucket", v.mapping.key)
-            .write.mode("overwrite")
-            .partitionBy("doc_bucket")
-            .parquet(f"{self.path}/docs/batch={n}")
-        )
-        (
-            index.postings.hint("rebalance", "field", "term_bucket")
-            .sortWithinPartitions("field", "term_bucket", "term", v.mapping.key)
-            .write.mode("overwrite")
-            .option("parquet.bloom.filter.enabled#term", "true")
-            .partitionBy("field", "term_bucket")
-            .parquet(f"{self.path}/postings/batch={n}")
-        )
-        self._write_terms(index.terms.select("field", "term", "df", "cf"), v, n)
-        v.version, v.batches, v.deletes, v.terms, v.stream_batch = n, [n], [], [n], None
-        return self._commit(v)
-
-    def has_stream_batch(self, stream_batch: str) -> bool:
-        """Whether this micro-batch is committed already."""
-        return not self.versions().filter(F.col("stream_batch") == stream_batch).isEmpty()
+        since = self._require()
+        n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
+        index = self._index(since)
+        self._write_docs(index.docs, since, n)
+        self._write_postings(index.postings, since, n)
+        self._write_terms(index.terms.select("field", "term", "df", "cf"), since, n)
+        return self._commit(replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n]), None)
+
+    def has_stream_batch(self, stream: str, batch: int) -> bool:
+        """Whether this micro-batch, or a later one of its stream, is committed already."""
+        return self._require().streams.get(stream, -1) >= batch
 
 
 def build_index(

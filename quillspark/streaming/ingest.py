@@ -1,25 +1,18 @@
 """A stream of records into an index directory: every micro-batch is one commit.
 
 A micro-batch that Spark replays after a failure is recognised by its id in the commit log, so each
-record takes effect once. With ``upsert`` the newest record of a key replaces the earlier one.
+record takes effect once. With ``upsert`` the newest record of a key, by a column that says so, replaces the others.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from quillspark.sources.versions import IndexDirectory
 
 
-def newest_per_key(batch: DataFrame, key: str, order_by: str) -> DataFrame:
-    """The last record of every key within one micro-batch."""
-    last = Window.partitionBy(key).orderBy(F.desc(order_by))
-    return batch.withColumn("_rank", F.row_number().over(last)).filter(F.col("_rank") == 1).drop("_rank")
-
-
 def index_stream(
     records: DataFrame,
     directory: IndexDirectory,
@@ -28,22 +21,22 @@ def index_stream(
     upsert: bool = True,
     order_by: str | None = None,
 ) -> DataStreamWriter:
-    """A writer that commits every micro-batch; set a trigger and ``start()`` it."""
+    """A writer that commits every micro-batch; set a trigger and ``start()`` it.
+
+    An upsert needs ``order_by``, a field kept with the documents: micro-batches may come in any order of it."""
+    if upsert and order_by is None:
+        raise ValueError("a stream of upserts needs order_by, the field by which one record is newer than another")
 
     def commit(batch: DataFrame, batch_id: int) -> None:
-        name = f"{stream}:{batch_id}"
-        if directory.has_stream_batch(name):
+        if directory.has_stream_batch(stream, batch_id):
             return
-        key = directory.open().mapping.key
         # Read more than once below: to find what it replaces, and to write it.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if not upsert:
-                directory.append(batch, name)
-            elif order_by is not None:
-                directory.upsert(newest_per_key(batch, key, order_by), name)
+            if upsert:
+                directory.upsert(batch, (stream, batch_id), order_by)
             else:
-                directory.upsert(batch.dropDuplicates([key]), name)
+                directory.append(batch, (stream, batch_id))
         finally:
             batch.unpersist()
 

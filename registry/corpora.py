@@ -15,6 +15,7 @@ from quillspark.sources.index import Index
 from quillspark.sources.versions import IndexDirectory
 
 _built: dict[tuple[str, str, str], IndexDirectory] = {}
+_own: dict[str, str] = {}
 
 KEYWORD = {"stored": True, "fast": True}
 NUMBER = {"stored": True, "fast": True}
@@ -28,6 +29,7 @@ DOCUMENTS = Mapping.build(
         ("path", "facet", {"stored": True, "fast": True}),
     ]
 )
+REVISIONS = Mapping.build([*DOCUMENTS.fields, ("revision", "i64", NUMBER)])
 PARTS = Mapping.build(
     [
         ("p_name", "text", {"stored": True}),
@@ -90,14 +92,15 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; one of our own only where the session names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
+    """The folder all executors see; one of our own only where there is one process and the session names none."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    folder = folder or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or "cluster" in context.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="quill-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return _own.setdefault(context.applicationId, folder.rstrip("/"))
 
 
 def _directory(

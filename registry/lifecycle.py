@@ -139,17 +139,32 @@ def snapshots(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
-@query("ix9_stream_ingest", f"{_IX} {_TOP}")
+_REVISIONS = """revised AS (SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN 'replaced text of ' || source ELSE text END AS text,
+  lang, source, n_chars FROM documents)"""
+
+
+def _revisions(spark, sf_dir):
+    """Two files of records: revision 2 of every document with a replayed revision 1, and then revision 3 of the odd ones
+    after an older revision of all."""
+    docs = corpora.documents(spark, sf_dir)
+    old = docs.withColumn("text", F.lit("replaced by what came before"))
+    new = docs.filter("doc_id % 2 = 1").withColumn("text", F.concat(F.lit("replaced text of "), "source"))
+    revision = lambda rows, n: rows.withColumn("revision", F.lit(n).cast("long"))
+    first = revision(docs, 2).unionByName(revision(old, 1))
+    return first, revision(old, 0).unionByName(revision(new, 3)).unionByName(revision(old, 1))
+
+
+@query("ix9_stream_ingest", f"WITH {_REVISIONS}, {sql.index_of('revised')}, {sql.scored()} {_TOP}")
 def stream_ingest(spark, sf_dir):
-    """The documents as a stream, one commit per micro-batch, then searched."""
+    """A stream of revisions out of order, one commit per micro-batch: the newest of every document is searched."""
     known = (spark.sparkContext.applicationId, sf_dir, "stream")
     if known not in corpora._built:
         base = f"{corpora.shared_folder(spark)}/stream-{uuid.uuid4().hex}"
-        directory = IndexDirectory(spark, f"{base}/index").create(corpora.DOCUMENTS)
-        schema = corpora.table(spark, sf_dir, "documents").schema
-        files = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
-        records = files.withColumn("path", F.concat(F.lit("/"), "lang", F.lit("/"), "source"))
-        writer = index_stream(records, directory, f"{base}/checkpoint", upsert=True)
-        writer.trigger(availableNow=True).start().awaitTermination()
+        directory = IndexDirectory(spark, f"{base}/index").create(corpora.REVISIONS)
+        for records in _revisions(spark, sf_dir):
+            records.write.mode("append").parquet(f"{base}/records")
+            files = spark.readStream.schema(records.schema).parquet(f"{base}/records")
+            writer = index_stream(files, directory, f"{base}/checkpoint", order_by="revision")
+            writer.trigger(availableNow=True).start().awaitTermination()
         corpora._built[known] = directory
     return _top(corpora._built[known].open())

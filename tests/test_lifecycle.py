@@ -2,9 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import ids
+from quillspark.errors import CommitConflict, MappingError
 from quillspark.mapping import Mapping
 from quillspark.operators.search import search, top_k
 from quillspark.plans import query as q
+from quillspark.sources import tables, versions
 from quillspark.sources.index import Index
 from quillspark.sources.versions import IndexDirectory, build_index
 from quillspark.streaming.ingest import index_stream, without_replays
@@ -98,6 +100,74 @@ def test_a_bad_value_leaves_the_version_as_it_was(spark, tmp_path):
     assert directory.open().n_docs == 2
 
 
+def test_of_two_writers_one_commits(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    other = IndexDirectory(spark, directory.path)
+    commit = directory._commit
+
+    def late(v, since):
+        other.append(notes(spark, REMOVE))
+        return commit(v, since)
+
+    directory._commit = late
+    with pytest.raises(CommitConflict):
+        directory.append(notes(spark, KEEP))
+    directory._commit = commit
+    assert ids(top_k(directory.open(), q.All())) == [1]
+    assert directory.append(notes(spark, KEEP)) == 2 and directory.open().n_docs == 2
+    assert [r["version"] for r in directory.versions().orderBy("version").collect()] == [0, 1, 2]
+
+
+def test_keys_are_unique(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    with pytest.raises(MappingError, match="repeats"):
+        directory.append(notes(spark, KEEP, KEEP))
+    with pytest.raises(MappingError, match="null key"):
+        directory.append(notes(spark, (None, *KEEP[1:])))
+    directory.append(notes(spark, KEEP))
+    with pytest.raises(MappingError, match="already"):
+        directory.append(notes(spark, REMOVE, KEEP))
+    directory.delete("slug", "keep")
+    directory.append(notes(spark, KEEP, REMOVE))
+    assert directory.open().n_docs == 2 and ids(top_k(directory.open(), q.All())) == [0, 1]
+
+
+def test_older_records_change_nothing(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    directory.upsert(notes(spark, (0, "b", "b", "b", 5), (0, "a", "a", "a", 4), (1, "x", "x", "x", None)), order_by="n")
+    directory.upsert(notes(spark, (0, "old", "old", "old", 3), (1, "y", "y", "y", 1), (2, "z", "z", "z", 1)), order_by="n")
+    found = {r["key"]: r["doc"]["slug"] for r in search(directory.open(), q.All()).withColumnRenamed("doc_id", "key").collect()}
+    assert found == {0: "b", 1: "y", 2: "z"}
+    with pytest.raises(MappingError, match="ordered"):
+        directory.upsert(notes(spark, KEEP), order_by="body")
+    with pytest.raises(ValueError, match="order_by"):
+        index_stream(notes(spark, KEEP), directory, f"{tmp_path}/c")
+
+
+def test_a_delete_reads_the_deleted_documents_only(spark, tmp_path, monkeypatch):
+    stored = Mapping.build([("t", "text", {"stored": True}), ("s", "string", {"stored": True})])
+    rows = spark.range(400).selectExpr("id as doc_id", "concat('word ', id % 7, ' w', id) as t", "cast(id as string) as s")
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(stored)
+    directory.append(rows)
+    counted = []
+    whole = tables.terms_table
+    monkeypatch.setattr(tables, "terms_table", lambda p: counted.append(p.select("doc_id").distinct().count()) or whole(p))
+    directory.delete("s", "3")
+    assert counted == [1]
+    rest = Index.in_memory(rows.filter("doc_id != 3"), stored)
+    assert vocabulary(directory.open()) == vocabulary(rest) and directory.open().counts == rest.counts
+
+
+def test_the_log_is_read_from_the_last_whole_row(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versions, "SNAPSHOT_EVERY", 3)
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    for i in range(5):
+        directory.append(notes(spark, (i, f"t{i}", "b", "s", i)))
+    log = directory.versions().orderBy("version").collect()
+    assert [len(r["batches"]) for r in log] == [0, 1, 1, 3, 1, 1]
+    assert [directory.open(v).docs.count() for v in range(6)] == [0, 1, 2, 3, 4, 5]
+
+
 def test_reopening_restores_mapping_and_missing_paths_fail(spark, tmp_path):
     build_index(notes(spark, KEEP), NOTES, f"{tmp_path}/ix")
     again = IndexDirectory(spark, f"{tmp_path}/ix")
