@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import ann, extraction, mixing, neardup, packing, passages, quality, secrets, toxicity, wordpiece
+from quillspark.llm import ann, extraction, mixing, neardup, oracles, packing, passages, quality, secrets, toxicity, wordpiece
 from quillspark.llm.common import n_words, text_of
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,5 +74,16 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.token_counts(_table(spark, sf_dir, "documents"), VOCABULARY)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op4_repeated_passages, op5_near_duplicates, op6_multiprobe_neighbours, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_best_two_fit_packing, op2_quality_rules, op3_toxicity_lexicon, op4_repeated_passages, op5_near_duplicates,
+        op6_multiprobe_neighbours, op7_main_text, op8_secret_scan, op9_mix_sources, op10_token_counts,
+    )
+}
+ORACLES = {
+    "op2_quality_rules": oracles.quality_sql(),
+    "op4_repeated_passages": oracles.passages_sql(35),
+    "op5_near_duplicates": oracles.near_duplicates_sql(3, 85),
+    "op8_secret_scan": oracles.secrets_sql(),
+}
