@@ -41,6 +41,12 @@ def token_entries(text: Column, analyzer: str) -> Column:
     return F.transform(kept, lambda e: F.struct(F.lower(e["word"]).alias("term"), e["pos"].alias("pos")))
 
 
+def has_tokens(text: Column, analyzer: str) -> Column:
+    """Whether a text has any token at all."""
+    entries = token_entries(text, "default" if is_stemmed(analyzer) else analyzer)
+    return F.coalesce(F.size(entries) > 0, F.lit(False))
+
+
 def has_builtin_stemmer(analyzer: str) -> bool:
     return analyzer == "en_stem"
 
@@ -49,11 +55,14 @@ def is_stemmed(analyzer: str) -> bool:
     return analyzer.endswith("_stem")
 
 
-def stemmed_entries(entries: Column) -> Column:
-    """English stems in place of the terms; one Arrow call per batch, memoised per worker."""
-    stems = stem_words_udf(F.transform(entries, lambda e: e["term"]))
-    zipped = F.arrays_zip(stems, F.transform(entries, lambda e: e["pos"]))
-    return F.transform(zipped, lambda z: F.struct(z["0"].alias("term"), z["1"].alias("pos")))
+def stemmed_entries(groups: Column) -> Column:
+    """Entries with English stems, from the grouped entries of a row: only its distinct terms are stemmed, in one Arrow
+    call per batch, memoised per worker."""
+    stems = stem_words_udf(F.transform(groups, lambda g: g["term"]))
+    placed = lambda z: F.transform(
+        z["0"]["positions"], lambda p: F.struct(z["1"].alias("term"), p.alias("pos"))
+    )
+    return F.flatten(F.transform(F.arrays_zip(groups.alias("0"), stems.alias("1")), placed))
 
 
 def grouped_entries(entries: Column) -> Column:

@@ -38,8 +38,9 @@ MIDDLE_SUFFIXES = {
     "ful": "", "ness": "", "ative": "",
 }
 LAST_SUFFIXES = (
-    "al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion".split()
-)
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize",
+    "ion",
+)
 DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
 VOWELS = "aeiouy"
 

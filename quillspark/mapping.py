@@ -24,8 +24,10 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "ip_addr": T.LongType(),
     "facet": T.StringType(),
 }
-STEM_LANGUAGES = "en fr de es pt it nl sv no da fi hu ro ru tr ar ta el".split()
-ANALYZERS = ["default", "raw", "whitespace"] + [f"{lang}_stem" for lang in STEM_LANGUAGES]
+ANALYZERS = (
+    "default", "raw", "whitespace", "en_stem", "fr_stem", "de_stem", "es_stem", "pt_stem", "it_stem", "nl_stem", "sv_stem",
+    "no_stem", "da_stem", "fi_stem", "hu_stem", "ro_stem", "ru_stem", "tr_stem", "ar_stem", "ta_stem", "el_stem",
+)
 
 
 @dataclass(frozen=True)
@@ -56,9 +58,9 @@ class Field:
 
     @property
     def in_docs(self) -> bool:
-        """Text is kept only to be returned; every other type is also filtered or aggregated on."""
+        """Text is kept to be returned or aggregated on; every other type is also filtered on."""
         if self.type == "text":
-            return self.stored
+            return self.stored or self.fast
         return self.stored or self.fast or (self.indexed and self.type != "string")
 
 

@@ -25,15 +25,15 @@ from quillspark.plans.compile import compile_query
 from quillspark.plans.query import All, Query, as_query
 from quillspark.sources.index import Index
 
-# Default number of term buckets, default percents, units of fixed intervals in
-# milliseconds, and how many buckets a gap-filled histogram may have.
+# Default number of term buckets, default percents, units of fixed intervals in milliseconds.
 BUCKETS = 10
 PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
 INTERVAL_MS = {"ms": 1, "s": 1_000, "m": 60_000, "h": 3_600_000, "d": 86_400_000}
-MAX_HISTOGRAM_BUCKETS = 65_000
 PERCENTILE_ACCURACY = 10_000
 # Reported buckets up to this many are broadcast to the next level; beyond it they are joined.
 BROADCAST_BUCKETS = 10_000
+# Empty buckets are made in runs of so many, so that no array holds all of a wide histogram.
+GRID_RUN = 65_536
 
 Aggs = Dict[str, "Aggregation"]
 
@@ -51,6 +51,7 @@ class Metric(Aggregation):
     percents: tuple[float, ...] = ()
     accuracy: int = PERCENTILE_ACCURACY
     exact: bool = False
+    missing: float | None = None
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,7 @@ class Terms(Bucket):
     size: int = BUCKETS
     order: tuple[str, str] = ("_count", "desc")
     missing: object = None
+    min_doc_count: int = 1
 
 
 @dataclass(frozen=True)
@@ -79,6 +81,9 @@ class Histogram(Bucket):
 class DateHistogram(Bucket):
     interval: str = "1d"
     min_doc_count: int = 0
+    offset: str = "0d"
+    hard_bounds: tuple[int, int] | None = None
+    extended_bounds: tuple[int, int] | None = None
 
 
 @dataclass(frozen=True)
@@ -88,17 +93,22 @@ class Ranges(Bucket):
 
 @dataclass(frozen=True)
 class TopHits(Aggregation):
-    """The first ``size`` documents of every bucket by a field."""
+    """The first ``size`` documents of every bucket, by a field or by several with a direction each."""
 
-    sort: str
+    sort: str | tuple[tuple[str, str], ...]
     size: int = 3
     descending: bool = True
     show: tuple[str, ...] = ()
 
+    @property
+    def keys(self) -> tuple[tuple[str, str], ...]:
+        return ((self.sort, "desc" if self.descending else "asc"),) if isinstance(self.sort, str) else tuple(self.sort)
 
-def terms(field: str, size: int = BUCKETS, order: tuple[str, str] = ("_count", "desc"), aggs: Aggs | None = None, missing=None) -> Terms:
+
+def terms(field: str, size: int = BUCKETS, order: tuple[str, str] = ("_count", "desc"), aggs: Aggs | None = None, missing=None,
+          min_doc_count: int = 1) -> Terms:
     """Buckets of equal values, the most frequent first; order by ``_count``, ``_key`` or a metric."""
-    return Terms(field, aggs or {}, size, order, missing)
+    return Terms(field, aggs or {}, size, order, missing, min_doc_count)
 
 
 def histogram(field: str, interval: float, min_doc_count: int = 0, aggs: Aggs | None = None, offset: float = 0.0,
@@ -107,9 +117,11 @@ def histogram(field: str, interval: float, min_doc_count: int = 0, aggs: Aggs |
     return Histogram(field, aggs or {}, interval, min_doc_count, offset, hard_bounds, extended_bounds)
 
 
-def date_histogram(field: str, interval: str, min_doc_count: int = 0, aggs: Aggs | None = None) -> DateHistogram:
-    """Buckets of a fixed time, such as ``30s``, ``1h`` or ``1d``, aligned to the epoch in UTC."""
-    return DateHistogram(field, aggs or {}, interval, min_doc_count)
+def date_histogram(field: str, interval: str, min_doc_count: int = 0, aggs: Aggs | None = None, offset: str = "0d",
+                   hard_bounds=None, extended_bounds=None) -> DateHistogram:
+    """Buckets of a fixed time, such as ``30s``, ``1h`` or ``1d``, aligned to the epoch in UTC, or ``offset`` (``-6h``) from
+    it. Bounds are milliseconds of the epoch."""
+    return DateHistogram(field, aggs or {}, interval, min_doc_count, offset, hard_bounds, extended_bounds)
 
 
 def ranges(field: str, spans: list[dict], aggs: Aggs | None = None) -> Ranges:
@@ -118,20 +130,20 @@ def ranges(field: str, spans: list[dict], aggs: Aggs | None = None) -> Ranges:
     return Ranges(field, aggs or {}, found)
 
 
-def avg(field: str) -> Metric:
-    return Metric("avg", field)
+def avg(field: str, missing: float | None = None) -> Metric:
+    return Metric("avg", field, missing=missing)
 
 
-def min_(field: str) -> Metric:
-    return Metric("min", field)
+def min_(field: str, missing: float | None = None) -> Metric:
+    return Metric("min", field, missing=missing)
 
 
-def max_(field: str) -> Metric:
-    return Metric("max", field)
+def max_(field: str, missing: float | None = None) -> Metric:
+    return Metric("max", field, missing=missing)
 
 
-def sum_(field: str) -> Metric:
-    return Metric("sum", field)
+def sum_(field: str, missing: float | None = None) -> Metric:
+    return Metric("sum", field, missing=missing)
 
 
 def count(field: str) -> Metric:
@@ -139,12 +151,12 @@ def count(field: str) -> Metric:
     return Metric("count", field)
 
 
-def stats(field: str) -> Metric:
-    return Metric("stats", field)
+def stats(field: str, missing: float | None = None) -> Metric:
+    return Metric("stats", field, missing=missing)
 
 
-def extended_stats(field: str) -> Metric:
-    return Metric("extended_stats", field)
+def extended_stats(field: str, missing: float | None = None) -> Metric:
+    return Metric("extended_stats", field, missing=missing)
 
 
 def percentiles(field: str, percents: tuple[float, ...] = PERCENTS, accuracy: int = PERCENTILE_ACCURACY) -> Metric:
@@ -189,6 +201,8 @@ def metric_columns(mapping: Mapping, name: str, metric: Metric) -> list[Column]:
         found = F.count_distinct(column) if metric.exact else F.approx_count_distinct(column)
         return [found.alias(name)]
     value = _numeric(mapping, metric.field)
+    if metric.missing is not None:
+        value = F.coalesce(value, F.lit(metric.missing))
     simple = {"avg": F.avg, "min": F.min, "max": F.max}
     if kind in simple:
         return [simple[kind](value).alias(name)]
@@ -231,7 +245,7 @@ def scope(index: Index, query: str | Query | list | None = None, fields: tuple[s
     compiled = compile_query(as_query(query, fields), index, filter_only=True)
     if compiled.condition is not None:
         return index.docs.filter(compiled.condition)
-    return index.docs.join(compiled.keys(key), key, "left_semi")
+    return index.docs_of(compiled.keys(key), "left_semi")
 
 
 # -- buckets ---------------------------------------------------------------------------------
@@ -244,6 +258,11 @@ def _interval_ms(interval: str) -> int:
     return int(interval[: -len(unit)]) * INTERVAL_MS[unit]
 
 
+def _offset_ms(offset: str) -> int:
+    sign, size = (-1, offset[1:]) if offset.startswith("-") else (1, offset)
+    return 0 if size.rstrip("msdh") == "0" else sign * _interval_ms(size)
+
+
 def _number(value: float | None) -> str:
     if value is None:
         return "*"
@@ -280,7 +299,10 @@ class _Level:
             millis = _numeric(self.mapping, agg.field)
             if self.mapping.type_of(agg.field) != "date":
                 raise AggregationError(f"not a date field: {agg.field}")
+            if agg.hard_bounds is not None:
+                rows = rows.filter(millis.between(*agg.hard_bounds))
             step = _interval_ms(agg.interval)
+            millis = millis - _offset_ms(agg.offset)
             number = ((millis - F.pmod(millis, F.lit(step))) / step).cast("bigint")
             return rows.withColumn(self.key, number).filter(F.col(self.key).isNotNull())
         if isinstance(agg, Ranges):
@@ -307,8 +329,11 @@ class _Level:
         """The buckets of a terms level that are reported, at most ``size`` per parent."""
         if not isinstance(self.agg, Terms):
             return counted
+        everything = counted
+        if self.agg.min_doc_count > 1:
+            counted = counted.filter(F.col("doc_count") >= self.agg.min_doc_count)
         if not self.outer:
-            others = counted.agg(F.coalesce(F.sum("doc_count"), F.lit(0))).scalar()
+            others = everything.agg(F.coalesce(F.sum("doc_count"), F.lit(0))).scalar()
             top = counted.orderBy(*self.order()).limit(self.agg.size)
             return self._with_others(top, others)
         per_parent = Window.partitionBy(*self.outer)
@@ -331,15 +356,17 @@ class _Level:
         # Whole buckets are compared, so both uses below have one plan and Spark computes it once.
         whole = F.struct(self.key, *[c for c in buckets.columns if c != self.key])
         low, high = F.min(whole)[self.key], F.max(whole)[self.key]
-        if isinstance(agg, Histogram) and agg.extended_bounds is not None:
-            first, last = [int((b - agg.offset) // agg.interval) for b in agg.extended_bounds]
+        if agg.extended_bounds is not None:
+            date = isinstance(agg, DateHistogram)
+            step, shift = (_interval_ms(agg.interval), _offset_ms(agg.offset)) if date else (agg.interval, agg.offset)
+            first, last = [int((b - shift) // step) for b in agg.extended_bounds]
             low, high = F.least(low, F.lit(first)), F.greatest(high, F.lit(last))
         ends = buckets.groupBy(*self.outer).agg(low.alias("_low"), high.alias("_high"))
-        too_many = F.col("_high") - F.col("_low") >= MAX_HISTOGRAM_BUCKETS
-        steps = F.when(
-            too_many, F.raise_error(F.lit(f"histogram {self.name} needs more than {MAX_HISTOGRAM_BUCKETS} buckets"))
-        ).otherwise(F.sequence("_low", "_high"))
-        grid = ends.filter(F.col("_low").isNotNull()).select(*self.outer, F.explode(steps).alias(self.key))
+        runs = ends.filter(F.col("_low").isNotNull()).select(
+            *self.outer, "_high", F.explode(F.sequence("_low", "_high", F.lit(GRID_RUN).cast("long"))).alias("_run")
+        )
+        run = F.sequence("_run", F.least("_high", F.col("_run") + (GRID_RUN - 1)))
+        grid = runs.select(*self.outer, F.explode(run).alias(self.key))
         return self._zeroed(grid.join(buckets, [*self.outer, self.key], "left"))
 
     def _all_ranges(self, buckets: DataFrame) -> DataFrame:
@@ -363,7 +390,7 @@ class _Level:
         if isinstance(agg, Histogram):
             columns = {shown_as: number * F.lit(float(agg.interval)) + F.lit(float(agg.offset))}
         elif isinstance(agg, DateHistogram):
-            millis = number * _interval_ms(agg.interval)
+            millis = number * _interval_ms(agg.interval) + _offset_ms(agg.offset)
             text = F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss'Z'")
             columns = {shown_as: millis, f"{shown_as}_as_string": text}
         elif isinstance(agg, Ranges):
@@ -402,10 +429,17 @@ def _run_bucket(
 def _top_hits(mapping: Mapping, agg: TopHits, rows: DataFrame, parents: list[_Level]) -> DataFrame:
     """``row_number`` up to a constant: Spark keeps ``size`` rows per bucket and task before it shuffles."""
     keys = [p.key for p in parents]
-    by = F.col(f"`{agg.sort}`")
-    order = Window.partitionBy(*keys).orderBy(by.desc() if agg.descending else by.asc(), mapping.key)
-    shown = [n for n in agg.show if n not in (mapping.key, agg.sort)]
-    best = rows.select(*keys, mapping.key, agg.sort, *shown, F.row_number().over(order).alias("position"))
+    by = [_check(mapping, name) for name, _ in agg.keys]
+    by = [c.desc_nulls_last() if way == "desc" else c.asc_nulls_last() for c, (_, way) in zip(by, agg.keys)]
+    sorts = [name for name, _ in agg.keys]
+    shown = [n for n in agg.show if n not in (mapping.key, *sorts)]
+    columns = [*keys, mapping.key, *[f"`{n}`" for n in (*sorts, *shown)]]
+    if not parents:
+        # At most ``size`` rows meet in one task to be numbered.
+        first = rows.orderBy(*by, mapping.key).limit(agg.size)
+        return first.select(*columns, F.row_number().over(Window.orderBy(*by, mapping.key)).alias("position"))
+    order = Window.partitionBy(*keys).orderBy(*by, mapping.key)
+    best = rows.select(*columns, F.row_number().over(order).alias("position"))
     best = best.filter(F.col("position") <= agg.size)
     for parent in reversed(parents):
         best = parent.labelled(best, parent.name)
@@ -421,12 +455,18 @@ class Results(dict[str, DataFrame]):
         if self.kept is not None:
             self.kept.unpersist()
 
+    def __enter__(self) -> Results:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
 
 def _fields_of(aggs: Aggs) -> set[str]:
     found = set()
     for agg in aggs.values():
         if isinstance(agg, TopHits):
-            found |= {agg.sort, *agg.show}
+            found |= {*(n for n, _ in agg.keys), *agg.show}
         else:
             found |= {agg.field} | (_fields_of(agg.aggs) if isinstance(agg, Bucket) else set())
     return found
@@ -439,8 +479,9 @@ def aggregate(
     rows = scope(index, query, fields)
     buckets = [x for x in aggs.values() if not isinstance(x, Metric)]
     results = Results()
-    if query is not None and (len(buckets) > 1 or any(isinstance(x, Bucket) for x in buckets)):
-        # Several passes follow: keep the columns they read rather than match again for each.
+    passes = len(buckets) + (len(buckets) < len(aggs)) + sum(len(x.aggs) > 0 for x in buckets if isinstance(x, Bucket))
+    if query is not None and passes > 1:
+        # Several passes follow: keep the columns they read rather than match again for each, until ``release``.
         known = [n for n in _fields_of(aggs) if index.mapping.has(n)]
         needed = [f.name for f in index.mapping.doc_fields if f.name in known]
         rows = rows.select(index.mapping.key, *[f"`{n}`" for n in needed]).persist(StorageLevel.MEMORY_AND_DISK)
@@ -459,7 +500,7 @@ def aggregate_rows(rows: DataFrame, mapping: Mapping, aggs: Aggs) -> dict[str, D
         if isinstance(agg, Bucket):
             found |= _run_bucket(mapping, name, name, agg, rows, [])
         elif isinstance(agg, TopHits):
-            found[name] = rows.orderBy(F.desc(agg.sort) if agg.descending else F.asc(agg.sort), mapping.key).limit(agg.size)
+            found[name] = _top_hits(mapping, agg, rows, [])
     return found
 
 

@@ -9,13 +9,14 @@ candidates, and the common words are looked up for the candidates alone.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillspark.errors import QueryError
 from quillspark.functions import scoring
-from quillspark.functions.analysis import has_builtin_stemmer, is_stemmed, stemmed_entries, token_entries
+from quillspark.functions.analysis import grouped_entries, has_builtin_stemmer, is_stemmed, stemmed_entries, token_entries
 from quillspark.sources import tables
 from quillspark.sources.index import Index
 
@@ -25,21 +26,55 @@ MANY_POSTINGS = 50_000_000
 MARGIN = 2 * 10.0**-scoring.SCORE_DIGITS
 
 
-def query_words(index: Index, queries: DataFrame, query_id: str, text: str, fields: tuple[str, ...] = ()) -> DataFrame:
-    """``(query_id, field, term, times)``: the analysed words of every query."""
+def _tokens(index: Index, queries: DataFrame, query_id: str, text: str, fields: tuple[str, ...]) -> DataFrame:
+    """``(query_id, field, chunk, size, term, pos)``: the analysed tokens of every chunk between white space."""
+    chunks = queries.select(query_id, F.posexplode(F.split(F.trim(F.col(text)), r"(?U)\s+")).alias("chunk", "_text"))
     parts = []
     for name in fields or tuple(index.mapping.default_fields):
         analyzer = index.field(name).analyzer
-        if analyzer in index.stem_maps:
-            raise QueryError(f"batch search does not cover fields stemmed by a map: {name}")
-        staged = queries.select(query_id, token_entries(F.col(text), "default" if is_stemmed(analyzer) else analyzer).alias("e"))
+        base = "default" if is_stemmed(analyzer) else analyzer
+        staged = chunks.filter("_text != ''").select(query_id, "chunk", token_entries(F.col("_text"), base).alias("e"))
         if has_builtin_stemmer(analyzer):
-            staged = staged.withColumn("e", stemmed_entries(F.col("e")))
-        parts.append(staged.select(query_id, F.lit(name).alias("field"), F.inline("e")))
-    words = parts[0]
+            staged = staged.withColumn("e", grouped_entries(F.col("e"))).withColumn("e", stemmed_entries(F.col("e")))
+        rows = staged.select(query_id, F.lit(name).alias("field"), "chunk", F.size("e").alias("size"), F.inline("e"))
+        if analyzer in index.stem_maps:
+            stems = index.stem_maps[analyzer].select("term", "stem")
+            rows = rows.join(stems, "term", "left").withColumn("term", F.coalesce("stem", "term")).drop("stem")
+        parts.append(rows.select(query_id, "field", "chunk", "size", "term", "pos"))
+    tokens = parts[0]
     for more in parts[1:]:
-        words = words.unionByName(more)
-    return words.groupBy(query_id, "field", "term").agg(F.count(F.lit(1)).alias("times"))
+        tokens = tokens.unionByName(more)
+    return tokens
+
+
+def query_words(index: Index, queries: DataFrame, query_id: str, text: str, fields: tuple[str, ...] = ()) -> DataFrame:
+    """``(query_id, field, term, times)``: the analysed words of every query, phrases apart."""
+    return _words(_tokens(index, queries, query_id, text, fields), query_id)
+
+
+def _words(tokens: DataFrame, query_id: str) -> DataFrame:
+    return tokens.filter("size = 1").groupBy(query_id, "field", "term").agg(F.count(F.lit(1)).alias("times"))
+
+
+def _phrase_scores(index: Index, tokens: DataFrame, query_id: str) -> DataFrame:
+    """``(query_id, key, score)`` of the chunks that are several tokens, such as words with a hyphen: their tokens side by
+    side. A chunk with a token that no document has matches nothing."""
+    key = index.mapping.key
+    parts = _weighted(index, tokens.filter("size > 1").withColumn("times", F.lit(1)))
+    chunk = [query_id, "field", "chunk"]
+    whole = parts.groupBy(*chunk).agg(F.sum("weight").alias("gain"), F.count("*").alias("known"))
+    parts = parts.join(whole, chunk).filter(F.col("known") == F.col("size"))
+    on = [c for c in ("field", "term", "term_bucket") if c in parts.columns]
+    found = index.postings.select(*on, key, "dl", "positions").join(parts, on)
+    starts = F.transform("positions", lambda p: p - F.col("pos")).alias("starts")
+    places = found.select(*chunk, key, "dl", "gain", "avgdl", "size", "pos", starts)
+    docs = places.groupBy(*chunk, key).agg(
+        *[F.first(c).alias(c) for c in ("dl", "gain", "avgdl", "size")], F.collect_list("starts").alias("all")
+    )
+    common = F.aggregate("all", F.get("all", F.lit(0)), F.array_intersect)
+    docs = docs.filter(F.size("all") == F.col("size")).withColumn("times", F.size(common)).filter("times > 0")
+    score = F.col("gain") * scoring.tf_norm(F.col("times"), F.col("dl"), F.col("avgdl"))
+    return docs.select(query_id, key, score.alias("score"))
 
 
 def _weighted(index: Index, words: DataFrame) -> DataFrame:
@@ -74,21 +109,43 @@ def batch_search(
     query_id: str = "query_id",
     text: str = "text",
     fields: tuple[str, ...] = (),
+    many_postings: int = MANY_POSTINGS,
 ) -> DataFrame:
-    """``(query_id, rank, key, score)``: the top ``k`` documents of every query, any of its words."""
+    """``(query_id, rank, key, score)``: the top ``k`` documents of every query, as ``search`` would find them one by one.
+
+    ``many_postings`` is where the two steps begin; results do not depend on it. The analysed queries are kept while the
+    returned DataFrame is."""
     key = index.mapping.key
-    # The words of the queries are read several times below; the blocks spill and can be recomputed.
-    words = _weighted(index, query_words(index, queries, query_id, text, fields)).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = []
+
+    def keep(rows: DataFrame) -> DataFrame:
+        # Read several times below; the blocks spill and can be recomputed.
+        kept.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        return rows
+
+    tokens = keep(_tokens(index, queries, query_id, text, fields))
+    words = keep(_weighted(index, _words(tokens, query_id)))
     size = words.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
     postings = _postings_of(index, words)
-    best = _score_postings(postings, words, query_id, key) if size < MANY_POSTINGS else _score_best(postings, words, query_id, key, k)
+    phrased = tokens.filter("size > 1").select(query_id).distinct()
+    has_phrases = not phrased.isEmpty()
+    if size < many_postings:
+        best = _score_postings(postings, words, query_id, key)
+    else:
+        best = _score_best(postings, words, query_id, key, k, phrased if has_phrases else None, keep)
+    if has_phrases:
+        best = best.unionByName(_phrase_scores(index, tokens, query_id))
+        best = best.groupBy(query_id, key).agg(F.sum("score").alias("score"))
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
-    return (
+    ranked = (
         best.withColumn("score", scoring.rounded(F.col("score")))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select(query_id, "rank", key, "score")
     )
+    for rows in kept:
+        weakref.finalize(ranked, rows.unpersist)
+    return ranked
 
 
 def _postings_of(index: Index, words: DataFrame) -> DataFrame:
@@ -103,8 +160,11 @@ def _postings_of(index: Index, words: DataFrame) -> DataFrame:
     ).select(*columns, "term_bucket")
 
 
-def _score_best(postings: DataFrame, words: DataFrame, query_id: str, key: str, k: int) -> DataFrame:
-    """Scores that hold the best ``k`` of every query, without scoring every posting."""
+def _score_best(
+    postings: DataFrame, words: DataFrame, query_id: str, key: str, k: int, phrased: DataFrame | None, keep
+) -> DataFrame:
+    """Scores that hold the best ``k`` of every query, without scoring every posting. Queries with phrases are scored in
+    full: a document's words say nothing about the phrases it has."""
     rarest = Window.partitionBy(query_id).orderBy("df", "field", "term")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     words = words.withColumn("reached", F.coalesce(F.sum("df").over(before), F.lit(0)))
@@ -129,7 +189,11 @@ def _score_best(postings: DataFrame, words: DataFrame, query_id: str, key: str,
     own = Window.partitionBy(query_id)
     lookups_needed = F.sum(F.when(~F.col("optional"), F.col("df")).otherwise(0)).over(own) * F.count_if("optional").over(own)
     spared = F.sum(F.when(F.col("optional"), F.col("df")).otherwise(0)).over(own)
-    words = words.withColumn("optional", F.col("optional") & (lookups_needed < spared)).persist(StorageLevel.MEMORY_AND_DISK)
+    words = words.withColumn("optional", F.col("optional") & (lookups_needed < spared))
+    if phrased is not None:
+        marked = phrased.select(F.col(query_id), F.lit(True).alias("phrased"))
+        words = words.join(marked, query_id, "left").withColumn("optional", F.col("optional") & F.col("phrased").isNull()).drop("phrased")
+    words = keep(words)
 
     candidates = _score_postings(postings, words.filter(~F.col("optional")), query_id, key)
 

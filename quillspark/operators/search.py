@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quillspark.functions import scoring
 from quillspark.functions.values import ipv4_text
 from quillspark.operators import highlight as hl
-from quillspark.plans.compile import compile_query, matches
+from quillspark.plans.compile import Compiled, compile_query, matches
 from quillspark.plans.query import Query, as_query
 from quillspark.sources.index import Index
 
@@ -81,13 +81,29 @@ def search(
     page = ranked(compiled.hits, key, limit, offset)
     if limit <= BROADCAST_HITS:
         page = F.broadcast(page)
-    snippets = snippet_map(index, highlight, compiled.words)
+    words = compiled.words
+    if highlight_expanded and compiled.patterns:
+        words = _words_on_page(index, compiled, page.select(key), highlight)
+    snippets = snippet_map(index, highlight, words)
     hits = index.docs_of(page).select(key, "score", stored_document(index, stringify).alias("doc"), snippets.alias("highlights"))
     # The page is as long as the caller's limit, so numbering it in one task is bounded.
     best_first = Window.orderBy(F.desc("score"), key)
     return hits.select((F.row_number().over(best_first) + offset).alias("rank"), key, "score", "doc", "highlights")
 
 
+def _words_on_page(index: Index, compiled: Compiled, page: DataFrame, fields: tuple[str, ...]) -> Dict[str, Dict[str, int]]:
+    """The words to highlight where a pattern has too many terms to list: those that the documents of the page have."""
+    words = {name: dict(own) for name, own in compiled.words.items()}
+    for name, matching in compiled.patterns:
+        if name not in fields:
+            continue
+        rows = index.postings.filter((F.col("field") == name) & matching).join(page, index.mapping.key, "left_semi")
+        terms = [r["term"] for r in rows.select("term").distinct().collect()]
+        frequencies = index.doc_frequencies((name, t) for t in terms)
+        words.setdefault(name, {}).update({t: df for (_, t), df in frequencies.items()})
+    return words
+
+
 def snippet_map(index: Index, fields: tuple[str, ...], words: Dict[str, Dict[str, int]]) -> Column:
     """One snippet per requested field; unknown fields are left out, no match gives an empty snippet."""
     entries = []
@@ -108,7 +124,7 @@ def highlight_all(index: Index, query: str | Query | list, field: str, fields: t
     f = index.field(field)
     compiled = compile_query(as_query(query, fields), index)
     marked = hl.whole_field(F.col(f"`{field}`"), sorted(compiled.words.get(field, {})), f.analyzer)
-    return index.docs.join(compiled.keys(key), key, "left_semi").select(key, marked.alias("highlight"))
+    return index.docs_of(compiled.keys(key), "left_semi").select(key, marked.alias("highlight"))
 
 
 def search_indexes(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quillspark.errors import QueryError
 from quillspark.functions import scoring
-from quillspark.functions.analysis import WORD, analyze_literals
+from quillspark.functions.analysis import WORD, analyze_literals, has_tokens
 from quillspark.functions.distance import within_distance
 from quillspark.functions.values import typed_literal
 from quillspark.plans import query as q
@@ -65,6 +65,8 @@ class Compiled:
     at_most: int | None = None
     # What a document must meet, when the documents alone can tell.
     condition: Column | None = None
+    # Patterns over the terms of a field that are not listed in ``words``.
+    patterns: list[tuple[str, Column]] = field(default_factory=list)
 
     def keys(self, key: str) -> DataFrame:
         """The keys of the hits, marked for broadcast only if they are known to be few."""
@@ -321,6 +323,8 @@ class Compiler:
         f = self.index.field(name)
         if not f.in_postings or (f.type == "string" and f.in_docs):
             return self._condition(F.col(f"`{name}`").isNotNull())
+        if f.in_docs:
+            return self._condition(has_tokens(F.col(f"`{name}`"), f.analyzer))
         leaf = self._leaf("constant")
         self.patterns.append((leaf, 0, name, F.lit(True)))
         return self._node(leaf)
@@ -549,7 +553,8 @@ class Compiler:
                 sums = sums.select(self.key, *plain, *[self._phrase_score(leaf) for leaf in self.phrases])
             hits = sums.filter(matched)
         condition = matched if self.documents_only else None
-        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most, condition)
+        patterns = [(name, test) for leaf, _, name, test in self.patterns if leaf not in self.phrases]
+        return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most, condition, patterns)
 
     def _one_word(self) -> bool:
         """One term means one row per document already."""

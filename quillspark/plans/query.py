@@ -9,7 +9,6 @@ from quillspark.errors import QueryError
 
 # How a clause takes part, and how many terms a phrase prefix expands to.
 OCCURS = ("must", "should", "must_not")
-PREFIX_EXPANSIONS = 50
 
 
 class Query:
@@ -47,11 +46,11 @@ class Phrase(Query):
 
 @dataclass(frozen=True)
 class PhrasePrefix(Query):
-    """A phrase whose last word is a prefix, expanded to the first ``max_expansions`` terms (None: all)."""
+    """A phrase whose last word is a prefix: of any term, or, if the caller says so, of the first ``max_expansions``."""
 
     field: str
     words: tuple[str, ...]
-    max_expansions: int | None = PREFIX_EXPANSIONS
+    max_expansions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -136,7 +135,7 @@ class Bool(Query):
     def __post_init__(self):
         for occur, _ in self.clauses:
             if occur not in OCCURS:
-                raise QueryError(f"invalid occur type: {occur}. Expected must, should, or must_not")
+                raise QueryError(f"{occur!r} is no kind of clause; there are {', '.join(OCCURS)}")
 
 
 @dataclass(frozen=True)
@@ -159,7 +158,7 @@ def phrase(field: str, *words: str) -> Phrase:
     return Phrase(field, tuple(words))
 
 
-def phrase_prefix(field: str, *words: str, max_expansions: int | None = PREFIX_EXPANSIONS) -> PhrasePrefix:
+def phrase_prefix(field: str, *words: str, max_expansions: int | None = None) -> PhrasePrefix:
     return PhrasePrefix(field, tuple(words), max_expansions)
 
 

@@ -23,9 +23,14 @@ def indexed_fields(mapping: Mapping) -> list[str]:
 
 
 def spread(records: DataFrame) -> DataFrame:
-    """A source of fewer files than cores, over all the cores; a larger one as it is, without a shuffle."""
-    cores = records.sparkSession.sparkContext.defaultParallelism
-    return records.repartition(cores) if 0 < len(records.inputFiles()) < cores else records
+    """A source that is less than one read split per core, over all the cores; a larger one as it is, without a shuffle.
+
+    Sizes are the optimizer's estimate, so no file list reaches the driver and no job runs."""
+    spark = records.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(records._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return records.repartition(cores) if size < cores * split else records
 
 
 def docs_schema(mapping: Mapping, key_type: T.DataType) -> T.StructType:
@@ -82,6 +87,7 @@ def postings_table(
     for n in names:
         analyzer = mapping.field(n).analyzer
         if analysis.has_builtin_stemmer(analyzer) and analyzer not in stem_maps:
+            staged = staged.withColumn(f"e_{n}", analysis.grouped_entries(F.col(f"e_{n}")))
             staged = staged.withColumn(f"e_{n}", analysis.stemmed_entries(F.col(f"e_{n}")))
         elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
             raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")

@@ -79,6 +79,20 @@ def histogram_min_count(spark, sf_dir):
     return a.aggregate(corpora.orders_index(spark, sf_dir), {"price": asked})["price"]
 
 
+_FINE = 4.0
+
+
+@query(
+    "a03_histogram_of_many_buckets",
+    f"""WITH b AS (SELECT CAST(floor(o_totalprice / {_FINE}) AS BIGINT) AS i, count(*) AS c FROM orders GROUP BY 1),
+grid AS (SELECT unnest(range((SELECT min(i) FROM b), (SELECT max(i) FROM b) + 1)) AS i)
+SELECT CAST(i * {_FINE} AS DOUBLE) AS key, coalesce(c, 0) AS doc_count FROM grid LEFT JOIN b USING (i)""",
+)
+def histogram_of_many_buckets(spark, sf_dir):
+    """More empty buckets than one array should hold."""
+    return a.aggregate(corpora.orders_index(spark, sf_dir), {"price": a.histogram("o_totalprice", _FINE)})["price"]
+
+
 @query(
     "a04_range",
     """SELECT k AS key, count(o_orderkey) AS doc_count, round(avg(o_totalprice), 4) AS mean FROM
@@ -114,6 +128,24 @@ def date_histogram_minutes(spark, sf_dir):
     return a.aggregate(corpora.events_index(spark, sf_dir), {"time": a.date_histogram("ts", "30m")})["time"]
 
 
+@query(
+    "a05_date_histogram_shifted",
+    """WITH b AS (SELECT CAST(floor((epoch(date_trunc('second', o_orderdate)) - 21600) / 864000) AS BIGINT) AS i, count(*) AS c
+  FROM orders WHERE epoch(date_trunc('second', o_orderdate)) BETWEEN 725846400 AND 820454400 GROUP BY 1),
+grid AS (SELECT unnest(range(least((SELECT min(i) FROM b), CAST(floor((694224000 - 21600) / 864000) AS BIGINT)),
+  greatest((SELECT max(i) FROM b), CAST(floor((883612800 - 21600) / 864000) AS BIGINT)) + 1)) AS i)
+SELECT i * 864000000 + 21600000 AS key, strftime(make_timestamp((i * 864000000 + 21600000) * 1000), '%Y-%m-%dT%H:%M:%SZ') AS key_as_string,
+  coalesce(c, 0) AS doc_count FROM grid LEFT JOIN b USING (i)""",
+)
+def date_histogram_shifted(spark, sf_dir):
+    """Steps of ten days from six o'clock, over some years, with empty ones outside them."""
+    asked = a.date_histogram(
+        "o_orderdate", "10d", offset="6h", hard_bounds=(725_846_400_000, 820_454_400_000),
+        extended_bounds=(694_224_000_000, 883_612_800_000),
+    )
+    return a.aggregate(corpora.orders_index(spark, sf_dir), {"day": asked})["day"]
+
+
 def _one_metric(name: str, metric, sql_value: str):
     @query(name, f"SELECT round({sql_value}, 4) AS m FROM events")
     def run(spark, sf_dir):
@@ -178,6 +210,29 @@ def several(spark, sf_dir):
     return _rounded(a.aggregate(corpora.events_index(spark, sf_dir), asked)["metrics"], "mean")
 
 
+_FOUND = """found AS (SELECT * FROM part WHERE p_partkey IN (SELECT doc_id FROM post WHERE term IN ('red', 'bolt')))"""
+
+
+@query(
+    "a13_several_buckets_of_a_query",
+    f"""WITH {sql.index_of("part", "p_partkey", "p_name")}, {_FOUND},
+brand AS (SELECT p_brand AS key, count(*) AS n FROM found GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 4),
+size AS (SELECT floor(p_size / 10.0) * 10 AS key, count(*) AS n FROM found GROUP BY 1)
+SELECT 'brand' AS of, key, n FROM brand UNION ALL SELECT 'size', CAST(CAST(key AS BIGINT) AS VARCHAR), n FROM size
+UNION ALL SELECT 'all', 'n', count(p_size) FROM found""",
+)
+def several_buckets(spark, sf_dir):
+    """Two bucket aggregations and a metric over one query, in one request."""
+    asked = {
+        "brand": a.terms("p_brand", size=4), "size": a.histogram("p_size", 10.0, min_doc_count=1), "n": a.count("p_size")
+    }
+    found = a.aggregate(corpora.parts_index(spark, sf_dir), asked, query="red bolt", fields=("p_name",))
+    part = lambda rows, of, key, n: rows.select(F.lit(of).alias("of"), key.alias("key"), F.col(n).alias("n"))
+    rows = part(found["brand"], "brand", F.col("key"), "doc_count")
+    rows = rows.unionByName(part(found["size"], "size", F.col("key").cast("bigint").cast("string"), "doc_count"))
+    return rows.unionByName(part(found["metrics"], "all", F.lit("n"), "n"))
+
+
 @query(
     "a14_metrics_in_buckets",
     """SELECT event_type AS key, count(*) AS doc_count, round(avg(value), 4) AS mean, max(value) AS top,
@@ -272,3 +327,41 @@ def terms_missing(spark, sf_dir):
     index = corpora.parts_index(spark, sf_dir)
     rows = index.docs.withColumn("p_type", F.when(F.col("p_size") < 20, F.col("p_type")))
     return a.aggregate_rows(rows, index.mapping, {"type": a.terms("p_type", missing="none")})["type"]
+
+
+@query(
+    "a16_metric_missing",
+    """SELECT round(avg(coalesce(v, -5.0)), 4) AS mean, round(sum(coalesce(v, 2)), 2) AS total, min(coalesce(v, 7)) AS low
+FROM (SELECT CASE WHEN p_size < 20 THEN p_retailprice END AS v FROM part)""",
+)
+def metric_missing(spark, sf_dir):
+    """Documents without the field take part with a stand-in value."""
+    index = corpora.parts_index(spark, sf_dir)
+    rows = index.docs.withColumn("p_retailprice", F.when(F.col("p_size") < 20, F.col("p_retailprice")))
+    price = "p_retailprice"
+    asked = {"mean": a.avg(price, missing=-5.0), "total": a.sum_(price, missing=2.0), "low": a.min_(price, missing=7.0)}
+    found = _rounded(a.aggregate_rows(rows, index.mapping, asked)["metrics"], "mean")
+    return found.withColumn("total", F.round("total", 2))
+
+
+@query(
+    "a16_terms_min_count",
+    """SELECT key, doc_count, CAST((SELECT count(*) FROM part) - sum(doc_count) OVER () AS BIGINT) AS sum_other_doc_count FROM (
+  SELECT CAST(p_size AS BIGINT) AS key, count(*) AS doc_count FROM part GROUP BY 1 HAVING count(*) >= (SELECT count(*) // 40 FROM part))""",
+)
+def terms_min_count(spark, sf_dir):
+    """Only buckets with enough documents."""
+    index = corpora.parts_index(spark, sf_dir)
+    asked = a.terms("p_size", size=1000, min_doc_count=index.n_docs // 40)
+    return a.aggregate(index, {"size": asked})["size"]
+
+
+@query(
+    "a16_top_hits_of_all",
+    """SELECT event_id, event_type, value, user_id, CAST(rn AS INTEGER) AS position FROM (
+  SELECT *, row_number() OVER (ORDER BY event_type ASC, value DESC, event_id) AS rn FROM events) WHERE rn <= 20""",
+)
+def top_hits_of_all(spark, sf_dir):
+    """The first documents of all, by two fields."""
+    asked = a.TopHits((("event_type", "asc"), ("value", "desc")), size=20, show=("user_id",))
+    return a.aggregate(corpora.events_index(spark, sf_dir), {"best": asked})["best"]

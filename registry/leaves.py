@@ -106,17 +106,21 @@ found AS (SELECT t0.doc_id, count(*) AS tf FROM tok t0 {joins}
 SELECT doc_id, round(({idf}) * {sql.TF}, 6) AS score FROM found JOIN len USING (doc_id), tot"""
 
 
-@query("q08_phrase_prefix", _phrase_prefix_sql(["of"], "th", "LIMIT 50"))
+@query("q08_phrase_prefix", _phrase_prefix_sql(["of"], "th", ""))
 def phrase_prefix(spark, sf_dir):
-    """The last word stands for the first 50 terms it starts, in term order."""
+    """The last word stands for every term it starts."""
     return _all_hits(corpora.documents_index(spark, sf_dir), q.phrase_prefix("text", "of", "th"))
 
 
 @query("q08_phrase_prefix_unbounded", _phrase_prefix_sql(["and", "the"], "t", ""))
 def phrase_prefix_unbounded(spark, sf_dir):
-    return _all_hits(
-        corpora.documents_index(spark, sf_dir), q.phrase_prefix("text", "and", "the", "t", max_expansions=None)
-    )
+    return _all_hits(corpora.documents_index(spark, sf_dir), q.phrase_prefix("text", "and", "the", "t"))
+
+
+@query("q08_phrase_prefix_chosen", _phrase_prefix_sql(["of"], "th", "LIMIT 50"))
+def phrase_prefix_chosen(spark, sf_dir):
+    """As many expansions, in term order, as the caller asks for."""
+    return _all_hits(corpora.documents_index(spark, sf_dir), q.phrase_prefix("text", "of", "th", max_expansions=50))
 
 
 @query("q09_regex", f"{_IX} {sql.every(_has("regexp_full_match(term, '(as|in)[a-m]{2,3}')"))}")

@@ -96,6 +96,57 @@ def batch(spark, sf_dir):
     return batch_search(index, corpora.table(spark, sf_dir, "benchmark"), 10, "item_id", "text", ("text",))
 
 
+_SPLIT = """split AS (SELECT item_id, w[1] AS a, w[2] AS b, w[3] AS c FROM
+  (SELECT item_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM benchmark) WHERE len(w) >= 3)"""
+
+
+def _split_words(spark, sf_dir):
+    """The first two words of every item with a hyphen between them, and the third."""
+    words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    items = corpora.table(spark, sf_dir, "benchmark").select("item_id", words.alias("w")).filter(F.size("w") >= 3)
+    w = lambda i: F.get("w", F.lit(i))
+    return items.select("item_id", F.concat(w(0), F.lit("-"), w(1), F.lit(" "), w(2)).alias("text"))
+
+
+_SPLIT_SQL = f"""WITH {sql.index_of()}, {sql.scored()}, {_SPLIT},
+near AS (SELECT s.item_id, x.doc_id, count(*) AS tf FROM split s JOIN tok x ON x.term = s.a
+  JOIN tok y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 AND y.term = s.b GROUP BY 1, 2),
+gain AS (SELECT item_id, sum({sql.IDF}) AS g FROM (SELECT item_id, unnest([a, b]) AS term FROM split) JOIN freq USING (term), tot
+  GROUP BY 1),
+pairs AS (SELECT item_id, doc_id, g * {sql.TF} AS s FROM near JOIN gain USING (item_id) JOIN len USING (doc_id), tot
+  UNION ALL SELECT item_id, doc_id, s FROM split JOIN sc ON term = c),
+summed AS (SELECT item_id, doc_id, round(sum(s), 6) AS score FROM pairs GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM summed)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query("r8_batch_split_words", _SPLIT_SQL)
+def batch_split_words(spark, sf_dir):
+    """Words with a hyphen are phrases, as in a single search."""
+    index = corpora.documents_index(spark, sf_dir)
+    return batch_search(index, _split_words(spark, sf_dir), 10, "item_id", "text", ("text",))
+
+
+@query("r8_batch_in_two_steps", _SPLIT_SQL)
+def batch_in_two_steps(spark, sf_dir):
+    """The same by the steps that many postings call for."""
+    index = corpora.documents_index(spark, sf_dir)
+    return batch_search(index, _split_words(spark, sf_dir), 10, "item_id", "text", ("text",), many_postings=0)
+
+
+@query(
+    "r8_batch_words_in_two_steps",
+    f"""WITH {sql.index_of()}, {sql.scored()}, {_QUERIES},
+pairs AS (SELECT q_post.doc_id AS item_id, sc.doc_id, round(sum(q_post.tf * s), 6) AS score
+  FROM q_post JOIN sc USING (term) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM pairs)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
+)
+def batch_words_in_two_steps(spark, sf_dir):
+    index = corpora.documents_index(spark, sf_dir)
+    return batch_search(index, corpora.table(spark, sf_dir, "benchmark"), 10, "item_id", "text", ("text",), many_postings=0)
+
+
 @query("r9_hit_count", f"{_IX} SELECT count(DISTINCT doc_id) AS hits FROM sc WHERE term IN ('est', 'asas')")
 def hit_count(spark, sf_dir):
     return count_hits(corpora.documents_index(spark, sf_dir), q.match("est asas", "text"))
@@ -163,6 +214,23 @@ def snippet(spark, sf_dir):
     return found.select("doc_id", F.col("highlights")["text"].alias("snippet"))
 
 
+@query(
+    "h1_snippet_expanded",
+    f"""{_IX}, found AS (SELECT DISTINCT doc_id FROM post WHERE starts_with(term, 'e')),
+top AS (SELECT doc_id FROM found ORDER BY doc_id LIMIT 10)
+SELECT doc_id, TRUE AS marked, TRUE AS rightly FROM top""",
+)
+def snippet_expanded(spark, sf_dir):
+    """A pattern with very many terms still marks what it found."""
+    found = search(
+        corpora.documents_index(spark, sf_dir), q.Prefix("text", "e"), highlight=("text",), highlight_expanded=True
+    )
+    marks = F.regexp_extract_all(F.col("highlights")["text"], F.lit("<b>([^<]*)</b>"), F.lit(1))
+    return found.select(
+        "doc_id", (F.size(marks) > 0).alias("marked"), F.forall(marks, lambda m: F.lower(m).startswith("e")).alias("rightly")
+    )
+
+
 @query(
     "h2_several_fields",
     f"""{_IX}, k AS (SELECT * FROM {sql.keyword("lang")} WHERE term = 'fr'),

@@ -45,13 +45,26 @@ def test_histogram_fills_gaps(products):
     assert found == {0.0: 4, 400.0: 1, 600.0: 1, 800.0: 1}
 
 
-def test_histogram_refuses_a_tiny_interval(products):
-    with pytest.raises(Exception, match="needs more than"):
-        a.aggregate(products, {"h": a.histogram("price", 0.001)})["h"].collect()
+def test_histogram_of_very_many_buckets(products):
+    found = a.aggregate(products, {"h": a.histogram("price", 0.01)})["h"]
+    assert found.count() == 98_501 and found.agg({"doc_count": "sum"}).first()[0] == 7
     with pytest.raises(AggregationError):
         a.aggregate(products, {"h": a.histogram("price", 0)})
 
 
+def test_text_that_is_only_fast(spark):
+    rows = spark.createDataFrame([(0, "b c", 1), (1, "a", None), (2, "b c", 3)], "doc_id bigint, t string, n bigint")
+    mapping = Mapping.build([("t", "text", {"fast": True}), ("n", "i64", {"fast": True}), ("slow", "i64", {"stored": True})])
+    index = Index.in_memory(rows, mapping)
+    assert table(a.aggregate(index, {"t": a.terms("t")})["t"]) == {"b c": 2, "a": 1}
+    best = a.aggregate(index, {"b": a.TopHits("n", size=3, descending=False, show=("t",))})["b"].orderBy("position").collect()
+    assert [tuple(r) for r in best] == [(0, 1, "b c", 1), (2, 3, "b c", 2), (1, None, "a", 3)]
+    with pytest.raises(AggregationError):
+        a.aggregate(index, {"b": a.TopHits("slow")})
+    with a.aggregate(index, {"t": a.terms("t"), "m": a.max_("n")}, query="b", fields=("t",)) as found:
+        assert found["metrics"].first()["m"] == 3 and found.kept is not None
+
+
 def test_ranges(products):
     spans = [{"to": 100.0}, {"from": 100.0, "to": 500.0}, {"from": 500.0}]
     assert table(a.aggregate(products, {"r": a.ranges("price", spans)})["r"]) == {"*-100": 3, "100-500": 2, "500-*": 2}
