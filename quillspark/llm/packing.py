@@ -45,7 +45,7 @@ def pieces(
             for at in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(at, BATCH_ROWS)
                 rows, piece, start, length, crc = [], [], [], [], []
-                for row, ids in enumerate(table.of(batch.column(1).to_pylist())):
+                for row, ids in enumerate(table.of(t) for t in batch.column(1).to_pylist()):
                     ids += end
                     n = len(ids) // 4
                     first = n % most or min(n, most)

@@ -1,83 +1,78 @@
-"""Token ids of texts by a tokenizer file, remembered by word.
+"""Token ids of texts by a byte-level tokenizer file, remembered by word.
 
 A text may be cut before a space that does not stand between two other white space characters: byte-level splitting
 never joins across such a place, so ids of the parts, in a row, are the ids of the whole. Parts recur; their ids are
-remembered in a bounded table, and only new ones reach the tokenizer."""
+remembered in a bounded table, and only new ones reach the tokenizer. A part of plain letters, digits and signs is split
+as any byte-level splitting does, and only the merges of each piece are asked for."""
 
 from __future__ import annotations
 
 import os
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 
+from quillspark.llm.wordpiece import byte_alphabet
+
 #: Parts a worker remembers: at most two generations of so many.
-REMEMBERED_PARTS = 250_000
+REMEMBERED_PARTS = 450_000
 
-_UNSAFE = re.compile(r"\s \s|  ")
-#: Splits of plain parts that any byte-level splitting makes: letters, digits, signs but the apostrophe, a lone new line.
+#: White space after a space: such texts are not cut. More are kept whole than must be.
+_TWO_SPACES = [" " + chr(c) for c in range(0x3001) if chr(c).isspace()]
+#: Pieces that any byte-level splitting makes: letters, digits, signs but the apostrophe, a lone new line.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ſ]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n(?=\S)")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Parts(dict):
+    """Ids by part; what is not there is looked up among older parts or made."""
+
+    def __init__(self, owner: Ids):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.owner.old.get(part)
+        if ids is None:
+            ids = self.owner.made(part)
+        self[part] = ids
+        return ids
+
+
 class Ids:
-    """``of(texts)`` gives each text's ids as little-endian unsigned 32-bit numbers in bytes."""
+    """``of(text)`` gives a text's ids as little-endian unsigned 32-bit numbers in bytes."""
 
     def __init__(self, tokenizer_json: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def _encoded(self, parts: list[str]) -> dict[str, bytes]:
-        encodings = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(parts, encodings, strict=True)}
-
-    def _learn(self, missing: set[str]) -> None:
-        """Puts ids of parts into the young generation."""
-        old, young = self.old, self.young
-        splits: dict[str, list[str]] = {}
-        new: set[str] = set()
-        for part in missing:
-            ids = old.get(part)
-            if ids is not None:
-                young[part] = ids
-                continue
-            split = _PLAIN.findall(part) if "<|" not in part else []
-            if len(split) > 1 and sum(map(len, split)) == len(part):
-                splits[part] = split
-                new.update(s for s in split if s not in young and s not in old)
-            else:
-                new.add(part)
-        young.update(self._encoded(list(new)))
-        for part, split in splits.items():
-            young[part] = b"".join([young[s] if s in young else old[s] for s in split])
-
-    def of(self, texts: list[str]) -> list[bytes]:
+        self.model = self.tokenizer.model
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+        self.young, self.old = _Parts(self), {}
+
+    def made(self, part: str) -> bytes:
+        pieces = _PLAIN.findall(part) if "<|" not in part else []
+        if sum(map(len, pieces)) != len(part):
+            return self.whole(part)
+        if len(pieces) != 1:
+            return b"".join([self.young[p] for p in pieces])
+        spelled = part.encode().decode("latin-1").translate(self.letters)
+        return _packed([t.id for t in self.model.tokenize(spelled)])
+
+    def whole(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def of(self, text: str) -> bytes:
         if len(self.young) > REMEMBERED_PARTS:
-            self.old, self.young = self.young, {}
-        cut, missing = [], set()
-        for text in texts:
-            if _UNSAFE.search(text):
-                parts = [text]
-                cut.append(None)
-            else:
-                first, *rest = text.split(" ")
-                parts = [first, *[" " + r for r in rest]]
-                cut.append(parts)
-                missing.update(p for p in parts if p not in self.young)
-        if missing:
-            self._learn(missing)
-        young = self.young
-        return [
-            b"".join([young[p] for p in parts]) if parts is not None else self._whole(text)
-            for text, parts in zip(texts, cut, strict=True)
-        ]
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.old, self.young = self.young, _Parts(self)
+        if "\0" in text or any(two in text for two in _TWO_SPACES):
+            return self.whole(text)
+        return b"".join(map(self.young.__getitem__, text.replace(" ", "\0 ").split("\0")))
 
 
 _built: dict[int, Ids] = {}

@@ -46,7 +46,7 @@ def test_remembered_ids_equal_the_tokenizer():
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(0, 40))) for _ in range(1500)]
     table = tokens.Ids(open(VOCABULARY, "rb").read())
     for some_texts in (texts[:700], texts[700:], texts[:50]):
-        assert [np.frombuffer(b, "<u4").tolist() for b in table.of(some_texts)] == ids_of_texts(some_texts)
+        assert [np.frombuffer(table.of(t), "<u4").tolist() for t in some_texts] == ids_of_texts(some_texts)
 
 
 def test_packing_keeps_every_id_and_leaves_no_gap(odd_docs):
