@@ -88,7 +88,9 @@ class Compiler:
         self.scored: dict[int, dict[tuple[str, str], float]] = {}
         self.constant: dict[int, set[tuple[str, str]]] = {}
         self.phrases: dict[int, tuple[str, _Phrase]] = {}
-        self.patterns: list[tuple[int, int, str, Column]] = []
+        # (leaf, offset, field, test of the term, whether the test is cheap enough for every posting)
+        self.patterns: list[tuple[int, int, str, Column, bool]] = []
+        self.pending: list[tuple[int, str, Column, bool]] = []
         self.conditions: dict[int, Column] = {}
         self.documents_only = False
 
@@ -120,19 +122,23 @@ class Compiler:
         f = self.index.field(name)
         return self.filter_only and f.type == "string" and f.in_docs
 
-    def _terms_matching(self, name: str, test: Callable[[Column], Column]) -> Node:
+    def _terms_matching(self, name: str, test: Callable[[Column], Column], cheap: bool = True) -> Node:
         """Documents with any term that passes; one point, however many terms do."""
         if self._in_documents(name):
             return self._condition(test(self._column(name)))
         leaf = self._leaf("constant")
-        matches = test(F.col("term"))
-        terms = self.index.resolve(name, matches)
-        if terms is None:
-            self.patterns.append((leaf, 0, name, matches))
-        else:
-            self.constant[leaf] = {(name, t) for t in terms}
+        self.pending.append((leaf, name, test(F.col("term")), cheap))
         return self._node(leaf)
 
+    def _resolve(self) -> None:
+        """The terms of all patterns of the query, by one job; where there are too many, the pattern stays one."""
+        found = self.index.resolve([(name, matches) for _, name, matches, _ in self.pending])
+        for (leaf, name, matches, cheap), terms in zip(self.pending, found, strict=True):
+            if terms is None:
+                self.patterns.append((leaf, 0, name, matches, cheap))
+            else:
+                self.constant[leaf] = {(name, t) for t in terms}
+
     def _postings_field(self, name: str) -> bool:
         return self.index.field(name).in_postings
 
@@ -201,7 +207,7 @@ class Compiler:
         words = [(w, i) for i, w in enumerate(fixed)]
         at = len(fixed)
         if query.max_expansions is None:
-            self.patterns.append((leaf, at, query.field, starts))
+            self.patterns.append((leaf, at, query.field, starts, True))
         else:
             words += [(t, at) for t in self.index.first_terms(query.field, starts, query.max_expansions)]
         self.phrases[leaf] = (query.field, _Phrase(words, fixed, at + 1))
@@ -249,16 +255,15 @@ class Compiler:
             case q.Regex():
                 self._check_regex(query.pattern)
                 self.index.field(query.field)
-                return self._terms_matching(query.field, lambda t: t.rlike(rf"\A(?:{query.pattern})\z"))
+                return self._terms_matching(query.field, lambda t: t.rlike(rf"\A(?:{query.pattern})\z"), cheap=False)
             case q.Prefix():
                 self.index.field(query.field)
                 return self._terms_matching(query.field, lambda t: t.startswith(query.prefix))
             case q.Fuzzy():
                 self.index.field(query.field)
                 value = query.value.lower()
-                return self._terms_matching(
-                    query.field, lambda t: within_distance(t, value, query.distance, query.transpose_costs_one)
-                )
+                near = lambda t: within_distance(t, value, query.distance, query.transpose_costs_one)
+                return self._terms_matching(query.field, near, cheap=False)
             case q.Exists():
                 return self._exists(query.field)
             case q.JsonPath():
@@ -326,7 +331,7 @@ class Compiler:
         if f.in_docs:
             return self._condition(has_tokens(F.col(f"`{name}`"), f.analyzer))
         leaf = self._leaf("constant")
-        self.patterns.append((leaf, 0, name, F.lit(True)))
+        self.patterns.append((leaf, 0, name, F.lit(True), True))
         return self._node(leaf)
 
     def _json(self, query: q.JsonPath) -> Column:
@@ -385,13 +390,23 @@ class Compiler:
         table = pa.table({c: pa.array(v, k) for c, v, k in zip(["field", "term", *names], zip(*literal), kinds)})
         return rows.join(self.index.spark.createDataFrame(table), ["field", "term"])
 
+    def _matching_postings(self, name: str, matches: Column, cheap: bool) -> DataFrame:
+        """The postings of a pattern. A dear one is tested on the vocabulary, whose matches are sent along if they are known
+        to be few enough; a cheap one, or one with more matches than that, on the postings themselves."""
+        rows = self.index.postings.filter(F.col("field") == name)
+        if not cheap:
+            terms = self.index.terms.filter((F.col("field") == name) & matches).select("term")
+            if terms.count() <= BROADCAST_KEYS:
+                return rows.join(F.broadcast(terms), "term", "left_semi")
+        return rows.filter(matches)
+
     def _posting_rows(self, literal: list[tuple[str, str, int, int, float, float]], gate: DataFrame | None) -> DataFrame | None:
         found = [self._weighted(literal)] if literal else []
-        for leaf, at, name, matches in self.patterns:
+        for leaf, at, name, matches, cheap in self.patterns:
             weight = 1.0
             if leaf in self.phrases:
                 weight = sum(scoring.idf(self.df[name, w], self.index.n_docs) for w in self.phrases[leaf][1].scored if (name, w) in self.df)
-            rows = self.index.postings.filter((F.col("field") == name) & matches)
+            rows = self._matching_postings(name, matches, cheap)
             found.append(
                 rows.withColumns(
                     {"leaf": F.lit(leaf), "at": F.lit(at), "weight": F.lit(weight), "avgdl": F.lit(self.index.avgdl(name))}
@@ -530,6 +545,7 @@ class Compiler:
     def compile(self, query: q.Query, best: int | None = None) -> Compiled:
         """``best`` says that only so many best hits are wanted, so that others may be left out."""
         node = self.add(query)
+        self._resolve()
         literal = self._literal_words()
         self.documents_only = not literal and not self.patterns
         matched, score = node.evaluate()
@@ -553,7 +569,7 @@ class Compiler:
                 sums = sums.select(self.key, *plain, *[self._phrase_score(leaf) for leaf in self.phrases])
             hits = sums.filter(matched)
         condition = matched if self.documents_only else None
-        patterns = [(name, test) for leaf, _, name, test in self.patterns if leaf not in self.phrases]
+        patterns = [(name, test) for leaf, _, name, test, _ in self.patterns if leaf not in self.phrases]
         return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most, condition, patterns)
 
     def _one_word(self) -> bool:

@@ -11,7 +11,7 @@ from collections.abc import Mapping as Dict
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.errors import QueryError
@@ -125,10 +125,24 @@ class Index:
         found = {(r["field"], r["term"]): r["df"] for r in rows.collect()}
         return {p: found[p] for p in pairs if p in found}
 
-    def resolve(self, field: str, matches: Column) -> list[str] | None:
-        """The terms of ``field`` that match, or None when there are more than ``RESOLVED_TERMS``."""
-        found = self.first_terms(field, matches, RESOLVED_TERMS + 1)
-        return found if len(found) <= RESOLVED_TERMS else None
+    def resolve(self, patterns: list[tuple[str, Column]]) -> list[list[str] | None]:
+        """For each (field, test of the term) the terms that match, or None when there are more than ``RESOLVED_TERMS``.
+
+        One pass over the vocabulary, whatever the number of patterns; no task sends more than that many terms each."""
+        if not patterns:
+            return []
+        most = RESOLVED_TERMS + 1
+        if len(patterns) == 1:
+            found = [self.first_terms(*patterns[0], most)]
+        else:
+            tests = [F.when((F.col("field") == name) & matches, F.lit(i)) for i, (name, matches) in enumerate(patterns)]
+            rows = self.terms.filter(F.col("field").isin(sorted({name for name, _ in patterns})))
+            rows = rows.select("term", F.explode(F.array_compact(F.array(*tests))).alias("i"))
+            rank = F.row_number().over(Window.partitionBy("i").orderBy("term"))
+            found = [[] for _ in patterns]
+            for r in rows.withColumn("rank", rank).filter(F.col("rank") <= most).collect():
+                found[r["i"]].append(r["term"])
+        return [terms if len(terms) < most else None for terms in found]
 
     def first_terms(self, field: str, matches: Column, n: int) -> list[str]:
         """The first ``n`` matching terms in term order: one pass, at most ``n`` terms from any task."""

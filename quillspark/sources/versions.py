@@ -406,6 +406,55 @@ class IndexDirectory:
         self._write_terms(index.terms.select("field", "term", "df", "cf"), since, n)
         return self._commit(replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n]), None)
 
+    def compact(self, batches: list[int]) -> int:
+        """Fold some batches into one, without their deleted documents, and commit; the others are not read.
+
+        Deletes that no older batch is left for are forgotten. The vocabulary is summed up, as it is after any change."""
+        since = self._require()
+        chosen = [b for b in since.batches if b in set(batches)]
+        if not chosen:
+            return since.version
+        n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
+        part = self._index(replace(since, batches=chosen))
+        self._write_docs(part.docs, since, n)
+        self._write_postings(part.postings, since, n)
+        self._write_terms(self._index(since).terms.select("field", "term", "df", "cf"), since, n)
+        rest = [b for b in since.batches if b not in chosen]
+        deletes = [d for d in since.deletes if any(b < d for b in rest)]
+        return self._commit(replace(since, version=since.version + 1, batches=[*rest, n], deletes=deletes, terms=[n]), None)
+
+    def small_batches(self, most_docs: int) -> list[int]:
+        """The batches of the current version with at most so many documents, deleted ones included."""
+        v = self._require()
+        rows = self._read("docs", v.batches, T.StructType([T.StructField("batch", T.LongType())]))
+        counts = rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= most_docs)
+        return sorted(r["batch"] for r in counts.select("batch").collect())
+
+    def expire(self, keep_versions: int) -> list[str]:
+        """Delete the folders and rows that none of the last versions needs, and return the folders' names.
+
+        Opened indexes of older versions stop working, and so must no change be running."""
+        latest = self._require().version
+        kept = [self._require(n) for n in range(max(0, latest - keep_versions + 1), latest + 1)]
+        used = {("docs", b) for v in kept for b in v.batches} | {("postings", b) for v in kept for b in v.batches}
+        used |= {("deletes", d) for v in kept for d in v.deletes} | {("terms", t) for v in kept for t in v.terms}
+        _, system = self._file(0)
+        gone = []
+        for table in ("docs", "postings", "deletes", "terms"):
+            top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
+            for status in system.listStatus(top) if system.exists(top) else ():
+                name = status.getPath().getName()
+                if name.startswith("batch=") and (table, int(name[6:])) not in used:
+                    system.delete(status.getPath(), True)
+                    gone.append(f"{table}/{name}")
+        first = kept[0].version
+        while not self._row(first)["whole"]:
+            first -= 1
+        for n in range(first):
+            path, _ = self._file(n)
+            system.delete(path, False)
+        return gone
+
     def has_stream_batch(self, stream: str, batch: int) -> bool:
         """Whether this micro-batch, or a later one of its stream, is committed already."""
         return self._require().streams.get(stream, -1) >= batch

@@ -158,6 +158,32 @@ def test_a_delete_reads_the_deleted_documents_only(spark, tmp_path, monkeypatch)
     assert vocabulary(directory.open()) == vocabulary(rest) and directory.open().counts == rest.counts
 
 
+def test_compaction_of_chosen_batches_and_expiry(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    for i in range(4):
+        directory.append(notes(spark, *[(10 * i + j, f"word t{j}", f"body {i}", f"s{j}", j) for j in range(4 - i)]))
+    directory.delete("slug", "s1")
+    directory.upsert(notes(spark, (0, "word new", "b", "s9", 9)))
+    before = directory.open()
+    small = directory.small_batches(2)
+    old = directory._require()
+    assert len(small) == 3 and set(small) < set(old.batches)
+    version = directory.compact(small)
+    new, after = directory._require(), directory.open()
+    assert [b for b in new.batches if b in old.batches] == [b for b in old.batches if b not in small]
+    assert postings(after) == postings(before) and vocabulary(after) == vocabulary(before) and after.counts == before.counts
+    assert top_k(after, "word").collect() == top_k(before, "word").collect()
+    directory.compact(new.batches)
+    assert directory._require().deletes == [] and postings(directory.open()) == postings(before)
+    gone = directory.expire(1)
+    assert {f"docs/batch={b}" for b in old.batches} <= set(gone)
+    assert postings(directory.open()) and directory.open().counts[0] == 7
+    with pytest.raises(FileNotFoundError):
+        directory.open(version)
+    directory.append(notes(spark, (99, "word", "b", "s", 1)))
+    assert directory.open().n_docs == 8
+
+
 def test_the_log_is_read_from_the_last_whole_row(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(versions, "SNAPSHOT_EVERY", 3)
     directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
