@@ -7,7 +7,7 @@ fitted by a bounded knapsack over the sizes left. Which documents of a size are
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -122,16 +122,18 @@ def mix(
     counted = rows.groupBy("key", "size", "part").agg(F.count("*").alias("n"))
     wanted = targets(rows, weights, share, most)
 
-    def choose(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        counts = {int(s): int(n) for s, n in zip(frame["size"], frame["n"], strict=True) if s > 0}
-        total, target = sum(s * n for s, n in counts.items()), float(frame["target"].iloc[0])
+    def choose(histogram: pa.Table) -> pa.Table:
+        pairs = zip(histogram["size"].to_pylist(), histogram["n"].to_pylist(), strict=True)
+        counts = {s: n for s, n in pairs if s > 0}
+        total, target = sum(s * n for s, n in counts.items()), histogram["target"][0].as_py()
         passes = min(most, int(target // total)) if total else 0
         extra = fit(counts, round(target) - passes * total) if passes < most else {}
-        taken = {"size": list(counts), "passes": passes, "extra": [extra.get(s, 0) for s in counts]}
-        return pd.DataFrame({"key": [key[0]] * len(counts), **taken})
+        columns = ([histogram["key"][0].as_py()] * len(counts), list(counts), [passes] * len(counts), [extra.get(s, 0) for s in counts])
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64())
+        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["key", "size", "passes", "extra"])
 
     histogram = counted.groupBy("key", "size").agg(F.sum("n").alias("n")).join(wanted, "key")
-    chosen = histogram.groupBy("key").applyInPandas(choose, "key string, size long, passes int, extra long")
+    chosen = histogram.groupBy("key").applyInArrow(choose, "key string, size long, passes int, extra long")
     earlier = W.partitionBy("key", "size").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     parts = counted.withColumn("earlier", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     plan = parts.join(chosen, ["key", "size"], "left").join(wanted.drop("source"), "key")
