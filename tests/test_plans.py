@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillspark.mapping import Mapping
 from quillspark.operators import aggs as a
-from quillspark.operators.search import search, top_k
+from quillspark.operators.search import highlight_all, search, top_k
 from quillspark.plans import query as q
 from quillspark.plans.compile import compile_query, matches
 from quillspark.sources import tables
@@ -124,3 +124,24 @@ def test_a_keyword_scope_is_a_filter(index):
     frame = a.aggregate(index, {"n": a.sum_("n")}, query=asked)["metrics"]
     assert "Join" not in plan(frame) and "EqualTo(kind,k1)" in plan(frame)
     assert frame.first()["n"] == sum(i for i in range(50) if i % 3 == 1)
+
+
+def test_texts_that_exist_are_found_in_the_documents_without_a_shuffle(index):
+    frame = matches(q.Exists("body"), index)
+    assert exchanges(frame) == 0 and "positions" not in plan(frame) and frame.count() == 200
+
+
+def test_hits_are_read_from_their_own_directories(index):
+    for frame in (highlight_all(index, "rare", "body", ("body",)), a.scope(index, "rare", ("body",))):
+        assert "dynamicpruning" in plan(frame) and frame.count() == 10
+
+
+def test_patterns_of_a_query_share_one_pass(index, monkeypatch):
+    asked = []
+    resolve = type(index).resolve
+    monkeypatch.setattr(type(index), "resolve", lambda self, patterns: asked.append(len(patterns)) or resolve(self, patterns))
+    query = [("should", q.Prefix("body", "w")), ("should", q.Fuzzy("body", "rere", 1)), ("should", q.Regex("body", "com.*"))]
+    found = matches(q.as_query(query), index)
+    assert asked == [3] and found.count() == 200
+    scores = {r["score"] for r in found.collect()}
+    assert scores == {2.0, 3.0}
