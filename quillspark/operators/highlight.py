@@ -14,7 +14,6 @@ from quillspark.functions.analysis import (
     TOO_LONG_BYTES,
     WORD,
     has_builtin_stemmer,
-    is_stemmed,
     let,
     stem_words_udf,
 )
@@ -126,7 +125,3 @@ def snippet(text: Column, frequencies: dict[str, int], analyzer: str = "default"
 
     return F.coalesce(let(_pieces(text, analyzer), best), F.lit(""))
 
-
-def can_highlight(analyzer: str) -> bool:
-    """A field stemmed by a caller's map has no per-row stemmer to find its tokens with."""
-    return not is_stemmed(analyzer) or has_builtin_stemmer(analyzer)

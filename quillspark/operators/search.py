@@ -111,8 +111,9 @@ def snippet_map(index: Index, fields: tuple[str, ...], words: Dict[str, Dict[str
         if not index.mapping.has(name):
             continue
         f = index.mapping.field(name)
-        shown = f.stored and f.type in ("text", "string") and hl.can_highlight(f.analyzer)
-        entries += [F.lit(name), hl.snippet(F.col(f"`{name}`"), words.get(name, {}), f.analyzer) if shown else F.lit("")]
+        shown = f.stored and f.type in ("text", "string")
+        snippet = hl.snippet(F.col(f"`{name}`"), *index.surface_words(name, words.get(name, {}))) if shown else F.lit("")
+        entries += [F.lit(name), snippet]
     if not entries:
         return F.create_map().cast("map<string,string>")
     return F.create_map(*entries)
@@ -121,9 +122,9 @@ def snippet_map(index: Index, fields: tuple[str, ...], words: Dict[str, Dict[str
 def highlight_all(index: Index, query: str | Query | list, field: str, fields: tuple[str, ...] = ()) -> DataFrame:
     """``(key, highlight)`` of every hit, whole field, for result sets of any size."""
     key = index.mapping.key
-    f = index.field(field)
     compiled = compile_query(as_query(query, fields), index)
-    marked = hl.whole_field(F.col(f"`{field}`"), sorted(compiled.words.get(field, {})), f.analyzer)
+    words, analyzer = index.surface_words(field, compiled.words.get(field, {}))
+    marked = hl.whole_field(F.col(f"`{field}`"), sorted(words), analyzer)
     return index.docs_of(compiled.keys(key), "left_semi").select(key, marked.alias("highlight"))
 
 

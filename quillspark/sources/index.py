@@ -185,3 +185,15 @@ class Index:
         rows = self.stem_maps[analyzer].filter(F.col("term").isin(*words)).collect()
         stems = {r["term"]: r["stem"] for r in rows}
         return [[(stems.get(t, t), p) for t, p in tokens] for tokens in found]
+
+    def surface_words(self, name: str, frequencies: Dict[str, int]) -> tuple[dict[str, int], str]:
+        """The words to look for in a text of this field, by the frequency of their term, and the analyzer that finds them:
+        for a field stemmed by a caller's map, all words that the map sends to one of the terms."""
+        analyzer = self.field(name).analyzer
+        if analyzer not in self.stem_maps or not frequencies:
+            return dict(frequencies), analyzer
+        terms = list(frequencies)
+        rows = self.stem_maps[analyzer].filter(F.col("stem").isin(terms) | F.col("term").isin(terms)).collect()
+        elsewhere = {r["term"] for r in rows}
+        words = {t: df for t, df in frequencies.items() if t not in elsewhere}
+        return words | {r["term"]: frequencies[r["stem"]] for r in rows if r["stem"] in frequencies}, "default"

@@ -219,3 +219,14 @@ def test_batch_search_is_search_in_bulk(spark):
         for i, text in enumerate(asked):
             mine = [(r["doc_id"], r["score"]) for r in found if r["query_id"] == i]
             assert mine == [tuple(r) for r in top_k(index, text, limit=3).collect()], (many, text)
+
+
+def test_fields_stemmed_by_a_map_are_highlighted(spark):
+    mapping = Mapping.build([("t", "text", {"stored": True, "tokenizer": "fr_stem"})])
+    rows = spark.createDataFrame([(0, "les chevaux"), (1, "un cheval & un chat"), (2, "chats")], "doc_id bigint, t string")
+    words = [("chevaux", "cheval"), ("cheval", "cheval"), ("chats", "chat")]
+    index = Index.in_memory(rows, mapping, {"fr_stem": spark.createDataFrame(words, "term string, stem string")})
+    marked = {r["doc_id"]: r["highlight"] for r in highlight_all(index, "chevaux", "t").collect()}
+    assert marked == {0: "les <b>chevaux</b>", 1: "un <b>cheval</b> &amp; un chat"}
+    found = {r["doc_id"]: r["highlights"]["t"] for r in search(index, "chat", highlight=("t",)).collect()}
+    assert found[1].endswith("un <b>chat</b>") and found[2] == "<b>chats</b>"
