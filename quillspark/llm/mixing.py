@@ -118,9 +118,9 @@ def mix(
     )
     rows = rows.withColumn("key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("null")))
     rows = rows.withColumn("draw", F.xxhash64(F.lit(seed), "name")).withColumn("part", F.pmod("draw", F.lit(SALTS)).cast("int"))
-    rows = written(rows, "mix-rows")
-    counted = rows.groupBy("key", "size", "part").agg(F.count("*").alias("n"))
-    wanted = targets(rows, weights, share, most)
+    sizes = written(rows.select("key", "source", "size", "part"), "mix-sizes")  # without the documents themselves
+    counted = sizes.groupBy("key", "size", "part").agg(F.count("*").alias("n"))
+    wanted = targets(sizes, weights, share, most)
 
     def choose(histogram: pa.Table) -> pa.Table:
         pairs = zip(histogram["size"].to_pylist(), histogram["n"].to_pylist(), strict=True)

@@ -164,20 +164,34 @@ def judge(
     Labels are rows of (id, ``label`` 0 or 1); ids without a label, labels without a document and null labels take no
     part, an id with several labels counts once for each. Thresholds are chosen among documents that pass the base
     rules. Null strata are one stratum. Empty tables: empty, or no cutoffs. Texts are read once and not shuffled."""
+    rows = written(_measured_rows(docs, id_col, text_col, stratum, keep), "quality-counts")
+    return _judged(rows, _cutoffs(rows, labels, id_col, label))
+
+
+def _measured_rows(docs: DataFrame, id_col: str, text_col: str, stratum: Column, keep: list[str]) -> DataFrame:
     name = F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit("null")).alias("stratum")
-    rows = written(measured(docs, text_col, [F.struct(*keep).alias("doc"), F.col(id_col).alias("id"), name]), "quality-counts")
+    return measured(docs, text_col, [F.struct(*keep).alias("doc"), F.col(id_col).alias("id"), name])
+
+
+def _cutoffs(rows: DataFrame, labels: DataFrame, id_col: str, label: str) -> DataFrame:
     marked = labels.select(F.col(id_col).alias("id"), (F.col(label) == 1).alias("good")).filter("good is not null")
-    cutoffs = written(choose_cutoffs(rows.drop("doc").filter("not base_failed").join(marked, "id")), "quality-cutoffs")
+    return written(choose_cutoffs(rows.drop("doc").filter("not base_failed").join(marked, "id")), "quality-cutoffs")
+
+
+def _judged(rows: DataFrame, cutoffs: DataFrame) -> DataFrame:
     judged = rows.join(cutoffs, "stratum", "left")
-    breaks = [
-        F.coalesce(1000 * F.col(a) > F.col(f"max_{rule}") * F.col(b), F.lit(False)) for rule, (a, b) in RULES.items()
-    ]
-    rejected = breaks[0]
-    for b in breaks[1:]:
-        rejected = rejected | b
+    rejected = F.lit(False)
+    for rule, (a, b) in RULES.items():
+        rejected = rejected | F.coalesce(1000 * F.col(a) > F.col(f"max_{rule}") * F.col(b), F.lit(False))
     return judged.withColumn("kept", ~F.col("base_failed") & ~rejected)
 
 
-def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum: Column) -> DataFrame:
-    """The rows of ``docs`` that all rules keep; the columns stay."""
-    return judge(docs, labels, id_col, text_col, stratum, docs.columns).filter("kept").select("doc.*")
+def kept_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, stratum: Column, label: str = "quality"
+) -> DataFrame:
+    """The rows of ``docs`` that all rules keep; the columns stay. Texts are read twice, for the cutoffs and to apply them,
+    so that no copy of them is written."""
+    rows = written(_measured_rows(docs, id_col, text_col, stratum, [id_col]), "quality-counts")
+    cutoffs = _cutoffs(rows, labels, id_col, label)
+    whole = _measured_rows(docs, id_col, text_col, stratum, docs.columns)
+    return _judged(whole, cutoffs).filter("kept").select("doc.*")
