@@ -5,7 +5,9 @@ bins are filled by optimal densification: each asks other bins, in an order of i
 bins are bucket keys. In a bucket every text is a candidate of one hub only, and of its hubs it takes the one it meets
 in most buckets, so there is at most one star edge per text. Links are confirmed on full shingle sets. Where a bucket
 still holds several components after that, its texts outside the largest one are compared with all its texts, again on
-full sets and inside the task, so that no link in a bucket is lost and no pairs are listed.
+full sets and inside the task, so that no link in a bucket is lost and no pairs are listed. Both sides are dealt to
+blocks, and each two blocks meet once. In a bucket of more than one block, texts that cannot be linked with any other
+are known before by their rarest shingles, and stay out.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from quillspark.llm.common import written
 from quillspark.llm.graph import components
 
 BATCH_ROWS = 500
-#: Texts of one bucket that meet in one task; larger buckets are dealt to several.
+#: Texts of one bucket that meet in one task, on either side; larger buckets are dealt to several.
 BLOCK_ROWS = 2048
+#: About so many texts, and at most so many of their shingles, tell which shingles are frequent. Results do not depend on it.
+ORDERING_TEXTS, ORDERING_SHINGLES = 1024, 1 << 18
 
 BINS_LOG = 7
 BINS = 1 << BINS_LOG
@@ -163,8 +167,117 @@ def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
     return pairs.select("a", "za", "b", "zb").mapInArrow(each, "a long, b long")
 
 
+def _shingles(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``shingle``, once for every text that has it, for rows ``z``."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for z in batch.column(0):
+                shingles = shingle_set(open_(z.as_py()), settings.words)
+                yield pa.RecordBatch.from_arrays([pa.array(shingles.view(np.int64))], names=["shingle"])
+
+    return texts.select("z").mapInArrow(each, "shingle long")
+
+
+def _prefixes(texts: DataFrame, frequent, settings: Settings) -> DataFrame:
+    """The rarest shingles of each text (``id``, ``root``, ``z``), in one order for all texts: ``shingle``, ``id``,
+    ``root``, ``size`` of the set, shingles ``left`` from here on, and ``short``, whether it is in the shorter prefix.
+
+    Let a link be of x and y, x not larger, and w their first common shingle. All they have in common lies in what is
+    left of each from w on, and is at least percent of y and 2 percent / (100 + percent) of x; so w is in the longer
+    prefix of y and in the shorter one of x."""
+    percent = settings.percent
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_ = zstandard.ZstdDecompressor().decompress
+        known, counts = frequent.value
+        for batch in batches:
+            for id_, root, z in zip(*batch.columns, strict=True):
+                shingles = shingle_set(open_(z.as_py()), settings.words)
+                size = len(shingles)
+                weight = np.zeros(size, np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+                    weight = np.where(known[at] == shingles, counts[at], 0)
+                long = size + percent * size // -100 + 1
+                short = size + 2 * percent * size // -(100 + percent) + 1
+                taken = shingles[np.lexsort((shingles, weight))[:long]]
+                places = np.arange(len(taken))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(taken.view(np.int64)),
+                        pa.array(np.full(len(taken), id_.as_py())),
+                        pa.array(np.full(len(taken), root.as_py())),
+                        pa.array(np.full(len(taken), size)),
+                        pa.array(size - places),
+                        pa.array(places < short),
+                    ],
+                    names=["shingle", "id", "root", "size", "left", "short"],
+                )
+
+    schema = "shingle long, id long, root long, size long, left long, short boolean"
+    return texts.select("id", "root", "z").mapInArrow(each, schema)
+
+
+def _linkable(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
+    """``id`` of all ``members`` (``id``, ``root``) that may be linked with one of another root; the others are not."""
+    spark = members.sparkSession
+    own = written(members.join(texts, "id"), "neardup-crowded")
+    step = -(-own.count() // ORDERING_TEXTS)
+    some = _shingles(own.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, step))) == 0), settings)
+    often = some.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1")
+    often = often.orderBy(F.col("n").desc(), "shingle").limit(ORDERING_SHINGLES).collect()
+    known = np.array([r["shingle"] for r in often], np.int64).view(np.uint64)
+    order = np.argsort(known)
+    frequent = spark.sparkContext.broadcast((known[order], np.array([r["n"] for r in often], np.int64)[order]))
+    rows = written(_prefixes(own, frequent, settings), "neardup-prefixes")
+    short = F.when(F.col("short"), F.struct("root", "size"))
+    groups = rows.groupBy("shingle").agg(
+        F.min("root").alias("lowest"),
+        F.max("root").alias("highest"),
+        F.min(short["root"]).alias("short_lowest"),
+        F.max(short["root"]).alias("short_highest"),
+        F.min(short["size"]).alias("smallest"),
+        F.max(short["size"]).alias("largest"),
+    )
+    groups = written(groups.filter("lowest < highest and short_lowest is not null"), "neardup-shared")
+    p = settings.percent
+    as_smaller = "short and (root != lowest or root != highest)"
+    as_larger = (
+        f"(root != short_lowest or root != short_highest) and smallest <= size and 100 * largest >= {p} * size "
+        f"and 100 * {100 + p} * left >= {p} * (greatest(100 * smallest, {p} * size) + 100 * size)"
+    )
+    return written(rows.join(groups, "shingle").filter(f"({as_smaller}) or ({as_larger})").select("id").distinct(), "neardup-linkable")
+
+
+def _dealt(unsettled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the comparisons in buckets (``bucket``, ``id``, ``root``, ``largest``, ``z``; ``n`` texts, ``outside``
+    of them not in the largest component), by ``bucket``, ``block`` and ``part``.
+
+    Texts outside the largest component are dealt to the first blocks and the others to further ones, of about
+    ``BLOCK_ROWS``; a small bucket is one block. A part asks its own block and all that follow."""
+    parts, blocks = (F.ceil(c / BLOCK_ROWS).cast("int") for c in (F.col("outside"), F.col("n") - F.col("outside")))
+    single, outside = F.col("n") <= BLOCK_ROWS, F.col("root") != F.col("largest")
+    hashed = F.xxhash64("id")
+    block = F.when(single, 0).when(outside, F.pmod(hashed, parts)).otherwise(parts + F.pmod(hashed, blocks)).cast("int")
+    rows = unsettled.select("bucket", "id", "root", "z", outside.alias("outside"), block.alias("block"),
+                            F.when(single, 0).otherwise(parts - 1).alias("last_part"),
+                            F.when(single, 0).otherwise(parts + blocks - 1).alias("last_block"))
+    meets = F.explode(F.sequence(F.lit(0), F.least("block", "last_part"))).alias("part")
+    index = rows.filter("last_part >= 0").select("bucket", "block", meets, "id", "root", "outside", "z")
+    asked = rows.filter("outside").select(
+        F.col("bucket").alias("of_bucket"),
+        F.explode(F.sequence("block", "last_block")).alias("of_block"),
+        F.col("block").alias("of_part"),
+        *(F.col(c).alias(f"asked_{c}") for c in ("id", "root", "z")),
+    )
+    return index, asked
+
+
 def _resolve(settings: Settings):
-    """Links between texts of one bucket in different components: every asked text against every text of the block."""
+    """Links between texts of one bucket in different components: every asked text against every text of the block. Where
+    a part meets its own block, of two asked texts the one with the larger id asks."""
 
     def search(key: tuple, block: pa.Table, asked: pa.Table) -> pa.Table:
         links_a, links_b = [], []
@@ -172,6 +285,7 @@ def _resolve(settings: Settings):
             open_ = zstandard.ZstdDecompressor().decompress
             sets = [shingle_set(open_(z), settings.words) for z in block["z"].to_pylist()]
             ids, roots = block["id"].to_numpy(), block["root"].to_numpy()
+            once = block["outside"].to_numpy(zero_copy_only=False) if key[1] == key[2] else np.zeros(len(ids), bool)
             sizes = np.array([len(s) for s in sets])
             everything = np.concatenate(sets)
             order = np.argsort(everything, kind="stable")
@@ -191,7 +305,8 @@ def _resolve(settings: Settings):
                 # all places lo..hi of all shingles in a row
                 places = np.repeat(hi - np.cumsum(length), length) + np.arange(length.sum())
                 common = np.bincount(owner[places], minlength=len(sets))
-                near = np.flatnonzero(similar(common, sizes, len(mine), settings.percent) & (roots != root))
+                other = (roots != root) & (~once | (ids < a))
+                near = np.flatnonzero(similar(common, sizes, len(mine), settings.percent) & other)
                 for i in near:
                     one, two = lead(root), lead(int(roots[i]))
                     if one != two:
@@ -238,17 +353,17 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
     labelled = labelled.select("bucket", "n", F.col("rep").alias("id"), F.coalesce("root", "rep").alias("root"))
     by_root = labelled.groupBy("bucket", "root").agg(F.count("*").alias("size"))
     open_buckets = by_root.groupBy("bucket").agg(F.count("*").alias("roots"), F.max(F.struct("size", "root")).alias("top"))
-    open_buckets = open_buckets.filter("roots > 1").select("bucket", F.col("top.root").alias("largest"))
-    unsettled = written(labelled.join(open_buckets, "bucket"), "neardup-unsettled")
-    unsettled = unsettled.join(texts, "id")
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    index = unsettled.select("bucket", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), "id", "root", "z")
-    asked = unsettled.filter("root != largest").select(
-        F.col("bucket").alias("of_bucket"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("of_block"),
-        *(F.col(c).alias(f"asked_{c}") for c in ("id", "root", "z")),
-    )
-    found = index.groupBy("bucket", "block").cogroup(asked.groupBy("of_bucket", "of_block"))
+    open_buckets = open_buckets.filter("roots > 1").select("bucket", F.col("top.root").alias("largest"), F.col("top.size").alias("size"))
+    unsettled = labelled.join(open_buckets, "bucket").withColumn("outside", F.col("n") - F.col("size")).drop("size")
+    unsettled = written(unsettled, "neardup-unsettled")
+    crowded = unsettled.filter(F.col("n") > BLOCK_ROWS)
+    if not crowded.isEmpty():
+        linkable = _linkable(crowded.select("id", "root").distinct(), texts, settings)
+        crowded = written(crowded.drop("n", "outside").join(linkable, "id", "left_semi"), "neardup-crowded")
+        sizes = crowded.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if(F.col("root") != F.col("largest")).alias("outside"))
+        unsettled = unsettled.filter(F.col("n") <= BLOCK_ROWS).unionByName(crowded.join(sizes, "bucket"))
+    index, asked = _dealt(unsettled.join(texts, "id"))
+    found = index.groupBy("bucket", "block", "part").cogroup(asked.groupBy("of_bucket", "of_block", "of_part"))
     more = written(found.applyInArrow(_resolve(settings), "a long, b long"), "neardup-links")
     final = components(star.union(more))
 

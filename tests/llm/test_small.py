@@ -297,6 +297,63 @@ def test_near_duplicates_in_chains(spark, monkeypatch):
     assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in out if r["kept"]}
 
 
+def test_near_duplicates_in_bounded_groups(spark, monkeypatch, tmp_path):
+    """A family below the limit, one of pairs above it, and one around it: no task gets more than a block on either side."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 16)
+    plain, kept = neardup._resolve, neardup._dealt
+
+    def watched(settings):
+        search = plain(settings)
+
+        def noted(key, block, asked):
+            with open(f"{tmp_path}/{'-'.join(str(k) for k in key)}", "w") as f:
+                f.write(f"{len(block)} {len(asked)}")
+            return search(key, block, asked)
+
+        return noted
+
+    reached = []
+    monkeypatch.setattr(neardup, "_resolve", watched)
+    monkeypatch.setattr(neardup, "_dealt", lambda unsettled: reached.append(unsettled) or kept(unsettled))
+    rng = random.Random(8)
+    rows = []
+    for family, n, changes in (("a", 150, 6), ("b", 60, 3), ("c", 90, 2)):
+        base = [f"{family}{i}" for i in range(180)]
+        for i in range(n):
+            own = list(base)
+            for at in rng.sample(range(180), changes):
+                own[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own)))
+            if family == "b" and i % 2:
+                rows.append((len(rows), " ".join([*own, "end"])))
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = neardup.near_duplicates(docs, "doc_id", "text", neardup.Settings(5, 80)).collect()
+    assert some(out, "doc_id", "n_shingles", "component_id", "kept") == plain_components(rows, 5, 80)
+    met = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir()]
+    assert met and max(max(pair) for pair in met) <= 3 * 16
+    assert len({r["id"] for r in reached[0].filter("n > 16").select("id").collect()} & {i for i, t in rows if " a" in t}) <= 15
+
+
+@pytest.mark.parametrize(("n", "outside"), [(10, 9), (100, 30), (100, 100), (70, 64)])
+def test_blocks_meet_once(spark, monkeypatch, n, outside):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 16)
+    rows = [(1, i, i if i < outside else 1000, 1000, n, outside, b"") for i in range(n)]
+    frame = spark.createDataFrame(rows, "bucket long, id long, root long, largest long, n long, outside long, z binary")
+    index, asked = neardup._dealt(frame)
+    groups = defaultdict(lambda: ([], []))
+    for r in index.collect():
+        groups[r["block"], r["part"]][0].append(r)
+    for r in asked.collect():
+        groups[r["of_block"], r["of_part"]][1].append(r["asked_id"])
+    pairs = Counter()
+    for (block, part), (texts, asking) in groups.items():
+        for r in texts:
+            pairs.update((r["id"], a) for a in asking if block != part or not r["outside"] or r["id"] < a)
+    expected = Counter(frozenset((i, a)) for a in range(outside) for i in range(n) if i < a or i >= outside)
+    assert Counter(frozenset(p) for p in pairs.elements()) == expected
+
+
 def test_components(spark):
     rng = random.Random(6)
     links = [(i, i + 1) for i in range(60)] + [(100 + i, 100) for i in range(1, 40)] + [(5, 5)]
