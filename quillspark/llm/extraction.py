@@ -34,14 +34,20 @@ SELF_CLOSING = {"p": BLOCKS - {"p"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "
 SELF_CLOSING |= {"td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 CHROME = frozenset("nav footer aside form menu dialog".split())
-_CHROME_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|"
-    r"alert|popup|modal|overlay|side-?bar|menu|nav(?:bar|igation)?|breadcrumbs?|comments?|commentlist|disqus|repl(?:y|ies)|"
-    r"respond|share|sharing|social|related|recommended|footer|header|masthead|copyright|legal|login|signup|subscribe|"
-    r"newsletter|widget|toolbar|pagination|pager|skip|tags?|teaser|outbrain|taboola)(?:$|[\s_-])",
-    re.I,
+# Parts of class names and ids. Layout words count as whole names, behind a word of place or before one of content.
+_CHROME_NAMES = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner cookie cookies consent "
+    "gdpr notice alert popup breadcrumb breadcrumbs comment comments commentlist disqus reply replies respond share sharing social "
+    "related recommended copyright legal login signup subscribe newsletter pagination pager teaser outbrain taboola".split()
 )
-_MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.I)
+_LAYOUT_NAMES = frozenset(
+    "sidebar side-bar menu nav navbar navigation header masthead footer toolbar widget modal overlay skip tag tags".split()
+)
+_MAIN_NAMES = frozenset("article content main post entry story body text".split())
+_PLACES = frozenset("site page top bottom left right primary secondary global main sub mobile".split())
+#: Names that tell of a page's state, or of a wrapper, rather than of what is inside.
+_STATES = frozenset("with has no without hide show is".split())
+_WRAPS = frozenset("wrap wrapper container layout inner".split())
 _CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<![^>]*(?:>|$)|<\?[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)(?:>|$)", re.S)
@@ -55,7 +61,7 @@ class Element:
     name: str
     number: int
     parent: int
-    chrome: bool = False
+    chrome: int = 0
     main: bool = False
     hidden: bool = False
     link: bool = False
@@ -73,21 +79,55 @@ class Block:
     text: str = ""
 
 
+#: How firmly an element is chrome: a form or dialog may hold a page's content, a box named for its layout an article.
+LOOSE, LAYOUT, FIRM = 1, 2, 3
+
+
+def _named(label: str) -> tuple[int, bool]:
+    """Whether one class name or id tells of chrome, and how firmly, or else of content. Names that tell of both are chrome."""
+    parts = [p for p in re.split(r"[-_]+", label.lower().replace("side-bar", "sidebar")) if p]
+    if not parts or parts[0] in _STATES:
+        return 0, False
+    main = not _MAIN_NAMES.isdisjoint(parts)
+    wrapper = parts[0] in _MAIN_NAMES and parts[-1] in _WRAPS
+    if not wrapper and not _CHROME_NAMES.isdisjoint(parts):
+        return FIRM, False
+    kinds = [p for p in parts if p not in _PLACES and p not in _WRAPS]
+    while len(kinds) > 1 and kinds[0] in _LAYOUT_NAMES and kinds[-1] in _MAIN_NAMES:
+        kinds.pop()
+    if main and not wrapper and len(kinds) > 1 and kinds[-1] in _LAYOUT_NAMES - {"header"}:
+        return LAYOUT, False
+    if not wrapper and len(kinds) == 1 and kinds[0] in _LAYOUT_NAMES:
+        return LAYOUT, False
+    return 0, main
+
+
 def _opened(name: str, attributes: str, number: int, above: Element) -> Element:
+    """The nearest element that tells of chrome or of content decides; inside chrome, only the firmer signs of content do."""
     named: dict[str, str] = {}
     if attributes.strip():
         named = {k.lower(): (v or "").strip("\"'") for k, v in _NAMED.findall(attributes)}
-    label = f"{named.get('class', '')} {named.get('id', '')}"
-    main = name in ("article", "main") or named.get("role") == "main" or bool(named) and bool(_MAIN_NAMES.search(label))
-    chrome = name in CHROME or named.get("role", "").lower() in _CHROME_ROLES or bool(named) and bool(_CHROME_NAMES.search(label))
-    if name == "header" and not above.main:
-        chrome = True
-    if name in ("article", "main", "body", "html"):
-        chrome = False
+    told = [_named(label) for label in f"{named.get('class', '')} {named.get('id', '')}".split()]
+    role = named.get("role", "").lower()
+    chrome = max((firm for firm, _ in told), default=0)
+    if name in ("nav", "footer", "aside", "menu") or role in _CHROME_ROLES or name == "header" and not above.main:
+        chrome = FIRM
+    elif name in CHROME:
+        chrome = max(chrome, LAYOUT if above.main else LOOSE)
+    if name in ("main", "body", "html") or name == "article" and chrome < FIRM:
+        chrome = 0
+    # the firmest chrome around that an element can stand in and still be content
+    most = FIRM if name == "main" or role == "main" else LAYOUT if name == "article" else LOOSE if any(m for _, m in told) else -1
+    if chrome:
+        chrome, main = max(chrome, above.chrome), False
+    elif above.chrome <= most:
+        chrome, main = 0, True
+    else:
+        chrome, main = above.chrome, above.main
     hidden = name in HIDDEN or "hidden" in named or named.get("aria-hidden") == "true"
     hidden = hidden or "display:none" in named.get("style", "").replace(" ", "").lower()
     return Element(
-        name, number, above.number, above.chrome or chrome, above.main or main, above.hidden or hidden, above.link or name == "a"
+        name, number, above.number, chrome, main, above.hidden or hidden, above.link or name == "a"
     )
 
 
@@ -107,7 +147,7 @@ def blocks_of(page: str) -> list[Block]:
             if not piece.strip():
                 return
             holder = next((e for e in reversed(stack) if e.name in BLOCKS), stack[0])
-            current = Block(holder.number, holder.parent, holder.name, holder.chrome or top.chrome, holder.main)
+            current = Block(holder.number, holder.parent, holder.name, bool(holder.chrome or top.chrome), holder.main and not top.chrome)
             out.append(current)
         current.pieces.append(piece)
         if top.link:

@@ -419,6 +419,33 @@ def test_main_text():
     assert len(extraction.main_text(long).split("\n\n")) == 2001
 
 
+LONG = "This goes on for a good many words, as readers and sellers do when nobody stops them in time, and then " * 3 + "it ends."
+BOXES = """<aside>|<section id="comments">|<div class="comment-content">|<div class="comment-body">|<div class="cookie-text">
+<div class="footer-content">|<div class="entry-footer">|<div class="notice">|<div class="advert">|<nav>|<div role="complementary">
+<div class="comments"><div class="content">|<aside><div class="text">|<div class="sidebar">|<div class="site-footer">
+<article class="comment-body">|<aside><article>|<form>|<form class="comment-form">|<div class="widget text">""".replace("\n", "|").split("|")
+
+
+@pytest.mark.parametrize("around", ["<article>", "<main>", "<div class='post-content'>", "<main><article class='post tag-news'>", "<div>"])
+def test_long_boxes_are_not_main_text(around):
+    for box in BOXES:
+        page = f"<body>{around}<p>{LONG} One.</p>{box}<p>{LONG} Box.</p><p>{LONG} Box.</p>"
+        page += "".join(f"</{name}>" for name in reversed(re.findall(r"<(\w+)", box))) + f"<p>{LONG} Two.</p></body>"
+        if around == "<div>" and box == "<form>":
+            continue
+        assert extraction.main_text(page) == f"{LONG} One.\n\n{LONG} Two.", (around, box)
+
+
+@pytest.mark.parametrize("name", ["with-sidebar", "has-sidebar", "content with-sidebar", "no-comments", "content-sidebar-wrap", "post tag-news", "nav-open"])
+def test_wrappers_are_not_chrome(name):
+    short = "<p>Some words.</p><p>A few more words here.</p>"
+    assert extraction.main_text(f"<body><div class='{name}'><article>{short}</article></div></body>") == "Some words.\n\nA few more words here."
+    assert extraction.main_text(f"<body><div class='{name}'><p>{LONG}</p></div></body>") == LONG
+    assert extraction.main_text(f"<body><form id='aspnet'><div class='content'><p>{LONG}</p></div></form></body>") == LONG
+    header = "<article><header class='entry-header'><h1>A title</h1></header><p>" + LONG + "</p></article>"
+    assert extraction.main_text(header) == f"A title\n\n{LONG}"
+
+
 def test_minimum_cut_is_minimal():
     from itertools import product
 
