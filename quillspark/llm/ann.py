@@ -23,6 +23,8 @@ from quillspark.llm.common import written
 
 #: Rows of the index that one group holds, about; larger buckets are split among several groups.
 GROUP_ROWS = 4096
+#: About so many queries, at most, meet a group in one task.
+ASKED_ROWS = 4096
 #: Buckets that are split are at most so many; groups grow where there would be more.
 MOST_SPLIT = 200_000
 
@@ -149,7 +151,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_
     another than the most frequent dimension, or hold null or non-finite components take no part, nor do null ids.
     Repeated ids count once, with their best score. A query that finds fewer than ``k`` is compared with all vectors.
     Empty tables give an empty one. Every vector is in every table; buckets are dealt to groups of about
-    ``GROUP_ROWS`` rows, and buckets larger than that are split, so a vector that a third of all rows share is spread."""
+    ``GROUP_ROWS`` rows, and buckets larger than that are split, so a vector that a third of all rows share is spread. Queries
+    are dealt to parts of about ``ASKED_ROWS``, each of which meets a group in a task of its own."""
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter(F.col("id").isNotNull())
     asked = queries.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter(F.col("id").isNotNull())
@@ -243,15 +246,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_
 
     dealt_index = index.mapInArrow(dealt, f"t int, g long, code long, id long, v {kind}")
     visits = asked.mapInArrow(probing, f"t int, g long, id long, v {kind}, codes array<long>")
-    found = dealt_index.groupBy("t", "g").cogroup(visits.groupBy("t", "g")).applyInArrow(search, RESULT)
+    asked_parts = max(1, -(-asked.count() // ASKED_ROWS))
+    part = F.pmod(F.xxhash64("id"), F.lit(asked_parts)).cast("int").alias("part")
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(asked_parts - 1))).alias("part")
+    met = dealt_index.select("*", every_part).groupBy("t", "g", "part").cogroup(visits.select("*", part).groupBy("t", "g", "part"))
+    found = met.applyInArrow(search, RESULT)
     found = written(found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")), "ann-found")
     enough = found.groupBy("query_id").agg(F.count("*").alias("n")).filter(F.col("n") >= k)
     short = asked.join(enough, asked["id"] == enough["query_id"], "left_anti")
     if not short.isEmpty():
         block = F.pmod(F.xxhash64("id"), F.lit(groups))
         blocks = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long")))
-        everywhere = short.select(blocks.alias("g"), "id", "v")
-        whole = rows.select(block.alias("g"), "id", "v").groupBy("g").cogroup(everywhere.groupBy("g")).applyInArrow(search, RESULT)
+        everywhere = short.select(blocks.alias("g"), part, "id", "v").groupBy("g", "part")
+        whole = rows.select(block.alias("g"), every_part, "id", "v").groupBy("g", "part").cogroup(everywhere).applyInArrow(search, RESULT)
         found = found.union(whole).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

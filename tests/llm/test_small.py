@@ -392,6 +392,30 @@ def test_neighbours(spark, monkeypatch):
     assert hits >= 0.9 * 5 * 30
 
 
+@pytest.mark.parametrize("probes", [None, 1])
+def test_neighbours_of_many_queries(spark, monkeypatch, tmp_path, probes):
+    """No task gets many more queries than a part, among the buckets or (few probes) among all vectors; the result stays."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.standard_normal((400, 12)))]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(2)
+    settings = ann.Settings() if probes is None else ann.Settings(probes=probes)
+    monkeypatch.setattr(ann, "GROUP_ROWS", 1000)
+    asked = frame.filter("vec_id % 2 = 0")
+    expected = some(ann.nearest(frame, asked, 5, "vec_id", "embedding", settings).collect(), "query_id", "rank", "vec_id")
+
+    class Noted(ann.Best):
+        def table(self, names):
+            with open(f"{tmp_path}/{random.getrandbits(64)}", "w") as f:
+                f.write(str(len(names)))
+            return super().table(names)
+
+    monkeypatch.setattr(ann, "Best", Noted)
+    monkeypatch.setattr(ann, "ASKED_ROWS", 20, raising=False)
+    out = ann.nearest(frame, asked, 5, "vec_id", "embedding", settings).collect()
+    assert some(out, "query_id", "rank", "vec_id") == expected
+    assert 0 < max(int(f.read_text()) for f in tmp_path.iterdir()) <= 3 * 20
+
+
 def test_neighbours_in_tiny_tables(spark):
     frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.1]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<float>")
     out = ann.nearest(frame, frame.filter("vec_id = 0"), 5, "vec_id", "embedding").collect()
