@@ -112,3 +112,69 @@ summed AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind =
 SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(chosen, '') AS spans, coalesce(n_chosen, 0) AS n_spans, coalesce(live, 0) AS n_live, coalesce(common, 0) AS n_shared
 FROM src LEFT JOIN summed USING (rid)"""
+
+
+def merkle_sql(arity: int = 16) -> str:
+    """Both trees level by level; a proof is the other nodes of each run on the way up."""
+    field = lambda v: f"coalesce(strlen({v}) || ':' || {v}, '-')"
+    leaf = lambda text: " || ".join(field(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars", text))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def grown(name: str, leaves: str) -> str:
+        return f"""{name} AS (SELECT g, 0 AS level, pos, total, d FROM {leaves}
+  UNION ALL SELECT g, level + 1, pos // {arity}, (any_value(total) + {arity - 1}) // {arity}, sha256(string_agg(d, '' ORDER BY pos))
+  FROM {name} WHERE total > 1 GROUP BY g, level, pos // {arity})"""
+
+    def steps(name: str, tree: str, leaves: str) -> str:
+        """The siblings of each leaf's ancestors, level by level."""
+        return f"""{name} AS (SELECT l.g, l.pos, s.level,
+    coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos < l.pos // CAST(pow({arity}, s.level) AS BIGINT)), '') AS lefts,
+    coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (s.pos > l.pos // CAST(pow({arity}, s.level) AS BIGINT)), '') AS rights
+  FROM {leaves} l JOIN {tree} s ON s.g = l.g AND s.total > 1 AND s.pos // {arity} = l.pos // CAST(pow({arity}, s.level + 1) AS BIGINT)
+  GROUP BY l.g, l.pos, s.level)"""
+
+    return f"""WITH RECURSIVE crc_table AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce([i] || range(8), lambda a, b:
+    CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c FROM range(256) r(i))),
+hashed AS (SELECT doc_id, coalesce('=' || source, '') AS g, sha256({leaf("text")}) AS d, sha256({leaf(lower)}) AS lowered,
+    xor(4294967295, list_reduce([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda h, b: xor(h // 256, t[CAST(xor(h % 256, b) AS INT) + 1]))) AS crc FROM documents, crc_table),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, count(*) OVER (PARTITION BY g) AS total,
+    CASE WHEN crc % 5 = 0 THEN lowered ELSE d END AS seen FROM hashed),
+{grown("nodes", "leaves")},
+subroots AS (SELECT g AS source, '' AS g, d, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS total FROM nodes WHERE total = 1),
+{grown("tops", "subroots")},
+{steps("low", "nodes", "leaves")},
+{steps("high", "tops", "subroots")},
+low_lists AS (SELECT g, pos, list(lefts || '|' || rights ORDER BY level) AS p FROM low GROUP BY g, pos),
+high_lists AS (SELECT pos, list(lefts || '|' || rights ORDER BY level) AS p FROM high GROUP BY pos),
+proofs AS (SELECT l.doc_id, l.d AS leaf, l.seen, s.d AS subroot, (SELECT d FROM tops WHERE total = 1) AS root,
+    coalesce(a.p, []) || coalesce(b.p, []) AS proof
+  FROM leaves l JOIN subroots s ON s.source = l.g LEFT JOIN low_lists a ON a.g = l.g AND a.pos = l.pos LEFT JOIN high_lists b ON b.pos = s.pos),
+done AS (SELECT *, list_reduce([seen] || proof, lambda x, y: sha256(split_part(y, '|', 1) || x || split_part(y, '|', 2))) AS folded_root FROM proofs)
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(proof, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM done"""
+
+
+def collocations_sql(least: int, most: int, longest: int = 4) -> str:
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {n} AS k, unnest(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(list_slice(w, i, i + {n - 1}), ' '))) AS p FROM pieces WHERE len(w) >= {n}"
+        for n in range(1, longest + 1)
+    )
+    return f"""WITH src AS (SELECT coalesce(lang, 'und') AS lang, {lower} AS t FROM documents),
+cut AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM src),
+pieces AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM cut),
+counted AS (SELECT lang, k, p, count(*) AS f FROM ({grams}) GROUP BY lang, k, p),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE k = 1 GROUP BY lang),
+often AS (SELECT *, string_split(p, ' ') AS w FROM counted WHERE f >= {least}),
+cuts AS (SELECT lang, p, w, f, unnest(range(1, k)) AS i FROM often WHERE k > 1),
+parts AS (SELECT c.lang, c.p, c.f, c.i, x.f AS l, y.f AS r, CAST(2000000 * c.f::HUGEINT // (x.f + y.f) AS BIGINT) AS score FROM cuts c
+  JOIN often x ON x.lang = c.lang AND x.p = array_to_string(list_slice(c.w, 1, i), ' ')
+  JOIN often y ON y.lang = c.lang AND y.p = array_to_string(list_slice(c.w, i + 1, len(c.w)), ' ')),
+best AS (SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, i) = 1),
+inner_ AS (SELECT lang, k, f, w, unnest(range(2, k)) AS size FROM often WHERE k > 2),
+places AS (SELECT lang, k, f, w, size, unnest(range(1, k - size + 2)) AS i FROM inner_),
+covered AS (SELECT lang, array_to_string(list_slice(w, i, i + size - 1), ' ') AS p, max(f) AS longest FROM places GROUP BY ALL),
+kept AS (SELECT b.* FROM best b LEFT JOIN covered USING (lang, p) WHERE longest IS NULL OR 100 * longest::HUGEINT < 80 * b.f::HUGEINT)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, encode(p)) AS rank, p AS phrase, f AS a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= {most}"""
