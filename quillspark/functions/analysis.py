@@ -18,6 +18,8 @@ from quillspark.functions.stemming import stem_words, stem_words_udf
 WORD = r"[\p{IsAlphabetic}\p{N}]+"
 NON_BLANK = r"[^ \t\n\f\r]+"
 TOO_LONG_BYTES = 40
+# Slots of the frequent words whose pairs are kept.
+WORD_SLOTS = 4096
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,6 +99,37 @@ def grouped_entries(entries: Column) -> Column:
     return let(F.sort_array(entries), lambda s: F.when(F.size(s) > 0, runs(s)))
 
 
+def word_slots(spark: SparkSession, words: list[str]) -> list[str]:
+    """Words, each at the slot its hash says, so that one look tells whether a term is among them; of words that share a
+    slot the first stays. No job runs."""
+    if not words:
+        return []
+    rows = spark.createDataFrame(pa.table({"t": pa.array(words, pa.string())}))
+    slots = [""] * WORD_SLOTS
+    for r in rows.select("t", _slot(F.col("t")).alias("slot")).collect():
+        slots[r["slot"]] = slots[r["slot"]] or r["t"]
+    return slots
+
+
+def _slot(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(WORD_SLOTS)).cast("int")
+
+
+def pair_entries(entries: Column, slots: list[str]) -> Column:
+    """The pairs of adjacent terms that are both in ``slots``, as entries of one term with a blank in it, at the first's
+    position. ``entries`` are in the order of the text."""
+    table = F.split(F.lit("\n".join(slots)), "\n", -1)  # folds to one constant
+    mark = lambda e: F.struct(e["term"].alias("term"), e["pos"].alias("pos"), (F.get(table, _slot(e["term"])) == e["term"]).alias("in"))
+
+    def pairs(m: Column) -> Column:
+        after = lambda i: F.get(m, i + 1)
+        near = lambda i: F.get(m, i)["in"] & after(i)["in"] & (after(i)["pos"] == F.get(m, i)["pos"] + 1)
+        both = F.filter(F.sequence(F.lit(0), F.size(m) - 2), near)
+        return F.transform(both, lambda i: F.struct(F.concat_ws(" ", F.get(m, i)["term"], after(i)["term"]).alias("term"), F.get(m, i)["pos"].alias("pos")))
+
+    return F.when(F.size(entries) > 1, let(F.transform(entries, mark), pairs))
+
+
 def analyze_literals(spark: SparkSession, texts: list[str], analyzer: str) -> list[list[tuple[str, int]]]:
     """The (term, position) lists of query literals, by the expression that analysed the documents.
 

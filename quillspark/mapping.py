@@ -24,6 +24,8 @@ SPARK_TYPES: dict[str, T.DataType] = {
     "ip_addr": T.LongType(),
     "facet": T.StringType(),
 }
+#: The name of a field with this ending stands for its pairs of words.
+PAIRED = "+pairs"
 ANALYZERS = (
     "default", "raw", "whitespace", "en_stem", "fr_stem", "de_stem", "es_stem", "pt_stem", "it_stem", "nl_stem", "sv_stem",
     "no_stem", "da_stem", "fi_stem", "hu_stem", "ro_stem", "ru_stem", "tr_stem", "ar_stem", "ta_stem", "el_stem",
@@ -42,6 +44,9 @@ class Field:
     tokenizer: str = "default"
     # A u64 field whose values may exceed a bigint.
     wide: bool = False
+    # Whether an index in a directory keeps postings of adjacent frequent words, and a table of letters to terms.
+    pairs: bool = False
+    grams: bool = False
 
     @property
     def spark_type(self) -> T.DataType:
@@ -78,6 +83,10 @@ def _as_field(definition) -> Field:
         raise MappingError(f"invalid field type: {found.type}")
     if found.tokenizer not in ANALYZERS:
         raise MappingError(f"unknown tokenizer: {found.tokenizer}. Expected one of {', '.join(ANALYZERS)}")
+    if found.pairs and (found.type != "text" or found.tokenizer not in ("default", "whitespace")):
+        raise MappingError(f"pairs of words are kept for text that is not stemmed: {found.name}")
+    if found.name.endswith(PAIRED):
+        raise MappingError(f"no field name may end in {PAIRED}: {found.name}")
     if found.type == "string" and not (found.indexed or found.stored):
         raise MappingError(f"string field {found.name!r} must be indexed or stored")
     return found
@@ -132,6 +141,14 @@ class Mapping:
         """Fields searched when a query names none: every text and string field."""
         return [f.name for f in self.fields if f.in_postings]
 
+    @property
+    def paired(self) -> list[str]:
+        return [f.name for f in self.fields if f.pairs]
+
+    @property
+    def grammed(self) -> list[str]:
+        return [f.name for f in self.fields if f.grams and f.in_postings]
+
     @property
     def stored(self) -> list[str]:
         return [f.name for f in self.fields if f.stored]

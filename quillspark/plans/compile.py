@@ -29,6 +29,8 @@ from quillspark.functions import scoring
 from quillspark.functions.analysis import WORD, analyze_literals, has_tokens
 from quillspark.functions.distance import within_distance
 from quillspark.functions.values import typed_literal
+from quillspark.mapping import PAIRED
+from quillspark.plans import grams
 from quillspark.plans import query as q
 from quillspark.sources.index import Index
 
@@ -50,9 +52,12 @@ _UNSUPPORTED_REGEX = re.compile(r"\(\?<?[=!]|\\[1-9]|\\k<")
 
 @dataclass
 class _Phrase:
-    words: list[tuple[str, int]]
+    """``words`` are (field, term, offset) to be read, pairs of words among them; ``required`` those that every hit has."""
+
+    words: list[tuple[str, str, int]]
     scored: list[str]
-    offsets: int
+    required: list[tuple[str, str]]
+    offsets: list[int]
 
 
 @dataclass
@@ -88,9 +93,11 @@ class Compiler:
         self.scored: dict[int, dict[tuple[str, str], float]] = {}
         self.constant: dict[int, set[tuple[str, str]]] = {}
         self.phrases: dict[int, tuple[str, _Phrase]] = {}
-        # (leaf, offset, field, test of the term, whether the test is cheap enough for every posting)
-        self.patterns: list[tuple[int, int, str, Column, bool]] = []
-        self.pending: list[tuple[int, str, Column, bool]] = []
+        # A phrase that is one pair of words: leaf -> (field, pair, words)
+        self.pairs: dict[int, tuple[str, str, list[str]]] = {}
+        # (leaf, offset, field, test of the term, whether the test is cheap enough for every posting, what its pieces say)
+        self.patterns: list[tuple[int, int, str, Column, bool, grams.Filter | None]] = []
+        self.pending: list[tuple[int, str, Column, bool, grams.Filter | None]] = []
         self.conditions: dict[int, Column] = {}
         self.documents_only = False
 
@@ -122,20 +129,22 @@ class Compiler:
         f = self.index.field(name)
         return self.filter_only and f.type == "string" and f.in_docs
 
-    def _terms_matching(self, name: str, test: Callable[[Column], Column], cheap: bool = True) -> Node:
+    def _terms_matching(
+        self, name: str, test: Callable[[Column], Column], cheap: bool = True, pieces: grams.Filter | None = None
+    ) -> Node:
         """Documents with any term that passes; one point, however many terms do."""
         if self._in_documents(name):
             return self._condition(test(self._column(name)))
         leaf = self._leaf("constant")
-        self.pending.append((leaf, name, test(F.col("term")), cheap))
+        self.pending.append((leaf, name, test(F.col("term")), cheap, pieces))
         return self._node(leaf)
 
     def _resolve(self) -> None:
         """The terms of all patterns of the query, by one job; where there are too many, the pattern stays one."""
-        found = self.index.resolve([(name, matches) for _, name, matches, _ in self.pending])
-        for (leaf, name, matches, cheap), terms in zip(self.pending, found, strict=True):
+        found = self.index.resolve([(name, matches, pieces) for _, name, matches, _, pieces in self.pending])
+        for (leaf, name, matches, cheap, pieces), terms in zip(self.pending, found, strict=True):
             if terms is None:
-                self.patterns.append((leaf, 0, name, matches, cheap))
+                self.patterns.append((leaf, 0, name, matches, cheap, pieces))
             else:
                 self.constant[leaf] = {(name, t) for t in terms}
 
@@ -193,9 +202,30 @@ class Compiler:
         self.scored[leaf] = words
         return self._node(leaf)
 
+    def _phrase_parts(self, name: str, words: list[tuple[str, int]]) -> list[tuple[str, str, int]]:
+        """(field, term, offset) that together make a phrase: of frequent words the pairs that are kept, in steps of two
+        words, all others by themselves."""
+        often = self.index.paired.get(name, frozenset())
+        joined = [
+            i for i, ((a, at), (b, after)) in enumerate(zip(words, words[1:])) if after == at + 1 and a in often and b in often
+        ]
+        parts, covered = [], set()
+        for i in joined:
+            last = i + 1 not in joined
+            if i not in covered or (last and i + 1 not in covered):
+                parts.append((name + PAIRED, f"{words[i][0]} {words[i + 1][0]}", words[i][1]))
+                covered |= {i, i + 1}
+        return parts + [(name, w, at) for i, (w, at) in enumerate(words) if i not in covered]
+
     def _phrase(self, name: str, words: list[tuple[str, int]]) -> Node:
+        parts, scored = self._phrase_parts(name, words), [w for w, _ in words]
+        if len(parts) == 1 and len(words) == 2:
+            # Its postings are those of a word.
+            leaf = self._leaf("sum")
+            self.pairs[leaf] = (name, parts[0][1], scored)
+            return self._node(leaf)
         leaf = self._leaf("phrase")
-        self.phrases[leaf] = (name, _Phrase(words, [w for w, _ in words], len(words)))
+        self.phrases[leaf] = (name, _Phrase(parts, scored, [p[:2] for p in parts], sorted({at for *_, at in parts})))
         return self._node(leaf)
 
     def _phrase_prefix(self, query: q.PhrasePrefix) -> Node:
@@ -204,13 +234,14 @@ class Compiler:
         if not fixed:
             return self._terms_matching(query.field, lambda t: t.startswith(last))
         leaf = self._leaf("phrase")
-        words = [(w, i) for i, w in enumerate(fixed)]
-        at = len(fixed)
+        words = self._phrase_parts(query.field, [(w, i) for i, w in enumerate(fixed)])
+        required, at = [p[:2] for p in words], len(fixed)
         if query.max_expansions is None:
-            self.patterns.append((leaf, at, query.field, starts, True))
+            self.patterns.append((leaf, at, query.field, starts, True, None))
         else:
-            words += [(t, at) for t in self.index.first_terms(query.field, starts, query.max_expansions)]
-        self.phrases[leaf] = (query.field, _Phrase(words, fixed, at + 1))
+            words += [(query.field, t, at) for t in self.index.first_terms(query.field, starts, query.max_expansions)]
+        offsets = sorted({i for *_, i in words} | {at})
+        self.phrases[leaf] = (query.field, _Phrase(words, fixed, required, offsets))
         return self._node(leaf)
 
     # -- the tree ----------------------------------------------------------------------------
@@ -255,7 +286,8 @@ class Compiler:
             case q.Regex():
                 self._check_regex(query.pattern)
                 self.index.field(query.field)
-                return self._terms_matching(query.field, lambda t: t.rlike(rf"\A(?:{query.pattern})\z"), cheap=False)
+                whole = lambda t: t.rlike(rf"\A(?:{query.pattern})\z")
+                return self._terms_matching(query.field, whole, cheap=False, pieces=grams.for_regex(query.pattern))
             case q.Prefix():
                 self.index.field(query.field)
                 return self._terms_matching(query.field, lambda t: t.startswith(query.prefix))
@@ -263,7 +295,8 @@ class Compiler:
                 self.index.field(query.field)
                 value = query.value.lower()
                 near = lambda t: within_distance(t, value, query.distance, query.transpose_costs_one)
-                return self._terms_matching(query.field, near, cheap=False)
+                pieces = grams.for_fuzzy(value, query.distance, query.transpose_costs_one)
+                return self._terms_matching(query.field, near, cheap=False, pieces=pieces)
             case q.Exists():
                 return self._exists(query.field)
             case q.JsonPath():
@@ -331,7 +364,7 @@ class Compiler:
         if f.in_docs:
             return self._condition(has_tokens(F.col(f"`{name}`"), f.analyzer))
         leaf = self._leaf("constant")
-        self.patterns.append((leaf, 0, name, F.lit(True), True))
+        self.patterns.append((leaf, 0, name, F.lit(True), True, None))
         return self._node(leaf)
 
     def _json(self, query: q.JsonPath) -> Column:
@@ -364,7 +397,9 @@ class Compiler:
         """(field, term, leaf, offset, weight, avgdl) of every word of the query that occurs at all."""
         pairs = {p for words in self.scored.values() for p in words}
         for name, ph in self.phrases.values():
-            pairs |= {(name, w) for w, _ in ph.words} | {(name, w) for w in ph.scored}
+            pairs |= {(f, t) for f, t, _ in ph.words} | {(name, w) for w in ph.scored}
+        for name, pair, words in self.pairs.values():
+            pairs |= {(name + PAIRED, pair)} | {(name, w) for w in words}
         self.df = self.index.doc_frequencies(pairs)
         n = self.index.n_docs
         gain = {p: scoring.idf(df, n) for p, df in self.df.items()}
@@ -374,9 +409,13 @@ class Compiler:
         for leaf, found in self.constant.items():
             rows += [(f, t, leaf, 0, 1.0, 1.0) for f, t in found]
         for leaf, (name, ph) in self.phrases.items():
-            if all((name, w) in gain for w in ph.scored):
+            if all(p in gain for p in [(name, w) for w in ph.scored] + ph.required):
                 weight = sum(gain[name, w] for w in ph.scored)
-                rows += [(name, w, leaf, at, weight, self.index.avgdl(name)) for w, at in ph.words if (name, w) in gain]
+                rows += [(f, t, leaf, at, weight, self.index.avgdl(name)) for f, t, at in ph.words if (f, t) in gain]
+        for leaf, (name, pair, words) in self.pairs.items():
+            if (name + PAIRED, pair) in gain and all((name, w) in gain for w in words):
+                weight = sum(gain[name, w] for w in words)
+                rows.append((name + PAIRED, pair, leaf, 0, weight, self.index.avgdl(name)))
         return rows
 
     def _weighted(self, literal: list[tuple[str, str, int, int, float, float]]) -> DataFrame:
@@ -390,23 +429,23 @@ class Compiler:
         table = pa.table({c: pa.array(v, k) for c, v, k in zip(["field", "term", *names], zip(*literal), kinds)})
         return rows.join(self.index.spark.createDataFrame(table), ["field", "term"])
 
-    def _matching_postings(self, name: str, matches: Column, cheap: bool) -> DataFrame:
+    def _matching_postings(self, name: str, matches: Column, cheap: bool, pieces: grams.Filter | None) -> DataFrame:
         """The postings of a pattern. A dear one is tested on the vocabulary, whose matches are sent along if they are known
         to be few enough; a cheap one, or one with more matches than that, on the postings themselves."""
         rows = self.index.postings.filter(F.col("field") == name)
         if not cheap:
-            terms = self.index.terms.filter((F.col("field") == name) & matches).select("term")
+            terms = self.index.terms_matching(name, matches, pieces)
             if terms.count() <= BROADCAST_KEYS:
                 return rows.join(F.broadcast(terms), "term", "left_semi")
         return rows.filter(matches)
 
     def _posting_rows(self, literal: list[tuple[str, str, int, int, float, float]], gate: DataFrame | None) -> DataFrame | None:
         found = [self._weighted(literal)] if literal else []
-        for leaf, at, name, matches, cheap in self.patterns:
+        for leaf, at, name, matches, cheap, pieces in self.patterns:
             weight = 1.0
             if leaf in self.phrases:
                 weight = sum(scoring.idf(self.df[name, w], self.index.n_docs) for w in self.phrases[leaf][1].scored if (name, w) in self.df)
-            rows = self._matching_postings(name, matches, cheap)
+            rows = self._matching_postings(name, matches, cheap, pieces)
             found.append(
                 rows.withColumns(
                     {"leaf": F.lit(leaf), "at": F.lit(at), "weight": F.lit(weight), "avgdl": F.lit(self.index.avgdl(name))}
@@ -449,8 +488,9 @@ class Compiler:
         if leaf in self.constant:
             return list(self.constant[leaf])
         if leaf in self.phrases:
-            name, ph = self.phrases[leaf]
-            return [min(((name, w) for w in ph.scored), key=lambda p: self.df.get(p, 0))]
+            return [min(self.phrases[leaf][1].required, key=lambda p: self.df.get(p, 0))]
+        if leaf in self.pairs:
+            return [(self.pairs[leaf][0] + PAIRED, self.pairs[leaf][1])]
         return None
 
     def _needed_words(self, leaves: frozenset[int]) -> list[tuple[str, str]] | None:
@@ -530,16 +570,11 @@ class Compiler:
         def starts(at: int) -> Column:
             return F.flatten(F.transform(F.filter(places, lambda e: e["at"] == at), lambda e: e["starts"]))
 
-        common = reduce(F.array_intersect, [starts(at) for at in self._offsets(leaf)])
+        common = reduce(F.array_intersect, [starts(at) for at in self.phrases[leaf][1].offsets])
         first = F.get(places, F.lit(0))
         score = first["weight"] * scoring.tf_norm(F.size(common), first["dl"], first["avgdl"])
         return F.when(F.size(common) > 0, score).alias(f"v{leaf}")
 
-    def _offsets(self, leaf: int) -> list[int]:
-        ph = self.phrases[leaf][1]
-        found = {at for _, at in ph.words}
-        return sorted(found | set(range(ph.offsets)) if len(ph.scored) < ph.offsets else found)
-
     # -- the whole ---------------------------------------------------------------------------
 
     def compile(self, query: q.Query, best: int | None = None) -> Compiled:
@@ -569,14 +604,14 @@ class Compiler:
                 sums = sums.select(self.key, *plain, *[self._phrase_score(leaf) for leaf in self.phrases])
             hits = sums.filter(matched)
         condition = matched if self.documents_only else None
-        patterns = [(name, test) for leaf, _, name, test, _ in self.patterns if leaf not in self.phrases]
+        patterns = [(name, test) for leaf, _, name, test, *_ in self.patterns if leaf not in self.phrases]
         return Compiled(hits.select(self.key, score.alias("score")), self._highlight_words(), at_most, condition, patterns)
 
     def _one_word(self) -> bool:
         """One term means one row per document already."""
         if len(self.kinds) != 1 or self.patterns or self.conditions or self.phrases:
             return False
-        return sum(len(v) for v in self.scored.values()) + sum(len(v) for v in self.constant.values()) == 1
+        return len(self.pairs) + sum(map(len, self.scored.values())) + sum(map(len, self.constant.values())) == 1
 
     def _highlight_words(self) -> dict[str, dict[str, int]]:
         found: dict[str, dict[str, int]] = defaultdict(dict)
@@ -588,6 +623,8 @@ class Compiler:
             for w in ph.scored:
                 if (name, w) in self.df:
                     found[name][w] = self.df[name, w]
+        for name, _, words in self.pairs.values():
+            found[name] |= {w: self.df[name, w] for w in words if (name, w) in self.df}
         if self.highlight_expanded:
             expanded = {p for terms in self.constant.values() for p in terms}
             for (f, t), df in self.index.doc_frequencies(expanded).items():

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from collections.abc import Mapping as Dict
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from quillspark.errors import QueryError
 from quillspark.functions import analysis
 from quillspark.functions.coerce import coerce
-from quillspark.mapping import Field, Mapping
+from quillspark.mapping import PAIRED, Field, Mapping
+from quillspark.plans.grams import Filter
 from quillspark.sources import tables
 
 # The most vocabulary entries a pattern may resolve to before the pattern itself is applied to the
@@ -37,12 +38,18 @@ class Index:
         term_buckets: int | None = None,
         doc_buckets: int | None = None,
         stem_maps: Dict[str, DataFrame] | None = None,
+        paired: Dict[str, list[str]] | None = None,
+        grams: DataFrame | None = None,
     ):
+        """``postings`` and ``terms`` may hold pairs of the words in ``paired``; ``grams`` leads from pieces to terms."""
         self.spark = spark
         self.mapping = mapping
         self.docs = docs
-        self.postings = postings
-        self.terms = terms
+        self.paired = {name: frozenset(words) for name, words in (paired or {}).items()}
+        self.everything, self.statistics, self.grams = postings, terms, grams
+        words = ~F.col("field").endswith(PAIRED)
+        self.postings = postings.filter(words) if self.paired else postings
+        self.terms = terms.filter(words) if self.paired else terms
         self.term_buckets = term_buckets
         self.doc_buckets = doc_buckets
         self.stem_maps = dict(stem_maps or {})
@@ -119,35 +126,54 @@ class Index:
         if not pairs:
             return {}
         names, words = {f for f, _ in pairs}, {t for _, t in pairs}
-        rows = self.terms.filter(
+        rows = self.statistics.filter(
             F.col("field").isin(*names) & F.col("term").isin(*words) & self._in_buckets(words)
         ).select("field", "term", "df")
         found = {(r["field"], r["term"]): r["df"] for r in rows.collect()}
         return {p: found[p] for p in pairs if p in found}
 
-    def resolve(self, patterns: list[tuple[str, Column]]) -> list[list[str] | None]:
-        """For each (field, test of the term) the terms that match, or None when there are more than ``RESOLVED_TERMS``.
+    def resolve(self, patterns: list[tuple[str, Column, Filter | None]]) -> list[list[str] | None]:
+        """For each (field, test of the term, what its pieces say) the terms that match, or None when there are more than
+        ``RESOLVED_TERMS``.
 
-        One pass over the vocabulary, whatever the number of patterns; no task sends more than that many terms each."""
+        Patterns that the table of pieces can answer read its rows of their pieces; all others share one pass over the
+        vocabulary. No task sends more than that many terms each."""
         if not patterns:
             return []
         most = RESOLVED_TERMS + 1
         if len(patterns) == 1:
-            found = [self.first_terms(*patterns[0], most)]
+            found = [[r["term"] for r in self.terms_matching(*patterns[0]).orderBy("term").limit(most).collect()]]
         else:
-            tests = [F.when((F.col("field") == name) & matches, F.lit(i)) for i, (name, matches) in enumerate(patterns)]
-            rows = self.terms.filter(F.col("field").isin(sorted({name for name, _ in patterns})))
-            rows = rows.select("term", F.explode(F.array_compact(F.array(*tests))).alias("i"))
+            listed = [i for i, (name, _, pieces) in enumerate(patterns) if self._has_pieces(name, pieces)]
+            tests = [F.when((F.col("field") == p[0]) & p[1], F.lit(i)) for i, p in enumerate(patterns) if i not in listed]
+            parts = [self.terms_matching(*patterns[i]).withColumn("i", F.lit(i)) for i in listed]
+            if tests:
+                rows = self.terms.filter(F.col("field").isin(sorted({p[0] for i, p in enumerate(patterns) if i not in listed})))
+                parts.append(rows.select("term", F.explode(F.array_compact(F.array(*tests))).alias("i")))
             rank = F.row_number().over(Window.partitionBy("i").orderBy("term"))
             found = [[] for _ in patterns]
-            for r in rows.withColumn("rank", rank).filter(F.col("rank") <= most).collect():
+            for r in reduce(DataFrame.unionByName, parts).withColumn("rank", rank).filter(F.col("rank") <= most).collect():
                 found[r["i"]].append(r["term"])
         return [terms if len(terms) < most else None for terms in found]
 
+    def _has_pieces(self, field: str, pieces: Filter | None) -> bool:
+        return pieces is not None and self.grams is not None and self.field(field).grams
+
+    def terms_matching(self, field: str, matches: Column, pieces: Filter | None = None) -> DataFrame:
+        """``term``: the terms of a field that pass a test. Where pieces are known, only their rows of the table of pieces
+        are read, and terms that have enough of them are tested; it may name terms that no document has any more."""
+        if not self._has_pieces(field, pieces):
+            return self.terms.filter((F.col("field") == field) & matches).select("term")
+        asked = pieces.pieces
+        rows = self.grams.filter((F.col("field") == field) & F.col("gram").isin(asked))
+        if self.term_buckets:
+            rows = rows.filter(F.col("gram_bucket").isin([tables.bucket_of(F.lit(g), self.term_buckets) for g in asked]))
+        have = rows.groupBy("term").agg(F.collect_set("gram").alias("have"))
+        return have.filter(pieces.passes(F.col("have")) & matches).select("term")
+
     def first_terms(self, field: str, matches: Column, n: int) -> list[str]:
         """The first ``n`` matching terms in term order: one pass, at most ``n`` terms from any task."""
-        rows = self.terms.filter((F.col("field") == field) & matches).select("term").orderBy("term").limit(n)
-        return [r["term"] for r in rows.collect()]
+        return [r["term"] for r in self.terms_matching(field, matches).orderBy("term").limit(n).collect()]
 
     # -- reading -----------------------------------------------------------------------------
 
@@ -155,7 +181,7 @@ class Index:
         """Postings of literal terms: directory, row-group and page pruning all apply."""
         pairs = set(pairs)
         words = {t for _, t in pairs}
-        return self.postings.filter(
+        return self.everything.filter(
             F.col("field").isin(*{f for f, _ in pairs}) & F.col("term").isin(*words) & self._in_buckets(words)
         )
 

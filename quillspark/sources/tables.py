@@ -15,7 +15,11 @@ from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
 from quillspark.functions import analysis
-from quillspark.mapping import Mapping
+from quillspark.mapping import PAIRED, Mapping
+from quillspark.plans import grams
+
+#: The words whose pairs are kept: at most so many of a field, in at least one of so many documents of a sample.
+PAIRED_WORDS, PAIRED_SHARE, PAIRED_SAMPLE = 512, 24, 2_000
 
 
 def indexed_fields(mapping: Mapping) -> list[str]:
@@ -71,10 +75,38 @@ def docs_table(documents: DataFrame, mapping: Mapping) -> DataFrame:
     return documents.select(mapping.key, *[F.col(f"`{f.name}`") for f in mapping.doc_fields])
 
 
+def _paired(name: str, entries: Column, slots: list[str]) -> Column:
+    """The groups of a field's pairs of words; their length is that of the text in words."""
+    groups = analysis.grouped_entries(analysis.pair_entries(entries, slots))
+    with_length = lambda g: F.struct(g["term"].alias("term"), g["tf"].alias("tf"), F.size(entries).alias("dl"), g["positions"].alias("positions"))
+    return _tagged(name + PAIRED, F.transform(groups, with_length))
+
+
+def frequent_words(sample: DataFrame, mapping: Mapping) -> Dict[str, list[str]]:
+    """For each field whose pairs are kept the words that are frequent in some documents, most frequent first: at most
+    ``PAIRED_WORDS`` rows a field reach the driver."""
+    rows, found = sample.count(), {}
+    for name in mapping.paired:
+        words = sample.select(F.explode(F.array_distinct(F.transform(_entries(mapping, name), lambda e: e["term"]))).alias("term"))
+        counts = words.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * PAIRED_SHARE >= rows)
+        found[name] = [r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(PAIRED_WORDS).collect()]
+    return found
+
+
+def grams_table(terms: DataFrame, mapping: Mapping) -> DataFrame:
+    """``field``, ``gram``, ``term``: the pieces of every term of the fields that have such a table."""
+    chosen = terms.filter(F.col("field").isin(mapping.grammed))
+    return chosen.select("field", F.explode(grams.pieces_of(F.col("term"))).alias("gram"), "term")
+
+
 def postings_table(
-    documents: DataFrame, mapping: Mapping, stem_maps: Dict[str, DataFrame] | None = None
+    documents: DataFrame,
+    mapping: Mapping,
+    stem_maps: Dict[str, DataFrame] | None = None,
+    slots: Dict[str, list[str]] | None = None,
 ) -> DataFrame:
-    """One row per (field, term, document), built inside each document's own row.
+    """One row per (field, term, document), built inside each document's own row, and one per pair of adjacent words that
+    are both in the ``slots`` of their field.
 
     Only a field stemmed by a caller's map needs a shuffle, to join that map.
     """
@@ -92,6 +124,7 @@ def postings_table(
         elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
             raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
     groups = [_tagged(n, analysis.grouped_entries(F.col(f"e_{n}"))) for n in names]
+    groups += [_paired(n, F.col(f"e_{n}"), words) for n, words in (slots or {}).items() if any(words)]
     present = [F.coalesce(g, F.array()) for g in groups]
     rows = staged.select(mapping.key, F.inline(F.concat(*present) if len(present) > 1 else present[0]))
     rows = rows.select("field", "term", mapping.key, "tf", "dl", "positions")

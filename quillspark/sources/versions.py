@@ -4,7 +4,9 @@ Layout under ``path``::
 
     versions/V.json                        one row per commit, created last and never overwritten
     docs/batch=N/doc_bucket=B/             clustered by hash of the key
-    postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key
+    postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key; pairs of frequent
+                                           words are terms of a field F+pairs
+    grams/batch=N/field=F/gram_bucket=B/   pieces of three letters to terms, for the fields that have it
     terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary; what a delete takes away has counts below zero
     deletes/batch=N/                       keys removed from batches before N
     stem_maps/tokenizer=T/
@@ -33,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.errors import CommitConflict, MappingError
+from quillspark.functions import analysis
 from quillspark.functions.coerce import coerce
 from quillspark.mapping import Mapping
 from quillspark.plans.compile import matches
@@ -61,6 +64,7 @@ _VERSION_ROW = T.StructType(
         T.StructField("n_docs", T.LongType()),
         T.StructField("tokens", T.StringType()),
         T.StructField("streams", T.StringType()),
+        T.StructField("paired", T.StringType()),
         T.StructField("committed_at", T.StringType()),
     ]
 )
@@ -81,6 +85,8 @@ class _Version:
     tokens: dict[str, int]
     # The last batch of each stream that is in this version.
     streams: dict[str, int]
+    # The words of each field whose pairs every batch has; None until there is a batch.
+    paired: dict[str, list[str]] | None = None
 
 
 class IndexDirectory:
@@ -114,12 +120,14 @@ class IndexDirectory:
             return None
         stream = system.open(path)
         try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8") or "null")
         finally:
             stream.close()
 
     def _load(self, version: int | None = None) -> _Version | None:
         at = self._latest() if version is None else version
+        while version is None and at and self._row(at) is None:
+            at -= 1  # an empty file: its writer died before rows were put there as a whole
         rows = []
         while at is not None:
             row = self._row(at)
@@ -136,6 +144,7 @@ class IndexDirectory:
             found.pop(name)
         found["mapping"] = Mapping.from_json(found["mapping"])
         found["tokens"], found["streams"] = json.loads(found["tokens"]), json.loads(found["streams"])
+        found["paired"] = json.loads(found.get("paired") or "null")
         return _Version(**found)
 
     def _commit(self, v: _Version, since: _Version | None) -> int:
@@ -146,16 +155,31 @@ class IndexDirectory:
             "version": v.version, "mapping": v.mapping.to_json(), "key_type": v.key_type, "term_buckets": v.term_buckets,
             "doc_buckets": v.doc_buckets, "stem_maps": v.stem_maps, "batches": added("batches"), "deletes": added("deletes"),
             "terms": added("terms"), "whole": whole, "n_docs": v.n_docs, "tokens": json.dumps(v.tokens),
-            "streams": json.dumps(v.streams), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+            "streams": json.dumps(v.streams), "paired": json.dumps(v.paired), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         path, system = self._file(v.version)
+        self._put(path, json.dumps(row).encode(), v.version)
+        return v.version
+
+    def _put(self, path, data: bytes, version: int) -> None:
+        """The row is there as a whole or not at all: it is written aside and renamed, which fails if it is there already."""
+        package = self.spark._jvm.org.apache.spark.sql.execution.streaming.checkpointing
+        managers = getattr(getattr(package, "CheckpointFileManager$"), "MODULE$")
+        manager = managers.create(path.getParent(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        manager.mkdirs(path.getParent())
+        system = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if system.exists(path) and not system.getFileStatus(path).getLen():
+            system.delete(path, False)
+        out = manager.createAtomic(path, False)
+        try:
+            out.write(bytearray(data))
+        except Py4JJavaError:
+            out.cancel()
+            raise
         try:
-            out = system.create(path, False)
+            out.close()
         except Py4JJavaError as error:
-            raise CommitConflict(f"version {v.version} of {self.path} is there already") from error
-        out.write(bytearray(json.dumps(row).encode()))
-        out.close()
-        return v.version
+            raise CommitConflict(f"version {version} of {self.path} is there already") from error
 
     def exists(self) -> bool:
         return self._load() is not None
@@ -232,9 +256,16 @@ class IndexDirectory:
             vocabulary = vocabulary.filter("df > 0")
         return Index(
             self.spark, v.mapping, live["docs"].drop("batch"), live["postings"].drop("batch"), vocabulary,
-            (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v),
+            (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v), v.paired, self._grams(v),
         )
 
+    def _grams(self, v: _Version) -> DataFrame | None:
+        """Pieces to terms, of every batch's vocabulary."""
+        if not v.mapping.grammed:
+            return None
+        schema = T._parse_datatype_string("field string, gram string, term string, batch bigint, gram_bucket int")
+        return self._read("grams", [t for t in v.terms if t > 0], schema).drop("batch")
+
     # -- changing ----------------------------------------------------------------------------
 
     def append(self, records: DataFrame, stream_batch: tuple[str, int] | None = None) -> int:
@@ -345,15 +376,32 @@ class IndexDirectory:
         kept = {f.name for f in v.mapping.doc_fields}
         if kept.issuperset(tables.indexed_fields(v.mapping)):
             # The text is in the batch just written, parsed and evenly spread: no second look at the source.
-            documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type))
+            documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type).add("doc_bucket", T.IntegerType()))
         else:
             documents = tables.spread(documents)
-        postings = tables.postings_table(documents, v.mapping, self._stem_maps(v))
+        self._write_words(v, n, documents)
+        v.batches, v.terms, v.n_docs = [*v.batches, n], [*v.terms, n], v.n_docs + added
+        self._count_tokens(v, n)
+
+    def _write_words(self, v: _Version, n: int, documents: DataFrame) -> None:
+        """Postings and vocabulary of a batch. The first batch says which words are frequent enough for their pairs."""
+        key_type = T._parse_datatype_string(v.key_type)
+        if v.paired is None and v.mapping.paired:
+            v.paired = tables.frequent_words(self._some(documents), v.mapping)
+        slots = {name: analysis.word_slots(self.spark, words) for name, words in (v.paired or {}).items()}
+        v.paired = {name: sorted(filter(None, words)) for name, words in slots.items()} if v.paired is not None else None
+        postings = tables.postings_table(documents, v.mapping, self._stem_maps(v), slots)
         self._write_postings(postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets)), v, n)
         schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
         self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)
-        v.batches, v.terms, v.n_docs = [*v.batches, n], [*v.terms, n], v.n_docs + added
-        self._count_tokens(v, n)
+
+    @staticmethod
+    def _some(documents: DataFrame) -> DataFrame:
+        """Some documents, of one bucket where they lie in buckets."""
+        if "doc_bucket" in documents.columns:
+            first = documents.select("doc_bucket").first()
+            documents = documents.filter(F.col("doc_bucket") == (first["doc_bucket"] if first else -1))
+        return documents.limit(tables.PAIRED_SAMPLE)
 
     def _check_keys(self, v: _Version, n: int, before: Index | None) -> int:
         """How many documents the batch has; an error if a key is null, repeated, or in the index already."""
@@ -395,16 +443,33 @@ class IndexDirectory:
             .write.partitionBy("field", "term_bucket")
             .parquet(f"{self.path}/terms/batch={n}")
         )
+        if n > 0 and v.mapping.grammed:
+            schema = T._parse_datatype_string("field string, term string, batch bigint, term_bucket int")
+            pieces = tables.grams_table(self._read("terms", [n], schema), v.mapping)
+            (
+                pieces.withColumn("gram_bucket", tables.bucket_of(F.col("gram"), v.term_buckets))
+                .hint("rebalance", "field", "gram_bucket")
+                .sortWithinPartitions("field", "gram_bucket", "gram", "term")
+                .write.partitionBy("field", "gram_bucket")
+                .parquet(f"{self.path}/grams/batch={n}")
+            )
 
     def rewrite(self) -> int:
-        """Fold all batches and deletes into one batch; earlier versions stay readable."""
+        """Fold all batches and deletes into one batch; earlier versions stay readable. Words whose pairs are kept are
+        chosen anew if the text is stored."""
         since = self._require()
         n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
         index = self._index(since)
+        v = replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n])
         self._write_docs(index.docs, since, n)
-        self._write_postings(index.postings, since, n)
-        self._write_terms(index.terms.select("field", "term", "df", "cf"), since, n)
-        return self._commit(replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n]), None)
+        if v.mapping.paired and {f.name for f in v.mapping.doc_fields}.issuperset(tables.indexed_fields(v.mapping)):
+            v.paired = None
+            schema = tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)).add("doc_bucket", T.IntegerType())
+            self._write_words(v, n, self._read("docs", [n], schema))
+        else:
+            self._write_postings(index.everything, since, n)
+            self._write_terms(index.statistics.select("field", "term", "df", "cf"), since, n)
+        return self._commit(v, None)
 
     def compact(self, batches: list[int]) -> int:
         """Fold some batches into one, without their deleted documents, and commit; the others are not read.
@@ -417,8 +482,8 @@ class IndexDirectory:
         n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
         part = self._index(replace(since, batches=chosen))
         self._write_docs(part.docs, since, n)
-        self._write_postings(part.postings, since, n)
-        self._write_terms(self._index(since).terms.select("field", "term", "df", "cf"), since, n)
+        self._write_postings(part.everything, since, n)
+        self._write_terms(self._index(since).statistics.select("field", "term", "df", "cf"), since, n)
         rest = [b for b in since.batches if b not in chosen]
         deletes = [d for d in since.deletes if any(b < d for b in rest)]
         return self._commit(replace(since, version=since.version + 1, batches=[*rest, n], deletes=deletes, terms=[n]), None)
@@ -437,10 +502,11 @@ class IndexDirectory:
         latest = self._require().version
         kept = [self._require(n) for n in range(max(0, latest - keep_versions + 1), latest + 1)]
         used = {("docs", b) for v in kept for b in v.batches} | {("postings", b) for v in kept for b in v.batches}
-        used |= {("deletes", d) for v in kept for d in v.deletes} | {("terms", t) for v in kept for t in v.terms}
+        used |= {("deletes", d) for v in kept for d in v.deletes}
+        used |= {(table, t) for v in kept for t in v.terms for table in ("terms", "grams")}
         _, system = self._file(0)
         gone = []
-        for table in ("docs", "postings", "deletes", "terms"):
+        for table in ("docs", "postings", "deletes", "terms", "grams"):
             top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
             for status in system.listStatus(top) if system.exists(top) else ():
                 name = status.getPath().getName()

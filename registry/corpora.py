@@ -29,6 +29,10 @@ DOCUMENTS = Mapping.build(
         ("path", "facet", {"stored": True, "fast": True}),
     ]
 )
+#: The same with postings of pairs of frequent words, and with tables of pieces of terms.
+PHRASED = Mapping.build(
+    [("text", "text", {"stored": True, "pairs": True, "grams": True}), ("source", "string", {**KEYWORD, "grams": True})]
+)
 REVISIONS = Mapping.build([*DOCUMENTS.fields, ("revision", "i64", NUMBER)])
 PARTS = Mapping.build(
     [
@@ -123,6 +127,10 @@ def documents_index(spark: SparkSession, sf_dir: str) -> Index:
     return _index(spark, sf_dir, "documents", DOCUMENTS, documents)
 
 
+def phrased_index(spark: SparkSession, sf_dir: str) -> Index:
+    return _index(spark, sf_dir, "phrased", PHRASED, lambda s, d: table(s, d, "documents"))
+
+
 def parts_index(spark: SparkSession, sf_dir: str) -> Index:
     return _index(spark, sf_dir, "part", PARTS, lambda s, d: table(s, d, "part"))
 

@@ -123,6 +123,49 @@ def phrase_prefix_chosen(spark, sf_dir):
     return _all_hits(corpora.documents_index(spark, sf_dir), q.phrase_prefix("text", "of", "th", max_expansions=50))
 
 
+@query("q07_phrase_by_pairs", f"{_IX}, {sql.phrase(['of', 'the'])} {sql.every('SELECT * FROM ph')}")
+def phrase_by_pairs(spark, sf_dir):
+    """Two frequent words are one posting list."""
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.phrase("text", "Of", "THE"))
+
+
+@query("q07_phrase_by_pairs_repeated", f"{_IX}, {sql.phrase(['in', 'the', 'in'])} {sql.every('SELECT * FROM ph')}")
+def phrase_by_pairs_repeated(spark, sf_dir):
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.phrase("text", "in", "the", "in"))
+
+
+@query("q07_phrase_by_pairs_and_words", f"{_IX}, {sql.phrase(['the', 'and', 'attion', 'to'])} {sql.every('SELECT * FROM ph')}")
+def phrase_by_pairs_and_words(spark, sf_dir):
+    """Longer phrases join the pairs, and words that are in none."""
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.phrase("text", "the", "and", "attion", "to"))
+
+
+@query("q08_phrase_prefix_by_pairs", _phrase_prefix_sql(["and", "the"], "t", ""))
+def phrase_prefix_by_pairs(spark, sf_dir):
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.phrase_prefix("text", "and", "the", "t"))
+
+
+@query("q09_regex_by_pieces", f"{_IX} {sql.every(_has("regexp_full_match(term, '(as|in)[a-m]{2,3}')"))}")
+def regex_by_pieces(spark, sf_dir):
+    """The terms come from a table of pieces of terms, not from the vocabulary."""
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.Regex("text", "(as|in)[a-m]{2,3}"))
+
+
+@query("q11_fuzzy_by_pieces", f"{_IX} {sql.every(_has(f"damerau_levenshtein({_ascii('term')}, 'nation') <= 1"))}")
+def fuzzy_by_pieces(spark, sf_dir):
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.Fuzzy("text", "NATION"))
+
+
+@query("q14_inline_fuzzy_by_pieces", f"{_IX} {sql.every(_has(f"levenshtein({_ascii('term')}, 'thereing') <= 2"))}")
+def inline_fuzzy_by_pieces(spark, sf_dir):
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.Fuzzy("text", "thereing", 2, transpose_costs_one=False))
+
+
+@query("q15_quoted_phrase_by_pairs", f"{_IX}, {sql.phrase(['in', 'of'])} {sql.every('SELECT * FROM ph')}")
+def quoted_phrase_by_pairs(spark, sf_dir):
+    return _all_hits(corpora.phrased_index(spark, sf_dir), q.QuotedPhrase("In, of!"))
+
+
 @query("q09_regex", f"{_IX} {sql.every(_has("regexp_full_match(term, '(as|in)[a-m]{2,3}')"))}")
 def regex(spark, sf_dir):
     return _all_hits(corpora.documents_index(spark, sf_dir), q.Regex("text", "(as|in)[a-m]{2,3}"))
