@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import scoring
 from quillspark.functions.analysis import grouped_entries, has_builtin_stemmer, is_stemmed, stemmed_entries, token_entries
+from quillspark.mapping import PAIRED
+from quillspark.operators import highlight as hl
+from quillspark.operators.search import stored_document
 from quillspark.sources import tables
 from quillspark.sources.index import Index
 
@@ -60,23 +63,47 @@ def _phrase_scores(index: Index, tokens: DataFrame, query_id: str) -> DataFrame:
     """``(query_id, key, score)`` of the chunks that are several tokens, such as words with a hyphen: their tokens side by
     side. A chunk with a token that no document has matches nothing."""
     key = index.mapping.key
-    parts = _weighted(index, tokens.filter("size > 1").withColumn("times", F.lit(1)))
+    tokens = tokens.filter("size > 1")
     chunk = [query_id, "field", "chunk"]
-    whole = parts.groupBy(*chunk).agg(F.sum("weight").alias("gain"), F.count("*").alias("known"))
-    parts = parts.join(whole, chunk).filter(F.col("known") == F.col("size"))
+    words = _weighted(index, tokens.withColumn("times", F.lit(1)))
+    whole = words.groupBy(*chunk).agg(F.sum("weight").alias("gain"), F.first("avgdl").alias("avgdl"), F.count("*").alias("known"))
+    parts = _phrase_parts(index, tokens, chunk).join(whole, chunk).filter(F.col("known") == F.col("size"))
+    if index.term_buckets:
+        parts = parts.withColumn("term_bucket", tables.bucket_of(F.col("term"), index.term_buckets))
+    parts = parts.withColumnRenamed("field", "of_field").withColumnRenamed("part_field", "field")
     on = [c for c in ("field", "term", "term_bucket") if c in parts.columns]
-    found = index.postings.select(*on, key, "dl", "positions").join(parts, on)
+    found = index.everything.select(*on, key, "dl", "positions").join(parts, on)
     starts = F.transform("positions", lambda p: p - F.col("pos")).alias("starts")
-    places = found.select(*chunk, key, "dl", "gain", "avgdl", "size", "pos", starts)
+    chunk[1] = "of_field"
+    places = found.select(*chunk, key, "dl", "gain", "avgdl", "parts", "pos", starts)
     docs = places.groupBy(*chunk, key).agg(
-        *[F.first(c).alias(c) for c in ("dl", "gain", "avgdl", "size")], F.collect_list("starts").alias("all")
+        *[F.first(c).alias(c) for c in ("dl", "gain", "avgdl", "parts")], F.collect_list("starts").alias("all")
     )
     common = F.aggregate("all", F.get("all", F.lit(0)), F.array_intersect)
-    docs = docs.filter(F.size("all") == F.col("size")).withColumn("times", F.size(common)).filter("times > 0")
+    docs = docs.filter(F.size("all") == F.col("parts")).withColumn("times", F.size(common)).filter("times > 0")
     score = F.col("gain") * scoring.tf_norm(F.col("times"), F.col("dl"), F.col("avgdl"))
     return docs.select(query_id, key, score.alias("score"))
 
 
+def _phrase_parts(index: Index, tokens: DataFrame, chunk: list[str]) -> DataFrame:
+    """``part_field``, ``term`` and ``pos`` that together make each phrase: pairs of frequent words where the index keeps
+    them, all other words by themselves; ``parts`` is how many there are."""
+    own = Window.partitionBy(*chunk)
+    if not any(index.paired.values()):
+        return tokens.withColumns({"part_field": F.col("field"), "parts": F.col("size")})
+    listed = [(name, word) for name, words in index.paired.items() for word in words]
+    often = index.spark.createDataFrame(listed, "field string, term string").withColumn("often", F.lit(True))
+    marked = tokens.join(F.broadcast(often), ["field", "term"], "left")
+    near = own.orderBy("pos")
+    joins = F.col("often") & F.lead("often").over(near) & (F.lead("pos").over(near) == F.col("pos") + 1)
+    marked = marked.withColumns({"next": F.lead("term").over(near), "joins": F.coalesce(joins, F.lit(False))})
+    marked = marked.withColumn("joined", F.coalesce(F.lag("joins").over(near), F.lit(False)))
+    alone = marked.filter("not joins and not joined").select(*chunk, "size", F.col("field").alias("part_field"), "term", "pos")
+    pair = (F.concat("field", F.lit(PAIRED)).alias("part_field"), F.concat_ws(" ", "term", "next").alias("term"))
+    both = alone.unionByName(marked.filter("joins").select(*chunk, "size", *pair, "pos"))
+    return both.withColumn("parts", F.count("*").over(own))
+
+
 def _weighted(index: Index, words: DataFrame) -> DataFrame:
     """Words that occur in the index, with their weight and the average length of their field."""
     if index.term_buckets:
@@ -213,3 +240,128 @@ def _score_best(
     found = lookups.join(common, [*on, key], "left")
     score = F.coalesce("own", F.lit(0.0)) + F.coalesce(_gain(), F.lit(0.0))
     return found.groupBy(query_id, key).agg(F.sum(score).alias("score")).unionByName(scored)
+
+
+def batch_hits(
+    index: Index,
+    queries: DataFrame,
+    k: int = 10,
+    query_id: str = "query_id",
+    text: str = "text",
+    fields: tuple[str, ...] = (),
+    highlight: tuple[str, ...] = (),
+    stringify: bool = False,
+    many_postings: int = MANY_POSTINGS,
+) -> DataFrame:
+    """``(query_id, rank, key, score, doc, highlights)``: the best hits of every query with stored fields and snippets, as
+    ``search`` would give them one by one.
+
+    The words to mark travel with the hits, one map per query and field; stored fields are read for the hits alone."""
+    key = index.mapping.key
+    best = batch_search(index, queries, k, query_id, text, fields, many_postings)
+    shown = [n for n in highlight if index.mapping.has(n)]
+    marked = [n for n in shown if index.mapping.field(n).stored and index.mapping.field(n).in_postings]
+    hits = index.docs_of(best.select(query_id, "rank", key, "score"))
+    analyzers = {}
+    if marked:
+        words = _marked_words(index, queries, query_id, text, tuple(fields), marked, analyzers)
+        hits = hits.join(words, query_id, "left")
+    empty = F.create_map().cast("map<string,bigint>")
+    entries = []
+    for name in shown:
+        own = F.coalesce(F.try_element_at("_words", F.lit(name)), empty) if name in marked else None
+        snippet = hl.snippet(F.col(f"`{name}`"), own, analyzers[name]) if own is not None else F.lit("")
+        entries += [F.lit(name), snippet]
+    snippets = F.create_map(*entries) if entries else F.create_map().cast("map<string,string>")
+    return hits.select(query_id, "rank", key, "score", stored_document(index, stringify).alias("doc"), snippets.alias("highlights"))
+
+
+def _marked_words(
+    index: Index, queries: DataFrame, query_id: str, text: str, fields: tuple[str, ...], marked: list[str], analyzers: dict[str, str]
+) -> DataFrame:
+    """``query_id`` and ``_words``, for each field the words to look for with the frequencies of their terms. ``analyzers``
+    is told which analyzer finds them."""
+    on = ["field", "term"]
+    asked = _tokens(index, queries, query_id, text, fields).filter(F.col("field").isin(marked)).select(query_id, *on).distinct()
+    if index.term_buckets:
+        asked = asked.withColumn("term_bucket", tables.bucket_of(F.col("term"), index.term_buckets))
+        on = [*on, "term_bucket"]
+    known = asked.join(index.terms.select(*on, "df"), on).select(query_id, "field", F.col("term").alias("word"), "df")
+    for name in marked:
+        analyzers[name] = index.field(name).analyzer
+        if analyzers[name] not in index.stem_maps:
+            continue
+        # All words that the caller's map sends to a term, and terms that the map does not speak of.
+        stems = index.stem_maps[analyzers[name]]
+        mine, analyzers[name] = known.filter(F.col("field") == name), "default"
+        sent = mine.join(stems.select(F.col("stem").alias("word"), F.col("term").alias("w")), "word")
+        same = mine.join(stems.select(F.col("term").alias("word")), "word", "left_anti")
+        other = known.filter(F.col("field") != name)
+        known = other.unionByName(sent.select(query_id, "field", F.col("w").alias("word"), "df").distinct()).unionByName(same)
+    maps = known.groupBy(query_id, "field").agg(F.map_from_entries(F.collect_list(F.struct("word", "df"))).alias("words"))
+    return maps.groupBy(query_id).agg(F.map_from_entries(F.collect_list(F.struct("field", "words"))).alias("_words"))
+
+
+# A word of at least so many letters may be one edit off in a search box.
+TYPO_LETTERS = 4
+
+
+def _shortened(word: Column) -> Column:
+    """A word and all it can become by losing a letter. Two words that are one edit apart, or one swap of neighbours,
+    have one of these in common."""
+    lost = F.transform(
+        F.sequence(F.lit(1), F.length(word)),
+        lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))),
+    )
+    return F.array_distinct(F.concat(F.array(word), F.when(F.length(word) > 0, lost).otherwise(F.array().cast("array<string>"))))
+
+
+def _one_edit(a: Column, b: Column) -> Column:
+    """Whether two words are at most one edit apart, a swap of neighbours counting one."""
+    n = F.length(a)
+    swap = lambda i: F.concat(
+        F.substring(a, F.lit(1), i - 1), F.substring(a, i + 1, F.lit(1)), F.substring(a, i, F.lit(1)), F.substring(a, i + 2, n)
+    )
+    swapped = F.exists(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: swap(i) == b)
+    return (F.levenshtein(a, b, 1) >= 0) | ((n == F.length(b)) & (n > 1) & swapped)
+
+
+def near_terms(index: Index, words: DataFrame, fields: list[str]) -> DataFrame:
+    """``(word, field, term)``: for each of ``words`` (``word``, distinct) the terms of the fields that it may stand for in a
+    search box: itself, and from ``TYPO_LETTERS`` letters on what is one edit away.
+
+    An edit-distance join by deletions: both sides are spelled out as what is left when a letter goes, joined by equality,
+    and the pairs verified. The vocabulary grows by its terms' lengths; nothing is compared with everything."""
+    vocabulary = index.terms.filter(F.col("field").isin(fields)).select("field", "term")
+    short = words.filter(F.length("word") < TYPO_LETTERS).select("word", F.col("word").alias("term")).join(vocabulary, "term")
+    long = words.filter(F.length("word") >= TYPO_LETTERS).select("word", F.explode(_shortened(F.col("word"))).alias("left"))
+    terms = vocabulary.filter(F.length("term") >= TYPO_LETTERS - 1).select("field", "term", F.explode(_shortened(F.col("term"))).alias("left"))
+    near = long.join(terms, "left").filter(_one_edit(F.col("word"), F.col("term"))).select("word", "field", "term").distinct()
+    return short.select("word", "field", "term").unionByName(near)
+
+
+def batch_search_box(
+    index: Index, queries: DataFrame, boosts: dict[str, float], k: int = 10, query_id: str = "query_id", text: str = "text"
+) -> DataFrame:
+    """``(query_id, rank, key, score)``: the best ``k`` documents of every query text, as the search box finds them one by
+    one. Each word of a text gives a field's boost to the documents that have it there, or a word one edit away from it if
+    it is long; words that repeat count again.
+
+    Words are looked up once, however many queries have them. A text without words has no hits."""
+    key = index.mapping.key
+    words = queries.select(query_id, F.explode(F.split(F.trim(F.lower(F.col(text))), r"(?U)\s+")).alias("word")).filter("word != ''")
+    words = words.groupBy(query_id, "word").agg(F.count(F.lit(1)).alias("times"))
+    near = near_terms(index, words.select("word").distinct(), list(boosts))
+    if index.term_buckets:
+        near = near.withColumn("term_bucket", tables.bucket_of(F.col("term"), index.term_buckets))
+    on = [c for c in ("field", "term", "term_bucket") if c in near.columns]
+    found = index.postings.select(*on, key).join(near, on)
+    gains = [F.max(F.when(F.col("field") == name, F.lit(float(boost))).otherwise(0.0)) for name, boost in boosts.items()]
+    gain = gains[0]
+    for more in gains[1:]:
+        gain = gain + more
+    documents = found.groupBy("word", key).agg(gain.alias("gain"))
+    best = documents.join(words, "word").groupBy(query_id, key).agg(F.sum(F.col("gain") * F.col("times")).alias("score"))
+    order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
+    ranked = best.withColumn("score", scoring.rounded(F.col("score"))).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k).select(query_id, "rank", key, "score")

@@ -51,8 +51,7 @@ def _pieces(text: Column, analyzer: str) -> Column:
     )
 
 
-def _marked(pieces: Column, terms: list[str]) -> Column:
-    known = F.array(*[F.lit(t) for t in sorted(terms)])
+def _marked(pieces: Column, known: Column) -> Column:
     marked = F.transform(
         pieces,
         lambda p: F.when(
@@ -70,21 +69,27 @@ def whole_field(text: Column, terms: list[str], analyzer: str = "default") -> Co
 
     def mark(pieces: Column) -> Column:
         hit = F.exists(pieces, lambda p: F.coalesce(F.array_contains(known, p["term"]), F.lit(False)))
-        return F.when(hit, _marked(pieces, terms)).otherwise("")
+        return F.when(hit, _marked(pieces, known)).otherwise("")
 
     return F.coalesce(let(_pieces(text, analyzer), mark), F.lit(""))
 
 
-def snippet(text: Column, frequencies: dict[str, int], analyzer: str = "default") -> Column:
+def snippet(text: Column, frequencies: dict[str, int] | Column, analyzer: str = "default") -> Column:
     """The best fragment of the text with its matching tokens marked; empty when none matches.
 
     Fragments follow each other; one closes before the token that would make it longer than
-    ``FRAGMENT_CHARS``. A token weighs ``1 / (1 + df)``; the first of the heaviest fragments wins.
+    ``FRAGMENT_CHARS``. A token weighs ``1 / (1 + df)``; the first of the heaviest fragments wins. The words, with their
+    df, are the same for all rows, or a map of each row's own.
     """
-    if not frequencies:
+    if isinstance(frequencies, Column):
+        weights = F.transform_values(frequencies, lambda _, df: F.lit(1.0) / (1 + df))
+        known = F.map_keys(frequencies)
+    elif frequencies:
+        terms = sorted(frequencies)
+        weights = F.create_map(*[F.lit(x) for t in terms for x in (t, 1.0 / (1 + frequencies[t]))])
+        known = F.array(*[F.lit(t) for t in terms])
+    else:
         return F.lit("")
-    terms = sorted(frequencies)
-    weights = F.create_map(*[F.lit(x) for t in terms for x in (t, 1.0 / (1 + frequencies[t]))])
 
     def step(s: Column, numbered: Column) -> Column:
         i, length = numbered["i"], F.length(numbered["p"]["piece"])
@@ -121,7 +126,7 @@ def snippet(text: Column, frequencies: dict[str, int], analyzer: str = "default"
                 s["score"] > s["best_score"], F.struct(s["first"].alias("a"), s["last"].alias("z"))
             ).when(s["best_score"] > 0, F.struct(s["best_first"].alias("a"), s["best_last"].alias("z"))),
         )
-        return let(ends, lambda e: F.when(e.isNotNull(), _marked(F.slice(pieces, e["a"] + 1, e["z"] - e["a"] + 1), terms)))
+        return let(ends, lambda e: F.when(e.isNotNull(), _marked(F.slice(pieces, e["a"] + 1, e["z"] - e["a"] + 1), known)))
 
     return F.coalesce(let(_pieces(text, analyzer), best), F.lit(""))
 

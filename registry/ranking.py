@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.operators.batch import batch_search
+from quillspark.operators.batch import batch_hits, batch_search, batch_search_box
 from quillspark.operators.search import browse, count_hits, highlight_all, lookup, search, search_indexes, top_k
 from quillspark.plans import query as q
 from registry import corpora, query, sql
@@ -96,25 +96,27 @@ def batch(spark, sf_dir):
     return batch_search(index, corpora.table(spark, sf_dir, "benchmark"), 10, "item_id", "text", ("text",))
 
 
-_SPLIT = """split AS (SELECT item_id, w[1] AS a, w[2] AS b, w[3] AS c FROM
-  (SELECT item_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM benchmark) WHERE len(w) >= 3)"""
+_SPLIT = """ws AS (SELECT item_id, list_transform(regexp_extract_all(text, '[\\p{L}\\p{N}]+'), lambda x: lower(x)) AS w FROM benchmark),
+chunks AS (SELECT item_id, w, unnest(range(1, len(w) + 1, 2)) AS i FROM ws),
+pairs_of AS (SELECT item_id, i, w[i] AS a, w[i + 1] AS b FROM chunks WHERE i < len(w)),
+single AS (SELECT item_id, w[i] AS c FROM chunks WHERE i = len(w))"""
 
 
 def _split_words(spark, sf_dir):
-    """The first two words of every item with a hyphen between them, and the third."""
+    """The words of every item in pairs with a hyphen between the two, a last one alone."""
     words = F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    items = corpora.table(spark, sf_dir, "benchmark").select("item_id", words.alias("w")).filter(F.size("w") >= 3)
-    w = lambda i: F.get("w", F.lit(i))
-    return items.select("item_id", F.concat(w(0), F.lit("-"), w(1), F.lit(" "), w(2)).alias("text"))
+    items = corpora.table(spark, sf_dir, "benchmark").select("item_id", words.alias("w")).filter(F.size("w") > 0)
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w"), F.lit(2)), lambda i: F.array_join(F.slice("w", i, 2), "-"))
+    return items.select("item_id", F.array_join(pairs, " ").alias("text"))
 
 
 _SPLIT_SQL = f"""WITH {sql.index_of()}, {sql.scored()}, {_SPLIT},
-near AS (SELECT s.item_id, x.doc_id, count(*) AS tf FROM split s JOIN tok x ON x.term = s.a
-  JOIN tok y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 AND y.term = s.b GROUP BY 1, 2),
-gain AS (SELECT item_id, sum({sql.IDF}) AS g FROM (SELECT item_id, unnest([a, b]) AS term FROM split) JOIN freq USING (term), tot
-  GROUP BY 1),
-pairs AS (SELECT item_id, doc_id, g * {sql.TF} AS s FROM near JOIN gain USING (item_id) JOIN len USING (doc_id), tot
-  UNION ALL SELECT item_id, doc_id, s FROM split JOIN sc ON term = c),
+near AS (SELECT s.item_id, s.i, x.doc_id, count(*) AS tf FROM pairs_of s JOIN tok x ON x.term = s.a
+  JOIN tok y ON y.doc_id = x.doc_id AND y.pos = x.pos + 1 AND y.term = s.b GROUP BY 1, 2, 3),
+gain AS (SELECT item_id, i, sum({sql.IDF}) AS g FROM (SELECT item_id, i, unnest([a, b]) AS term FROM pairs_of) JOIN freq USING (term), tot
+  GROUP BY 1, 2),
+pairs AS (SELECT item_id, doc_id, g * {sql.TF} AS s FROM near JOIN gain USING (item_id, i) JOIN len USING (doc_id), tot
+  UNION ALL SELECT item_id, doc_id, s FROM single JOIN sc ON term = c),
 summed AS (SELECT item_id, doc_id, round(sum(s), 6) AS score FROM pairs GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM summed)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
@@ -134,6 +136,45 @@ def batch_in_two_steps(spark, sf_dir):
     return batch_search(index, _split_words(spark, sf_dir), 10, "item_id", "text", ("text",), many_postings=0)
 
 
+@query("r8_batch_split_words_by_pairs", _SPLIT_SQL)
+def batch_split_words_by_pairs(spark, sf_dir):
+    """The same from the postings of pairs of frequent words, where both are."""
+    index = corpora.phrased_index(spark, sf_dir)
+    return batch_search(index, _split_words(spark, sf_dir), 10, "item_id", "text", ("text",))
+
+
+_BOXES = """asked AS (SELECT item_id, w, count(*) AS times FROM (
+  SELECT item_id, unnest(regexp_split_to_array(trim(lower(text)), '\\s+')) AS w FROM benchmark) WHERE w <> '' GROUP BY 1, 2),
+ws AS (SELECT DISTINCT w FROM asked),
+terms AS (SELECT 'text' AS field, term AS t FROM freq UNION ALL SELECT DISTINCT 'source', source FROM documents WHERE source IS NOT NULL),
+lost AS (SELECT w, unnest(list_prepend(w, list_transform(range(1, length(w) + 1), lambda i: left(w, i - 1) || substr(w, i + 1)))) AS x
+  FROM ws WHERE length(w) > 3),
+lost_terms AS (SELECT field, t, unnest(list_prepend(t, list_transform(range(1, length(t) + 1), lambda i: left(t, i - 1) || substr(t, i + 1)))) AS x
+  FROM terms),
+both_ AS (SELECT DISTINCT w, field, t, length(w) AS n, length(t) AS m, list_filter(range(1, greatest(n, m) + 1), lambda i: substr(w, i, 1) <> substr(t, i, 1)) AS d
+  FROM lost JOIN lost_terms USING (x)),
+near AS (SELECT w, field, t FROM both_ WHERE w = t OR n = m AND (len(d) = 1 OR len(d) = 2 AND d[2] = d[1] + 1
+      AND substr(w, d[1], 1) = substr(t, d[2], 1) AND substr(w, d[2], 1) = substr(t, d[1], 1))
+    OR n = m + 1 AND left(w, d[1] - 1) || substr(w, d[1] + 1) = t OR m = n + 1 AND left(t, d[1] - 1) || substr(t, d[1] + 1) = w
+  UNION SELECT w, field, t FROM ws JOIN terms ON t = w WHERE length(w) <= 3),
+have AS (SELECT DISTINCT w, field, doc_id FROM near JOIN post ON post.term = t AND field = 'text'
+  UNION SELECT DISTINCT w, field, doc_id FROM near JOIN documents ON source = t AND field = 'source')"""
+
+
+@query(
+    "b7_batch_search_box",
+    f"""WITH {sql.index_of()}, {_BOXES},
+summed AS (SELECT item_id, doc_id, sum(times * CASE field WHEN 'source' THEN 2e0 ELSE 1e0 END) AS score
+  FROM asked JOIN have USING (w) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM summed)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20""",
+)
+def search_boxes(spark, sf_dir):
+    """Every benchmark item typed into the search box, its twenty best documents, in one job."""
+    index = corpora.documents_index(spark, sf_dir)
+    return batch_search_box(index, corpora.table(spark, sf_dir, "benchmark"), {"source": 2.0, "text": 1.0}, 20, "item_id", "text")
+
+
 @query(
     "r8_batch_words_in_two_steps",
     f"""WITH {sql.index_of()}, {sql.scored()}, {_QUERIES},
@@ -184,6 +225,27 @@ pieces AS (SELECT doc_id, i, w, sum(length(w)) OVER (PARTITION BY doc_id ORDER B
   regexp_matches(w, '^{sql.WORD}') AND strlen(w) < 40 AS word FROM cut)"""
 
 
+def _fragments(keys: str) -> str:
+    """``shown`` (keys, snippet) from ``hits`` (keys, i, w, e, word, hit, gain): the heaviest fragment of each."""
+    own = [k.strip() for k in keys.split(",")]
+    listed = lambda p: ", ".join(f"{p}.{k}" for k in own)
+    same = lambda p, r: " AND ".join(f"{p}.{k} = {r}.{k}" for k in own)
+    return f"""words AS (SELECT {keys}, i, e - length(w) AS b, e, gain FROM hits WHERE word),
+frag({keys}, first, b) AS (
+  SELECT {keys}, min(i), min(b) FROM words GROUP BY {keys}
+  UNION ALL
+  SELECT {listed("n")}, n.i, n.b FROM (
+    SELECT {listed("f")}, w.i, w.b, row_number() OVER (PARTITION BY {listed("f")} ORDER BY w.i) AS rn
+    FROM frag f JOIN words w ON {same("w", "f")} AND w.i > f.first AND w.e - f.b > 150) n WHERE n.rn = 1),
+spans AS (SELECT {keys}, first, coalesce(lead(first) OVER (PARTITION BY {keys} ORDER BY first), 1000000000) AS stop FROM frag),
+heavy AS (SELECT {listed("s")}, s.first, max(w.i) AS last, sum(gain) AS gain
+  FROM spans s JOIN words w ON {same("w", "s")} AND w.i >= s.first AND w.i < s.stop GROUP BY {listed("s")}, s.first),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY round(gain, 12) DESC, first) AS rn
+  FROM heavy WHERE gain > 0) WHERE rn = 1),
+shown AS (SELECT {listed("h")}, string_agg(CASE WHEN hit THEN '<b>' || {_ESCAPED} || '</b>' ELSE {_ESCAPED} END, '' ORDER BY i) AS snippet
+  FROM hits h JOIN best b ON {same("b", "h")} AND h.i BETWEEN b.first AND b.last GROUP BY {listed("h")})"""
+
+
 _HIT_WORDS = ["aivi", "est"]
 
 
@@ -214,6 +276,27 @@ def snippet(spark, sf_dir):
     return found.select("doc_id", F.col("highlights")["text"].alias("snippet"))
 
 
+@query(
+    "h1_batch_snippets",
+    f"""WITH RECURSIVE {sql.index_of()}, {sql.scored()}, {_QUERIES},
+scored_pairs AS (SELECT q_post.doc_id AS item_id, sc.doc_id, round(sum(q_post.tf * s), 6) AS score
+  FROM q_post JOIN sc USING (term) GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored_pairs),
+top AS (SELECT * FROM ranked WHERE rank <= 3),
+{_pieces("SELECT DISTINCT doc_id FROM top")},
+hits AS (SELECT top.item_id, p.*, f.term IS NOT NULL AS hit, CASE WHEN f.term IS NOT NULL THEN 1.0 / (1 + df) ELSE 0 END AS gain
+  FROM top JOIN pieces p USING (doc_id) LEFT JOIN (SELECT q.doc_id AS item_id, term, df FROM q_post q JOIN freq USING (term)) f
+    ON f.item_id = top.item_id AND p.word AND f.term = lower(p.w)),
+{_fragments('item_id, doc_id')}
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score, lang, snippet FROM top JOIN documents USING (doc_id) JOIN shown USING (item_id, doc_id)""",
+)
+def batch_snippets(spark, sf_dir):
+    """The three best documents of every benchmark item, with the best fragment of each for that item's words."""
+    index = corpora.documents_index(spark, sf_dir)
+    found = batch_hits(index, corpora.table(spark, sf_dir, "benchmark"), 3, "item_id", "text", ("text",), ("text",))
+    return found.select("item_id", "rank", "doc_id", "score", "doc.lang", F.col("highlights")["text"].alias("snippet"))
+
+
 @query(
     "h1_snippet_expanded",
     f"""{_IX}, found AS (SELECT DISTINCT doc_id FROM post WHERE starts_with(term, 'e')),
@@ -231,6 +314,21 @@ def snippet_expanded(spark, sf_dir):
     )
 
 
+@query(
+    "h1_snippet_expanded_text",
+    f"""WITH RECURSIVE {sql.index_of()}, found AS (SELECT DISTINCT doc_id FROM post WHERE starts_with(term, 'asb')),
+top AS (SELECT doc_id FROM found ORDER BY doc_id LIMIT 25), {_pieces("SELECT doc_id FROM top")},
+hits AS (SELECT p.*, word AND starts_with(lower(w), 'asb') AS hit, CASE WHEN word AND starts_with(lower(w), 'asb') THEN 1.0 / (1 + df) ELSE 0 END AS gain
+  FROM pieces p LEFT JOIN freq ON term = lower(w)),
+{_fragments("doc_id")} SELECT doc_id, snippet FROM shown""",
+)
+def snippet_expanded_text(spark, sf_dir):
+    """The fragments that a pattern's terms pick."""
+    asked = q.Prefix("text", "asb")
+    found = search(corpora.documents_index(spark, sf_dir), asked, limit=25, highlight=("text",), highlight_expanded=True)
+    return found.select("doc_id", F.col("highlights")["text"].alias("snippet"))
+
+
 @query(
     "h2_several_fields",
     f"""{_IX}, k AS (SELECT * FROM {sql.keyword("lang")} WHERE term = 'fr'),
