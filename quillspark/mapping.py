@@ -47,6 +47,8 @@ class Field:
     # Whether an index in a directory keeps postings of adjacent frequent words, and a table of letters to terms.
     pairs: bool = False
     grams: bool = False
+    # Whether postings are laid out by how much they can add to a score, so that the best hits are read first.
+    tiers: bool = False
 
     @property
     def spark_type(self) -> T.DataType:
@@ -145,6 +147,10 @@ class Mapping:
     def paired(self) -> list[str]:
         return [f.name for f in self.fields if f.pairs]
 
+    @property
+    def tiered(self) -> list[str]:
+        return [f.name for f in self.fields if f.tiers and f.in_postings]
+
     @property
     def grammed(self) -> list[str]:
         return [f.name for f in self.fields if f.grams and f.in_postings]

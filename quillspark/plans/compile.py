@@ -100,6 +100,8 @@ class Compiler:
         self.pending: list[tuple[int, str, Column, bool, grams.Filter | None]] = []
         self.conditions: dict[int, Column] = {}
         self.documents_only = False
+        # (field, term) -> the lowest tier of its postings that is read
+        self.least: dict[tuple[str, str], int] = {}
 
     # -- leaves ------------------------------------------------------------------------------
 
@@ -421,6 +423,8 @@ class Compiler:
     def _weighted(self, literal: list[tuple[str, str, int, int, float, float]]) -> DataFrame:
         """The postings of the query's words, each with its leaf, offset, weight and average length."""
         rows = self.index.postings_of((r[0], r[1]) for r in literal)
+        if len(literal) == 1 and self.least.get(literal[0][:2], 0) > 0:
+            rows = rows.filter(F.col("tier") >= self.least[literal[0][:2]])
         names = ["leaf", "at", "weight", "avgdl"]
         if len(literal) == 1:
             return rows.withColumns({n: F.lit(v) for n, v in zip(names, literal[0][2:])})
@@ -528,12 +532,69 @@ class Compiler:
             return None, size
         return self._keys_of(words, size), size
 
+    def _least_tiers(self, literal: list, k: int) -> dict[tuple[str, str], int]:
+        """For words whose postings have tiers, the lowest tier in at least one of which each of the best ``k`` hits has a
+        word; all words of a query that is an OR of words are in ``literal``.
+
+        Some word alone has ``k`` documents in its upper tiers, which gives the k-th best score a lower bound. Tiers are
+        left out, the fullest first, while what a document could have from left out tiers alone stays below it."""
+        counts = self.index.tier_counts((r[0], r[1]) for r in literal)
+        if not counts or any(r[4] < 0 for r in literal):
+            return {}
+
+        def bound(row, tier: int, lower: bool) -> float:
+            field_ = row[0].removesuffix(PAIRED)
+            return row[4] * scoring.tier_bound(tier, self.index.lengths[field_], row[5], lower)
+
+        worst = 0.0
+        for row in literal:
+            seen = 0
+            for tier, n in sorted(counts.get(row[:2], {}).items(), reverse=True):
+                seen += n
+                if seen >= k:
+                    worst = max(worst, bound(row, tier, True))
+                    break
+        least = {row[:2]: 0 for row in literal}
+        by_word = {row[:2]: row for row in literal if row[:2] in counts}
+        margin = 2 * 10.0**-scoring.SCORE_DIGITS
+
+        def ceiling(word, tier: int) -> float:
+            return sum(bound(by_word[w], tier if w == word else t, False) for w, t in least.items() if w in by_word)
+
+        while True:
+            raised = [w for w in by_word if least[w] < scoring.TIERS and ceiling(w, least[w] + 1) + margin < worst]
+            if not raised:
+                return {w: t for w, t in least.items() if t}
+            fullest = max(raised, key=lambda w: (counts[w].get(least[w], 0), w))
+            least[fullest] += 1
+
+    def _tier_gate(self, literal: list, k: int) -> tuple[DataFrame | None, int | None]:
+        """The documents that have a word in one of the tiers that the best ``k`` hits need, or None."""
+        if self.index.tiers is None or len({r[:2] for r in literal}) < len(literal):
+            return None, None
+        least = self._least_tiers(literal, k)
+        counts = self.index.tier_counts(least)
+        size = sum(
+            sum(n for tier, n in counts[r[:2]].items() if tier >= least[r[:2]]) if r[:2] in least else self.df[r[:2]] for r in literal
+        )
+        if not least or size > BROADCAST_KEYS or sum(self.df[r[:2]] for r in literal) - size < SPARED_ROWS:
+            return None, None
+        words = [(*r[:2], least.get(r[:2], -1)) for r in literal]
+        columns = zip(("field", "term", "from_tier"), zip(*words), (pa.string(), pa.string(), pa.int32()))
+        asked = self.index.spark.createDataFrame(pa.table({c: pa.array(v, kind) for c, v, kind in columns}))
+        rows = self.index.postings_of((f, t) for f, t, _ in words).join(F.broadcast(asked), ["field", "term"])
+        found = rows.filter(F.coalesce(F.col("tier"), F.lit(0)) >= F.col("from_tier")).select(self.key).distinct()
+        return F.broadcast(found), size
+
     def _best_gate(self, literal: list, k: int) -> tuple[DataFrame | None, int | None]:
         """Keys that the best ``k`` hits of an OR of words are among, or None.
 
         The rarest words give the k-th best score a lower bound; the commonest words whose highest
         possible scores together stay below it are optional, and the others hold the best hits.
         """
+        gate, size = self._tier_gate(literal, k)
+        if gate is not None:
+            return gate, size
         ordered = sorted(literal, key=lambda r: (self.df[r[0], r[1]], r[0], r[1]))
         reached, seeds = 0, []
         while ordered[len(seeds) :] and reached < 2 * k:
@@ -589,6 +650,7 @@ class Compiler:
             hits = self.index.docs.filter(matched)
         elif self._one_word():
             at_most = sum(self.df.get((r[0], r[1]), self.index.n_docs) for r in literal)
+            self.least = self._least_tiers(literal, best) if best and self.kinds == ["sum"] else {}
             hits = self._posting_rows(literal, None).select(self.key, F.col("value").alias("v0")).filter(matched)
         else:
             if best and self.kinds == ["sum"]:

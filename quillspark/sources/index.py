@@ -40,6 +40,8 @@ class Index:
         stem_maps: Dict[str, DataFrame] | None = None,
         paired: Dict[str, list[str]] | None = None,
         grams: DataFrame | None = None,
+        tiers: DataFrame | None = None,
+        lengths: Dict[str, float] | None = None,
     ):
         """``postings`` and ``terms`` may hold pairs of the words in ``paired``; ``grams`` leads from pieces to terms."""
         self.spark = spark
@@ -47,6 +49,8 @@ class Index:
         self.docs = docs
         self.paired = {name: frozenset(words) for name, words in (paired or {}).items()}
         self.everything, self.statistics, self.grams = postings, terms, grams
+        # How many postings of a term are in each tier, where none of them is of a deleted document.
+        self.tiers, self.lengths = tiers, dict(lengths or {})
         words = ~F.col("field").endswith(PAIRED)
         self.postings = postings.filter(words) if self.paired else postings
         self.terms = terms.filter(words) if self.paired else terms
@@ -132,6 +136,22 @@ class Index:
         found = {(r["field"], r["term"]): r["df"] for r in rows.collect()}
         return {p: found[p] for p in pairs if p in found}
 
+    def tier_counts(self, pairs: Iterable[tuple[str, str]]) -> dict[tuple[str, str], dict[int, int]]:
+        """How many postings the (field, term) pairs have in each tier; nothing for rare terms. As many rows come back as a
+        query has words, times batches."""
+        pairs = set(pairs)
+        if self.tiers is None or not pairs:
+            return {}
+        names, words = {f for f, _ in pairs}, {t for _, t in pairs}
+        rows = self.tiers.filter(F.col("field").isin(*names) & F.col("term").isin(*words) & self._in_buckets(words))
+        found: dict[tuple[str, str], dict[int, int]] = {}
+        for r in rows.select("field", "term", "tiers").collect():
+            if (r["field"], r["term"]) in pairs:
+                own = found.setdefault((r["field"], r["term"]), {})
+                for tier, n in r["tiers"]:
+                    own[tier] = own.get(tier, 0) + n
+        return found
+
     def resolve(self, patterns: list[tuple[str, Column, Filter | None]]) -> list[list[str] | None]:
         """For each (field, test of the term, what its pieces say) the terms that match, or None when there are more than
         ``RESOLVED_TERMS``.

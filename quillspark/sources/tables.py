@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
-from quillspark.functions import analysis
+from quillspark.functions import analysis, scoring
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.plans import grams
 
+#: Terms with fewer postings have no counts of tiers.
+TIERED_POSTINGS = 128
 #: The words whose pairs are kept: at most so many of a field, in at least one of so many documents of a sample.
 PAIRED_WORDS, PAIRED_SHARE, PAIRED_SAMPLE = 512, 24, 2_000
 
@@ -93,6 +95,31 @@ def frequent_words(sample: DataFrame, mapping: Mapping) -> Dict[str, list[str]]:
     return found
 
 
+def with_tiers(postings: DataFrame, lengths: Dict[str, float]) -> DataFrame:
+    """Postings with ``tier``, null in fields without; pairs of words are in their field's."""
+    fields = {f: v for name, v in lengths.items() for f in (name, name + PAIRED)}
+    length = F.lit(None).cast("double")
+    for name, value in fields.items():
+        length = F.when(F.col("field") == name, F.lit(value)).otherwise(length)
+    return postings.withColumn("tier", scoring.tier_of(F.col("tf"), F.col("dl"), length))
+
+
+def tiers_table(postings: DataFrame) -> DataFrame:
+    """``field``, ``term`` and ``tiers``, how many postings are in each tier, of the terms that have ``TIERED_POSTINGS``."""
+    counts = postings.filter("tier is not null").groupBy("field", "term", "tier").agg(F.count(F.lit(1)).alias("n"))
+    listed = counts.groupBy("field", "term").agg(F.collect_list(F.struct("tier", "n")).alias("tiers"), F.sum("n").alias("df"))
+    return listed.filter(F.col("df") >= TIERED_POSTINGS).drop("df")
+
+
+def mean_lengths(sample: DataFrame, mapping: Mapping) -> Dict[str, float]:
+    """About how many tokens the fields with tiers have; any number is right, near ones cut best."""
+    if not mapping.tiered:
+        return {}
+    sizes = [F.avg(F.coalesce(F.size(_entries(mapping, n)), F.lit(0))).alias(n) for n in mapping.tiered]
+    row = sample.agg(*sizes).first()
+    return {n: max(1.0, float(row[n] or 1.0)) for n in mapping.tiered}
+
+
 def grams_table(terms: DataFrame, mapping: Mapping) -> DataFrame:
     """``field``, ``gram``, ``term``: the pieces of every term of the fields that have such a table."""
     chosen = terms.filter(F.col("field").isin(mapping.grammed))

@@ -6,6 +6,7 @@ Layout under ``path``::
     docs/batch=N/doc_bucket=B/             clustered by hash of the key
     postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key; pairs of frequent
                                            words are terms of a field F+pairs
+    tiers/batch=N/field=F/term_bucket=B/   how many postings of a frequent term are in each tier, for the fields that have them
     grams/batch=N/field=F/gram_bucket=B/   pieces of three letters to terms, for the fields that have it
     terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary; what a delete takes away has counts below zero
     deletes/batch=N/                       keys removed from batches before N
@@ -38,7 +39,7 @@ from quillspark.errors import CommitConflict, MappingError
 from quillspark.functions import analysis
 from quillspark.functions.coerce import coerce
 from quillspark.mapping import Mapping
-from quillspark.plans.compile import matches
+from quillspark.plans.compile import BROADCAST_KEYS, matches
 from quillspark.plans.query import Query, Term
 from quillspark.sources import tables
 from quillspark.sources.index import Index
@@ -65,6 +66,8 @@ _VERSION_ROW = T.StructType(
         T.StructField("tokens", T.StringType()),
         T.StructField("streams", T.StringType()),
         T.StructField("paired", T.StringType()),
+        T.StructField("lengths", T.StringType()),
+        T.StructField("deleted", T.LongType()),
         T.StructField("committed_at", T.StringType()),
     ]
 )
@@ -87,6 +90,10 @@ class _Version:
     streams: dict[str, int]
     # The words of each field whose pairs every batch has; None until there is a batch.
     paired: dict[str, list[str]] | None = None
+    # The lengths that tiers of postings are made with.
+    lengths: dict[str, float] | None = None
+    # At most so many keys are listed as deleted; None if that is not known.
+    deleted: int | None = None
 
 
 class IndexDirectory:
@@ -143,8 +150,9 @@ class IndexDirectory:
         for name in ("committed_at", "whole"):
             found.pop(name)
         found["mapping"] = Mapping.from_json(found["mapping"])
+        found.setdefault("deleted", None)
         found["tokens"], found["streams"] = json.loads(found["tokens"]), json.loads(found["streams"])
-        found["paired"] = json.loads(found.get("paired") or "null")
+        found["paired"], found["lengths"] = (json.loads(found.get(k) or "null") for k in ("paired", "lengths"))
         return _Version(**found)
 
     def _commit(self, v: _Version, since: _Version | None) -> int:
@@ -155,7 +163,8 @@ class IndexDirectory:
             "version": v.version, "mapping": v.mapping.to_json(), "key_type": v.key_type, "term_buckets": v.term_buckets,
             "doc_buckets": v.doc_buckets, "stem_maps": v.stem_maps, "batches": added("batches"), "deletes": added("deletes"),
             "terms": added("terms"), "whole": whole, "n_docs": v.n_docs, "tokens": json.dumps(v.tokens),
-            "streams": json.dumps(v.streams), "paired": json.dumps(v.paired), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+            "streams": json.dumps(v.streams), "paired": json.dumps(v.paired),
+            "lengths": json.dumps(v.lengths), "deleted": v.deleted, "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         path, system = self._file(v.version)
         self._put(path, json.dumps(row).encode(), v.version)
@@ -210,7 +219,7 @@ class IndexDirectory:
             words.select("term", "stem").write.mode("overwrite").parquet(f"{self.path}/stem_maps/tokenizer={tokenizer}")
         kind = (key_type or T.LongType()).simpleString()
         self._commit(
-            _Version(0, mapping, kind, term_buckets, doc_buckets, sorted(stem_maps or {}), [], [], [], 0, {}, {}), None
+            _Version(0, mapping, kind, term_buckets, doc_buckets, sorted(stem_maps or {}), [], [], [], 0, {}, {}, deleted=0), None
         )
         return self
 
@@ -218,6 +227,27 @@ class IndexDirectory:
         """The current version, or an earlier one; later commits do not show in it."""
         return self._index(self._require(version))
 
+    def changes(self, since: int, until: int | None = None) -> DataFrame:
+        """What a later version has other than an earlier one: ``change``, the key and the fields kept with documents.
+
+        A ``removed`` row is a document of the earlier version as it was there, an ``added`` row one of the later version; a
+        replaced document has both. Only the batches and lists of deleted keys that were committed in between are read, and
+        the documents with those keys. Between the two no batches may have been folded."""
+        a, b = self._require(since), self._require(until)
+        if a.version > b.version or not set(a.batches) <= set(b.batches):
+            raise ValueError(f"versions {a.version} and {b.version} are not apart by additions and deletions alone")
+        key = a.mapping.key
+        schema = T.StructType([T.StructField(key, T._parse_datatype_string(a.key_type))])
+        gone = self._read("deletes", [d for d in b.deletes if d not in a.deletes], schema).select(key).distinct()
+        removed = self._index(a).docs_of(gone, "left_semi")
+        added = self._index(replace(b, batches=[n for n in b.batches if n not in a.batches])).docs
+        columns = [F.col(key), *(F.col(f"`{f.name}`") for f in a.mapping.doc_fields)]
+        return removed.select(F.lit("removed").alias("change"), *columns).unionByName(added.select(F.lit("added").alias("change"), *columns))
+
+    def commits(self) -> DataFrame:
+        """The commit log as a stream: a row for each version, as it is committed."""
+        return self.spark.readStream.schema(_VERSION_ROW).json(f"{self.path}/versions")
+
     def _read(self, table: str, batches: list[int], schema: T.StructType) -> DataFrame:
         if not batches:
             return self.spark.createDataFrame([], schema)
@@ -235,7 +265,10 @@ class IndexDirectory:
         batch = T.StructField("batch", T.LongType())
         bucket = T.StructField("term_bucket", T.IntegerType())
         docs = tables.docs_schema(v.mapping, key_type).add(batch).add("doc_bucket", T.IntegerType())
-        postings = tables.postings_schema(v.mapping, key_type).add(batch).add(bucket)
+        postings = tables.postings_schema(v.mapping, key_type)
+        if v.mapping.tiered:
+            postings = postings.add("tier", T.IntegerType())
+        postings = postings.add(batch).add(bucket)
         terms = T.StructType(
             [T.StructField("field", T.StringType()), T.StructField("term", T.StringType()),
              T.StructField("df", T.LongType()), T.StructField("cf", T.LongType()), batch, bucket]
@@ -243,7 +276,10 @@ class IndexDirectory:
         live = {"docs": self._read("docs", v.batches, docs), "postings": self._read("postings", v.batches, postings)}
         if v.deletes:
             gone = self._read("deletes", v.deletes, T.StructType([T.StructField(key, key_type), batch]))
-            gone = gone.groupBy(key).agg(F.max("batch").alias("before"))
+            if v.deleted is not None and v.deleted <= BROADCAST_KEYS:
+                gone = F.broadcast(gone.withColumnRenamed("batch", "before"))
+            else:
+                gone = gone.groupBy(key).agg(F.max("batch").alias("before"))
             for name, rows in live.items():
                 dead = (rows[key] == gone[key]) & (rows["batch"] < gone["before"])
                 live[name] = rows.join(gone, dead, "left_anti")
@@ -257,8 +293,16 @@ class IndexDirectory:
         return Index(
             self.spark, v.mapping, live["docs"].drop("batch"), live["postings"].drop("batch"), vocabulary,
             (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v), v.paired, self._grams(v),
+            self._tiers(v), v.lengths,
         )
 
+    def _tiers(self, v: _Version) -> DataFrame | None:
+        """Counts of postings by tier; none while deleted documents are among them."""
+        if not v.mapping.tiered or v.deletes or not v.batches:
+            return None
+        schema = "field string, term string, tiers array<struct<tier:int,n:bigint>>, batch bigint, term_bucket int"
+        return self._read("tiers", v.batches, T._parse_datatype_string(schema)).drop("batch")
+
     def _grams(self, v: _Version) -> DataFrame | None:
         """Pieces to terms, of every batch's vocabulary."""
         if not v.mapping.grammed:
@@ -345,6 +389,7 @@ class IndexDirectory:
             return
         self._write_terms(self._terms_of(index, gone).withColumns({"df": -F.col("df"), "cf": -F.col("cf")}), v, -n)
         v.deletes, v.terms, v.n_docs = [*v.deletes, n], [*v.terms, -n], v.n_docs - removed
+        v.deleted = None if v.deleted is None else v.deleted + removed
         self._count_tokens(v, -n)
 
     def _terms_of(self, index: Index, keys: DataFrame) -> DataFrame:
@@ -388,6 +433,8 @@ class IndexDirectory:
         key_type = T._parse_datatype_string(v.key_type)
         if v.paired is None and v.mapping.paired:
             v.paired = tables.frequent_words(self._some(documents), v.mapping)
+        if v.lengths is None and v.mapping.tiered:
+            v.lengths = tables.mean_lengths(self._some(documents), v.mapping)
         slots = {name: analysis.word_slots(self.spark, words) for name, words in (v.paired or {}).items()}
         v.paired = {name: sorted(filter(None, words)) for name, words in slots.items()} if v.paired is not None else None
         postings = tables.postings_table(documents, v.mapping, self._stem_maps(v), slots)
@@ -427,13 +474,26 @@ class IndexDirectory:
         )
 
     def _write_postings(self, postings: DataFrame, v: _Version, n: int) -> None:
+        tier = []
+        if v.mapping.tiered:
+            postings, tier = tables.with_tiers(postings, v.lengths or {}), [F.desc("tier")]
         (
             postings.hint("rebalance", "field", "term_bucket")
-            .sortWithinPartitions("field", "term_bucket", "term", v.mapping.key)
+            .sortWithinPartitions("field", "term_bucket", "term", *tier, v.mapping.key)
             .write.option("parquet.bloom.filter.enabled#term", "true")
             .partitionBy("field", "term_bucket")
             .parquet(f"{self.path}/postings/batch={n}")
         )
+        if v.mapping.tiered:
+            schema = T._parse_datatype_string("field string, term string, tier int, batch bigint, term_bucket int")
+            (
+                tables.tiers_table(self._read("postings", [n], schema))
+                .withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
+                .hint("rebalance", "field", "term_bucket")
+                .sortWithinPartitions("field", "term_bucket", "term")
+                .write.partitionBy("field", "term_bucket")
+                .parquet(f"{self.path}/tiers/batch={n}")
+            )
 
     def _write_terms(self, terms: DataFrame, v: _Version, n: int) -> None:
         (
@@ -460,10 +520,10 @@ class IndexDirectory:
         since = self._require()
         n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
         index = self._index(since)
-        v = replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n])
+        v = replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n], deleted=0)
         self._write_docs(index.docs, since, n)
         if v.mapping.paired and {f.name for f in v.mapping.doc_fields}.issuperset(tables.indexed_fields(v.mapping)):
-            v.paired = None
+            v.paired = v.lengths = None
             schema = tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)).add("doc_bucket", T.IntegerType())
             self._write_words(v, n, self._read("docs", [n], schema))
         else:
@@ -501,12 +561,12 @@ class IndexDirectory:
         Opened indexes of older versions stop working, and so must no change be running."""
         latest = self._require().version
         kept = [self._require(n) for n in range(max(0, latest - keep_versions + 1), latest + 1)]
-        used = {("docs", b) for v in kept for b in v.batches} | {("postings", b) for v in kept for b in v.batches}
+        used = {(table, b) for v in kept for b in v.batches for table in ("docs", "postings", "tiers")}
         used |= {("deletes", d) for v in kept for d in v.deletes}
         used |= {(table, t) for v in kept for t in v.terms for table in ("terms", "grams")}
         _, system = self._file(0)
         gone = []
-        for table in ("docs", "postings", "deletes", "terms", "grams"):
+        for table in ("docs", "postings", "deletes", "terms", "grams", "tiers"):
             top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
             for status in system.listStatus(top) if system.exists(top) else ():
                 name = status.getPath().getName()

@@ -29,9 +29,9 @@ DOCUMENTS = Mapping.build(
         ("path", "facet", {"stored": True, "fast": True}),
     ]
 )
-#: The same with postings of pairs of frequent words, and with tables of pieces of terms.
+#: Texts with postings of pairs of frequent words, tables of pieces of terms, and tiers of postings.
 PHRASED = Mapping.build(
-    [("text", "text", {"stored": True, "pairs": True, "grams": True}), ("source", "string", {**KEYWORD, "grams": True})]
+    [("text", "text", {"stored": True, "pairs": True, "grams": True, "tiers": True}), ("source", "string", {**KEYWORD, "grams": True})]
 )
 REVISIONS = Mapping.build([*DOCUMENTS.fields, ("revision", "i64", NUMBER)])
 PARTS = Mapping.build(

@@ -139,6 +139,28 @@ def snapshots(spark, sf_dir):
     return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
+_CHANGES = """was AS (SELECT doc_id, text, lang, source, n_chars FROM documents),
+changed AS (SELECT 'removed' AS change, * FROM was WHERE lang IN ('fr', 'es') OR source = 'src1'
+  UNION ALL SELECT 'added', doc_id, CASE WHEN lang = 'es' THEN 'replaced text of ' || source ELSE text END, lang, source, n_chars FROM was
+  WHERE lang = 'fr' OR lang = 'es' AND source <> 'src1')"""
+
+
+@query("ix8_changes", f"WITH {_CHANGES} SELECT change, doc_id, text, lang, source, n_chars FROM changed")
+def changes(spark, sf_dir):
+    """What three commits took away and brought."""
+    found = corpora.lifecycle(spark, sf_dir).changes(2, 5)
+    return found.select("change", "doc_id", "text", "lang", "source", "n_chars")
+
+
+@query("ix8_changes_applied", f"WITH {_SWAPPED} SELECT doc_id, text FROM swapped")
+def changes_applied(spark, sf_dir):
+    """An earlier version with its changes is the later version."""
+    directory = corpora.lifecycle(spark, sf_dir)
+    found = directory.changes(2, 5).select("change", "doc_id", "text")
+    removed, added = found.filter("change = 'removed'").select("doc_id"), found.filter("change = 'added'").drop("change")
+    return directory.open(2).docs.select("doc_id", "text").join(removed, "doc_id", "left_anti").unionByName(added)
+
+
 _REVISIONS = """revised AS (SELECT doc_id, CASE WHEN doc_id % 2 = 1 THEN 'replaced text of ' || source ELSE text END AS text,
   lang, source, n_chars FROM documents)"""
 

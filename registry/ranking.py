@@ -35,6 +35,17 @@ def top(spark, sf_dir):
     return top_k(corpora.documents_index(spark, sf_dir), " ".join(_WORDS), fields=("text",))
 
 
+@query("r3_top_k_by_tiers", f"{_IX} {sql.page(_sum(['the']), 12)}")
+def top_by_tiers(spark, sf_dir):
+    """Of a very frequent word only the postings that can be among the best are read."""
+    return top_k(corpora.phrased_index(spark, sf_dir), "the", limit=12, fields=("text",))
+
+
+@query("r3_top_phrase_by_tiers", f"{_IX}, {sql.phrase(['of', 'the'])} {sql.page('SELECT * FROM ph', 7)}")
+def top_phrase_by_tiers(spark, sf_dir):
+    return top_k(corpora.phrased_index(spark, sf_dir), q.phrase("text", "of", "the"), limit=7)
+
+
 @query("r4_page", f"{_IX} {sql.page(_sum(_WORDS), 20, 40)}")
 def page(spark, sf_dir):
     return top_k(corpora.documents_index(spark, sf_dir), " ".join(_WORDS), limit=20, offset=40, fields=("text",))

@@ -11,14 +11,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.errors import MappingError
+from quillspark.functions import scoring
 from quillspark.mapping import PAIRED, Mapping
-from quillspark.plans import grams
+from quillspark.operators.search import top_k
+from quillspark.plans import compile, grams
 from quillspark.plans import query as q
 from quillspark.plans.compile import matches
 from quillspark.sources import tables
 from quillspark.sources.versions import IndexDirectory, build_index
 
-TEXT, EXTRA = {"stored": True}, {"stored": True, "pairs": True, "grams": True}
+TEXT, EXTRA = {"stored": True}, {"stored": True, "pairs": True, "grams": True, "tiers": True}
 PLAIN = Mapping.build([("body", "text", TEXT), ("kind", "string", TEXT)])
 WIDE = Mapping.build([("body", "text", EXTRA), ("kind", "string", {**TEXT, "grams": True})])
 WORDS = ["the", "of", "in", "a", "engine", "engines", "ngine", "gear", "geer", "grae", "x", "überlang", "z9"]
@@ -227,3 +229,54 @@ def test_a_torn_commit_is_not_seen(spark, tmp_path, monkeypatch):
     assert directory.open().n_docs == directory.open(1).n_docs and directory.current_version() == 1
     directory.append(rows(spark, 2, 100, 5))
     assert names() == [*whole, "000000000002.json"]
+
+
+@pytest.fixture(scope="module")
+def tiered(spark, tmp_path_factory):
+    """Two batches of other lengths, so that tiers were made with another average; without and with the layout."""
+    top = tmp_path_factory.mktemp("tiers")
+    made = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tables, "TIERED_POSTINGS", 8)
+        for name, mapping in (("plain", PLAIN), ("wide", WIDE)):
+            directory = IndexDirectory(spark, f"{top}/{name}").create(mapping)
+            directory.append(rows(spark, 5, 0, 150))
+            longer = rows(spark, 6, 1000, 60).withColumn("body", F.concat_ws(" ", "body", F.repeat(F.lit("filler "), 30)))
+            directory.append(longer)
+            made.append(directory.open())
+    return tuple(made)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.sampled_from([*WORDS, "filler"]), min_size=1, max_size=4), st.integers(1, 12))
+def test_the_best_are_the_same_with_tiers(tiered, words, k):
+    plain, wide = tiered
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(compile, "SPARED_ROWS", 0)
+        for asked in (q.match(" ".join(words), "body"), q.phrase("body", "of", words[0]), q.boosted_fields(" ".join(words), {"body": 2.5})):
+            assert [tuple(r) for r in top_k(plain, asked, k).collect()] == [tuple(r) for r in top_k(wide, asked, k).collect()]
+
+
+def test_only_upper_tiers_of_a_frequent_word_are_read(tiered):
+    _, wide = tiered
+    frame = top_k(wide, "the", 3, fields=("body",))
+    text = plan(frame)
+    least = int(re.search(r"GreaterThanOrEqual\(tier,(\d+)\)", text).group(1))
+    counts = wide.tier_counts([("body", "the")])["body", "the"]
+    assert 3 <= sum(n for t, n in counts.items() if t >= least) < sum(counts.values()) / 2 and "Exchange hash" not in text
+    assert wide.tier_counts([("body", "nowhere")]) == {}
+
+
+def test_tiers_bound_what_postings_add(tiered):
+    _, wide = tiered
+    for r in wide.everything.filter("tier is not null").select("field", "tf", "dl", "tier").distinct().collect():
+        field = r["field"].removesuffix(PAIRED)
+        for avgdl in (3.0, wide.lengths[field], 80.0):
+            norm = 2.2 * r["tf"] / (r["tf"] + 1.2 * (0.25 + 0.75 * r["dl"] / avgdl))
+            low, high = (scoring.tier_bound(r["tier"] + i, wide.lengths[field], avgdl, not i) for i in (0, 1))
+            assert low - 1e-9 <= norm <= high + 1e-9
+
+
+def test_tiers_are_not_trusted_after_a_delete(opened):
+    _, wide = opened
+    assert wide.tiers is None

@@ -9,6 +9,7 @@ from quillspark.plans import query as q
 from quillspark.sources import tables, versions
 from quillspark.sources.index import Index
 from quillspark.sources.versions import IndexDirectory, build_index
+from quillspark.streaming.changes import change_stream
 from quillspark.streaming.ingest import index_stream, without_replays
 
 NOTES = Mapping.build(
@@ -258,3 +259,70 @@ def test_replayed_records_are_dropped_within_the_delay(spark, tmp_path):
     writer = index_stream(without_replays(files, "doc_id", "at", "1 hour"), directory, f"{tmp_path}/c", upsert=False)
     writer.trigger(availableNow=True).start().awaitTermination()
     assert directory.open().n_docs == 2 and sorted(ids(top_k(directory.open(), q.All()))) == [0, 1]
+
+
+def test_one_word_has_no_shuffle_after_deletes(spark, tmp_path, monkeypatch):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    directory.append(notes(spark, KEEP, REMOVE, (2, "Index this", "index index", "more", 3)))
+    directory.delete("slug", "remove")
+    directory.upsert(notes(spark, (2, "Index", "again", "more", 4)))
+
+    def shuffles():
+        frame = top_k(directory.open(), "index")
+        return frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"), sorted(ids(frame))
+
+    assert directory._require().deleted == 2
+    one_word = top_k(directory.open(), "index", fields=("title",))
+    assert "Exchange hashpartitioning" not in one_word._jdf.queryExecution().executedPlan().toString() and ids(one_word) == [2]
+    few = shuffles()
+    monkeypatch.setattr(versions, "BROADCAST_KEYS", 1)
+    many = shuffles()
+    assert few[1] == many[1] == [0, 2] and few[0] < many[0]
+    directory.rewrite()
+    assert directory._require().deleted == 0 and sorted(ids(top_k(directory.open(), "index"))) == [0, 2]
+
+
+def changed(directory, since, until=None):
+    return sorted((r["change"], r["doc_id"], r["title"]) for r in directory.changes(since, until).collect())
+
+
+def test_changes_between_versions(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    directory.append(notes(spark, KEEP, REMOVE))
+    directory.delete("slug", "remove")
+    directory.upsert(notes(spark, (0, "Kept", "b", "keep", 1), (5, "New", "b", "new", 1)))
+    directory.delete("slug", "new")
+    assert changed(directory, 0, 1) == [("added", 0, "Keep This"), ("added", 1, "Remove This")]
+    assert changed(directory, 1, 2) == [("removed", 1, "Remove This")]
+    assert changed(directory, 2, 3) == [("added", 0, "Kept"), ("added", 5, "New"), ("removed", 0, "Keep This")]
+    assert changed(directory, 1) == [("added", 0, "Kept"), ("removed", 0, "Keep This"), ("removed", 1, "Remove This")]
+    assert changed(directory, 4, 4) == []
+    directory.rewrite()
+    for since, until in ((4, 5), (3, 2)):
+        with pytest.raises(ValueError):
+            directory.changes(since, until)
+
+
+def test_a_stream_of_changes_keeps_a_copy(spark, tmp_path):
+    directory = IndexDirectory(spark, f"{tmp_path}/ix").create(NOTES)
+    copy, seen = {}, []
+
+    def apply(changes, version):
+        rows = sorted(changes.collect(), key=lambda r: r["change"], reverse=True)  # removed before added
+        for r in rows:
+            copy.pop(r["doc_id"], None) if r["change"] == "removed" else copy.update({r["doc_id"]: r["title"]})
+        seen.append(version)
+
+    def run():
+        change_stream(directory, apply, f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+
+    run()
+    directory.append(notes(spark, KEEP, REMOVE))
+    run()
+    assert copy == {0: "Keep This", 1: "Remove This"}
+    directory.upsert(notes(spark, (0, "Kept", "b", "keep", 1)))
+    directory.delete("slug", "remove")
+    run()
+    run()
+    assert copy == {0: "Kept"} and seen == [1, 3]
+    assert copy == {r["doc_id"]: r["title"] for r in directory.open().docs.collect()}
