@@ -27,22 +27,26 @@ def tf_norm(tf: Column, dl: Column, avgdl: Column) -> Column:
     return F.lit(K1 + 1.0) * tf / (tf + F.lit(K1) * length)
 
 
-#: Postings of a term are in so many tiers by what they can add to a score.
-TIERS = 32
+#: Postings of a term are in so many tiers by what they can add to a score; four tiers on, their ratio of frequency to
+#: length has doubled. The lowest tier is open below, the highest above.
+TIERS, _STEPS, _LOWEST = 64, 4, -4
 
 
 def tier_of(tf: Column, dl: Column, length: Column) -> Column:
-    """The tier of a posting: its saturated frequency, from 0 to 1, at a fixed average length, in steps."""
-    part = tf / (tf + F.lit(K1) * (F.lit(1.0 - B) + F.lit(B) * dl / length))
-    return F.floor(part * TIERS).cast("int")
+    """The tier of a posting, at a fixed average length."""
+    ratio = tf / (F.lit(1.0 - B) + F.lit(B) * dl / length)
+    step = F.floor((F.log2(ratio) - _LOWEST) * _STEPS)
+    return F.least(F.greatest(step, F.lit(0)), F.lit(TIERS - 1)).cast("int")
 
 
 def tier_bound(tier: int, length: float, avgdl: float, lower: bool) -> float:
     """What ``tf_norm`` is at least in this tier, or at most below it, when the average length is ``avgdl`` by now and not
     the ``length`` that tiers were made with."""
-    part = min(tier / TIERS, 1.0 - 1e-12)
-    moved = (min if lower else max)(1.0, avgdl / length)
-    ratio = K1 * part / (1.0 - part) * moved
+    if tier <= 0:
+        return 0.0
+    if tier >= TIERS:
+        return K1 + 1.0
+    ratio = 2.0 ** (tier / _STEPS + _LOWEST) * (min if lower else max)(1.0, avgdl / length)
     return (K1 + 1.0) * ratio / (ratio + K1)
 
 

@@ -49,6 +49,8 @@ class Field:
     grams: bool = False
     # Whether postings are laid out by how much they can add to a score, so that the best hits are read first.
     tiers: bool = False
+    # Whether a batch keeps a summary of the field: count, extremes, quantiles and distinct values.
+    summary: bool = False
 
     @property
     def spark_type(self) -> T.DataType:
@@ -59,6 +61,10 @@ class Field:
         """The analyzer that turns this field's values into terms."""
         return self.tokenizer if self.type == "text" else "raw"
 
+    @property
+    def numeric(self) -> bool:
+        return self.type in ("u64", "i64", "f64", "bool", "date")
+
     @property
     def in_postings(self) -> bool:
         return self.type == "text" or (self.type == "string" and self.indexed)
@@ -87,6 +93,10 @@ def _as_field(definition) -> Field:
         raise MappingError(f"unknown tokenizer: {found.tokenizer}. Expected one of {', '.join(ANALYZERS)}")
     if found.pairs and (found.type != "text" or found.tokenizer not in ("default", "whitespace")):
         raise MappingError(f"pairs of words are kept for text that is not stemmed: {found.name}")
+    if found.summary and not (found.numeric or found.type == "string"):
+        raise MappingError(f"no summary is kept of a field of type {found.type}: {found.name}")
+    if found.summary and not found.in_docs:
+        raise MappingError(f"a summary needs a field that is kept with the documents: {found.name}")
     if found.name.endswith(PAIRED):
         raise MappingError(f"no field name may end in {PAIRED}: {found.name}")
     if found.type == "string" and not (found.indexed or found.stored):
@@ -147,6 +157,10 @@ class Mapping:
     def paired(self) -> list[str]:
         return [f.name for f in self.fields if f.pairs]
 
+    @property
+    def summarized(self) -> list[str]:
+        return [f.name for f in self.fields if f.summary]
+
     @property
     def tiered(self) -> list[str]:
         return [f.name for f in self.fields if f.tiers and f.in_postings]

@@ -42,6 +42,7 @@ class Index:
         grams: DataFrame | None = None,
         tiers: DataFrame | None = None,
         lengths: Dict[str, float] | None = None,
+        summaries: DataFrame | None = None,
     ):
         """``postings`` and ``terms`` may hold pairs of the words in ``paired``; ``grams`` leads from pieces to terms."""
         self.spark = spark
@@ -51,6 +52,7 @@ class Index:
         self.everything, self.statistics, self.grams = postings, terms, grams
         # How many postings of a term are in each tier, where none of them is of a deleted document.
         self.tiers, self.lengths = tiers, dict(lengths or {})
+        self.summaries = summaries
         words = ~F.col("field").endswith(PAIRED)
         self.postings = postings.filter(words) if self.paired else postings
         self.terms = terms.filter(words) if self.paired else terms

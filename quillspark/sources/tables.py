@@ -18,6 +18,8 @@ from quillspark.functions import analysis, scoring
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.plans import grams
 
+#: Sizes of the sketches of a field's summary: of quantiles, and of distinct values in bits.
+QUANTILE_SIZE, DISTINCT_BITS = 400, 14
 #: Terms with fewer postings have no counts of tiers.
 TIERED_POSTINGS = 128
 #: The words whose pairs are kept: at most so many of a field, in at least one of so many documents of a sample.
@@ -120,6 +122,28 @@ def mean_lengths(sample: DataFrame, mapping: Mapping) -> Dict[str, float]:
     return {n: max(1.0, float(row[n] or 1.0)) for n in mapping.tiered}
 
 
+SUMMARY = "field string, n bigint, low double, high double, quantiles binary, distinct_values binary"
+
+
+def summary_table(docs: DataFrame, mapping: Mapping) -> DataFrame:
+    """A row per summarized field, in one pass over the documents; each task makes its own sketches, which are merged."""
+    rows = []
+    for name in mapping.summarized:
+        f, column = mapping.field(name), F.col(f"`{name}`")
+        number = F.unix_millis(column) if f.type == "date" else column.cast("int") if f.type == "bool" else column
+        number = number.cast("double") if f.numeric else F.lit(None).cast("double")
+        whole = F.unix_millis(column) if f.type == "date" else column
+        plain = whole if f.type in ("i64", "date") else whole.cast("string")
+        rows.append(
+            F.struct(
+                F.lit(name).alias("field"), F.count(column).alias("n"), F.min(number).alias("low"), F.max(number).alias("high"),
+                (F.kll_sketch_agg_double(number, F.lit(QUANTILE_SIZE)) if f.numeric else F.lit(None).cast("binary")).alias("quantiles"),
+                F.hll_sketch_agg(plain, F.lit(DISTINCT_BITS)).alias("distinct_values"),
+            )
+        )
+    return docs.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 def grams_table(terms: DataFrame, mapping: Mapping) -> DataFrame:
     """``field``, ``gram``, ``term``: the pieces of every term of the fields that have such a table."""
     chosen = terms.filter(F.col("field").isin(mapping.grammed))

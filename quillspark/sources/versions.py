@@ -7,6 +7,7 @@ Layout under ``path``::
     postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key; pairs of frequent
                                            words are terms of a field F+pairs
     tiers/batch=N/field=F/term_bucket=B/   how many postings of a frequent term are in each tier, for the fields that have them
+    summaries/batch=N/                     count, extremes and sketches of the fields that have a summary
     grams/batch=N/field=F/gram_bucket=B/   pieces of three letters to terms, for the fields that have it
     terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary; what a delete takes away has counts below zero
     deletes/batch=N/                       keys removed from batches before N
@@ -293,9 +294,16 @@ class IndexDirectory:
         return Index(
             self.spark, v.mapping, live["docs"].drop("batch"), live["postings"].drop("batch"), vocabulary,
             (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v), v.paired, self._grams(v),
-            self._tiers(v), v.lengths,
+            self._tiers(v), v.lengths, self._summaries(v),
         )
 
+    def _summaries(self, v: _Version) -> DataFrame | None:
+        """Summaries of fields, a row per batch; none while documents of a batch are deleted."""
+        if not v.mapping.summarized or v.deletes:
+            return None
+        schema = T._parse_datatype_string(tables.SUMMARY).add("batch", T.LongType())
+        return self._read("summaries", v.batches, schema).drop("batch")
+
     def _tiers(self, v: _Version) -> DataFrame | None:
         """Counts of postings by tier; none while deleted documents are among them."""
         if not v.mapping.tiered or v.deletes or not v.batches:
@@ -472,6 +480,9 @@ class IndexDirectory:
             .write.partitionBy("doc_bucket")
             .parquet(f"{self.path}/docs/batch={n}")
         )
+        if v.mapping.summarized:
+            rows = self._read("docs", [n], tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)))
+            tables.summary_table(rows, v.mapping).write.parquet(f"{self.path}/summaries/batch={n}")
 
     def _write_postings(self, postings: DataFrame, v: _Version, n: int) -> None:
         tier = []
@@ -561,12 +572,12 @@ class IndexDirectory:
         Opened indexes of older versions stop working, and so must no change be running."""
         latest = self._require().version
         kept = [self._require(n) for n in range(max(0, latest - keep_versions + 1), latest + 1)]
-        used = {(table, b) for v in kept for b in v.batches for table in ("docs", "postings", "tiers")}
+        used = {(table, b) for v in kept for b in v.batches for table in ("docs", "postings", "tiers", "summaries")}
         used |= {("deletes", d) for v in kept for d in v.deletes}
         used |= {(table, t) for v in kept for t in v.terms for table in ("terms", "grams")}
         _, system = self._file(0)
         gone = []
-        for table in ("docs", "postings", "deletes", "terms", "grams", "tiers"):
+        for table in ("docs", "postings", "deletes", "terms", "grams", "tiers", "summaries"):
             top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
             for status in system.listStatus(top) if system.exists(top) else ():
                 name = status.getPath().getName()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import aggs as a
 from quillspark.plans import query as q
+from quillspark.operators.stored import stored_cardinality, stored_percentiles, stored_stats
 from registry import corpora, query, sql
 
 
@@ -199,6 +200,33 @@ def percentiles(spark, sf_dir):
     return a.percentile_rows(found, "p", metric)
 
 
+@query(
+    "a11_stored_stats",
+    """SELECT 'value' AS field, count(value) AS count, min(value) AS min, max(value) AS max FROM events
+UNION ALL SELECT 'user_id', count(user_id), CAST(min(user_id) AS DOUBLE), CAST(max(user_id) AS DOUBLE) FROM events
+UNION ALL SELECT 'ts', count(ts), CAST(min(epoch_ms(date_trunc('second', ts))) AS DOUBLE), CAST(max(epoch_ms(date_trunc('second', ts))) AS DOUBLE) FROM events""",
+)
+def stats_from_summaries(spark, sf_dir):
+    """Counts and extremes of two batches, from their summaries alone."""
+    index = corpora.measures_index(spark, sf_dir)
+    value, user, ts = (stored_stats(index, n).withColumn("field", F.lit(n)) for n in ("value", "user_id", "ts"))
+    return value.unionByName(user).unionByName(ts)
+
+
+@query("a12_stored_percentiles")
+def percentiles_from_summaries(spark, sf_dir):
+    """By merged sketches, so the error is tested rather than the value."""
+    return stored_percentiles(corpora.measures_index(spark, sf_dir), "value", a.PERCENTS)
+
+
+@query("a16_stored_cardinality")
+def cardinality_from_summaries(spark, sf_dir):
+    """By merged sketches, so the error is tested rather than the value."""
+    index = corpora.measures_index(spark, sf_dir)
+    users, kinds = (stored_cardinality(index, n).withColumn("field", F.lit(n)) for n in ("user_id", "event_type"))
+    return users.unionByName(kinds)
+
+
 @query(
     "a13_several_at_once",
     """SELECT count(value) AS n, round(avg(value), 4) AS mean, min(user_id) AS low_user, max(value) AS top,

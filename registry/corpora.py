@@ -66,6 +66,10 @@ EVENTS = Mapping.build(
     ],
     key="event_id",
 )
+MEASURES = Mapping.build(
+    [(n, kind, {**NUMBER, "summary": True}) for n, kind in (("event_type", "string"), ("ts", "date"), ("value", "f64"), ("user_id", "u64"))],
+    key="event_id",
+)
 CONVERSATIONS = Mapping.build([("text", "text", {"stored": True}), ("role", "string", KEYWORD)], key="turn_id")
 PAGES = Mapping.build([("url", "string", KEYWORD), ("html", "text", {"stored": True, "tokenizer": "whitespace"})], key="page_id")
 STEMMED = Mapping.build([("text", "text", {"stored": True, "tokenizer": "en_stem"})])
@@ -143,6 +147,17 @@ def events_index(spark: SparkSession, sf_dir: str) -> Index:
     return _index(spark, sf_dir, "events", EVENTS, events)
 
 
+def measures_index(spark: SparkSession, sf_dir: str) -> Index:
+    """Events in two batches, clicks and all others."""
+
+    def fill(directory: IndexDirectory) -> None:
+        rows = table(spark, sf_dir, "events")
+        directory.append(rows.filter("event_type = 'click'"))
+        directory.append(rows.filter("event_type <> 'click' or event_type is null"))
+
+    return _directory(spark, sf_dir, "measures", MEASURES, fill).open()
+
+
 def conversations_index(spark: SparkSession, sf_dir: str) -> Index:
     return _index(spark, sf_dir, "conversations", CONVERSATIONS, conversations)
 
