@@ -51,6 +51,8 @@ class Field:
     tiers: bool = False
     # Whether a batch keeps a summary of the field: count, extremes, quantiles and distinct values.
     summary: bool = False
+    # Whether values and keys are kept a second time, in folders by ranges of the value.
+    ranged: bool = False
 
     @property
     def spark_type(self) -> T.DataType:
@@ -97,6 +99,8 @@ def _as_field(definition) -> Field:
         raise MappingError(f"no summary is kept of a field of type {found.type}: {found.name}")
     if found.summary and not found.in_docs:
         raise MappingError(f"a summary needs a field that is kept with the documents: {found.name}")
+    if found.ranged and not (found.in_docs and found.type in ("u64", "i64", "f64", "date", "ip_addr")):
+        raise MappingError(f"values of a field of type {found.type} are not kept by range: {found.name}")
     if found.name.endswith(PAIRED):
         raise MappingError(f"no field name may end in {PAIRED}: {found.name}")
     if found.type == "string" and not (found.indexed or found.stored):
@@ -161,6 +165,10 @@ class Mapping:
     def summarized(self) -> list[str]:
         return [f.name for f in self.fields if f.summary]
 
+    @property
+    def ranged(self) -> list[str]:
+        return [f.name for f in self.fields if f.ranged]
+
     @property
     def tiered(self) -> list[str]:
         return [f.name for f in self.fields if f.tiers and f.in_postings]

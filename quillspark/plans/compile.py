@@ -100,6 +100,8 @@ class Compiler:
         self.pending: list[tuple[int, str, Column, bool, grams.Filter | None]] = []
         self.conditions: dict[int, Column] = {}
         self.documents_only = False
+        # Conditions on a field whose values are kept by range: leaf -> (field, lower, upper)
+        self.between: dict[int, tuple[str, Column | None, Column | None]] = {}
         # (field, term) -> the lowest tier of its postings that is read
         self.least: dict[tuple[str, str], int] = {}
 
@@ -122,9 +124,11 @@ class Compiler:
     def _nothing(self) -> Node:
         return Node(lambda: (F.lit(False), F.lit(0.0)))
 
-    def _condition(self, predicate: Column) -> Node:
+    def _condition(self, predicate: Column, between: tuple[str, Column | None, Column | None] | None = None) -> Node:
         leaf = self._leaf("constant")
         self.conditions[leaf] = predicate
+        if between is not None and between[0] in self.index.ranges:
+            self.between[leaf] = between
         return self._node(leaf)
 
     def _in_documents(self, name: str) -> bool:
@@ -282,7 +286,7 @@ class Compiler:
             case q.Term():
                 column, kind = self._column(query.field), self.index.field(query.field).type
                 value = F.lit(str(query.value)) if self._in_documents(query.field) else typed_literal(kind, query.value)
-                return self._condition(column == value)
+                return self._condition(column == value, (query.field, value, value))
             case q.Range():
                 return self._range(query)
             case q.Regex():
@@ -357,7 +361,8 @@ class Compiler:
 
         if f.in_postings:
             return self._terms_matching(query.field, inside)
-        return self._condition(inside(self._column(query.field)))
+        low, high = (None if v is None else value(v) for v in (query.lower, query.upper))
+        return self._condition(inside(self._column(query.field)), (query.field, low, high))
 
     def _exists(self, name: str) -> Node:
         f = self.index.field(name)
@@ -646,7 +651,9 @@ class Compiler:
         self.documents_only = not literal and not self.patterns
         matched, score = node.evaluate()
         at_most = None
-        if self.documents_only:
+        if self.documents_only and len(self.conditions) == len(self.between) == 1:
+            hits = self.index.values_between(*next(iter(self.between.values()))).filter(matched)
+        elif self.documents_only:
             hits = self.index.docs.filter(matched)
         elif self._one_word():
             at_most = sum(self.df.get((r[0], r[1]), self.index.n_docs) for r in literal)

@@ -43,6 +43,8 @@ class Index:
         tiers: DataFrame | None = None,
         lengths: Dict[str, float] | None = None,
         summaries: DataFrame | None = None,
+        ranges: Dict[str, DataFrame] | None = None,
+        cuts: Dict[str, list[str]] | None = None,
     ):
         """``postings`` and ``terms`` may hold pairs of the words in ``paired``; ``grams`` leads from pieces to terms."""
         self.spark = spark
@@ -53,6 +55,7 @@ class Index:
         # How many postings of a term are in each tier, where none of them is of a deleted document.
         self.tiers, self.lengths = tiers, dict(lengths or {})
         self.summaries = summaries
+        self.ranges, self.cuts = dict(ranges or {}), dict(cuts or {})
         words = ~F.col("field").endswith(PAIRED)
         self.postings = postings.filter(words) if self.paired else postings
         self.terms = terms.filter(words) if self.paired else terms
@@ -215,6 +218,16 @@ class Index:
         placed = keys.withColumn("doc_bucket", tables.bucket_of(F.col(key), self.doc_buckets))
         return self.docs.join(placed, ["doc_bucket", key], how).drop("doc_bucket")
 
+    def values_between(self, field: str, lower: Column | None, upper: Column | None) -> DataFrame:
+        """Key and value of the documents in the ranges between two literals; only the folders of these are opened."""
+        rows = self.ranges[field]
+        part = lambda value: tables.range_of(self.mapping, field, value, self.cuts.get(field, []))
+        if lower is not None:
+            rows = rows.filter(F.col("part") >= part(lower))
+        if upper is not None:
+            rows = rows.filter(F.col("part") <= part(upper))
+        return rows.select(self.mapping.key, f"`{field}`")
+
     # -- query-time analysis -----------------------------------------------------------------
 
     def field(self, name: str) -> Field:

@@ -7,6 +7,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from collections.abc import Mapping as Dict
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +19,8 @@ from quillspark.functions import analysis, scoring
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.plans import grams
 
+#: Ranges of the values of a field.
+RANGES = 64
 #: Sizes of the sketches of a field's summary: of quantiles, and of distinct values in bits.
 QUANTILE_SIZE, DISTINCT_BITS = 400, 14
 #: Terms with fewer postings have no counts of tiers.
@@ -144,6 +147,31 @@ def summary_table(docs: DataFrame, mapping: Mapping) -> DataFrame:
     return docs.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+def range_cuts(sample: DataFrame, mapping: Mapping) -> Dict[str, list[str]]:
+    """For each field kept by range the values that part the ranges, as texts, from at most ``PAIRED_SAMPLE`` documents."""
+    if not mapping.ranged:
+        return {}
+    written = [F.sort_array(F.collect_list(F.col(f"`{n}`"))).alias(n) for n in mapping.ranged]
+    row = sample.agg(*written).select(*[F.transform(F.col(f"`{n}`"), _text_of(mapping, n)).alias(n) for n in mapping.ranged]).first()
+    return {n: list(dict.fromkeys(row[n][i * len(row[n]) // RANGES] for i in range(1, RANGES) if row[n])) for n in mapping.ranged}
+
+
+def _text_of(mapping: Mapping, name: str) -> Callable[[Column], Column]:
+    if mapping.type_of(name) == "date":
+        return lambda value: F.unix_micros(value).cast("string")
+    return lambda value: value.cast("string")
+
+
+def range_of(mapping: Mapping, name: str, value: Column, cuts: list[str]) -> Column:
+    """The range a value is in; folds to a constant for a literal."""
+    kind = mapping.field(name).spark_type
+    part = F.lit(0)
+    for cut in cuts:
+        edge = F.timestamp_micros(F.lit(int(cut))) if mapping.type_of(name) == "date" else F.lit(cut).cast(kind)
+        part = part + F.when(value >= edge, 1).otherwise(0)
+    return part
+
+
 def grams_table(terms: DataFrame, mapping: Mapping) -> DataFrame:
     """``field``, ``gram``, ``term``: the pieces of every term of the fields that have such a table."""
     chosen = terms.filter(F.col("field").isin(mapping.grammed))

@@ -7,6 +7,7 @@ Layout under ``path``::
     postings/batch=N/field=F/term_bucket=B/  clustered by hash of the term, sorted by term and key; pairs of frequent
                                            words are terms of a field F+pairs
     tiers/batch=N/field=F/term_bucket=B/   how many postings of a frequent term are in each tier, for the fields that have them
+    ranges/field=F/batch=N/part=P/         values and keys of a field, in folders by ranges of the value
     summaries/batch=N/                     count, extremes and sketches of the fields that have a summary
     grams/batch=N/field=F/gram_bucket=B/   pieces of three letters to terms, for the fields that have it
     terms/batch=N/field=F/term_bucket=B/   the batch's vocabulary; what a delete takes away has counts below zero
@@ -69,6 +70,7 @@ _VERSION_ROW = T.StructType(
         T.StructField("paired", T.StringType()),
         T.StructField("lengths", T.StringType()),
         T.StructField("deleted", T.LongType()),
+        T.StructField("cuts", T.StringType()),
         T.StructField("committed_at", T.StringType()),
     ]
 )
@@ -95,6 +97,8 @@ class _Version:
     lengths: dict[str, float] | None = None
     # At most so many keys are listed as deleted; None if that is not known.
     deleted: int | None = None
+    # What parts the ranges of the fields whose values are kept by range.
+    cuts: dict[str, list[str]] | None = None
 
 
 class IndexDirectory:
@@ -154,6 +158,7 @@ class IndexDirectory:
         found.setdefault("deleted", None)
         found["tokens"], found["streams"] = json.loads(found["tokens"]), json.loads(found["streams"])
         found["paired"], found["lengths"] = (json.loads(found.get(k) or "null") for k in ("paired", "lengths"))
+        found["cuts"] = json.loads(found.get("cuts") or "null")
         return _Version(**found)
 
     def _commit(self, v: _Version, since: _Version | None) -> int:
@@ -165,7 +170,8 @@ class IndexDirectory:
             "doc_buckets": v.doc_buckets, "stem_maps": v.stem_maps, "batches": added("batches"), "deletes": added("deletes"),
             "terms": added("terms"), "whole": whole, "n_docs": v.n_docs, "tokens": json.dumps(v.tokens),
             "streams": json.dumps(v.streams), "paired": json.dumps(v.paired),
-            "lengths": json.dumps(v.lengths), "deleted": v.deleted, "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
+            "lengths": json.dumps(v.lengths), "deleted": v.deleted,
+            "cuts": json.dumps(v.cuts), "committed_at": dt.datetime.now(dt.timezone.utc).isoformat(),
         }
         path, system = self._file(v.version)
         self._put(path, json.dumps(row).encode(), v.version)
@@ -275,6 +281,9 @@ class IndexDirectory:
              T.StructField("df", T.LongType()), T.StructField("cf", T.LongType()), batch, bucket]
         )
         live = {"docs": self._read("docs", v.batches, docs), "postings": self._read("postings", v.batches, postings)}
+        for f in v.mapping.ranged:
+            schema = T.StructType([T.StructField(key, key_type), T.StructField(f, v.mapping.field(f).spark_type), batch])
+            live[f"values of {f}"] = self._read(f"ranges/field={f}", v.batches, schema.add("part", T.IntegerType()))
         if v.deletes:
             gone = self._read("deletes", v.deletes, T.StructType([T.StructField(key, key_type), batch]))
             if v.deleted is not None and v.deleted <= BROADCAST_KEYS:
@@ -295,6 +304,7 @@ class IndexDirectory:
             self.spark, v.mapping, live["docs"].drop("batch"), live["postings"].drop("batch"), vocabulary,
             (v.n_docs, v.tokens), v.term_buckets, v.doc_buckets, self._stem_maps(v), v.paired, self._grams(v),
             self._tiers(v), v.lengths, self._summaries(v),
+            {f: live[f"values of {f}"].drop("batch") for f in v.mapping.ranged}, v.cuts,
         )
 
     def _summaries(self, v: _Version) -> DataFrame | None:
@@ -480,6 +490,21 @@ class IndexDirectory:
             .write.partitionBy("doc_bucket")
             .parquet(f"{self.path}/docs/batch={n}")
         )
+        if v.mapping.ranged:
+            schema = tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)).add("doc_bucket", T.IntegerType())
+            rows = self._read("docs", [n], schema)
+            if v.cuts is None:
+                v.cuts = tables.range_cuts(self._some(rows), v.mapping)
+            for f in v.mapping.ranged:
+                value = F.col(f"`{f}`")
+                (
+                    rows.filter(value.isNotNull())
+                    .select(v.mapping.key, value, tables.range_of(v.mapping, f, value, v.cuts.get(f, [])).alias("part"))
+                    .hint("rebalance", "part")
+                    .sortWithinPartitions("part", f"`{f}`")
+                    .write.partitionBy("part")
+                    .parquet(f"{self.path}/ranges/field={f}/batch={n}")
+                )
         if v.mapping.summarized:
             rows = self._read("docs", [n], tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)))
             tables.summary_table(rows, v.mapping).write.parquet(f"{self.path}/summaries/batch={n}")
@@ -532,7 +557,8 @@ class IndexDirectory:
         n = (since.version + 1) * ATTEMPTS + secrets.randbelow(ATTEMPTS)
         index = self._index(since)
         v = replace(since, version=since.version + 1, batches=[n], deletes=[], terms=[n], deleted=0)
-        self._write_docs(index.docs, since, n)
+        v.cuts = None
+        self._write_docs(index.docs, v, n)
         if v.mapping.paired and {f.name for f in v.mapping.doc_fields}.issuperset(tables.indexed_fields(v.mapping)):
             v.paired = v.lengths = None
             schema = tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)).add("doc_bucket", T.IntegerType())
@@ -584,6 +610,13 @@ class IndexDirectory:
                 if name.startswith("batch=") and (table, int(name[6:])) not in used:
                     system.delete(status.getPath(), True)
                     gone.append(f"{table}/{name}")
+        for f in kept[-1].mapping.ranged:
+            top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/ranges/field={f}")
+            for status in system.listStatus(top) if system.exists(top) else ():
+                name = status.getPath().getName()
+                if name.startswith("batch=") and ("docs", int(name[6:])) not in used:
+                    system.delete(status.getPath(), True)
+                    gone.append(f"ranges/field={f}/{name}")
         first = kept[0].version
         while not self._row(first)["whole"]:
             first -= 1

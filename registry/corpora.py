@@ -67,7 +67,7 @@ EVENTS = Mapping.build(
     key="event_id",
 )
 MEASURES = Mapping.build(
-    [(n, kind, {**NUMBER, "summary": True}) for n, kind in (("event_type", "string"), ("ts", "date"), ("value", "f64"), ("user_id", "u64"))],
+    [(n, kind, {**NUMBER, "summary": True, "ranged": kind != "string"}) for n, kind in (("event_type", "string"), ("ts", "date"), ("value", "f64"), ("user_id", "u64"))],
     key="event_id",
 )
 CONVERSATIONS = Mapping.build([("text", "text", {"stored": True}), ("role", "string", KEYWORD)], key="turn_id")

@@ -207,6 +207,13 @@ _typed("q12_range_open_date", "o_orderdate >= TIMESTAMP '1998-06-01'", "orders",
        q.Range("o_orderdate", "1998-06-01T00:00:00Z", None))
 
 
+_typed("q12_range_by_value", "value > 40.5 AND value <= 77", "events", "event_id", corpora.measures_index,
+       q.Range("value", 40.5, 77, include_lower=False))
+_typed("q12_range_date_by_value", "ts >= TIMESTAMP '2024-01-20'", "events", "event_id", corpora.measures_index,
+       q.Range("ts", "2024-01-20T00:00:00Z", None))
+_typed("q04_term_by_value", "user_id = 17", "events", "event_id", corpora.measures_index, q.Term("user_id", 17))
+
+
 @query("q12_range_terms", f"{_IX} {sql.every(_has("term >= 'inge' AND term < 'ingi'"))}")
 def range_terms(spark, sf_dir):
     return _all_hits(corpora.documents_index(spark, sf_dir), q.Range("text", "inge", "ingi", include_upper=False))

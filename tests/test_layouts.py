@@ -86,7 +86,7 @@ leaf = st.one_of(
 asked = st.one_of(leaf, st.lists(st.tuples(st.sampled_from(q.OCCURS), leaf), min_size=1, max_size=3).map(lambda c: q.Bool(tuple(c))))
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=14, deadline=None)
 @given(asked)
 def test_both_layouts_give_the_same_rows(opened, asked):
     plain, wide = opened
@@ -247,7 +247,7 @@ def tiered(spark, tmp_path_factory):
     return tuple(made)
 
 
-@settings(max_examples=25, deadline=None)
+@settings(max_examples=10, deadline=None)
 @given(st.lists(st.sampled_from([*WORDS, "filler"]), min_size=1, max_size=4), st.integers(1, 12))
 def test_the_best_are_the_same_with_tiers(tiered, words, k):
     plain, wide = tiered
