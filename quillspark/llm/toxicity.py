@@ -20,10 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: About so many labelled rows, chosen by a hash of the id, teach lexicon and curve.
+#: About so many labelled rows, chosen by a hash of the id, teach lexicon and curve; their words are all that the lexicon
+#: can hold.
 LABELLED_SAMPLE = 20_000
-#: The lexicon has at most so many entries; candidates for it come from the words of the sample.
-MOST_ENTRIES = 20_000
 #: Beginnings of words that can be entries.
 BEGINNINGS = (3, 4, 5, 6)
 #: An entry is in at least so many toxic texts of the sample, ...
@@ -100,10 +99,14 @@ def measure(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float,
     found = list(automaton.iter(plain))
     if not found:
         return 0.0, 0.0
-    spared = [(end - n + 1, end) for end, (n, weight) in found if weight is None]
-    total = 0.0
-    for end, (n, weight) in found:
-        if weight is not None and not any(a <= end - n + 1 and min(end, b) >= end - 1 for a, b in spared):
+    # Exceptions by where they start, each with the furthest end of those so far: one step along it per match.
+    spared = sorted((end - n + 1, end) for end, (n, weight) in found if weight is None)
+    total, at, furthest = 0.0, 0, -1
+    for start, end, weight in sorted((end - n + 1, end, weight) for end, (n, weight) in found if weight is not None):
+        while at < len(spared) and spared[at][0] <= start:
+            furthest = max(furthest, spared[at][1])
+            at += 1
+        if furthest < end - 1:
             total += weight
     return math.log1p(100 * total / (10 + plain.count(" "))), math.log1p(total)
 
@@ -139,8 +142,7 @@ def choose_entries(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: in
         covered = [chosen[f" {word[:n]}"] for n in BEGINNINGS if n < len(word) + entry.endswith(" ") and f" {word[:n]}" in chosen]
         if not covered or odds[entry] > max(covered) + 1.0:
             chosen[entry] = odds[entry]
-    best = sorted(chosen, key=lambda e: (-support[e] * chosen[e], e))[:MOST_ENTRIES]
-    return {e: chosen[e] for e in best}
+    return {e: chosen[e] for e in sorted(chosen, key=lambda e: (-support[e] * chosen[e], e))}
 
 
 def fit_curve(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:

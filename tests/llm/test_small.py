@@ -186,6 +186,34 @@ def test_folding_and_lexicon():
     assert toxicity.measure("clown", toxicity.Lexicon({}, ()).automaton()) == (0.0, 0.0)
 
 
+def plain_measure(text, lexicon):
+    """Every entry at every place; those that lie in an exception phrase do not count."""
+    plain = toxicity.folded(text)
+    at = lambda part: [i for i in range(len(plain) - len(part) + 1) if plain.startswith(part, i)]
+    spared = [(i, i + len(p)) for p in map(toxicity.folded, lexicon.exceptions) for i in at(p)]
+    total = 0.0
+    for entry, weight in lexicon.weights.items():
+        for i in at(entry):
+            if not any(a <= i and i + len(entry) - 1 <= b for a, b in spared):
+                total += weight
+    return float(np.log1p(100 * total / (10 + plain.count(" ")))), float(np.log1p(total))
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_weights_found_by_looking_everywhere(seed):
+    rng = random.Random(seed)
+    tokens = ["clown", "cl0wn", "fish", "Class", "trash", "can", "trashy", "tra", "bin", "fine", "idiot", ".", "  "]
+    weights = {" clown ": 2.0, " tras": 1.5, " idi": 4.0, " can ": 0.5, " trashy ": 3.0}
+    lexicon = toxicity.Lexicon(weights, ("clown fish", "class clown", "trash can", "can trash can", "fish"))
+    text = " ".join(rng.choice(tokens) for _ in range(rng.randrange(0, 60)))
+    assert toxicity.measure(text, lexicon.automaton()) == pytest.approx(plain_measure(text, lexicon))
+
+
+def test_a_long_text_of_exceptions_is_read_once():
+    text = "clown fish trash can " * 50_000
+    assert toxicity.measure(text, toxicity.Lexicon({" clown ": 2.0, " tras": 1.5}).automaton()) == (0.0, 0.0)
+
+
 def test_toxicity_is_learned_and_held_out(spark):
     rng = random.Random(2)
     rows, labels = [], []
