@@ -29,6 +29,8 @@ WORDS = 4
 FAN_BITS = 8
 #: Bits of the marks that are sent to all tasks, as a power of two: 16 MB, at any number of phrases.
 MARK_BITS = 27
+#: Parts that the phrases of a language are ranked in before they are ranked together.
+RANKED_PARTS = 32
 #: Numbers of words have so many bits at least and at most.
 LEAST_BITS, MOST_BITS = 16, 32
 
@@ -429,6 +431,11 @@ def mine(docs: DataFrame, text_col: str, lang: Column, least: int = 30, most: in
         F.first("lang").alias("lang"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda w: w["word"].cast("string")), " ").alias("phrase")
     )
     rows = scored.join(spelled, "ids").join(totals, "lang")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("f"), "phrase"))
+    best = (F.desc("score"), F.desc("f"), F.col("phrase"))
+    # The best of each of some parts of a language first, so that the last task of a language has few rows at any size.
+    part = Window.partitionBy("lang", "part").orderBy(*best)
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("ids"), F.lit(RANKED_PARTS)))
+    rows = rows.withColumn("place", F.row_number().over(part)).filter(F.col("place") <= most)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*best))
     ranked = rows.withColumn("rank", rank).filter(F.col("rank") <= most)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), "l", "r", "n", "score")
