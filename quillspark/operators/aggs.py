@@ -2,7 +2,8 @@
 
 Requests are small immutable values; running them gives tidy DataFrames. All metrics of one level share
 one ``groupBy``, every bucket level is one partial-then-final aggregation, and only the top buckets of a
-level are carried into the next.
+level are carried into the next. Bucket aggregations that stand beside each other, and the metrics beside
+them, share one scan and one ``groupBy``: a row is expanded to its bucket in each of them.
 
 ``aggregate`` returns ``{name: DataFrame}``. All top-level metrics come in one row under ``"metrics"``;
 a bucket aggregation nested in another is under ``"outer>inner"`` with the outer keys as columns.
@@ -27,6 +28,8 @@ from quillspark.sources.index import Index
 
 # Default number of term buckets, default percents, units of fixed intervals in milliseconds.
 BUCKETS = 10
+STATS = ("count", "min", "max", "avg", "sum")
+SPREAD = ("sum_of_squares", "variance_population", "variance_sampling", "std_deviation_population", "std_deviation_sampling")
 PERCENTS = (1.0, 5.0, 25.0, 50.0, 75.0, 95.0, 99.0)
 INTERVAL_MS = {"ms": 1, "s": 1_000, "m": 60_000, "h": 3_600_000, "d": 86_400_000}
 PERCENTILE_ACCURACY = 10_000
@@ -191,18 +194,20 @@ def _numeric(mapping: Mapping, name: str) -> Column:
     raise AggregationError(f"field {name} of type {kind} has no numbers to aggregate")
 
 
-def metric_columns(mapping: Mapping, name: str, metric: Metric) -> list[Column]:
-    """The aggregate columns of one metric, named ``name`` or ``name_part``."""
+def metric_columns(mapping: Mapping, name: str, metric: Metric, only: Column | None = None) -> list[Column]:
+    """The aggregate columns of one metric, named ``name`` or ``name_part``; over the rows ``only`` tells, if given."""
     kind = metric.kind
+    chosen = (lambda c: c) if only is None else (lambda c: F.when(only, c))
     if kind == "count":
-        return [F.count(_check(mapping, metric.field)).alias(name)]
+        return [F.count(chosen(_check(mapping, metric.field))).alias(name)]
     if kind == "cardinality":
-        column = _check(mapping, metric.field)
+        column = chosen(_check(mapping, metric.field))
         found = F.count_distinct(column) if metric.exact else F.approx_count_distinct(column)
         return [found.alias(name)]
     value = _numeric(mapping, metric.field)
     if metric.missing is not None:
         value = F.coalesce(value, F.lit(metric.missing))
+    value = chosen(value)
     simple = {"avg": F.avg, "min": F.min, "max": F.max}
     if kind in simple:
         return [simple[kind](value).alias(name)]
@@ -228,6 +233,12 @@ def metric_columns(mapping: Mapping, name: str, metric: Metric) -> list[Column]:
     return [c.alias(f"{name}_{part}") for part, c in parts.items()]
 
 
+def metric_names(name: str, metric: Metric) -> list[str]:
+    """The names of those columns, in their order."""
+    parts = {"stats": STATS, "extended_stats": STATS + SPREAD}.get(metric.kind)
+    return [f"{name}_{part}" for part in parts] if parts else [name]
+
+
 def percentile_rows(metrics: DataFrame, name: str, metric: Metric) -> DataFrame:
     """``(percent, value)`` rows of a percentiles column."""
     pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in metric.percents]).alias("percent"), F.col(name).alias("value"))
@@ -263,12 +274,28 @@ def _offset_ms(offset: str) -> int:
     return 0 if size.rstrip("msdh") == "0" else sign * _interval_ms(size)
 
 
+def _below(value: float | None) -> float:
+    return float("-inf") if value is None else value
+
+
 def _number(value: float | None) -> str:
     if value is None:
         return "*"
     return str(int(value)) if float(value).is_integer() else repr(float(value))
 
 
+def _zeroed(rows: DataFrame, metrics: Dict[str, Metric]) -> DataFrame:
+    """What metrics say of no rows, where they are null."""
+    zero = {}
+    for n, m in metrics.items():
+        names = {"sum": [n], "count": [n], "cardinality": [n], "stats": [f"{n}_count", f"{n}_sum"],
+                 "extended_stats": [f"{n}_count", f"{n}_sum", f"{n}_sum_of_squares"]}.get(m.kind, [])
+        zero |= {c: F.coalesce(c, F.lit(0)) for c in names}
+        if m.kind == "percentiles":
+            zero[n] = F.coalesce(n, F.array().cast(rows.schema[n].dataType))
+    return rows.withColumns(zero) if zero else rows
+
+
 class _Level:
     """One bucket aggregation at one depth: how rows get a key, and how its buckets are finished."""
 
@@ -279,43 +306,51 @@ class _Level:
         self.key = f"_bucket{len(parents)}"
         self.metrics = {n: a for n, a in agg.aggs.items() if isinstance(a, Metric)}
 
-    def keyed(self, rows: DataFrame) -> DataFrame:
-        """Rows with this level's key; rows without a value belong to no bucket."""
+    def lanes(self) -> list[Column]:
+        """The bucket of a row, null where it has none; ranges that overlap are told apart in several columns."""
         agg = self.agg
         if isinstance(agg, Terms):
             value = _check(self.mapping, agg.field)
-            if agg.missing is not None:
-                value = F.coalesce(value, F.lit(agg.missing))
-            return rows.withColumn(self.key, value).filter(F.col(self.key).isNotNull())
+            return [value if agg.missing is None else F.coalesce(value, F.lit(agg.missing))]
         if isinstance(agg, Histogram):
             if agg.interval <= 0:
                 raise AggregationError("histogram interval must be positive")
             value = _numeric(self.mapping, agg.field)
-            if agg.hard_bounds is not None:
-                rows = rows.filter(value.between(*agg.hard_bounds))
             number = F.floor((value - F.lit(agg.offset)) / F.lit(float(agg.interval)))
-            return rows.withColumn(self.key, number).filter(F.col(self.key).isNotNull())
+            return [number if agg.hard_bounds is None else F.when(value.between(*agg.hard_bounds), number)]
         if isinstance(agg, DateHistogram):
-            millis = _numeric(self.mapping, agg.field)
+            value = _numeric(self.mapping, agg.field)
             if self.mapping.type_of(agg.field) != "date":
                 raise AggregationError(f"not a date field: {agg.field}")
-            if agg.hard_bounds is not None:
-                rows = rows.filter(millis.between(*agg.hard_bounds))
             step = _interval_ms(agg.interval)
-            millis = millis - _offset_ms(agg.offset)
+            millis = value - _offset_ms(agg.offset)
             number = ((millis - F.pmod(millis, F.lit(step))) / step).cast("bigint")
-            return rows.withColumn(self.key, number).filter(F.col(self.key).isNotNull())
+            return [number if agg.hard_bounds is None else F.when(value.between(*agg.hard_bounds), number)]
         if isinstance(agg, Ranges):
             value = _numeric(self.mapping, agg.field)
-            inside = []
-            for i, (low, high, _) in enumerate(agg.ranges):
+            lanes: list[tuple[float, Column]] = []  # where the last range ends, and the ranges so far
+            ends = lambda i: (_below(agg.ranges[i][0]), i)
+            for i in sorted(range(len(agg.ranges)), key=ends):
+                low, high, _ = agg.ranges[i]
                 tests = [value.isNotNull()]
                 tests += [value >= low] if low is not None else []
                 tests += [value < high] if high is not None else []
-                inside.append(F.when(reduce(lambda a, b: a & b, tests), F.lit(i)))
-            return rows.withColumn(self.key, F.explode(F.array_compact(F.array(*inside))))
+                test, end = reduce(lambda a, b: a & b, tests), float("inf") if high is None else high
+                free = next((n for n, (last, _) in enumerate(lanes) if low is not None and last <= low), None)
+                if free is None:
+                    lanes.append((end, F.when(test, F.lit(i))))
+                else:
+                    lanes[free] = (max(end, lanes[free][0]), lanes[free][1].when(test, F.lit(i)))
+            return [column for _, column in lanes]
         raise AggregationError(f"unknown aggregation: {agg!r}")
 
+    def keyed(self, rows: DataFrame) -> DataFrame:
+        """Rows with this level's key; rows without a value belong to no bucket."""
+        lanes = self.lanes()
+        if len(lanes) > 1:
+            return rows.withColumn(self.key, F.explode(F.array_compact(F.array(*lanes))))
+        return rows.withColumn(self.key, lanes[0]).filter(F.col(self.key).isNotNull())
+
     def counted(self, keyed: DataFrame) -> DataFrame:
         columns = [c for n, m in self.metrics.items() for c in metric_columns(self.mapping, n, m)]
         return keyed.groupBy(*self.outer, self.key).agg(F.count(F.lit(1)).alias("doc_count"), *columns)
@@ -376,12 +411,7 @@ class _Level:
         return self._zeroed(grid.join(buckets, [*self.outer, self.key], "left"))
 
     def _zeroed(self, rows: DataFrame) -> DataFrame:
-        zero = {"doc_count": F.coalesce("doc_count", F.lit(0))}
-        for n, m in self.metrics.items():
-            names = {"sum": [n], "count": [n], "cardinality": [n], "stats": [f"{n}_count", f"{n}_sum"],
-                     "extended_stats": [f"{n}_count", f"{n}_sum", f"{n}_sum_of_squares"]}.get(m.kind, [])
-            zero |= {c: F.coalesce(c, F.lit(0)) for c in names}
-        return rows.withColumns(zero)
+        return _zeroed(rows, self.metrics).withColumn("doc_count", F.coalesce("doc_count", F.lit(0)))
 
     def labelled(self, buckets: DataFrame, shown_as: str) -> DataFrame:
         """Bucket numbers to the keys a reader expects, under their final name."""
@@ -400,30 +430,113 @@ class _Level:
         return buckets.select(*[c.alias(n) for n, c in columns.items()], *rest)
 
 
-def _run_bucket(
-    mapping: Mapping, path: str, name: str, agg: Bucket, rows: DataFrame, parents: list[_Level]
-) -> dict[str, DataFrame]:
-    level = _Level(mapping, name, agg, parents)
-    keyed = level.keyed(rows)
-    reported = level.chosen(level.counted(keyed))
-    shown = level.labelled(level.filled(reported), "key")
-    for parent in reversed(parents):
-        shown = parent.labelled(shown, parent.name)
-    found = {path: shown}
-    inner = {n: a for n, a in agg.aggs.items() if not isinstance(a, Metric)}
-    inside = keyed
-    if inner and isinstance(agg, Terms):
-        # Only reported buckets are looked into; a top level reports at most ``size`` of them.
-        keep = reported.select(*level.outer, level.key)
-        if not parents and agg.size <= BROADCAST_BUCKETS:
-            keep = F.broadcast(keep)
-        inside = keyed.join(keep, [*level.outer, level.key], "left_semi")
-    for n, a in inner.items():
-        if isinstance(a, TopHits):
-            found[f"{path}>{n}"] = _top_hits(mapping, a, inside, [*parents, level])
-        else:
-            found |= _run_bucket(mapping, f"{path}>{n}", n, a, inside, [*parents, level])
-    return found
+class Results(dict[str, DataFrame]):
+    """The DataFrames by name. What several of them read, a queried scope or counts, is kept until ``release``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.shared: list[DataFrame] = []
+
+    @property
+    def kept(self) -> DataFrame | None:
+        return self.shared[0] if self.shared else None
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        self.shared.append(frame.persist(StorageLevel.MEMORY_AND_DISK))
+        return frame
+
+    def release(self) -> None:
+        for frame in self.shared:
+            frame.unpersist()
+
+    def __enter__(self) -> Results:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+
+def _counted_together(
+    mapping: Mapping, levels: list[_Level], metrics: dict[str, Metric], rows: DataFrame, results: Results
+) -> tuple[list[DataFrame], DataFrame | None]:
+    """The counts of levels that stand beside each other, and a row of the metrics beside them, by one scan.
+
+    A row becomes one row for each of its buckets, with the number of the lane and the key in a column of that lane's
+    type. Every metric sees the rows of its own lanes only."""
+    outer = levels[0].outer
+    lanes, own = [], []
+    for level in levels:
+        found = level.lanes()
+        own.append(range(len(lanes), len(lanes) + len(found)))
+        lanes += found
+    kinds = [f.dataType for f in rows.select(*[c.alias(f"_k{j}") for j, c in enumerate(lanes)]).schema]
+    whole = len(lanes)  # the lane of all rows, for metrics in no bucket
+    entries = [
+        F.struct(F.lit(i).alias("_lane"), *[(c if i == j else F.lit(None).cast(kinds[j])).alias(f"_k{j}") for j, c in enumerate(lanes)])
+        for i in range(whole + bool(metrics))
+    ]
+    fields = _fields_of({**{str(i): x.agg for i, x in enumerate(levels)}, **metrics})
+    read = [f"`{f.name}`" for f in mapping.doc_fields if f.name in fields]
+    keys = [f"_k{j}" for j in range(whole)]
+    spread = rows.select(*outer, *read, F.inline(F.array(*entries)))
+    spread = spread.filter(reduce(lambda a, b: a | b, [F.col(k).isNotNull() for k in keys], F.col("_lane") == whole))
+    columns, names = [], []  # every metric column under a number, and who reads which under what name
+    for i, (asked, at) in enumerate([*zip((x.metrics for x in levels), own), (metrics, [whole])]):
+        names.append({})
+        for n, m in asked.items():
+            parts = metric_columns(mapping, n, m, F.col("_lane").isin(list(at)))
+            for c, part in zip(parts, metric_names(n, m), strict=True):
+                names[i][f"_m{len(columns)}"] = part
+                columns.append(c.alias(f"_m{len(columns)}"))
+    counts = results.keep(spread.groupBy(*outer, "_lane", *keys).agg(F.count(F.lit(1)).alias("doc_count"), *columns))
+    found = []
+    for level, at, measured in zip(levels, own, names):
+        key = F.coalesce(*[F.col(f"_k{j}") for j in at]).alias(level.key)
+        part = counts.filter(F.col("_lane").isin(list(at)))
+        found.append(part.select(*outer, key, "doc_count", *[F.col(c).alias(n) for c, n in measured.items()]))
+    if not metrics:
+        return found, None
+    # An empty scope still has its row of metrics.
+    empty = rows.sparkSession.range(1).select(F.lit(whole).alias("_lane"))
+    part = counts.filter(F.col("_lane") == whole).select("_lane", *[F.col(c).alias(n) for c, n in names[-1].items()])
+    return found, _zeroed(empty.join(part, "_lane", "left").drop("_lane"), metrics)
+
+
+def _run_buckets(
+    mapping: Mapping, path: str, aggs: Dict[str, Bucket], rows: DataFrame, parents: list[_Level], results: Results,
+    metrics: Dict[str, Metric] = {},
+) -> None:
+    """Bucket aggregations that stand beside each other, and the metrics beside them at the top, then what is in them."""
+    levels = [_Level(mapping, n, x, parents) for n, x in aggs.items()]
+    if len(levels) + bool(metrics) > 1:
+        counted, row = _counted_together(mapping, levels, dict(metrics), rows, results)
+        if row is not None:
+            results["metrics"] = row
+    else:
+        counted = [x.counted(x.keyed(rows)) for x in levels]
+    for level, counts in zip(levels, counted):
+        agg, own = level.agg, f"{path}{level.name}"
+        reported = level.chosen(counts)
+        shown = level.labelled(level.filled(reported), "key")
+        for parent in reversed(parents):
+            shown = parent.labelled(shown, parent.name)
+        results[own] = shown
+        inner = {n: x for n, x in agg.aggs.items() if not isinstance(x, Metric)}
+        if not inner:
+            continue
+        inside = level.keyed(rows)
+        if isinstance(agg, Terms):
+            # Only reported buckets are looked into; a top level reports at most ``size`` of them.
+            keep = reported.select(*level.outer, level.key)
+            if not parents and agg.size <= BROADCAST_BUCKETS:
+                keep = F.broadcast(keep)
+            inside = inside.join(keep, [*level.outer, level.key], "left_semi")
+        for n, x in inner.items():
+            if isinstance(x, TopHits):
+                results[f"{own}>{n}"] = _top_hits(mapping, x, inside, [*parents, level])
+        deeper = {n: x for n, x in inner.items() if isinstance(x, Bucket)}
+        if deeper:
+            _run_buckets(mapping, f"{own}>", deeper, inside, [*parents, level], results)
 
 
 def _top_hits(mapping: Mapping, agg: TopHits, rows: DataFrame, parents: list[_Level]) -> DataFrame:
@@ -446,22 +559,6 @@ def _top_hits(mapping: Mapping, agg: TopHits, rows: DataFrame, parents: list[_Le
     return best
 
 
-class Results(dict[str, DataFrame]):
-    """The DataFrames by name. A queried scope that several of them read is kept until ``release``."""
-
-    kept: DataFrame | None = None
-
-    def release(self) -> None:
-        if self.kept is not None:
-            self.kept.unpersist()
-
-    def __enter__(self) -> Results:
-        return self
-
-    def __exit__(self, *_) -> None:
-        self.release()
-
-
 def _fields_of(aggs: Aggs) -> set[str]:
     found = set()
     for agg in aggs.values():
@@ -477,31 +574,38 @@ def aggregate(
 ) -> Results:
     """Run several named aggregations over one scope."""
     rows = scope(index, query, fields)
-    buckets = [x for x in aggs.values() if not isinstance(x, Metric)]
     results = Results()
-    passes = len(buckets) + (len(buckets) < len(aggs)) + sum(len(x.aggs) > 0 for x in buckets if isinstance(x, Bucket))
+    together = any(isinstance(x, (Metric, Bucket)) for x in aggs.values())
+    passes = together + sum(isinstance(x, TopHits) for x in aggs.values()) + _deeper_passes(aggs)
     if query is not None and passes > 1:
         # Several passes follow: keep the columns they read rather than match again for each, until ``release``.
         known = [n for n in _fields_of(aggs) if index.mapping.has(n)]
         needed = [f.name for f in index.mapping.doc_fields if f.name in known]
-        rows = rows.select(index.mapping.key, *[f"`{n}`" for n in needed]).persist(StorageLevel.MEMORY_AND_DISK)
-        results.kept = rows
-    results.update(aggregate_rows(rows, index.mapping, aggs))
-    return results
+        rows = results.keep(rows.select(index.mapping.key, *[f"`{n}`" for n in needed]))
+    return _run(rows, index.mapping, aggs, results)
+
 
+def _deeper_passes(aggs: Aggs) -> int:
+    inside = [x.aggs for x in aggs.values() if isinstance(x, Bucket)]
+    return sum(any(not isinstance(y, Metric) for y in x.values()) + _deeper_passes(x) for x in inside)
 
-def aggregate_rows(rows: DataFrame, mapping: Mapping, aggs: Aggs) -> dict[str, DataFrame]:
+
+def aggregate_rows(rows: DataFrame, mapping: Mapping, aggs: Aggs) -> Results:
     """Run named aggregations over documents already chosen."""
-    found: dict[str, DataFrame] = {}
-    metrics = {n: a for n, a in aggs.items() if isinstance(a, Metric)}
-    if metrics:
-        found["metrics"] = rows.agg(*[c for n, m in metrics.items() for c in metric_columns(mapping, n, m)])
+    return _run(rows, mapping, aggs, Results())
+
+
+def _run(rows: DataFrame, mapping: Mapping, aggs: Aggs, results: Results) -> Results:
+    metrics = {n: x for n, x in aggs.items() if isinstance(x, Metric)}
+    buckets = {n: x for n, x in aggs.items() if isinstance(x, Bucket)}
+    if buckets:
+        _run_buckets(mapping, "", buckets, rows, [], results, metrics)
+    elif metrics:
+        results["metrics"] = rows.agg(*[c for n, m in metrics.items() for c in metric_columns(mapping, n, m)])
     for name, agg in aggs.items():
-        if isinstance(agg, Bucket):
-            found |= _run_bucket(mapping, name, name, agg, rows, [])
-        elif isinstance(agg, TopHits):
-            found[name] = _top_hits(mapping, agg, rows, [])
-    return found
+        if isinstance(agg, TopHits):
+            results[name] = _top_hits(mapping, agg, rows, [])
+    return results
 
 
 def facet_counts(index: Index, field: str, query: str | Query | list | None = None) -> DataFrame:

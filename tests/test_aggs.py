@@ -129,3 +129,44 @@ def test_date_histogram(spark):
     assert table(hours, "key_as_string") == {"2024-01-01T00:00:00Z": 1, "2024-01-01T01:00:00Z": 0, "2024-01-01T02:00:00Z": 1}
     with pytest.raises(AggregationError, match="invalid fixed interval"):
         a.aggregate(index, {"h": a.date_histogram("at", "1 week")})
+
+
+def test_beside_each_other_as_alone(spark):
+    """Counts made in one pass are those of a request of its own, nested ones, overlapping ranges and empty scopes included."""
+    rows = spark.range(400).selectExpr(
+        "id as doc_id",
+        "case when id % 7 > 0 then concat('k', cast(id * id % 11 as string)) end as kind",
+        "case when id % 5 > 0 then cast(id * 37 % 101 as double) end as price",
+        "case when id % 6 > 0 then id * 13 % 17 end as quantity",
+    )
+    fast = {"stored": True, "fast": True}
+    mapping = Mapping.build([("kind", "string", fast), ("price", "f64", fast), ("quantity", "i64", fast)])
+    index = Index.in_memory(rows, mapping)
+    spans = [{"to": 50.0}, {"from": 20.0, "to": 60.0}, {"from": 50.0, "to": 80.0}, {"from": 60.0}]
+    inner = {"p": a.extended_stats("price"), "r": a.ranges("price", spans, aggs={"u": a.cardinality("kind", exact=True)}), "h": a.histogram("quantity", 5.0)}
+    asked = {
+        "t": a.terms("kind", size=4, aggs=inner),
+        "missing": a.terms("kind", size=20, missing="none", aggs={"m": a.percentiles("quantity"), "c": a.count("price")}),
+        "r": a.ranges("price", spans, aggs={"s": a.sum_("quantity")}),
+        "h": a.histogram("price", 10.0, hard_bounds=(15.0, 70.0), aggs={"u": a.cardinality("quantity")}),
+        "q": a.terms("quantity"),
+        "s": a.stats("price"),
+        "p": a.percentiles("quantity"),
+        "best": a.TopHits("price", 3),
+    }
+    for scope in (rows, rows.limit(0)):
+        together = a.aggregate_rows(Index.in_memory(scope, mapping).docs, mapping, asked)
+        assert {"metrics", "t", "t>r", "t>h", "missing", "r", "h", "q", "best"} == set(together)
+        same = lambda x: sorted(map(str, x.collect()))
+        for name, agg in asked.items():
+            alone = a.aggregate_rows(Index.in_memory(scope, mapping).docs, mapping, {name: agg})
+            for n, frame in alone.items():
+                if n == "metrics":
+                    assert same(together[n].select(*frame.columns)) == same(frame), name
+                else:
+                    assert together[n].columns == frame.columns and same(together[n]) == same(frame), n
+        together.release()
+    with a.aggregate(index, {n: asked[n] for n in ("t", "r", "h", "s")}) as found:
+        assert len(found.shared) == 2  # the counts at the top, and those inside the terms
+        counts = found.shared[0]._jdf.queryExecution().optimizedPlan().toString()
+        assert counts.count("Range (") == 1 and found["r"].count() == len(spans)
