@@ -27,6 +27,8 @@ QUANTILE_SIZE, DISTINCT_BITS = 400, 14
 TIERED_POSTINGS = 128
 #: The words whose pairs are kept: at most so many of a field, in at least one of so many documents of a sample.
 PAIRED_WORDS, PAIRED_SHARE, PAIRED_SAMPLE = 512, 24, 2_000
+#: So many values of a field are told apart while frequent ones are counted.
+TRACKED = 12_288
 
 
 def indexed_fields(mapping: Mapping) -> list[str]:
@@ -125,7 +127,11 @@ def mean_lengths(sample: DataFrame, mapping: Mapping) -> Dict[str, float]:
     return {n: max(1.0, float(row[n] or 1.0)) for n in mapping.tiered}
 
 
-SUMMARY = "field string, n bigint, low double, high double, quantiles binary, distinct_values binary"
+SUMMARY = "field string, n bigint, low double, high double, quantiles binary, distinct_values binary, frequent struct<sketch: binary, maxItemsTracked: int, itemDataType: string, itemDataTypeDDL: string>"
+
+
+def _summary_text(f) -> str:
+    return f"cast(unix_millis(`{f.name}`) as string)" if f.type == "date" else f"cast(`{f.name}` as string)"
 
 
 def summary_table(docs: DataFrame, mapping: Mapping) -> DataFrame:
@@ -142,6 +148,7 @@ def summary_table(docs: DataFrame, mapping: Mapping) -> DataFrame:
                 F.lit(name).alias("field"), F.count(column).alias("n"), F.min(number).alias("low"), F.max(number).alias("high"),
                 (F.kll_sketch_agg_double(number, F.lit(QUANTILE_SIZE)) if f.numeric else F.lit(None).cast("binary")).alias("quantiles"),
                 F.hll_sketch_agg(plain, F.lit(DISTINCT_BITS)).alias("distinct_values"),
+                F.expr(f"approx_top_k_accumulate({_summary_text(f)}, {TRACKED}) filter (where `{name}` is not null)").alias("frequent"),
             )
         )
     return docs.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))

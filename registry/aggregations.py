@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import aggs as a
 from quillspark.plans import query as q
-from quillspark.operators.stored import stored_cardinality, stored_percentiles, stored_stats
+from quillspark.operators.stored import stored_cardinality, stored_frequent, stored_percentiles, stored_stats
 from registry import corpora, query, sql
 
 
@@ -219,6 +219,16 @@ def percentiles_from_summaries(spark, sf_dir):
     return stored_percentiles(corpora.measures_index(spark, sf_dir), "value", a.PERCENTS)
 
 
+@query(
+    "a02_stored_frequent",
+    """SELECT event_type AS key, count(*) AS at_most, greatest(1, count(*) - CAST(ceil((SELECT count(event_type) FROM events) * 3.5 / 16384) AS BIGINT)) AS at_least
+FROM events WHERE event_type IS NOT NULL GROUP BY 1""",
+)
+def frequent_from_summaries(spark, sf_dir):
+    """The values of a field with few of them, by merged sketches: their counts are exact, their bounds those of the sketch."""
+    return stored_frequent(corpora.measures_index(spark, sf_dir), "event_type", 1000)
+
+
 @query("a16_stored_cardinality")
 def cardinality_from_summaries(spark, sf_dir):
     """By merged sketches, so the error is tested rather than the value."""

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.errors import AggregationError, MappingError
 from quillspark.mapping import Mapping
-from quillspark.operators.stored import DISTINCT_ERROR, RANK_ERROR, stored_cardinality, stored_percentiles, stored_stats
+from quillspark.operators.stored import COUNT_ERROR, DISTINCT_ERROR, RANK_ERROR, stored_cardinality, stored_frequent, stored_percentiles, stored_stats
+from quillspark.sources.index import Index
+from quillspark.sources.tables import summary_table
 from quillspark.sources.versions import IndexDirectory
 
 KEPT = {"fast": True, "summary": True}
@@ -56,9 +61,40 @@ def test_distinct_values_are_near(directory, name, exact):
     assert abs(row["value"] - exact) <= max(1, 4 * DISTINCT_ERROR * exact) and row["error"] == DISTINCT_ERROR
 
 
+@pytest.mark.parametrize("name", ["v", "n", "s", "b", "d"])
+def test_frequent_values_have_the_counts_they_say(directory, name):
+    index = directory.open()
+    text = F.unix_millis(name).cast("string") if name == "d" else F.col(name).cast("string")
+    exact = {r["key"]: r["count"] for r in index.docs.filter(F.col(name).isNotNull()).groupBy(text.alias("key")).count().collect()}
+    found = {r["key"]: r for r in stored_frequent(index, name, 1000).collect()}
+    assert all(r["at_least"] <= exact[k] <= r["at_most"] for k, r in found.items())
+    error, best = COUNT_ERROR * sum(exact.values()), sorted(exact.values(), reverse=True)[:1000]
+    assert {k for k, n in exact.items() if n > 2 * error and n > best[-1]} <= set(found)
+    if len(exact) <= 1000:
+        assert {k: r["at_most"] for k, r in found.items()} == exact
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(1, 40_000), st.integers(0, 3)), min_size=1, max_size=4), st.integers(1, 60))
+def test_bounds_of_frequent_values_hold_for_any_batches(spark, batches, hot):
+    """Batches of many distinct values and a hot one, merged: the sketch overflows, the bounds hold."""
+    mapping = Mapping.build([("n", "i64", KEPT)])
+    made, exact = [], {}
+    for size, shift in batches:
+        rows = spark.range(size).select(F.when(F.col("id") % 100 < hot, F.lit(7)).otherwise(F.col("id") * (shift + 1) + shift * 1000).alias("n"))
+        made.append(summary_table(rows, mapping))
+        for r in rows.groupBy("n").count().collect():
+            exact[str(r["n"])] = exact.get(str(r["n"]), 0) + r["count"]
+    index = Index.in_memory(spark.createDataFrame([], "doc_id long, n long"), mapping)
+    index.summaries = reduce(lambda a, b: a.union(b), made)
+    found = {r["key"]: (r["at_least"], r["at_most"]) for r in stored_frequent(index, "n", 50).collect()}
+    assert all(low <= exact[k] <= high and high - low <= 1 + COUNT_ERROR * sum(exact.values()) for k, (low, high) in found.items())
+    assert len(found) == 50 or {k for k, n in exact.items() if n > 2 * COUNT_ERROR * sum(exact.values())} <= set(found)
+
+
 def test_only_summaries_are_read(directory):
     index = directory.open()
-    for frame in (stored_percentiles(index, "v", (50.0,)), stored_cardinality(index, "s"), stored_stats(index, "v")):
+    for frame in (stored_frequent(index, "n", 5), stored_percentiles(index, "v", (50.0,)), stored_cardinality(index, "s"), stored_stats(index, "v")):
         files = {f.split("/ix/")[1].split("/")[0] for f in frame.inputFiles()}
         assert files == {"summaries"}
 
@@ -67,7 +103,7 @@ def test_summaries_are_refused_after_a_delete_and_made_anew(spark, tmp_path):
     made = IndexDirectory(spark, f"{tmp_path}/ix").create(MAPPING)
     made.append(batch(spark, 1, 0, 400))
     made.delete("b", True)
-    for ask in (lambda x: stored_stats(x, "v"), lambda x: stored_percentiles(x, "v", (5.0,)), lambda x: stored_cardinality(x, "n")):
+    for ask in (lambda x: stored_stats(x, "v"), lambda x: stored_percentiles(x, "v", (5.0,)), lambda x: stored_cardinality(x, "n"), lambda x: stored_frequent(x, "n", 3)):
         with pytest.raises(AggregationError):
             ask(made.open())
     made.rewrite()
@@ -77,7 +113,9 @@ def test_summaries_are_refused_after_a_delete_and_made_anew(spark, tmp_path):
 def test_nothing_to_summarize(spark, tmp_path):
     made = IndexDirectory(spark, f"{tmp_path}/ix").create(MAPPING)
     assert tuple(stored_stats(made.open(), "v").first()) == (0, None, None) and stored_cardinality(made.open(), "v").first()["value"] == 0
+    assert stored_frequent(made.open(), "v", 3).collect() == []
     made.append(spark.createDataFrame([(1, None, None, None, None, None, None, None)], SCHEMA))
+    assert stored_frequent(made.open(), "v", 3).collect() == []
     assert stored_percentiles(made.open(), "v", (50.0,)).collect() == [] and stored_stats(made.open(), "v").first()["count"] == 0
     for bad in (("t", "text", {"summary": True, "stored": True}), ("s", "string", {"summary": True})):
         with pytest.raises(MappingError):
