@@ -25,6 +25,8 @@ from quillspark.llm.common import written
 GROUP_ROWS = 4096
 #: About so many queries, at most, meet a group in one task.
 ASKED_ROWS = 4096
+#: Visits are listed for about so many queries in a task, by at most so many tasks.
+PROBED_ROWS, MOST_TASKS = 64, 4096
 #: Buckets that are split are at most so many; groups grow where there would be more.
 MOST_SPLIT = 200_000
 
@@ -93,7 +95,11 @@ def usable(vector: str, dimension: int | None = None) -> Column:
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+    """Rows of doubles, each times a power of two that brings its largest component near 1: directions and cosines are
+    exactly the same, and no square is too large or too small for a double."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dimension)
+    _, exponents = np.frexp(np.abs(rows).max(axis=1, keepdims=True, initial=0.0))
+    return np.ldexp(rows, -exponents)
 
 
 def exact_cosine(query: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -148,7 +154,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``score``: the ``k`` nearest found for each query, by cosine.
 
     Ids are whole numbers; a query's own id is no candidate. Ties go to the smaller id. Vectors that are null, zero, of
-    another than the most frequent dimension, or hold null or non-finite components take no part, nor do null ids.
+    another than the most frequent dimension, or hold null or non-finite components take no part, nor do null ids; very
+    large and very small finite components do.
     Repeated ids count once, with their best score. A query that finds fewer than ``k`` is compared with all vectors.
     Empty tables give an empty one. Every vector is in every table; buckets are dealt to groups of about
     ``GROUP_ROWS`` rows, and buckets larger than that are split, so a vector that a third of all rows share is spread. Queries
@@ -245,8 +252,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str, vector_
         return best.table(names)
 
     dealt_index = index.mapInArrow(dealt, f"t int, g long, code long, id long, v {kind}")
-    visits = asked.mapInArrow(probing, f"t int, g long, id long, v {kind}, codes array<long>")
-    asked_parts = max(1, -(-asked.count() // ASKED_ROWS))
+    n_asked = asked.count()
+    tasks = max(1, min(MOST_TASKS, -(-n_asked // PROBED_ROWS)))
+    visits = asked.repartition(tasks, "id").mapInArrow(probing, f"t int, g long, id long, v {kind}, codes array<long>")
+    asked_parts = max(1, -(-n_asked // ASKED_ROWS))
     part = F.pmod(F.xxhash64("id"), F.lit(asked_parts)).cast("int").alias("part")
     every_part = F.explode(F.sequence(F.lit(0), F.lit(asked_parts - 1))).alias("part")
     met = dealt_index.select("*", every_part).groupBy("t", "g", "part").cogroup(visits.select("*", part).groupBy("t", "g", "part"))

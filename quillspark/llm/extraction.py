@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,9 +27,10 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
-HIDDEN = frozenset("button select option optgroup datalist svg math canvas audio video object map label legend".split())
-#: Elements that end an open one of the same kind, and where the search for it stops.
-SELF_CLOSING = {"p": BLOCKS - {"p"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}}
+HIDDEN = frozenset("button select option optgroup datalist svg".split())
+FORM_PARTS = frozenset("label legend".split())  # hidden in a form only
+#: Elements that end an open one of the same kind, and where the search for it stops. A ``p`` ends one that is the nearest block.
+SELF_CLOSING = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}}
 SELF_CLOSING |= {"td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 CHROME = frozenset("nav footer aside form menu dialog".split())
@@ -65,6 +65,7 @@ class Element:
     main: bool = False
     hidden: bool = False
     link: bool = False
+    form: bool = False
 
 
 @dataclass
@@ -126,18 +127,26 @@ def _opened(name: str, attributes: str, number: int, above: Element) -> Element:
         chrome, main = above.chrome, above.main
     hidden = name in HIDDEN or "hidden" in named or named.get("aria-hidden") == "true"
     hidden = hidden or "display:none" in named.get("style", "").replace(" ", "").lower()
-    return Element(
-        name, number, above.number, chrome, main, above.hidden or hidden, above.link or name == "a"
-    )
+    form = above.form or name == "form"
+    hidden = above.hidden or hidden or form and name in FORM_PARTS
+    return Element(name, number, above.number, chrome, main, hidden, above.link or name == "a", form)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Visible text blocks in page order. Markup need not be well formed."""
     stack = [Element("", 0, -1)]
+    open_at: dict[str, list[int]] = {}  # the depths of open elements by name
+    open_blocks = [0]
     out: list[Block] = []
     current: Block | None = None
     number = at = 0
 
+    def close(depth: int) -> None:
+        while len(stack) > depth:
+            open_at[stack.pop().name].pop()
+        while open_blocks[-1] >= depth:
+            open_blocks.pop()
+
     def text(piece: str) -> None:
         nonlocal current
         top = stack[-1]
@@ -146,7 +155,7 @@ def blocks_of(page: str) -> list[Block]:
         if current is None:
             if not piece.strip():
                 return
-            holder = next((e for e in reversed(stack) if e.name in BLOCKS), stack[0])
+            holder = stack[open_blocks[-1]]
             current = Block(holder.number, holder.parent, holder.name, bool(holder.chrome or top.chrome), holder.main and not top.chrome)
             out.append(current)
         current.pieces.append(piece)
@@ -172,9 +181,8 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS:
             current = None
         if tag[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
-            if depth:
-                del stack[depth:]
+            if open_at.get(name):
+                close(open_at[name][-1])
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*(?:>|$)", re.I).search(page, at)
@@ -182,14 +190,16 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in VOID or tag[3].rstrip().endswith("/") and name not in BLOCKS:
             continue
-        if name in SELF_CLOSING:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    del stack[i:]
-                    break
-                if stack[i].name in SELF_CLOSING[name]:
-                    break
+        if name == "p":
+            if stack[open_blocks[-1]].name == "p":
+                close(open_blocks[-1])
+        elif name in SELF_CLOSING and open_at.get(name):
+            if open_at[name][-1] > max((open_at[n][-1] for n in SELF_CLOSING[name] if open_at.get(n)), default=0):
+                close(open_at[name][-1])
         number += 1
+        open_at.setdefault(name, []).append(len(stack))
+        if name in BLOCKS:
+            open_blocks.append(len(stack))
         stack.append(_opened(name, tag[3], number, stack[-1]))
     for block in out:
         block.text = _SPACE.sub(" ", "".join(block.pieces)).strip()
@@ -232,52 +242,62 @@ def smoothness(blocks: list[Block]) -> list[tuple[int, int, float]]:
 
 
 def min_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
-    """True where a block is content: the source side of a minimum cut, by augmenting along shortest paths.
+    """True where a block is content: the source side of the smallest minimum cut, by blocking flows.
 
     A block with odds x below 0 has capacity -x from the source (the cost of calling it boilerplate), one above 0 has
-    capacity x to the sink. Searches start from all blocks with capacity left at once."""
-    n = len(odds)
-    if all(x <= 0 for x in odds) or all(x >= 0 for x in odds):
-        return [x < 0 for x in odds]
+    capacity x to the sink. Each phase finds the distances from all blocks with capacity left, and then fills the shortest
+    paths, trying every edge once; flow stays near where it starts, so phases are few however long the page is."""
+    n, least = len(odds), 1e-9
     gives, takes = [max(0.0, -x) for x in odds], [max(0.0, x) for x in odds]
-    near: list[dict[int, float]] = [{} for _ in range(n)]
+    near: list[list[int]] = [[] for _ in range(n)]  # edges by number; an edge and its other direction differ in the last bit
+    to: list[int] = []
+    left: list[float] = []
     for a, b, w in edges:
-        near[a][b] = near[a].get(b, 0.0) + w
-        near[b][a] = near[b].get(a, 0.0) + w
-    for i in range(n):
-        direct = min(gives[i], takes[i])
-        gives[i] -= direct
-        takes[i] -= direct
-    least = 1e-9
+        near[a].append(len(to))
+        near[b].append(len(to) + 1)
+        to += (b, a)
+        left += (w, w)
     while True:
-        back = [-2] * n
-        queue = deque(i for i in range(n) if gives[i] > least)
-        for i in queue:
-            back[i] = -1
-        reached = -1
-        while queue:
-            i = queue.popleft()
-            if takes[i] > least:
-                reached = i
-                break
-            for j, w in near[i].items():
-                if w > least and back[j] == -2:
-                    back[j] = i
-                    queue.append(j)
-        if reached < 0:
-            return [b != -2 for b in back]
-        flow, i = takes[reached], reached
-        while back[i] >= 0:
-            flow = min(flow, near[back[i]][i])
-            i = back[i]
-        flow = min(flow, gives[i])
-        gives[i] -= flow
-        takes[reached] -= flow
-        i = reached
-        while back[i] >= 0:
-            near[back[i]][i] -= flow
-            near[i][back[i]] += flow
-            i = back[i]
+        level = [-1] * n
+        front = [i for i in range(n) if gives[i] > least]
+        starts, depth = front, 0
+        for i in front:
+            level[i] = 0
+        while front and not any(takes[i] > least for i in front):
+            depth += 1
+            following = []
+            for i in front:
+                for e in near[i]:
+                    if left[e] > least and level[to[e]] < 0:
+                        level[to[e]] = depth
+                        following.append(to[e])
+            front = following
+        if not front:
+            return [x >= 0 for x in level]
+        tried = [0] * n
+        for start in starts:
+            i, path = start, []
+            while gives[start] > least:
+                if takes[i] > least:
+                    flow = min(gives[start], takes[i], *(left[e] for e in path))
+                    gives[start] -= flow
+                    takes[i] -= flow
+                    for e in path:
+                        left[e] -= flow
+                        left[e ^ 1] += flow
+                    i, path = start, []
+                elif tried[i] < len(near[i]):
+                    e = near[i][tried[i]]
+                    if level[i] < depth and left[e] > least and level[to[e]] == level[i] + 1:
+                        path.append(e)
+                        i = to[e]
+                    else:
+                        tried[i] += 1
+                elif path:
+                    i = to[path.pop() ^ 1]
+                    tried[i] += 1
+                else:
+                    break
 
 
 def main_text(page: str | None) -> str:

@@ -134,17 +134,19 @@ def _digested(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _compressed(docs: DataFrame) -> DataFrame:
-    """``id`` and ``z``, the normalised text, compressed for shuffles."""
+    """``id``, ``key`` (of the text) and ``z``, the normalised text, compressed for shuffles."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(at, BATCH_ROWS)
-                z = pa.array([squeeze(normalised(t.as_py())) for t in batch.column(1)], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column(0), z], names=["id", "z"])
+                texts = [normalised(t.as_py()) for t in batch.column(1)]
+                key = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
+                z = pa.array([squeeze(t) for t in texts], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), key, z], names=["id", "key", "z"])
 
-    return docs.select("id", F.col("text").cast("binary")).mapInArrow(each, "id long, z binary")
+    return docs.select("id", F.col("text").cast("binary")).mapInArrow(each, "id long, key binary, z binary")
 
 
 def _confirmed(pairs: DataFrame, settings: Settings) -> DataFrame:
@@ -323,24 +325,27 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
     ``kept`` (whether that is its own).
 
     Ids are whole numbers. A null or empty text, or one of white space, has no shingles and is linked with nothing. Rows
-    with a null id come back with a null component, and kept. Rows that repeat an id each come back. Other columns have
-    no effect, an empty table gives an empty one.
+    with a null id come back with a null component, and kept. Rows that repeat an id each come back; where their texts
+    differ, each is linked on its own, and may be in a component of its own. Other columns have no effect, an empty
+    table gives an empty one.
 
-    Equal texts are one text from the start, with the smallest id; only distinct texts are hashed into buckets. Sums
+    Equal texts are one text from the start, under a number; only distinct texts are hashed into buckets, and ids are
+    looked at again when components are known. Sums
     are partial before each shuffle, large buckets are dealt to blocks, and texts travel compressed, and only those
     that share a bucket with another one."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     digests = written(_digested(rows, settings), "neardup-digests")
     named = digests.filter("id is not null and key is not null")
-    classes = written(
-        named.groupBy("key").agg(F.min("id").alias("rep"), F.first("bands").alias("bands")), "neardup-classes"
-    )
+    texts_of = named.groupBy("key").agg(F.min("id").alias("least"), F.first("bands").alias("bands"))
+    # numbers are given once, in the table that is written
+    classes = written(texts_of.withColumn("rep", F.monotonically_increasing_id()), "neardup-classes")
     memberships = classes.select("rep", F.explode("bands").alias("bucket"))
     buckets = memberships.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).filter("n > 1")
     members = written(memberships.join(buckets, "bucket").select("bucket", "rep", "hub", "n"), "neardup-members")
 
-    needed = members.select(F.col("rep").alias("id")).distinct()
-    texts = written(_compressed(rows.filter("id is not null")).join(needed, "id", "left_semi").dropDuplicates(["id"]), "neardup-texts")
+    needed = classes.join(members.select("rep").distinct(), "rep", "left_semi").select(F.col("least").alias("id"), "key", "rep")
+    texts = _compressed(rows.filter("id is not null")).join(needed, ["id", "key"]).dropDuplicates(["rep"])
+    texts = written(texts.select(F.col("rep").alias("id"), "z"), "neardup-texts")
     votes = members.filter("rep != hub").groupBy("rep", "hub").agg(F.count("*").alias("votes"))
     best = votes.groupBy("rep").agg(F.max(F.struct("votes", (-F.col("hub")).alias("hub"))).alias("best"))
     edges = best.select(F.col("rep").alias("a"), (-F.col("best.hub")).alias("b"))
@@ -368,7 +373,8 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
     final = components(star.union(more))
 
     of_class = classes.join(final, classes["rep"] == final["node"], "left")
-    of_class = of_class.select("key", F.coalesce("root", "rep").alias("component"))
+    least = of_class.filter("root is not null").groupBy("root").agg(F.min("least").alias("component"))
+    of_class = of_class.join(least, "root", "left").select("key", F.coalesce("component", "least").alias("component"))
     out = digests.join(of_class, "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(
@@ -381,7 +387,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, settings: Setti
 
 def kept_documents(docs: DataFrame, id_col: str, text_col: str, settings: Settings = Settings()) -> DataFrame:
     """One row of ``docs`` for each component; the columns stay. Rows without an id stay, and of rows that repeat id and
-    text one does."""
+    text one does. An id with several texts stays with all of them if one is kept."""
     kept = near_duplicates(docs, id_col, text_col, settings).filter("kept").select(F.col(id_col).alias("_kept_id"))
     ids = kept.filter("_kept_id is not null").distinct()
     rows = docs.select(F.struct(*docs.columns).alias("doc"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text"))

@@ -102,7 +102,8 @@ kept AS (SELECT * FROM ends WHERE kind IN (1, 2) OR kind = 0 AND length(v) >= {s
   OR kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]')),
 candidates AS (SELECT * FROM kept o WHERE kind < 3 OR NOT EXISTS (SELECT 1 FROM kept b
   WHERE b.rid = o.rid AND b.kind < 3 AND b.a < o.e AND o.a < b.e)),
-owners AS (SELECT v, count(DISTINCT coalesce('=' || owner, 'null')) >= {secrets.SHARED_OWNERS} AS shared
+owners AS (SELECT v, count(DISTINCT coalesce('=' || owner, 'null')) >= {secrets.SHARED_OWNERS}
+    AND count(DISTINCT repository) >= {secrets.SHARED_REPOSITORIES} AS shared
   FROM candidates JOIN src USING (rid) GROUP BY v),
 judged AS (SELECT * FROM candidates JOIN owners USING (v)),
 summed AS (SELECT rid, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,

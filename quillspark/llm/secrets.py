@@ -22,8 +22,9 @@ HEX = r"[0-9a-f]{24,}"
 #: Long mixed runs that no base pattern covers; the method adds those that only one owner has.
 OPAQUE = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{24,}"
 LEAST_ASSIGNED = 6
-#: A shared value: found with at least so many owners.
-SHARED_OWNERS = 2
+#: A shared value: found with at least so many owners, and in at least so many repositories. What one repository has is not
+#: copied, though several owners hold it.
+SHARED_OWNERS, SHARED_REPOSITORIES = 2, 2
 
 SPAN = "struct<start:bigint,kind:int,end:bigint,hash:string>"
 NAMES = ("assign", "access", "hex", "opaque")
@@ -80,7 +81,8 @@ def scan(docs: DataFrame, text_col: str, owner: Column, repository: Column, keep
     A null text is empty and has no spans. A null owner or repository is one of its own. Repeated rows stay apart, and
     count once for the owner that holds them. Other columns have no effect, an empty table gives an empty table. Texts
     are scanned once and not shuffled; hashes are counted with partial sums, so a hash in a third of all rows is one row
-    per task; the join back to rows is on the hash and can be split by AQE."""
+    per task. The counts are written before they are joined back, so that both sides of that join come from plain shuffles
+    and AQE can split a hash that very many rows have."""
     found = docs.select(
         F.struct(*keep).alias("doc"),
         owner.cast("string").alias("owner"),
@@ -91,16 +93,14 @@ def scan(docs: DataFrame, text_col: str, owner: Column, repository: Column, keep
     each = found.filter(F.size("found") > 0).select("row", "owner", "repository", F.explode("found").alias("s"))
     one = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
     holders = each.select(F.col("s.hash").alias("hash"), one(F.col("owner")).alias("o"), one(F.col("repository")).alias("r"))
-    by_owner = holders.groupBy("hash", "o", "r").agg(F.lit(1).alias("x")).groupBy("hash", "o").agg(F.count("r").alias("n"))
-    ownership = by_owner.groupBy("hash").agg(
-        F.count("o").alias("n_owners"), F.sum("n").cast("long").alias("n_repositories")
-    )
+    ownership = holders.groupBy("hash").agg(F.count_distinct("o").alias("n_owners"), F.count_distinct("r").alias("n_repositories"))
+    ownership = written(ownership, "secret-ownership")
     judged = each.select("row", "s", F.col("s.hash").alias("hash")).join(ownership, "hash")
     judged = judged.select(
         "row",
         F.struct(
             "s.start", "s.kind", "s.end", "hash", "n_owners", "n_repositories",
-            (F.col("n_owners") >= SHARED_OWNERS).alias("shared"),
+            ((F.col("n_owners") >= SHARED_OWNERS) & (F.col("n_repositories") >= SHARED_REPOSITORIES)).alias("shared"),
         ).alias("span"),
     )
     spans = judged.groupBy("row").agg(F.array_sort(F.collect_list("span")).alias("spans"))

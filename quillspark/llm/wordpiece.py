@@ -8,6 +8,7 @@ adds up numbers; no piece is ever built. Counts of recent words are remembered i
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterable, Iterator
 
@@ -115,7 +116,7 @@ def pieces_of(tokenizer_json: bytes) -> tuple[list[bytes], list[bytes]]:
     return begins, [e for e in entries if b" " not in e] + singles
 
 
-_built: dict[int, Remembered] = {}
+_built: dict[bytes, Remembered] = {}
 
 
 def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -128,10 +129,11 @@ def token_counts(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id",
     shipped = shipped_file(docs.sparkSession, vocabulary_path)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _built.get(shipped.id if hasattr(shipped, "id") else 0)
+        digest = hashlib.sha256(shipped.value).digest()
+        known = _built.get(digest)
         if known is None:
             _built.clear()
-            known = _built[shipped.id if hasattr(shipped, "id") else 0] = Remembered(LongestMatch(*pieces_of(shipped.value)))
+            known = _built[digest] = Remembered(LongestMatch(*pieces_of(shipped.value)))
         for whole in batches:
             for at in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(at, BATCH_ROWS)
