@@ -1,4 +1,4 @@
-"""Ids with several texts, extreme vectors, values of one repository, deep and long pages."""
+"""Extreme vectors, values of one repository, deep and long pages."""
 
 from __future__ import annotations
 
@@ -10,18 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillspark.llm import ann, extraction, neardup, secrets
-
-
-def test_an_id_with_two_texts_links_both(spark):
-    words = [f"w{i}" for i in range(60)]
-    one, two = " ".join(words), " ".join(reversed(words))
-    near = lambda t: t + " end"
-    rows = [(5, one), (5, two), (2, near(one)), (9, near(two)), (9, near(two)), (7, "alone in here"), (5, None)]
-    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", neardup.Settings(3, 85))
-    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found.collect())
-    # the two texts of 5 are not one: 2 is linked with one of them, 9 with the other
-    assert got == sorted([(5, 58, 2, False), (5, 58, 5, True), (2, 59, 2, True), (9, 59, 5, False), (9, 59, 5, False), (7, 1, 7, True), (5, 0, 5, True)])
+from quillspark.llm import ann, extraction, secrets
 
 
 def test_extreme_vectors_and_repeated_ids(spark):
