@@ -168,5 +168,5 @@ def test_beside_each_other_as_alone(spark):
         together.release()
     with a.aggregate(index, {n: asked[n] for n in ("t", "r", "h", "s")}) as found:
         assert len(found.shared) == 2  # the counts at the top, and those inside the terms
-        counts = found.shared[0]._jdf.queryExecution().optimizedPlan().toString()
+        counts = found.shared[0]._jdf.queryExecution().analyzed().toString()
         assert counts.count("Range (") == 1 and found["r"].count() == len(spans)
