@@ -4,8 +4,10 @@ A window is a number of consecutive words. Windows are found to recur without li
 runs of windows that share an anchor, the group of words in them with the smallest hash, so that equal windows have
 equal anchors wherever they stand. Runs whose anchor occurs once hold no recurring window. Runs that are equal as a whole
 recur as a whole. Only what is left, different runs around one anchor, is compared window by window, once per distinct
-run. So passages are confirmed. Their texts are then compiled, shard of documents by shard, into Aho-Corasick automata,
-through which all documents of the shard are streamed to locate every occurrence.
+run. So passages are confirmed. Documents are dealt to shards of a bounded number of words, and each shard is given every
+confirmed passage that it holds once, from the first document of the shard that has it. A shard's passages are compiled
+into one Aho-Corasick automaton, through which all its documents are streamed: where they occur is known from its matches
+alone.
 """
 
 from __future__ import annotations
@@ -18,15 +20,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm.common import written
 
 #: Words of an anchor.
 ANCHOR = 8
-#: Documents in one shard, and so behind one automaton.
-SHARD_ROWS = 200
+#: Words of the documents of one shard, on average, and so behind one automaton.
+SHARD_WORDS = 1 << 18
 #: Rows of windows in one output batch.
 WINDOW_ROWS = 200_000
 
@@ -93,16 +95,18 @@ def runs_of(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _based(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``row`` (a number of the row), the id and ``z``, the words of the text, compressed."""
+    """``row`` (a number of the row), the id, ``z``, the words of the text, compressed, and ``words``, their number."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            z = [squeeze(b" ".join((text.as_py() or b"").split())) for text in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(z, pa.binary())], names=["row", "id", "z"])
+            split = [(text.as_py() or b"").split() for text in batch.column(2)]
+            z = pa.array([squeeze(b" ".join(words)) for words in split], pa.binary())
+            sizes = pa.array([len(words) for words in split], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), z, sizes], names=["row", "id", "z", "words"])
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).cast("binary"))
-    return rows.mapInArrow(each, f"row long, id {docs.schema[id_col].dataType.simpleString()}, z binary")
+    return rows.mapInArrow(each, f"row long, id {docs.schema[id_col].dataType.simpleString()}, z binary, words long")
 
 
 def _runs(base: DataFrame, window: int) -> DataFrame:
@@ -156,24 +160,29 @@ def _windows(reps: DataFrame, window: int) -> DataFrame:
     return reps.select("row", "z", "runs").mapInArrow(each, "anchor long, hash long, weight long, row long, start long")
 
 
-def recurring(base: DataFrame, window: int) -> DataFrame:
-    """``row`` and ``spans``, an array of (start, n): the windows that recur, for rows that have any."""
+def confirmed(base: DataFrame, window: int, shard: Column) -> DataFrame:
+    """``shard``, ``row``, ``start``, ``n`` and ``once``: stretches of windows that recur, each distinct one once per shard.
+
+    A run that recurs as a whole is there for one place of each shard that has it; recurring windows of a run that is found
+    once (``once``) are there for this run."""
     runs = written(_runs(base, window), "passage-runs")
-    anchors = runs.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor")
+    anchors = written(runs.groupBy("anchor").agg(F.count("*").alias("times")).filter("times > 1").select("anchor"), "passage-anchors")
     shared = written(runs.join(anchors, "anchor"), "passage-shared")
-    kinds = written(
-        shared.groupBy("anchor", "run").agg(F.count("*").alias("weight"), F.min(F.struct("row", "start", "n")).alias("rep")),
-        "passage-kinds",
-    )
+    place = F.min(F.struct("row", "start", "n")).alias("rep")
+    held = shared.groupBy(shard.alias("shard"), "anchor", "run").agg(F.count("*").alias("times"), place)
+    held = written(held, "passage-held")
+    kinds = held.groupBy("anchor", "run").agg(F.sum("times").alias("weight"), F.min("rep").alias("rep"))
+    kinds = written(kinds, "passage-kinds")
     mixed = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("weight").alias("least"))
-    mixed = mixed.filter("kinds > 1 and least = 1").select("anchor")
+    mixed = written(mixed.filter("kinds > 1 and least = 1").select("anchor"), "passage-mixed")
     open_runs = kinds.join(mixed, "anchor").select("rep.row", F.struct("rep.start", "rep.n", "anchor", "weight").alias("r"))
     reps = open_runs.groupBy("row").agg(F.collect_list("r").alias("runs"))
     windows = written(_windows(base.join(reps, "row"), window), "passage-windows")
     twice = windows.groupBy("anchor", "hash").agg(F.sum("weight").alias("times")).filter("times > 1").select("anchor", "hash")
-    alone = windows.filter("weight = 1").join(twice, ["anchor", "hash"]).select("row", F.col("start").cast("int"), F.lit(1).alias("n"))
-    whole = shared.join(kinds.filter("weight > 1").select("anchor", "run"), ["anchor", "run"]).select("row", "start", "n")
-    return whole.union(alone).groupBy("row").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    alone = windows.filter("weight = 1").join(written(twice, "passage-twice"), ["anchor", "hash"])
+    alone = alone.select(shard.alias("shard"), "row", F.col("start").cast("int"), F.lit(1).alias("n"), F.lit(True).alias("once"))
+    whole = held.join(kinds.filter("weight > 1").select("anchor", "run"), ["anchor", "run"])
+    return whole.select("shard", "rep.row", "rep.start", "rep.n", F.lit(False).alias("once")).union(alone)
 
 
 def covered(n: int, spans: list[tuple[int, int]]) -> np.ndarray:
@@ -185,11 +194,19 @@ def covered(n: int, spans: list[tuple[int, int]]) -> np.ndarray:
     return np.cumsum(edges[:-1]) > 0
 
 
-def passages_of(n: int, spans: list[tuple[int, int]], window: int) -> list[tuple[int, int]]:
-    """The longest stretches of words all of whose windows recur; ``spans`` are (first window, number of windows)."""
-    starts = covered(max(0, n - window + 1), [(a, a + k) for a, k in spans])
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], starts, [False]]).astype(np.int8)))
-    return [(int(a), int(b) + window - 1) for a, b in zip(edges[::2], edges[1::2])]
+def passages_of(spans: list[tuple[int, int, bool]], window: int) -> list[tuple[int, int]]:
+    """Passages (first word, after the last) of spans (first window, number of windows, whether of a run found once).
+
+    Spans of runs found once are put together where they meet; runs that recur stay as they are, as elsewhere one may
+    stand without the next."""
+    out = [(a, a + n + window - 1) for a, n, once in spans if not once]
+    joined: list[list[int]] = []
+    for a, n in sorted((a, n) for a, n, once in spans if once):
+        if joined and joined[-1][1] >= a:
+            joined[-1][1] = max(joined[-1][1], a + n)
+        else:
+            joined.append([a, a + n])
+    return out + [(a, b + window - 1) for a, b in joined]
 
 
 def occurrences(texts: list[list[bytes]], passages: list[tuple[int, int, int]]) -> list[list[tuple[int, int]]]:
@@ -229,36 +246,38 @@ def remove_recurring(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     have no effect, an empty table gives an empty one.
 
     Hashes are 64 bits of an anchor together with 64 bits of a run or window. Rows that are shuffled are runs, about
-    two in 29 words, those that share an anchor, the windows of unequal runs, and the texts once, compressed. An anchor
-    in a third of all texts is one row per task where it is counted; joins on it can be split by AQE."""
+    two in 29 words, those that share an anchor, the windows of unequal runs, and the texts once, compressed. Counts of
+    anchors, runs and windows are written before they are joined, so that both sides of a join are plain shuffles and AQE
+    splits a hot anchor. Shards are dealt by row, so none holds more of a group of copies than its share."""
     base = written(_based(docs, id_col, text_col), "passage-texts")
-    spans = written(recurring(base, window), "passage-spans")
+    total = base.agg(F.sum("words")).first()[0] or 0
+    shard = F.pmod(F.xxhash64("row"), F.lit(1 + total // SHARD_WORDS))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(texts: pa.Table, passages: pa.Table) -> pa.Table:
         open_ = zstandard.ZstdDecompressor().decompress
-        for whole in batches:
-            for at in range(0, whole.num_rows, SHARD_ROWS):
-                batch = whole.slice(at, SHARD_ROWS)
-                texts = [open_(z.as_py()).split() for z in batch.column(1)]
-                confirmed: list[tuple[int, int, int]] = []
-                for i, own in enumerate(batch.column(2).to_pylist()):
-                    pairs = [(s["start"], s["n"]) for s in own or ()]
-                    confirmed += [(i, a, b) for a, b in passages_of(len(texts[i]), pairs, window)] if pairs else []
-                places = occurrences(texts, confirmed) if confirmed else [[]] * len(texts)
-                removed, digest, left = [], [], []
-                for words, own in zip(texts, places, strict=True):
-                    gone = covered(len(words), own) if own else ()
-                    kept = b" ".join([w for w, g in zip(words, gone) if not g] if own else words)
-                    removed.append(int(np.sum(gone)))
-                    digest.append(hashlib.sha256(kept).hexdigest())
-                    left.append(kept.decode() if with_text else None)
-                columns = [batch.column(0), pa.array([len(w) for w in texts], pa.int64()), pa.array(removed, pa.int64()), pa.array(digest)]
-                names = [id_col, "n_words", "n_removed", "kept_sha256"]
-                if with_text:
-                    columns.append(pa.array(left, pa.string()))
-                    names.append("text")
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        words = [open_(z.as_py()).split() for z in texts["z"]]
+        own: dict[int, list[tuple[int, int, bool]]] = {}
+        for row, *span in zip(*(passages[c].to_pylist() for c in ("row", "start", "n", "once"))):
+            own.setdefault(row, []).append(tuple(span))
+        at = {row: i for i, row in enumerate(texts["row"].to_pylist())}
+        compiled = [(at[row], a, b) for row, spans in own.items() for a, b in passages_of(spans, window)]
+        places = occurrences(words, compiled) if compiled else [[]] * len(words)
+        removed, digest, left = [], [], []
+        for text, found in zip(words, places, strict=True):
+            gone = covered(len(text), found) if found else ()
+            kept = b" ".join([w for w, g in zip(text, gone) if not g] if found else text)
+            removed.append(int(np.sum(gone)))
+            digest.append(hashlib.sha256(kept).hexdigest())
+            left.append(kept.decode() if with_text else None)
+        columns = [texts["id"], texts["words"], pa.array(removed, pa.int64()), pa.array(digest, pa.string())]
+        names = [id_col, "n_words", "n_removed", "kept_sha256"]
+        if with_text:
+            columns.append(pa.array(left, pa.string()))
+            names.append("text")
+        return pa.table(columns, names=names)
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, n_words long, n_removed long, kept_sha256 string" + ", text string" * with_text
-    return base.join(spans, "row", "left").select("id", "z", "spans").mapInArrow(cut, schema)
+    passages = written(confirmed(base, window, shard), "passage-confirmed")
+    shards = base.select(shard.alias("shard"), "row", "id", "z", "words").groupBy("shard")
+    return shards.cogroup(passages.groupBy("shard")).applyInArrow(cut, schema)

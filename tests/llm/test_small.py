@@ -275,6 +275,40 @@ def test_repeated_passages_of_few_words(spark):
     assert [tuple(r)[1:] for r in rows] == plain_removed(texts, 12)
 
 
+def test_repeated_passages_of_many_shards(spark, monkeypatch):
+    """Joined passages, an anchor in every text, one hot group of copies, shards of few words."""
+    monkeypatch.setattr(passages, "SHARD_WORDS", 300)
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(4000)}"
+    known = [[word() for _ in range(rng.randrange(12, 40))] for _ in range(12)]
+    texts = [" ".join(known[0] + known[1])] * 40
+    for _ in range(80):
+        parts = [rng.choice(known) if rng.random() < 0.6 else [word() for _ in range(rng.randrange(1, 30))] for _ in range(5)]
+        texts.append(" ".join(w for part in [known[2], *parts] for w in part))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    rows = sorted(passages.remove_recurring(docs, 12).collect())
+    assert [tuple(r)[1:] for r in rows] == plain_removed(texts, 12)
+
+
+def test_repeated_passages_are_located_by_the_automaton(spark):
+    """Of two copies in a shard one gives the passage; the other is known from the matches only."""
+    same = " ".join(f"s{i}" for i in range(60))
+    docs = spark.createDataFrame([(0, same), (1, f"x {same} y"), (2, "z " * 10)], "doc_id bigint, text string")
+    base = passages._based(docs, "doc_id", "text").cache()
+    runs = passages.confirmed(base, 20, F.lit(0)).collect()
+    assert len({r["row"] for r in runs if not r["once"] and r["n"] > 1}) == 1
+    removed = {r["doc_id"]: r["n_removed"] for r in passages.remove_recurring(docs, 20).collect()}
+    assert removed == {0: 60, 1: 60, 2: 0}
+    texts = [[b"a", b"b", b"c"], [b"x", b"b", b"c"]]
+    assert passages.occurrences(texts, [(0, 1, 3)]) == [[(1, 3)], [(1, 3)]]
+    assert passages.occurrences(texts, [(0, 0, 2)]) == [[(0, 2)], []]
+
+
+def test_runs_that_recur_stay_apart():
+    spans = [(0, 1, False), (1, 1, False), (5, 2, True), (7, 1, True), (9, 1, True)]
+    assert sorted(passages.passages_of(spans, 4)) == [(0, 4), (1, 5), (5, 11), (9, 13)]
+
+
 # Near duplicates
 
 
