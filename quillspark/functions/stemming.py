@@ -133,8 +133,8 @@ def stem_english(word: str) -> str:
         return word
     if word in WHOLE_WORDS:
         return WHOLE_WORDS[word]
-    # A y that acts as a consonant is held as Y until the end.
-    word = re.sub(r"^y|(?<=[aeiouy])y", "Y", word)
+    # A y that acts as a consonant is held as Y until the end; the y after a Y is a vowel.
+    word = re.sub(r"([aeiouy])y", r"\1Y", re.sub(r"^y", "Y", word))
     r1, r2 = _regions(word)
     word = _plural(word)
     if word in KEPT_AFTER_PLURAL:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillspark.functions import analysis
+from quillspark.functions.stemming import stem_words_udf
 from quillspark.mapping import Mapping
 from quillspark.operators.batch import query_words
 from quillspark.sources import tables
@@ -37,35 +38,25 @@ def whitespace_tokens(spark, sf_dir):
     return _tokens(corpora.table(spark, sf_dir, "pages"), "page_id", "html", "whitespace")
 
 
-# Published examples of words and their English stems.
-_EXAMPLES = {
-    "the": "the", "and": "and", "that": "that", "running": "run", "runners": "runner", "quickly": "quick", "swimming": "swim",
-    "consigned": "consign", "consistency": "consist", "knightly": "knight", "knots": "knot", "relational": "relat",
-    "conditional": "condit", "generously": "generous", "happiness": "happi", "flies": "fli", "hopping": "hop", "hoping": "hope",
-}
-_STEMS = ", ".join(f"('{w}', '{s}')" for w, s in _EXAMPLES.items())
-
-
 @query(
     "an4_english_stems",
-    f"""WITH {sql.index_of()}, stems(term, stem) AS (VALUES {_STEMS}),
-words AS (SELECT doc_id, stem, n FROM (SELECT doc_id, unnest(range(1, 19)) AS n FROM documents) JOIN
-  (SELECT stem, row_number() OVER (ORDER BY term) AS n FROM stems) USING (n) WHERE doc_id % n = 0)
-SELECT stem AS term, count(DISTINCT doc_id) AS df, count(*) AS cf FROM words GROUP BY 1""",
+    f"WITH {sql.index_of()}, {sql.english_stems('freq')} SELECT term, stem, df FROM english JOIN freq USING (term)",
 )
 def english_stems(spark, sf_dir):
-    """Every document gets some of the published examples, by its number; the stemmed vocabulary follows."""
-    docs = corpora.table(spark, sf_dir, "documents").select("doc_id")
-    words = F.array(*[F.struct(F.lit(i + 1).alias("n"), F.lit(w).alias("w")) for i, w in enumerate(sorted(_EXAMPLES))])
-    own = F.transform(F.filter(words, lambda x: F.col("doc_id") % x["n"] == 0), lambda x: x["w"])
-    typed = docs.select("doc_id", F.array_join(own, " ").alias("text"))
-    postings = tables.postings_table(tables.spread(typed), corpora.STEMMED)
-    return tables.terms_table(postings).select("term", "df", "cf")
+    """The English stem of every word of the table."""
+    docs = tables.spread(corpora.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    words = tables.terms_table(tables.postings_table(docs, Mapping.build([("text", "text")])))
+    return words.select("term", F.get(stem_words_udf(F.array("term")), F.lit(0)).alias("stem"), "df")
 
 
-@query("an4_stemmed_vocabulary")
+@query(
+    "an4_stemmed_vocabulary",
+    f"""WITH {sql.index_of()}, {sql.english_stems('freq')}
+SELECT 'text' AS field, stem AS term, count(DISTINCT doc_id) AS df, CAST(sum(tf) AS BIGINT) AS cf
+FROM post JOIN english USING (term) GROUP BY stem""",
+)
 def stemmed_vocabulary(spark, sf_dir):
-    """The stemmed vocabulary of the whole table; SQL has no stemmer."""
+    """The vocabulary of an index of stemmed texts."""
     return corpora.stemmed_index(spark, sf_dir).terms.select("field", "term", "df", "cf")
 
 
