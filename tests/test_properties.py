@@ -6,6 +6,8 @@ import math
 import random
 import re
 
+import duckdb
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -20,6 +22,7 @@ from quillspark.operators.batch import batch_search
 from quillspark.operators.search import count_hits, top_k
 from quillspark.plans import compile as compile_module
 from quillspark.plans import query as q
+from registry import sql
 from quillspark.plans.compile import matches
 from quillspark.sources.index import Index
 
@@ -243,3 +246,16 @@ def test_swap_distance(spark, words, value, distance):
 )
 def test_english_stem_examples(word, stem):
     assert stem_english(word) == stem
+
+
+def test_english_stems_beside_the_rules_in_sql():
+    rng = random.Random(5)
+    ends = sql._LONGER[::2] + sql._MIDDLE[::2] + sql._LAST + "sses ied ies us ss s eed eedly ed edly ing ingly y e ll at bl iz".split()
+    made = {"".join(rng.choice("aeiouybdglnrstwxé") for _ in range(rng.randrange(0, 7))) for _ in range(3000)}
+    made |= {w + rng.choice(ends) for w in made} | {w + rng.choice(ends) + rng.choice(ends) for w in made}
+    made |= {p + rng.choice(ends) for p in ("gener", "commun", "arsen") for _ in range(30)} | set(sql._WHOLE) | set(sql._KEPT)
+    words = sorted(made - {""})
+    con = duckdb.connect()
+    con.register("made", pa.table({"term": words}))
+    found = dict(con.execute(f"WITH {sql.english_stems('made')} SELECT term, stem FROM english").fetchall())
+    assert {w: (stem_english(w), found[w]) for w in words if stem_english(w) != found[w]} == {}
