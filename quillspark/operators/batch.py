@@ -1,7 +1,7 @@
 """A whole table of queries against the index in one job, top-k per query.
 
-Scoring every document that shares any word with a query would, for words most documents contain, come
-to queries times documents. Beyond a size two exact steps avoid that. A query's rarest words, enough to reach ``k``
+Postings are dealt to blocks of documents once, and a block gives its best of every query
+(``quillspark.operators.blocks``). Beyond a size two exact steps spare additions. A query's rarest words, enough to reach ``k``
 documents, give the k-th best score a lower bound. Words whose best possible scores together stay below
 that bound cannot lift a document into the top k by themselves, so only the other words bring in
 candidates, and the common words are looked up for the candidates alone.
@@ -19,14 +19,13 @@ from quillspark.functions import scoring
 from quillspark.functions.analysis import grouped_entries, has_builtin_stemmer, is_stemmed, stemmed_entries, token_entries
 from quillspark.mapping import PAIRED
 from quillspark.operators import highlight as hl
+from quillspark.operators.blocks import MARGIN, best_in_blocks
 from quillspark.operators.search import stored_document
 from quillspark.sources import tables
 from quillspark.sources.index import Index
 
 # Postings to score from which the two steps are worth their own passes.
 MANY_POSTINGS = 50_000_000
-# Room for rounding when a bound is compared with a score.
-MARGIN = 2 * 10.0**-scoring.SCORE_DIGITS
 
 
 def _tokens(index: Index, queries: DataFrame, query_id: str, text: str, fields: tuple[str, ...]) -> DataFrame:
@@ -59,30 +58,15 @@ def _words(tokens: DataFrame, query_id: str) -> DataFrame:
     return tokens.filter("size = 1").groupBy(query_id, "field", "term").agg(F.count(F.lit(1)).alias("times"))
 
 
-def _phrase_scores(index: Index, tokens: DataFrame, query_id: str) -> DataFrame:
-    """``(query_id, key, score)`` of the chunks that are several tokens, such as words with a hyphen: their tokens side by
-    side. A chunk with a token that no document has matches nothing."""
-    key = index.mapping.key
+def _chunks(index: Index, tokens: DataFrame, query_id: str) -> DataFrame:
+    """The parts of the chunks that are several tokens, such as words with a hyphen: their tokens side by side, with the
+    weight of the whole. A chunk with a token that no document has is left out."""
     tokens = tokens.filter("size > 1")
     chunk = [query_id, "field", "chunk"]
     words = _weighted(index, tokens.withColumn("times", F.lit(1)))
     whole = words.groupBy(*chunk).agg(F.sum("weight").alias("gain"), F.first("avgdl").alias("avgdl"), F.count("*").alias("known"))
     parts = _phrase_parts(index, tokens, chunk).join(whole, chunk).filter(F.col("known") == F.col("size"))
-    if index.term_buckets:
-        parts = parts.withColumn("term_bucket", tables.bucket_of(F.col("term"), index.term_buckets))
-    parts = parts.withColumnRenamed("field", "of_field").withColumnRenamed("part_field", "field")
-    on = [c for c in ("field", "term", "term_bucket") if c in parts.columns]
-    found = index.everything.select(*on, key, "dl", "positions").join(parts, on)
-    starts = F.transform("positions", lambda p: p - F.col("pos")).alias("starts")
-    chunk[1] = "of_field"
-    places = found.select(*chunk, key, "dl", "gain", "avgdl", "parts", "pos", starts)
-    docs = places.groupBy(*chunk, key).agg(
-        *[F.first(c).alias(c) for c in ("dl", "gain", "avgdl", "parts")], F.collect_list("starts").alias("all")
-    )
-    common = F.aggregate("all", F.get("all", F.lit(0)), F.array_intersect)
-    docs = docs.filter(F.size("all") == F.col("parts")).withColumn("times", F.size(common)).filter("times > 0")
-    score = F.col("gain") * scoring.tf_norm(F.col("times"), F.col("dl"), F.col("avgdl"))
-    return docs.select(query_id, key, score.alias("score"))
+    return parts.withColumnRenamed("field", "of_field").withColumnRenamed("part_field", "field")
 
 
 def _phrase_parts(index: Index, tokens: DataFrame, chunk: list[str]) -> DataFrame:
@@ -119,16 +103,6 @@ def _weighted(index: Index, words: DataFrame) -> DataFrame:
     )
 
 
-def _gain() -> Column:
-    return F.col("weight") * scoring.tf_norm(F.col("tf"), F.col("dl"), F.col("avgdl"))
-
-
-def _score_postings(postings: DataFrame, words: DataFrame, query_id: str, key: str) -> DataFrame:
-    """``(query_id, key, score)`` added up over the given words."""
-    rows = postings.join(words, [c for c in ("field", "term", "term_bucket") if c in postings.columns])
-    return rows.groupBy(query_id, key).agg(F.sum(_gain()).alias("score"))
-
-
 def batch_search(
     index: Index,
     queries: DataFrame,
@@ -153,16 +127,13 @@ def batch_search(
     tokens = keep(_tokens(index, queries, query_id, text, fields))
     words = keep(_weighted(index, _words(tokens, query_id)))
     size = words.agg(F.coalesce(F.sum("df"), F.lit(0)).alias("n")).first()["n"]
-    postings = _postings_of(index, words)
     phrased = tokens.filter("size > 1").select(query_id).distinct()
-    has_phrases = not phrased.isEmpty()
+    chunks = None if phrased.isEmpty() else keep(_chunks(index, tokens, query_id))
     if size < many_postings:
-        best = _score_postings(postings, words, query_id, key)
+        words = words.withColumn("optional", F.lit(False))
     else:
-        best = _score_best(postings, words, query_id, key, k, phrased if has_phrases else None, keep)
-    if has_phrases:
-        best = best.unionByName(_phrase_scores(index, tokens, query_id))
-        best = best.groupBy(query_id, key).agg(F.sum("score").alias("score"))
+        words = _in_two_steps(index, words, query_id, k, None if chunks is None else phrased, keep)
+    best = best_in_blocks(index, words, chunks, query_id, k, keep)
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     ranked = (
         best.withColumn("score", scoring.rounded(F.col("score")))
@@ -175,31 +146,18 @@ def batch_search(
     return ranked
 
 
-def _postings_of(index: Index, words: DataFrame) -> DataFrame:
-    """The postings without positions, of the directories the words live in: at most one row per directory
-    comes back to plan with."""
-    columns = [index.mapping.key, "field", "term", "tf", "dl"]
-    if not index.term_buckets:
-        return index.postings.select(*columns)
-    places = words.select("field", "term_bucket").distinct().collect()
-    return index.postings.filter(
-        F.col("field").isin({r["field"] for r in places}) & F.col("term_bucket").isin({r["term_bucket"] for r in places})
-    ).select(*columns, "term_bucket")
-
-
-def _score_best(
-    postings: DataFrame, words: DataFrame, query_id: str, key: str, k: int, phrased: DataFrame | None, keep
-) -> DataFrame:
-    """Scores that hold the best ``k`` of every query, without scoring every posting. Queries with phrases are scored in
-    full: a document's words say nothing about the phrases it has."""
+def _in_two_steps(index: Index, words: DataFrame, query_id: str, k: int, phrased: DataFrame | None, keep) -> DataFrame:
+    """Words with ``optional``: those that cannot lift a document into the best ``k`` of their query by themselves. Queries
+    with phrases are scored in full: a document's words say nothing about the phrases it has."""
     rarest = Window.partitionBy(query_id).orderBy("df", "field", "term")
     before = rarest.rowsBetween(Window.unboundedPreceding, -1)
     words = words.withColumn("reached", F.coalesce(F.sum("df").over(before), F.lit(0)))
 
-    seeds = words.filter(F.col("reached") < 2 * k)
+    seeds = words.filter(F.col("reached") < 2 * k).withColumn("optional", F.lit(False))
+    key = index.mapping.key
     order = Window.partitionBy(query_id).orderBy(F.desc("score"), key)
     bound = (
-        _score_postings(postings, seeds, query_id, key)
+        best_in_blocks(index, seeds, None, query_id, k, keep)
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .groupBy(query_id)
@@ -220,26 +178,7 @@ def _score_best(
     if phrased is not None:
         marked = phrased.select(F.col(query_id), F.lit(True).alias("phrased"))
         words = words.join(marked, query_id, "left").withColumn("optional", F.col("optional") & F.col("phrased").isNull()).drop("phrased")
-    words = keep(words)
-
-    candidates = _score_postings(postings, words.filter(~F.col("optional")), query_id, key)
-
-    # A query without optional words is scored already. A candidate of the others carries its score on one
-    # row and asks for its query's optional words on as many rows as there are; the join key holds the
-    # document, so no word makes a hot key. Both branches read one shuffle of the candidates.
-    on = [c for c in ("field", "term", "term_bucket") if c in postings.columns]
-    extra = words.filter("optional")
-    asked = extra.groupBy(query_id).agg(F.collect_list(F.struct(*on, "weight", "avgdl")).alias("asked"))
-    scored = candidates.join(asked, query_id, "left_anti")
-    lookups = (
-        candidates.join(asked, query_id)
-        .select(query_id, key, "score", F.posexplode("asked").alias("place", "word"))
-        .select(query_id, key, F.when(F.col("place") == 0, F.col("score")).alias("own"), "word.*")
-    )
-    common = postings.join(extra.select(*on).distinct(), on, "left_semi")
-    found = lookups.join(common, [*on, key], "left")
-    score = F.coalesce("own", F.lit(0.0)) + F.coalesce(_gain(), F.lit(0.0))
-    return found.groupBy(query_id, key).agg(F.sum(score).alias("score")).unionByName(scored)
+    return keep(words)
 
 
 def batch_hits(

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillspark.mapping import Mapping
+from quillspark.operators import blocks
 from quillspark.operators.batch import batch_hits, batch_search, batch_search_box, near_terms
 from quillspark.operators.search import search, top_k
 from quillspark.plans import query as q
@@ -112,3 +115,35 @@ def test_no_comparison_of_everything_with_everything(index, queries):
     frame = batch_search_box(index, queries, {"t": 1.0})
     text = frame._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
+
+
+def _outputs(plan):
+    """The names of the columns of every step of a plan."""
+    listed = lambda rows: [rows.apply(i) for i in range(rows.length())]
+    yield {a.name() for a in listed(plan.output())}
+    for child in listed(plan.children()):
+        yield from _outputs(child)
+
+
+@pytest.mark.parametrize("many", [0, 10**9])
+def test_postings_are_not_repeated_for_every_query(index, queries, many):
+    frame = batch_search(index, queries, 4, many_postings=many)
+    steps = list(_outputs(frame._jdf.queryExecution().optimizedPlan()))
+    assert any("positions" in names for names in steps)
+    assert not [names for names in steps if "query_id" in names and names & {"positions", "tf", "starts"}]
+
+
+def test_several_blocks_and_parts_and_equal_scores(index, queries, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(blocks, "ASKED_WORDS", 9)
+    for many in (0, 10**9):
+        found = by_query(batch_search(index, queries, 4, many_postings=many), "doc_id", "score")
+        for i, text in enumerate(ASKED):
+            assert found[i] == [tuple(r) for r in top_k(index, text, limit=4).collect()], text
+
+
+def test_of_equal_scores_the_first_keys_are_kept():
+    scores = np.array([0.0, 2.0000001, 2.0, 2.0000002, 1.0, 2.0])
+    kept = blocks.first(pa.array(["a", "f", "e", "d", "b", "c"]), scores, 3)
+    assert kept.tolist() == [5, 3, 2]
+    assert blocks.first(pa.array([3, 1, None, 2, 0, 9]), scores, 3).tolist() == [2, 1, 3]
