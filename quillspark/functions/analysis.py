@@ -38,9 +38,9 @@ def token_entries(text: Column, analyzer: str) -> Column:
         words = F.regexp_extract_all(text, F.lit(NON_BLANK), F.lit(0))
         return F.transform(words, lambda w, i: F.struct(w.alias("term"), i.alias("pos")))
     words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    placed = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("pos")))
-    kept = F.filter(placed, lambda e: F.octet_length(e["word"]) < TOO_LONG_BYTES)
-    return F.transform(kept, lambda e: F.struct(F.lower(e["word"]).alias("term"), e["pos"].alias("pos")))
+    kept = lambda w: F.when(F.octet_length(w) < TOO_LONG_BYTES, F.lower(w))
+    placed = F.transform(words, lambda w, i: F.struct(kept(w).alias("term"), i.alias("pos")))
+    return F.filter(placed, lambda e: e["term"].isNotNull())
 
 
 def has_tokens(text: Column, analyzer: str) -> Column:
@@ -73,30 +73,31 @@ def grouped_entries(entries: Column) -> Column:
     Sorting the entries puts equal terms side by side in position order; the run boundaries then
     give every term's frequency and positions by slicing. Cost is that of one in-row sort.
     """
-
-    def runs(s: Column) -> Column:
-        n = F.size(s)
-        starts = F.filter(
-            F.sequence(F.lit(0), n - 1),
-            lambda i: (i == 0) | (F.get(s, i)["term"] != F.get(s, i - 1)["term"]),
-        )
-        return let(
-            starts,
-            lambda st: F.transform(
-                st,
-                lambda a, j: let(
-                    F.coalesce(F.get(st, j + 1), n) - a,
-                    lambda tf: F.struct(
-                        F.get(s, a)["term"].alias("term"),
-                        tf.alias("tf"),
-                        n.alias("dl"),
-                        F.transform(F.slice(s, a + 1, tf), lambda e: e["pos"]).alias("positions"),
-                    ),
-                ),
-            ),
-        )
-
-    return let(F.sort_array(entries), lambda s: F.when(F.size(s) > 0, runs(s)))
+    return let(F.sort_array(entries), lambda s: F.when(F.size(s) > 0, let(run_starts(s), lambda st: runs(s, st))))
+
+
+def run_starts(ordered: Column) -> Column:
+    """Where each distinct term of sorted entries begins."""
+    first = lambda e, i: F.when((i == 0) | (e["term"] != F.get(ordered, i - 1)["term"]), i)
+    return F.array_compact(F.transform(ordered, first))
+
+
+def runs(ordered: Column, starts: Column, **more: Column) -> Column:
+    """The groups of sorted entries, from where each begins; ``more`` are columns that stand before every group's own.
+
+    Every array function copies what it hands on, so sorted entries and starts are best columns of their own."""
+    n = F.size(ordered)
+    end = lambda j: F.coalesce(F.get(starts, j + 1), n)
+    return F.transform(
+        starts,
+        lambda a, j: F.struct(
+            *[c.alias(name) for name, c in more.items()],
+            F.get(ordered, a)["term"].alias("term"),
+            (end(j) - a).alias("tf"),
+            n.alias("dl"),
+            F.transform(F.sequence(a, end(j) - 1), lambda k: F.get(ordered, k)["pos"]).alias("positions"),
+        ),
+    )
 
 
 def word_slots(spark: SparkSession, words: list[str]) -> list[str]:

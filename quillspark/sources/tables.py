@@ -29,6 +29,10 @@ TIERED_POSTINGS = 128
 PAIRED_WORDS, PAIRED_SHARE, PAIRED_SAMPLE = 512, 24, 2_000
 #: So many values of a field are told apart while frequent ones are counted.
 TRACKED = 12_288
+#: A batch from this many bytes, or values of its fields, on is dealt out in shares of at most so many of either, smaller
+#: ones only for idle cores; a share writes its own postings into every bucket, which has to get so many bytes of it.
+LARGE_BATCH, LARGEST_SHARE, SMALLEST_SHARE, BUCKET_SHARE = 64 << 20, 32 << 20, 4 << 20, 2 << 20
+LARGE_VALUES, SHARE_VALUES = 8_000_000, 2_000_000
 
 
 def indexed_fields(mapping: Mapping) -> list[str]:
@@ -41,11 +45,24 @@ def spread(records: DataFrame) -> DataFrame:
     Sizes are the optimizer's estimate, so no file list reaches the driver and no job runs."""
     spark = records.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(str(records._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    size = size_of(records)
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     return records.repartition(cores) if size < cores * split else records
 
 
+def size_of(records: DataFrame) -> int:
+    """The optimizer's estimate in bytes."""
+    return int(str(records._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def shares_of(size: int, values: int, cores: int, buckets: int) -> int | None:
+    """In how many shares a batch of that many bytes and values writes its postings; None if it is too small, or the
+    buckets too many, to do without a shuffle of the postings."""
+    if size < LARGE_BATCH and values < LARGE_VALUES or LARGEST_SHARE // buckets < BUCKET_SHARE:
+        return None
+    return max(-(-size // LARGEST_SHARE), -(-values // SHARE_VALUES), min(cores, size // SMALLEST_SHARE))
+
+
 def docs_schema(mapping: Mapping, key_type: T.DataType) -> T.StructType:
     fields = [T.StructField(f.name, f.spark_type) for f in mapping.doc_fields]
     return T.StructType([T.StructField(mapping.key, key_type), *fields])
@@ -209,7 +226,10 @@ def postings_table(
             staged = staged.withColumn(f"e_{n}", analysis.stemmed_entries(F.col(f"e_{n}")))
         elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
             raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
-    groups = [_tagged(n, analysis.grouped_entries(F.col(f"e_{n}"))) for n in names]
+    # Columns of their own: what an array function is given by another is copied whole at each step.
+    staged = staged.withColumns({f"s_{n}": F.sort_array(F.col(f"e_{n}")) for n in names})
+    staged = staged.withColumns({f"at_{n}": analysis.run_starts(F.col(f"s_{n}")) for n in names})
+    groups = [analysis.runs(F.col(f"s_{n}"), F.col(f"at_{n}"), field=F.lit(n)) for n in names]
     groups += [_paired(n, F.col(f"e_{n}"), words) for n, words in (slots or {}).items() if any(words)]
     present = [F.coalesce(g, F.array()) for g in groups]
     rows = staged.select(mapping.key, F.inline(F.concat(*present) if len(present) > 1 else present[0]))

@@ -442,11 +442,11 @@ class IndexDirectory:
             documents = self._read("docs", [n], tables.docs_schema(v.mapping, key_type).add("doc_bucket", T.IntegerType()))
         else:
             documents = tables.spread(documents)
-        self._write_words(v, n, documents)
+        self._write_words(v, n, documents, added)
         v.batches, v.terms, v.n_docs = [*v.batches, n], [*v.terms, n], v.n_docs + added
         self._count_tokens(v, n)
 
-    def _write_words(self, v: _Version, n: int, documents: DataFrame) -> None:
+    def _write_words(self, v: _Version, n: int, documents: DataFrame, rows: int) -> None:
         """Postings and vocabulary of a batch. The first batch says which words are frequent enough for their pairs."""
         key_type = T._parse_datatype_string(v.key_type)
         if v.paired is None and v.mapping.paired:
@@ -455,8 +455,14 @@ class IndexDirectory:
             v.lengths = tables.mean_lengths(self._some(documents), v.mapping)
         slots = {name: analysis.word_slots(self.spark, words) for name, words in (v.paired or {}).items()}
         v.paired = {name: sorted(filter(None, words)) for name, words in slots.items()} if v.paired is not None else None
+        cores, values = self.spark.sparkContext.defaultParallelism, rows * len(tables.indexed_fields(v.mapping))
+        # A field stemmed by a map is shuffled to join the map, whatever the shares.
+        shares = None if v.stem_maps else tables.shares_of(tables.size_of(documents), values, cores, v.term_buckets)
+        if shares:
+            documents = documents.repartition(shares, v.mapping.key)
         postings = tables.postings_table(documents, v.mapping, self._stem_maps(v), slots)
-        self._write_postings(postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets)), v, n)
+        postings = postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
+        self._write_postings(postings, v, n, dealt=shares is not None)
         schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
         self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)
 
@@ -509,12 +515,13 @@ class IndexDirectory:
             rows = self._read("docs", [n], tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)))
             tables.summary_table(rows, v.mapping).write.parquet(f"{self.path}/summaries/batch={n}")
 
-    def _write_postings(self, postings: DataFrame, v: _Version, n: int) -> None:
+    def _write_postings(self, postings: DataFrame, v: _Version, n: int, dealt: bool = False) -> None:
+        """With ``dealt``, the postings of a task are enough for files of their own and stay where they are."""
         tier = []
         if v.mapping.tiered:
             postings, tier = tables.with_tiers(postings, v.lengths or {}), [F.desc("tier")]
         (
-            postings.hint("rebalance", "field", "term_bucket")
+            (postings if dealt else postings.hint("rebalance", "field", "term_bucket"))
             .sortWithinPartitions("field", "term_bucket", "term", *tier, v.mapping.key)
             .write.option("parquet.bloom.filter.enabled#term", "true")
             .partitionBy("field", "term_bucket")
@@ -562,7 +569,7 @@ class IndexDirectory:
         if v.mapping.paired and {f.name for f in v.mapping.doc_fields}.issuperset(tables.indexed_fields(v.mapping)):
             v.paired = v.lengths = None
             schema = tables.docs_schema(v.mapping, T._parse_datatype_string(v.key_type)).add("doc_bucket", T.IntegerType())
-            self._write_words(v, n, self._read("docs", [n], schema))
+            self._write_words(v, n, self._read("docs", [n], schema), v.n_docs)
         else:
             self._write_postings(index.everything, since, n)
             self._write_terms(index.statistics.select("field", "term", "df", "cf"), since, n)

@@ -280,3 +280,48 @@ def test_tiers_bound_what_postings_add(tiered):
 def test_tiers_are_not_trusted_after_a_delete(opened):
     _, wide = opened
     assert wide.tiers is None
+
+
+@pytest.mark.parametrize("mapping", [PLAIN, WIDE])
+def test_a_large_batch_writes_its_postings_where_they_are_made(spark, tmp_path, monkeypatch, mapping):
+    """No shuffle of the postings, each share sorted in files of its own, and the rows of a small batch."""
+    dealt, write = [], IndexDirectory._write_postings
+
+    def noted(self, postings, v, n, **more):
+        dealt.append((more.get("dealt", False), postings.rdd.getNumPartitions()))
+        write(self, postings, v, n, **more)
+
+    monkeypatch.setattr(IndexDirectory, "_write_postings", noted)
+    records = rows(spark, 3, 0, 300)
+    small = build_index(records, mapping, f"{tmp_path}/small")
+    monkeypatch.setattr(tables, "LARGE_VALUES", 500)
+    monkeypatch.setattr(tables, "SHARE_VALUES", 100)
+    large = build_index(records, mapping, f"{tmp_path}/large")
+    assert not dealt[0][0] and dealt[1] == (True, 6)
+    for name in ("docs", "everything", "statistics"):
+        a, b = getattr(small, name), getattr(large, name)
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    rounded = lambda frame: frame.withColumn("score", scoring.rounded(F.col("score")))
+    for asked in (q.phrase("body", "of", "the"), q.match("engine the x", "body"), q.Prefix("body", "e")):
+        a, b = rounded(matches(asked, small)), rounded(matches(asked, large))
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert top_k(small, "the engine", limit=7).collect() == top_k(large, "the engine", limit=7).collect()
+    per_file: dict[str, list] = {}
+    lines = large.postings.withColumn("file", F.input_file_name()).withColumn("i", F.monotonically_increasing_id())
+    for r in lines.orderBy("i").collect():
+        per_file.setdefault(r["file"], []).append((r["term"], -(r["tier"] or 0) if "tier" in r else 0, r["doc_id"]))
+    assert all(found == sorted(found) for found in per_file.values())
+
+
+def test_shares_are_bounded_and_leave_each_bucket_enough():
+    shares = lambda size, values=0, cores=8, buckets=8: tables.shares_of(size, values, cores, buckets)
+    assert shares(tables.LARGE_BATCH - 1) is None and shares(tables.LARGE_BATCH, buckets=2048) is None
+    assert shares(tables.LARGE_BATCH) == 8 and shares(tables.LARGE_BATCH, cores=1000) == 16
+    for times in (2, 60, 6000):
+        assert shares(times * tables.LARGEST_SHARE, cores=1) == times
+        assert shares(1, 4 * times * tables.SHARE_VALUES) == 4 * times
+
+
+def test_values_alone_make_a_batch_large():
+    """Short rows that compress well still have postings to sort."""
+    assert tables.shares_of(1 << 20, 18_000_000, 8, 8) == 9
