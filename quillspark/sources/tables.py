@@ -237,19 +237,20 @@ def postings_table(
     for analyzer, stem_map in stem_maps.items():
         mapped = [n for n in names if mapping.field(n).analyzer == analyzer]
         if mapped:
-            rows = _stem_by_map(rows, mapping.key, mapped, stem_map)
+            rows = _stem_by_map(rows, mapping.key, mapped, stem_map, len(mapped) == len(names) and not slots)
     return rows
 
 
-def _stem_by_map(rows: DataFrame, key: str, fields: list[str], stem_map: DataFrame) -> DataFrame:
-    """Replace the terms of ``fields`` by their stems and merge the words that now coincide.
+def _stem_by_map(rows: DataFrame, key: str, fields: list[str], stem_map: DataFrame, alone: bool = False) -> DataFrame:
+    """Replace the terms of ``fields`` by their stems and merge the words that now coincide. With no other fields (``alone``)
+    the documents are not split into words a second time for them.
 
     The map joins the distinct terms of each document, not its tokens; Spark broadcasts the map only
     if it is small, and AQE splits a frequent term's partition otherwise.
     """
     words = stem_map.select(F.col("term"), F.col("stem"))
     merged = (
-        rows.filter(F.col("field").isin(fields))
+        (rows if alone else rows.filter(F.col("field").isin(fields)))
         .join(words, "term", "left")
         .groupBy("field", F.coalesce("stem", "term").alias("term"), key)
         .agg(
@@ -258,7 +259,7 @@ def _stem_by_map(rows: DataFrame, key: str, fields: list[str], stem_map: DataFra
             F.sort_array(F.flatten(F.collect_list("positions"))).alias("positions"),
         )
     )
-    return rows.filter(~F.col("field").isin(fields)).unionByName(merged)
+    return merged if alone else rows.filter(~F.col("field").isin(fields)).unionByName(merged)
 
 
 def terms_table(postings: DataFrame) -> DataFrame:

@@ -147,6 +147,20 @@ def test_patterns_of_a_query_share_one_pass(index, monkeypatch):
     assert scores == {2.0, 3.0}
 
 
+def test_documents_are_split_into_words_once_for_a_map_of_stems(spark):
+    rows = spark.createDataFrame([(1, "walks walked a walk"), (2, ""), (3, None), (4, "b walks")], "doc_id bigint, body string")
+    stems = spark.createDataFrame([("walks", "walk"), ("walked", "walk")], "term string, stem string")
+    alone = Mapping.build([("body", "text", {"tokenizer": "fr_stem"})])
+    found = tables.postings_table(rows, alone, {"fr_stem": stems})
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Generate inline") == 1
+    groups = {(r["doc_id"], r["term"]): (r["tf"], r["dl"], r["positions"]) for r in found.collect()}
+    assert groups == {(1, "walk"): (3, 4, [0, 1, 3]), (1, "a"): (1, 4, [2]), (4, "b"): (1, 2, [0]), (4, "walk"): (1, 2, [1])}
+    both = Mapping.build([("body", "text", {"tokenizer": "fr_stem"}), ("kind", "string")])
+    more = tables.postings_table(rows.withColumn("kind", F.lit("walks")), both, {"fr_stem": stems})
+    assert {(r["doc_id"], r["term"]) for r in more.filter("field = 'kind'").collect()} == {(i, "walks") for i in (1, 2, 3, 4)}
+    assert more.filter("field = 'body'").count() == 4
+
+
 def test_sorted_entries_are_a_column_of_their_own(spark):
     """Array functions copy what they are given, so grouping must not hand whole documents from one to another."""
     rows = spark.createDataFrame([(1, "b a b")], "doc_id bigint, body string")
