@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
 from quillspark.functions import analysis, scoring
+from quillspark.functions.grouping import grouped
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.plans import grams
 
@@ -218,14 +219,7 @@ def postings_table(
     if not names:
         schema = postings_schema(mapping, documents.schema[mapping.key].dataType)
         return documents.sparkSession.createDataFrame([], schema)
-    staged = documents.select(mapping.key, *[_entries(mapping, n).alias(f"e_{n}") for n in names])
-    for n in names:
-        analyzer = mapping.field(n).analyzer
-        if analysis.has_builtin_stemmer(analyzer) and analyzer not in stem_maps:
-            staged = staged.withColumn(f"e_{n}", analysis.grouped_entries(F.col(f"e_{n}")))
-            staged = staged.withColumn(f"e_{n}", analysis.stemmed_entries(F.col(f"e_{n}")))
-        elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
-            raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
+    staged = _staged(documents, mapping, names, stem_maps)
     # Columns of their own: what an array function is given by another is copied whole at each step.
     staged = staged.withColumns({f"s_{n}": F.sort_array(F.col(f"e_{n}")) for n in names})
     staged = staged.withColumns({f"at_{n}": analysis.run_starts(F.col(f"s_{n}")) for n in names})
@@ -241,6 +235,39 @@ def postings_table(
     return rows
 
 
+def _staged(documents: DataFrame, mapping: Mapping, names: list[str], stem_maps: Dict[str, DataFrame]) -> DataFrame:
+    """The key and, for each field, the entries of its tokens, stemmed unless a caller's map does it later."""
+    staged = documents.select(mapping.key, *[_entries(mapping, n).alias(f"e_{n}") for n in names])
+    for n in names:
+        analyzer = mapping.field(n).analyzer
+        if analysis.has_builtin_stemmer(analyzer) and analyzer not in stem_maps:
+            staged = staged.withColumn(f"e_{n}", analysis.grouped_entries(F.col(f"e_{n}")))
+            staged = staged.withColumn(f"e_{n}", analysis.stemmed_entries(F.col(f"e_{n}")))
+        elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
+            raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
+    return staged
+
+
+def sorted_postings(
+    documents: DataFrame, mapping: Mapping, buckets: int, slots: Dict[str, list[str]] | None = None
+) -> DataFrame:
+    """The rows of ``postings_table`` with their ``term_bucket``, where no field is stemmed by a map. Groups are made of
+    many documents together, so they come in long runs in the order they are written in, and a sort has little left to do."""
+    names = indexed_fields(mapping)
+    key_type = documents.schema[mapping.key].dataType
+    schema = postings_schema(mapping, key_type).add("term_bucket", T.IntegerType())
+    if not names:
+        return documents.sparkSession.createDataFrame([], schema)
+    staged = _staged(documents, mapping, names, {})
+    columns, lengths = {n: F.col(f"e_{n}") for n in names}, {n: n for n in names}
+    for n, words in (slots or {}).items():
+        if any(words):
+            columns[n + PAIRED], lengths[n + PAIRED] = analysis.pair_entries(F.col(f"e_{n}"), words), n
+    staged = staged.select(mapping.key, *[c.alias(f"e_{i}") for i, c in enumerate(columns.values())])
+    placed = [F.transform(f"e_{i}", lambda e: bucket_of(e["term"], buckets)).alias(f"b_{i}") for i in range(len(columns))]
+    return staged.select("*", *placed).mapInArrow(grouped(lengths, mapping.key), schema)
+
+
 def _stem_by_map(rows: DataFrame, key: str, fields: list[str], stem_map: DataFrame, alone: bool = False) -> DataFrame:
     """Replace the terms of ``fields`` by their stems and merge the words that now coincide. With no other fields (``alone``)
     the documents are not split into words a second time for them.

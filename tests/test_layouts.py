@@ -5,13 +5,14 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.errors import MappingError
-from quillspark.functions import scoring
+from quillspark.functions import analysis, grouping, scoring
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.operators.search import top_k
 from quillspark.plans import compile, grams
@@ -313,6 +314,34 @@ def test_a_large_batch_writes_its_postings_where_they_are_made(spark, tmp_path,
     assert all(found == sorted(found) for found in per_file.values())
 
 
+STEMS = Mapping.build([("body", "text", {**TEXT, "tokenizer": "en_stem"}), ("kind", "string", TEXT)])
+
+
+@pytest.mark.parametrize("mapping", [PLAIN, WIDE, STEMS])
+@pytest.mark.parametrize("most", [40, 1 << 20])
+def test_postings_of_many_documents_come_in_long_runs(spark, monkeypatch, mapping, most):
+    """The rows that documents give one by one, nearly in the order of the files, whatever is sorted together."""
+    monkeypatch.setattr(grouping, "TOKENS", most)
+    records = rows(spark, 4, 0, 120).coalesce(1).cache()
+    slots = {"body": analysis.word_slots(spark, WORDS[:4])} if mapping is WIDE else None
+    alone = tables.postings_table(records, mapping, slots=slots).withColumn("term_bucket", tables.bucket_of(F.col("term"), 8))
+    found = tables.sorted_postings(records, mapping, 8, slots)
+    assert found.columns == alone.columns and found.exceptAll(alone).isEmpty() and alone.exceptAll(found).isEmpty()
+    order = [(r["field"], r["term_bucket"], r["term"].encode(), r["doc_id"]) for r in found.collect()]
+    breaks = sum(a > b for a, b in zip(order, order[1:]))
+    assert breaks == 0 if most > 40 else breaks < 120
+
+
+@pytest.mark.parametrize("groups", [1 << 20, 1 << 62])
+def test_order_of_groups_with_and_without_room_for_positions(groups):
+    """Where group and position do not fit into one number, both are compared."""
+    rng = random.Random(1)
+    pairs = [(rng.randrange(50), rng.randrange(300)) for _ in range(500)]
+    group, at = (np.array(c, np.int64) for c in zip(*pairs))
+    found = grouping._in_order(group, at, groups)
+    assert list(zip(*(c.tolist() for c in found))) == sorted(pairs)
+
+
 def test_shares_are_bounded_and_leave_each_bucket_enough():
     shares = lambda size, values=0, cores=8, buckets=8: tables.shares_of(size, values, cores, buckets)
     assert shares(tables.LARGE_BATCH - 1) is None and shares(tables.LARGE_BATCH, buckets=2048) is None
