@@ -21,6 +21,7 @@ from quillspark.mapping import PAIRED
 from quillspark.operators import highlight as hl
 from quillspark.operators.blocks import MARGIN, best_in_blocks
 from quillspark.operators.search import stored_document
+from quillspark.plans.compile import BROADCAST_KEYS
 from quillspark.sources import tables
 from quillspark.sources.index import Index
 
@@ -241,6 +242,8 @@ def _marked_words(
     return maps.groupBy(query_id).agg(F.map_from_entries(F.collect_list(F.struct("field", "words"))).alias("_words"))
 
 
+# So many documents times texts, at most, are scored in a task of a search box.
+SCORED_PAIRS = 1 << 19
 # A word of at least so many letters may be one edit off in a search box.
 TYPO_LETTERS = 4
 
@@ -295,6 +298,11 @@ def batch_search_box(
         near = near.withColumn("term_bucket", tables.bucket_of(F.col("term"), index.term_buckets))
     on = [c for c in ("field", "term", "term_bucket") if c in near.columns]
     found = index.postings.select(*on, key).join(near, on)
+    asked, texts = words.agg(F.count(F.lit(1)), F.count_distinct(query_id)).first()
+    if asked <= BROADCAST_KEYS:
+        # Few words are sent to documents dealt by key, so that neither these nor their queries are shuffled again.
+        parts = max(index.spark.sparkContext.defaultParallelism, -(-index.n_docs * texts // SCORED_PAIRS))
+        words, found = F.broadcast(words), found.select("word", "field", key).repartition(parts, F.col(key))
     gains = [F.max(F.when(F.col("field") == name, F.lit(float(boost))).otherwise(0.0)) for name, boost in boosts.items()]
     gain = gains[0]
     for more in gains[1:]:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from quillspark.mapping import Mapping
-from quillspark.operators import blocks
+from quillspark.operators import batch, blocks
 from quillspark.operators.batch import batch_hits, batch_search, batch_search_box, near_terms
 from quillspark.operators.search import search, top_k
 from quillspark.plans import query as q
@@ -117,6 +118,19 @@ def test_no_comparison_of_everything_with_everything(index, queries):
     assert "CartesianProduct" not in text and "NestedLoop" not in text and "Python" not in text
 
 
+def test_a_search_box_deals_documents_once(index, queries, monkeypatch):
+    """What is added up for a document and a text stays where the document was dealt to, in tasks of bounded size."""
+    boosts = {"t": 1.0, "s": 2.0}
+    few = batch_search_box(index, queries, boosts, 5)
+    monkeypatch.setattr(batch, "SCORED_PAIRS", 16)
+    frame = batch_search_box(index, queries, boosts, 5)
+    text = frame._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "doc_id" in line]
+    parts = -(-index.n_docs * sum(bool(t.strip()) for t in ASKED) // 16)
+    assert len(dealt) == 1 and re.search(rf"doc_id#\d+L, {parts}\), REPARTITION_BY_NUM", dealt[0]), dealt
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, frame.collect()))
+
+
 def _outputs(plan):
     """The names of the columns of every step of a plan."""
     listed = lambda rows: [rows.apply(i) for i in range(rows.length())]
