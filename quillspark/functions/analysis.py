@@ -17,6 +17,7 @@ from quillspark.functions.stemming import stem_words, stem_words_udf
 # What a token is, and the byte length from which a token is dropped.
 WORD = r"[\p{IsAlphabetic}\p{N}]+"
 NON_BLANK = r"[^ \t\n\f\r]+"
+BETWEEN_WORDS, BLANK = r"[^\p{IsAlphabetic}\p{N}]+", r"[ \t\n\f\r]+"
 TOO_LONG_BYTES = 40
 # Slots of the frequent words whose pairs are kept.
 WORD_SLOTS = 4096
@@ -43,6 +44,18 @@ def token_entries(text: Column, analyzer: str) -> Column:
     return F.filter(placed, lambda e: e["term"].isNotNull())
 
 
+def separated(text: Column, analyzer: str) -> tuple[Column, Column]:
+    """The words of ``token_entries`` as one text with a blank between two of them, too long ones included, and that text
+    before lowercasing where a length may differ. A ``raw`` value is left whole."""
+    none = F.lit(None).cast("string")
+    if analyzer == "raw":
+        return text, none
+    if analyzer == "whitespace":
+        return F.regexp_replace(text, BLANK, " "), none
+    words = F.regexp_replace(text, BETWEEN_WORDS, " ")
+    return F.lower(words), F.when(F.octet_length(words) != F.length(words), words)
+
+
 def has_tokens(text: Column, analyzer: str) -> Column:
     """Whether a text has any token at all."""
     entries = token_entries(text, "default" if is_stemmed(analyzer) else analyzer)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from quillspark.errors import MappingError
 from quillspark.functions import analysis, scoring
+from quillspark.functions.grouping import Words, grouped
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.plans import grams
 
@@ -31,7 +32,7 @@ PAIRED_WORDS, PAIRED_SHARE, PAIRED_SAMPLE = 512, 24, 2_000
 TRACKED = 12_288
 #: A batch from this many bytes, or values of its fields, on is dealt out in shares of at most so many of either, smaller
 #: ones only for idle cores; a share writes its own postings into every bucket, which has to get so many bytes of it.
-LARGE_BATCH, LARGEST_SHARE, SMALLEST_SHARE, BUCKET_SHARE = 64 << 20, 32 << 20, 4 << 20, 2 << 20
+LARGE_BATCH, LARGEST_SHARE, SMALLEST_SHARE, BUCKET_SHARE = 32 << 20, 16 << 20, 2 << 20, 1 << 20
 LARGE_VALUES, SHARE_VALUES = 8_000_000, 2_000_000
 
 
@@ -225,7 +226,7 @@ def postings_table(
             staged = staged.withColumn(f"e_{n}", analysis.grouped_entries(F.col(f"e_{n}")))
             staged = staged.withColumn(f"e_{n}", analysis.stemmed_entries(F.col(f"e_{n}")))
         elif analysis.is_stemmed(analyzer) and analyzer not in stem_maps:
-            raise MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
+            raise _no_stem_map(analyzer)
     # Columns of their own: what an array function is given by another is copied whole at each step.
     staged = staged.withColumns({f"s_{n}": F.sort_array(F.col(f"e_{n}")) for n in names})
     staged = staged.withColumns({f"at_{n}": analysis.run_starts(F.col(f"s_{n}")) for n in names})
@@ -241,6 +242,47 @@ def postings_table(
     return rows
 
 
+def _no_stem_map(analyzer: str) -> MappingError:
+    return MappingError(f"tokenizer {analyzer} needs a stem map (term, stem) for this language")
+
+
+def sorted_postings(
+    documents: DataFrame,
+    mapping: Mapping,
+    buckets: int,
+    slots: Dict[str, list[str]] | None = None,
+    lengths: Dict[str, float] | None = None,
+) -> DataFrame:
+    """The rows of ``postings_table`` with their ``term_bucket``, where no field is stemmed by a map. The documents of a
+    partition are grouped together, some MB at a time, and their postings come in the order they are written in, so that
+    the sort before that has nothing left to move."""
+    fields = []
+    for name in indexed_fields(mapping):
+        analyzer = mapping.field(name).analyzer
+        if analysis.is_stemmed(analyzer) and not analysis.has_builtin_stemmer(analyzer):
+            raise _no_stem_map(analyzer)
+        words = tuple(filter(None, (slots or {}).get(name, [])))
+        fields.append(Words(name, analyzer, words, (lengths or {}).get(name)))
+    schema = postings_schema(mapping, documents.schema[mapping.key].dataType)
+    if not fields:
+        return documents.sparkSession.createDataFrame([], schema.add("term_bucket", T.IntegerType()))
+    texts = [mapping.key]
+    for i, f in enumerate(fields):
+        words, as_is = analysis.separated(F.col(f"`{f.name}`"), f.analyzer)
+        texts += [words.alias(f"words_{i}"), as_is.alias(f"as_is_{i}")]
+    listed = T.StructType(
+        [
+            schema["field"], schema["term"], T.StructField("run", T.IntegerType()),
+            T.StructField("first", schema[mapping.key].dataType),
+            T.StructField("rows", T.ArrayType(T.StructType(schema.fields[2:]))),
+        ]
+    )
+    found = documents.sortWithinPartitions(mapping.key).select(*texts).mapInArrow(grouped(fields, mapping.key), listed)
+    found = found.withColumn("term_bucket", bucket_of(F.col("term"), buckets))
+    found = found.sortWithinPartitions("field", "term_bucket", "term", "run", "first")
+    return found.select("field", "term", "term_bucket", F.inline("rows")).select(*schema.names, "term_bucket")
+
+
 def _stem_by_map(rows: DataFrame, key: str, fields: list[str], stem_map: DataFrame, alone: bool = False) -> DataFrame:
     """Replace the terms of ``fields`` by their stems and merge the words that now coincide. With no other fields (``alone``)
     the documents are not split into words a second time for them.

@@ -460,8 +460,10 @@ class IndexDirectory:
         shares = None if v.stem_maps else tables.shares_of(tables.size_of(documents), values, cores, v.term_buckets)
         if shares:
             documents = documents.repartition(shares, v.mapping.key)
-        postings = tables.postings_table(documents, v.mapping, self._stem_maps(v), slots)
-        postings = postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
+            postings = tables.sorted_postings(documents, v.mapping, v.term_buckets, slots, v.lengths)
+        else:
+            postings = tables.postings_table(documents, v.mapping, self._stem_maps(v), slots)
+            postings = postings.withColumn("term_bucket", tables.bucket_of(F.col("term"), v.term_buckets))
         self._write_postings(postings, v, n, dealt=shares is not None)
         schema = tables.postings_schema(v.mapping, key_type).add("batch", T.LongType()).add("term_bucket", T.IntegerType())
         self._write_terms(tables.terms_table(self._read("postings", [n], schema)), v, n)

@@ -5,13 +5,14 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quillspark.errors import MappingError
-from quillspark.functions import scoring
+from quillspark.functions import analysis, grouping, scoring
 from quillspark.mapping import PAIRED, Mapping
 from quillspark.operators.search import top_k
 from quillspark.plans import compile, grams
@@ -313,6 +314,39 @@ def test_a_large_batch_writes_its_postings_where_they_are_made(spark, tmp_path,
     assert all(found == sorted(found) for found in per_file.values())
 
 
+STEMS = Mapping.build([("body", "text", {**TEXT, "tokenizer": "en_stem"}), ("kind", "string", TEXT)])
+BLANKS = Mapping.build([("body", "text", {**EXTRA, "tokenizer": "whitespace"}), ("kind", "string", TEXT)])
+
+
+@pytest.mark.parametrize("mapping", [PLAIN, WIDE, STEMS, BLANKS])
+@pytest.mark.parametrize("most", [400, 1 << 20])
+def test_postings_of_many_documents_come_in_the_order_they_are_written_in(spark, monkeypatch, mapping, most):
+    """The rows that documents give one by one, whatever is grouped together; letters whose lower case is longer or shorter
+    are measured as they are in the text, and only blanks, words that are too long and nulls give nothing."""
+    monkeypatch.setattr(grouping, "TEXT_BYTES", most)
+    odd = ["\u212a" * 13 + "k", "\u212a" * 14, "\u0130" * 19 + " the of", "\u023a" * 19, "\u03a3\u0391\u03a3 a\u0301\u0301", " ", "", ".,", None, "the, of the", "x\u00a0y\tz\x0bw\n\fv"]
+    odd = spark.createDataFrame([(1000 + i, t, [None, "", "a b", "K\u212a"][i % 4]) for i, t in enumerate(odd)], "doc_id bigint, body string, kind string")
+    records = rows(spark, 4, 0, 120).unionByName(odd).coalesce(1).cache()
+    slots = {"body": analysis.word_slots(spark, WORDS[:4])} if mapping.paired else None
+    lengths = {"body": 9.5} if mapping.tiered else {}
+    alone = tables.postings_table(records, mapping, slots=slots).withColumn("term_bucket", tables.bucket_of(F.col("term"), 8))
+    found = tables.sorted_postings(records, mapping, 8, slots, lengths)
+    assert found.columns == alone.columns and found.exceptAll(alone).isEmpty() and alone.exceptAll(found).isEmpty()
+    tiered = tables.with_tiers(found, lengths).collect()
+    order = [(r["field"], r["term_bucket"], r["term"].encode(), -(r["tier"] or 0), r["doc_id"]) for r in tiered]
+    assert order == sorted(order)
+
+
+@pytest.mark.parametrize("groups", [1 << 20, 1 << 62])
+def test_order_of_groups_with_and_without_room_for_positions(groups):
+    """Where group and position do not fit into one number, both are compared."""
+    rng = random.Random(1)
+    pairs = [(rng.randrange(50), rng.randrange(300)) for _ in range(500)]
+    group, at = (np.array(c, np.int64) for c in zip(*pairs))
+    found = grouping._in_order(group, at, groups)
+    assert list(zip(*(c.tolist() for c in found))) == sorted(pairs)
+
+
 def test_shares_are_bounded_and_leave_each_bucket_enough():
     shares = lambda size, values=0, cores=8, buckets=8: tables.shares_of(size, values, cores, buckets)
     assert shares(tables.LARGE_BATCH - 1) is None and shares(tables.LARGE_BATCH, buckets=2048) is None
